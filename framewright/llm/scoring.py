@@ -24,6 +24,7 @@ own. Other columns are not returned.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +40,9 @@ ORDER = 3
 ALPHA = 0.4
 #: Characters of a block and of a part's n-grams, about.
 BLOCK_CHARS, PART_CHARS = 6_000_000, 10_000_000
-#: Bytes of a hash that are sent; its top bits give the part.
-SENT = 6
+#: Bytes of a hash that are sent; its top bits give the part. Two of the about 2 million n-grams of a
+#: part are taken for one with a chance of about one in a million each, at any size of the corpus.
+SENT = 5
 
 
 def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -66,7 +68,7 @@ def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
 
 
 def pack(keys: np.ndarray) -> bytes:
-    """The low six bytes of each hash."""
+    """The low ``SENT`` bytes of each hash."""
     return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SENT].tobytes()
 
 
@@ -86,8 +88,16 @@ def listed(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return order, counts, at.reshape(keys.shape)
 
 
-def _small(counts: np.ndarray) -> bytes:
-    return counts.astype("<u4").tobytes()
+def pack_counts(counts: np.ndarray) -> bytes:
+    """A byte for each count, then four for each of those over 254; most are 1, so they are deflated."""
+    return zlib.compress(np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<u4").tobytes(), 1)
+
+
+def unpack_counts(raw, n: int) -> np.ndarray:
+    raw = zlib.decompress(raw)
+    out = np.frombuffer(raw, dtype=np.uint8, count=n).astype(np.int64)
+    out[out == 255] = np.frombuffer(raw, dtype="<u4", offset=n)
+    return out
 
 
 def scores(doc: np.ndarray, keys: np.ndarray, at: np.ndarray, totals: np.ndarray, n_corpus: int, n_docs: int) -> pd.DataFrame:
@@ -134,20 +144,20 @@ def backoff_scores(df: DataFrame, id_col: str = "doc_id", text: str = "text") ->
                 "block": pa.array([table.column("block")[0].as_py()] * len(rows), pa.int32()),
                 "part": pa.array([k for k, _, _ in rows], pa.int32()),
                 "keys": pa.array([pack(x) for _, x, _ in rows], pa.binary()),
-                "counts": pa.array([_small(x) for _, _, x in rows], pa.binary()),
+                "counts": pa.array([pack_counts(x) for _, _, x in rows], pa.binary()),
             }
         )
 
     def add(key, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))
         lists = [unpack(x.as_buffer()) for x in table.column("keys")]
-        counts = [np.frombuffer(x.as_buffer(), dtype="<u4") for x in table.column("counts")]
+        counts = [unpack_counts(x.as_buffer(), len(y)) for x, y in zip(table.column("counts"), lists, strict=True)]
         kinds, inverse = np.unique(np.concatenate(lists), return_inverse=True)
         totals = np.bincount(inverse, np.concatenate(counts), len(kinds)).astype(np.int64)[inverse]
         edge = np.r_[0, np.cumsum([len(x) for x in lists])]
         for i, block in enumerate(table.column("block").to_pylist()):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int32()), pa.array([key[0].as_py()], pa.int32()), pa.array([_small(totals[edge[i] : edge[i + 1]])], pa.binary()), pa.array([xxhash.xxh3_64_intdigest(pack(lists[i])) >> 1], pa.int64())],
+                [pa.array([block], pa.int32()), pa.array([key[0].as_py()], pa.int32()), pa.array([pack_counts(totals[edge[i] : edge[i + 1]])], pa.binary()), pa.array([xxhash.xxh3_64_intdigest(pack(lists[i])) >> 1], pa.int64())],
                 names=["block", "part", "totals", "digest"],
             )
 
@@ -161,7 +171,7 @@ def backoff_scores(df: DataFrame, id_col: str = "doc_id", text: str = "text") ->
             a, b = np.searchsorted(part, [k, k + 1])
             if xxhash.xxh3_64_intdigest(pack(order[a:b])) >> 1 != digest:
                 raise RuntimeError("the n-grams of a block changed between two reads of the input")
-            totals[a:b] = np.frombuffer(raw.as_buffer(), dtype="<u4")
+            totals[a:b] = unpack_counts(raw.as_buffer(), b - a)
         out = scores(doc, keys, at, totals, n_corpus, len(texts))
         mean = np.where(out["n_words"] > 0, out["score"] / np.maximum(out["n_words"], 1), np.nan)
         columns = [pa.array(out[c].to_numpy(), pa.int64()) for c in ("n_words", "n_order1", "n_order2", "n_order3")]
