@@ -10,12 +10,13 @@ least ``num / den``. The steps:
    Two similar nodes share at least l shingles of their prefixes at level l. Each node
    picks the level with the least estimated cost: postings to read, and candidates to
    verify, which get fewer as more matches are asked for.
-3. Nodes that share a MinHash value with a leader of its group are verified and joined first.
+3. Nodes that share a MinHash value are verified against one leader and joined to it first.
    So large groups of near copies become one component with a number of pairs that is
    linear in their size.
 4. Prefixes are joined on the shingle and a band of set sizes, for nodes in different components
-   only. The smaller node of a pair probes, and the pair needs as many matches as its level.
-5. Pairs left after a bitmap bound on the symmetric difference are verified on the whole sets.
+   only, and for pairs that pass a bitmap bound on the symmetric difference. The smaller
+   node of a pair probes, and the pair needs as many matches as its level.
+5. Pairs left after a finer bitmap bound are verified on the whole sets.
 6. Links give components; each row gets the smallest id that its node reaches.
 
 No posting, candidate or partner is capped. Pairs inside a component need not be verified, as
@@ -48,7 +49,8 @@ LEVELS = 3
 #: Cost of a verification in postings read, and how much rarer candidates get with each match asked for.
 VERIFY_COST, SELECTIVITY = 50.0, 8.0
 BLOCK_WORDS = 400_000
-_BITMAP = [f"b{k}" for k in range(8)]
+#: A bit for each of 512 classes of hashes: whether the set has an odd number of that class. Folded: of 256 classes.
+_BITMAP, _FOLDED = [f"b{k}" for k in range(8)], [f"c{k}" for k in range(4)]
 
 
 def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
@@ -90,7 +92,7 @@ def _in_blocks(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.R
 
 
 def frequency_classes(docs: DataFrame, n: int) -> np.ndarray:
-    """A class for each bucket of the sketch: 0 up to four times the mean count, then one more for each doubling."""
+    """A class for each bucket of the sketch: 0 up to what chance brings there, then one more for each doubling."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << BITS, dtype=np.int64)
@@ -117,7 +119,8 @@ def frequency_classes(docs: DataFrame, n: int) -> np.ndarray:
     for r in rows:
         total[r["segment"]] = np.frombuffer(r["counts"], dtype=np.int64)
     total = total.reshape(-1)
-    return np.ceil(np.log2(np.maximum(total / max(4.0 * total.mean(), 2.0), 1.0))).astype(np.uint8)
+    mean = total.mean()
+    return np.ceil(np.log2(np.maximum((total - mean) / max(2.0 * math.sqrt(mean), 2.0), 1.0))).astype(np.uint8)
 
 
 def required(n: int, num: int, den: int) -> int:
@@ -133,7 +136,7 @@ def _level(classes: np.ndarray, first: int, most: int) -> int:
     return int(np.argmin(cost)) + 1
 
 
-SKETCH = "id_at bigint, n bigint, node bigint, prefix array<bigint>, level int, hashes array<bigint>, " + ", ".join(f"{b} bigint" for b in _BITMAP)
+SKETCH = "id_at bigint, n bigint, node bigint, rare bigint, prefix array<bigint>, level int, hashes array<bigint>, " + ", ".join(f"{b} bigint" for b in _BITMAP)
 
 
 def _described(docs: DataFrame, n: int, num: int, den: int, id_type: str) -> DataFrame:
@@ -142,10 +145,10 @@ def _described(docs: DataFrame, n: int, num: int, den: int, id_type: str) -> Dat
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _in_blocks(batches, n):
-            prefixes, levels, hashes, nodes, bitmaps = [], [], [], [], np.zeros((len(sets), 512), dtype=np.uint8)
+            prefixes, levels, hashes, nodes, rare, bitmaps = [], [], [], [], [], np.zeros((len(sets), 512), dtype=np.uint8)
             for i, own in enumerate(sets):
                 if not len(own):
-                    prefixes.append([]), levels.append(0), hashes.append([]), nodes.append(None)
+                    prefixes.append([]), levels.append(0), hashes.append([]), nodes.append(None), rare.append(0)
                     continue
                 need = required(len(own), num, den)
                 most = min(LEVELS, need)
@@ -155,14 +158,14 @@ def _described(docs: DataFrame, n: int, num: int, den: int, id_type: str) -> Dat
                 order = np.argsort(kind, kind="stable")[: first + LEVELS - 1]
                 prefixes.append(own[order].view(np.int64)), levels.append(_level(kind[order], first, most))
                 hashes.append(np.array([mix(own ^ s).min() for s in seeds], dtype=np.uint64).view(np.int64))
-                nodes.append(node_of(own))
+                nodes.append(node_of(own)), rare.append(int((kind == 0).sum()))
                 bitmaps[i] = np.bincount((own & np.uint64(511)).astype(np.int64), minlength=512) & 1
             bits = np.packbits(bitmaps, axis=1).view(np.int64)
             arrays = [pa.array(x, pa.list_(pa.int64())) for x in (prefixes, hashes)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(nodes, pa.int64()), arrays[0], pa.array(levels, pa.int32()), arrays[1]]
+                [batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.array(rare, pa.int64()), arrays[0], pa.array(levels, pa.int32()), arrays[1]]
                 + [pa.array(bits[:, k], pa.int64()) for k in range(8)],
-                names=["id_at", "n", "node", "prefix", "level", "hashes", *_BITMAP],
+                names=["id_at", "n", "node", "rare", "prefix", "level", "hashes", *_BITMAP],
             )
 
     return docs.mapInArrow(describe, SKETCH.replace("id_at bigint", f"id_at {id_type}"))
@@ -208,13 +211,15 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text: str = "text"
     id_type = dict(df.dtypes)[id_col]
     docs = df.select(F.col(id_col).alias("id_at"), F.col(text).cast("string").alias("text_at"))
     rows = staged(_described(docs, n, num, den, id_type), "described")
-    first = ("n", "prefix", "level", "hashes", *_BITMAP)
+    first = ("n", "rare", "prefix", "level", "hashes", *_BITMAP)
     nodes = rows.filter("node is not null and id_at is not null").groupBy("node").agg(F.min("id_at").alias("rep"), *(F.first(c).alias(c) for c in first))
     nodes = staged(nodes, "nodes")
 
-    # near copies of a leader: the first of the nodes that share a MinHash value
-    keys = nodes.select("node", F.posexplode("hashes").alias("k", "h"))
-    leaders = keys.groupBy("k", "h").agg(F.min("node").alias("u"), F.count(F.lit(1)).alias("m")).filter("m > 1").drop("m")
+    # near copies of a leader: of the nodes that share a MinHash value, the one with the fewest rare shingles, so with
+    # the fewest changes of its own
+    keys = nodes.select("node", "rare", F.posexplode("hashes").alias("k", "h"))
+    least = F.min(F.struct("rare", "node"))
+    leaders = keys.groupBy("k", "h").agg(least.alias("u"), F.count(F.lit(1)).alias("m")).filter("m > 1").select("k", "h", F.col("u.node").alias("u"))
     starts = keys.join(leaders, ["k", "h"]).filter("node <> u").select("u", F.col("node").alias("v")).distinct()
     early = staged(_verified(starts, nodes, docs, n, num, den), "links")
     roots = components(early)
@@ -225,16 +230,19 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text: str = "text"
     placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).withColumn("band", band)
     # the level at which a shingle comes into the prefix
     came = F.greatest(F.col("pos") + 1 - (F.col("n") - F.ceil(F.col("n") * num / den)), F.lit(1)).cast("int")
-    postings = placed.select("node", "n", "root", "band", "level", "prefix", F.posexplode("prefix").alias("pos", "token"))
-    postings = postings.select("node", "n", "root", "band", "level", came.alias("at"), "token")
+    folded = [F.col(f"b{k}").bitwiseXOR(F.col(f"b{k + 4}")).alias(f"c{k}") for k in range(4)]
+    postings = placed.select("node", "n", "root", "band", "level", *folded, F.posexplode("prefix").alias("pos", "token"))
+    postings = postings.withColumn("at", came).drop("pos")
     shared = postings.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("token")
     postings = staged(postings.join(shared, "token", "left_semi"), "postings")
-    probe = postings.filter("at <= level").select("token", F.explode(F.array("band", F.col("band") + 1)).alias("band"), *(F.col(c).alias(f"u_{c}") for c in ("node", "n", "root", "level")))
+    probe = postings.filter("at <= level").select("token", F.explode(F.array("band", F.col("band") + 1)).alias("band"), *(F.col(c).alias(f"u_{c}") for c in ("node", "n", "root", "level", *_FOLDED)))
+    apart = sum((F.bit_count(F.col(f"u_{c}").bitwiseXOR(F.col(c))) for c in _FOLDED), F.lit(0))
     found = probe.join(postings.drop("level"), ["token", "band"]).filter(
         (F.col("at") <= F.col("u_level"))
         & (F.col("u_root") != F.col("root"))
         & ((F.col("u_n") < F.col("n")) | ((F.col("u_n") == F.col("n")) & (F.col("u_node") < F.col("node"))))
         & (F.col("n") * num <= F.col("u_n") * den)
+        & (apart * (den + num) <= (F.col("u_n") + F.col("n")) * (den - num))
     )
     matches = found.groupBy(F.col("u_node").alias("u"), F.col("node").alias("v")).agg(F.count(F.lit(1)).alias("m"), F.first("u_level").alias("level"))
     late = _verified(matches.filter("m >= level").select("u", "v"), nodes, docs, n, num, den)
