@@ -36,7 +36,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewright.llm.common import WORD, chunks, lower_ascii, mix, staged
@@ -49,6 +49,8 @@ LEVELS = 3
 #: Cost of a verification in postings read, and how much rarer candidates get with each match asked for.
 VERIFY_COST, SELECTIVITY = 50.0, 8.0
 BLOCK_WORDS = 400_000
+#: Up to so many ids of candidates are broadcast; more are joined by a shuffle of the texts.
+BROADCAST_IDS = 1_000_000
 #: A bit for each of 512 classes of hashes: whether the set has an odd number of that class. Folded: of 256 classes.
 _BITMAP, _FOLDED = [f"b{k}" for k in range(8)], [f"c{k}" for k in range(4)]
 
@@ -182,6 +184,8 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num:
     pairs = staged(pairs.join(one, "u").join(two, "v").filter(near).select("u", "v"), "pairs")
     wanted = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
     ids = nodes.join(wanted, "node", "left_semi").select(F.col("rep").alias("id_at"))
+    if wanted.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in _in_blocks(batches, n):
@@ -211,7 +215,7 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text: str = "text"
     id_type = dict(df.dtypes)[id_col]
     docs = df.select(F.col(id_col).alias("id_at"), F.col(text).cast("string").alias("text_at"))
     rows = staged(_described(docs, n, num, den, id_type), "described")
-    first = ("n", "rare", "prefix", "level", "hashes", *_BITMAP)
+    first = ("n", "rare", "level", "hashes", *_BITMAP)
     nodes = rows.filter("node is not null and id_at is not null").groupBy("node").agg(F.min("id_at").alias("rep"), *(F.first(c).alias(c) for c in first))
     nodes = staged(nodes, "nodes")
 
@@ -227,14 +231,17 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text: str = "text"
     # all other pairs, of nodes in different components
     width = math.log(den / num) if num < den else 1.0
     band = F.floor(F.log(F.col("n").cast("double")) / width + 1e-9).cast("int")
-    placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).withColumn("band", band)
-    # the level at which a shingle comes into the prefix
     came = F.greatest(F.col("pos") + 1 - (F.col("n") - F.ceil(F.col("n") * num / den)), F.lit(1)).cast("int")
     folded = [F.col(f"b{k}").bitwiseXOR(F.col(f"b{k + 4}")).alias(f"c{k}") for k in range(4)]
-    postings = placed.select("node", "n", "root", "band", "level", *folded, F.posexplode("prefix").alias("pos", "token"))
-    postings = postings.withColumn("at", came).drop("pos")
-    shared = postings.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("token")
-    postings = staged(postings.join(shared, "token", "left_semi"), "postings")
+    placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    prefixes = rows.filter("node is not null and id_at is not null").groupBy("node").agg(F.first("prefix").alias("prefix"))
+    # what goes to the shuffle on all shingles of prefixes is narrow; the rest is added to what is shared between components
+    tokens = prefixes.join(placed.select("node", "root"), "node").select("node", "root", F.posexplode("prefix").alias("pos", "token"))
+    # (a window: a token's rows need no second shuffle, and those of a frequent one are sorted and spilled, not held)
+    same = Window.partitionBy("token")
+    shared = tokens.withColumn("lo", F.min("root").over(same)).withColumn("hi", F.max("root").over(same)).filter("lo <> hi")
+    postings = shared.select("node", "pos", "token").join(placed.select("node", "n", "root", band.alias("band"), "level", *folded), "node")
+    postings = staged(postings.withColumn("at", came).drop("pos"), "postings")
     probe = postings.filter("at <= level").select("token", F.explode(F.array("band", F.col("band") + 1)).alias("band"), *(F.col(c).alias(f"u_{c}") for c in ("node", "n", "root", "level", *_FOLDED)))
     apart = sum((F.bit_count(F.col(f"u_{c}").bitwiseXOR(F.col(c))) for c in _FOLDED), F.lit(0))
     found = probe.join(postings.drop("level"), ["token", "band"]).filter(
