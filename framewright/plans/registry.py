@@ -1,9 +1,418 @@
-"""The queries of the library's own operators."""
+"""The library's queries over the given tables, and their DuckDB SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from framewright.functions import geometry as G
+from framewright.functions import text as X
+from framewright.operators import catalog as C
+from framewright.operators import dedup as D
+from framewright.operators import grouping as A
+
+DIR = "concat(CAST(doc_id % 4 AS STRING), '_', source, '/', lang)"
+VIEWS = {
+    "images_fx": f"""SELECT doc_id AS id, {DIR} AS rel_dir, concat('img', CAST(CAST(floor(doc_id / 3) AS BIGINT) AS STRING), CASE WHEN doc_id % 7 = 0 THEN '.jpg' ELSE '.png' END) AS filename,
+        concat('img', CAST(CAST(floor(doc_id / 3) AS BIGINT) AS STRING)) AS stem, 200 + (doc_id * 7919) % 1400 AS width, 200 + (doc_id * 104729) % 1400 AS height FROM documents""",
+    "captions_fx": f"""SELECT doc_id AS id, {DIR} AS rel_dir, concat('img', CAST(CAST(floor((doc_id + doc_id % 5) / 3) AS BIGINT) AS STRING)) AS stem,
+        CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'wd14' ELSE 'blip' END AS kind, text FROM documents""",
+    "detections_fx": """SELECT o_custkey AS image_id, o_orderkey AS det_idx, CAST(o_orderkey % 3 AS INT) AS class_id, CAST((o_orderkey * 37) % 100 AS DOUBLE) / 100 AS confidence,
+        CAST((o_orderkey * 31) % 700 AS DOUBLE) AS x1, CAST((o_orderkey * 17) % 500 AS DOUBLE) AS y1, CAST((o_orderkey * 31) % 700 + 20 + (o_orderkey * 13) % 560 AS DOUBLE) AS x2,
+        CAST((o_orderkey * 17) % 500 + 20 + (o_orderkey * 11) % 560 AS DOUBLE) AS y2, 1280 AS img_w, 1080 AS img_h FROM orders""",
+    "fetch_fx": "SELECT event_id AS seq, event_type <> 'error' AS ok, CAST((event_id - event_id % 500) / 500 AS BIGINT) AS batch FROM events",
+    "api_fx": """SELECT p_partkey AS id, p_brand AS source, CAST((p_partkey - p_partkey % 8) / 8 AS BIGINT) AS page_no, p_partkey % 8 AS pos, concat('http://x/', CAST(p_partkey % 1500 AS STRING)) AS url,
+        p_size % 15 AS heart, p_size % 11 AS likes, p_partkey % 5 AS laugh, p_partkey % 4 AS cry, 300 + (p_partkey * 37 + 600) % 1200 AS width, 300 + (p_partkey * 53 + 700) % 1200 AS height,
+        CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE concat(p_name, ' <lora:', p_type, ':0.8>, ', p_brand) END AS prompt FROM part""",
+    "scores_fx": "SELECT p_partkey AS path, p_brand AS grp, CAST(p_retailprice AS DOUBLE) AS vol, CAST(p_partkey * 31 % 997 AS DOUBLE) / 997 AS ssim FROM part",
+    "rowsums_fx": "SELECT user_id AS image_id, event_id AS y, value AS gray_sum FROM events",
+    "pixels_fx": "SELECT l_suppkey % 20 AS image_id, l_partkey % 8 AS x, l_orderkey % 8 AS y, concat(l_returnflag, l_linestatus) AS rgba, 8 AS w, 8 AS h FROM lineitem",
+    "videos_fx": "SELECT s_suppkey AS video_idx, CAST(10 + s_suppkey % 5 AS DOUBLE) AS fps, 40 + (s_suppkey * 97) % 900 AS frame_count FROM supplier",
+    "results_fx": "SELECT conv_id AS image_id, turn, role AS key, text FROM conversations",
+    "ids_fx": "SELECT c_custkey AS id, concat(CAST(c_custkey % 30 AS STRING), '.', CAST(c_nationkey AS STRING), CASE WHEN c_custkey % 4 = 0 THEN 'a' ELSE '' END, '.png') AS filename FROM customer",
+    "names_fx": "SELECT CAST(n_nationkey AS STRING) AS id, n_name AS name FROM nation",
+    "emb_fx": "SELECT vec_id AS id, label AS grp, embedding AS vec FROM embeddings",
+}
+BASE = "nation customer supplier part orders lineitem events documents embeddings pages conversations".split()
+
+
+def fx(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    for t in BASE:
+        if f" {t}" in VIEWS[name]:
+            spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+    return spark.sql(VIEWS[name])
+
+
+def _sql(body: str) -> str:
+    used = [n for n in VIEWS if n in body]
+    head = "WITH " + ", ".join(f"{n} AS ({VIEWS[n]})" for n in used)
+    return head + body if body.startswith(",") else f"{head} {body}"
+
+
+QUERIES: dict = {}
+SQL: dict[str, str] = {}
+
+
+def query(view: str, sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(*(fx(spark, sf_dir, v) for v in view.split()))
+        if sql:
+            SQL[f.__name__] = _sql(sql)
+        return f
+
+    return add
+
+
+c = F.col
+
+
+def _strip(x: str) -> str:
+    return rf"regexp_replace({x}, '^[\s\x1c-\x1f\x{{85}}\x{{a0}}]+|[\s\x1c-\x1f\x{{85}}\x{{a0}}]+$', '', 'g')"
+
+
+TAGS = f"list_transform(string_split(text, ','), lambda x: {_strip('x')})"
+UNBRACKET = r"regexp_replace(regexp_replace(text, '\((.*?)\)', '\1', 'g'), '\[(.*?)\]', '\1', 'g')"
+
+
+def _u(keys: str) -> str:
+    return f"(('0x' || substr(md5({keys}), 1, 8))::BIGINT / 4294967296.0)"
+
+
+@query("captions_fx", f"SELECT id, {UNBRACKET} AS text FROM captions_fx")
+def x1_remove_brackets(d):
+    return d.select("id", X.remove_brackets(c("text")).alias("text"))
+
+
+@query("captions_fx", f"SELECT id, array_to_string(list_filter(t, lambda x: len(list_filter(t, lambda y: y <> x AND contains(y, x))) = 0), ', ') AS text FROM (SELECT id, {TAGS} AS t FROM captions_fx)")
+def x2_remove_substring_tags(d):
+    return d.select("id", X.remove_substring_tags(c("text")).alias("text"))
+
+
+@query("captions_fx", f"""SELECT id, CASE WHEN text = '' THEN 'cartoon' WHEN {_u("'7|' || id")} > 0.5 THEN text WHEN len(k) > 0 THEN array_to_string(k, ', ') ELSE text END AS text
+  FROM (SELECT id, text, list_filter(string_split(text, ', '), lambda x, i: {_u("'7|' || id || '|' || (i - 1)")} > 0.5) AS k FROM captions_fx)""")
+def x3_drop_tags_randomly(d):
+    return d.select("id", X.drop_tags_randomly(c("text"), c("id"), 0.5, 0.5, 7).alias("text"))
+
+
+@query("images_fx", "SELECT id, array_to_string(list_transform(string_split(rel_dir, '/'), lambda x: regexp_replace(x, '^\\d+_', '')), '|') AS labels FROM images_fx")
+def x6_folder_labels(d):
+    return d.select("id", F.array_join(X.folder_labels(c("rel_dir")), "|").alias("labels"))
+
+
+@query("captions_fx images_fx")
+def x7_label_caption(caps, imgs):
+    paired = C.pair_images_captions(imgs, caps)
+    return paired.select("id", "rel_dir", "stem", X.label_caption(c("text"), c("rel_dir"), c("id"), "last_only").alias("caption"))
+
+
+@query("images_fx", "SELECT DISTINCT rel_dir, CASE WHEN regexp_replace(rel_dir, '^\\d+_', '') = '' THEN rel_dir ELSE regexp_replace(rel_dir, '^\\d+_', '') END AS name FROM images_fx")
+def x8_strip_repeat_prefix(d):
+    return d.select("rel_dir", X.strip_repeat_prefix(c("rel_dir")).alias("name")).distinct()
+
+
+@query("api_fx", "SELECT id, regexp_replace(prompt, '<.*?>', '', 'g') AS prompt FROM api_fx")
+def x11_strip_markup(d):
+    return d.select("id", X.strip_markup(c("prompt")).alias("prompt"))
+
+
+@query("captions_fx", "SELECT id, replace(replace(text, 'the ', ''), 'de ', '') AS text FROM captions_fx")
+def x12_remove_phrases(d):
+    return d.select("id", X.remove_phrases(c("text"), ["the ", "de "]).alias("text"))
+
+
+@query("images_fx", "SELECT id, CASE WHEN filename LIKE 'img1%' THEN substr(filename, 5) ELSE filename END AS filename FROM images_fx")
+def x14_strip_name_prefix(d):
+    return d.select("id", X.strip_name_prefix(c("filename"), "img1").alias("filename"))
+
+
+def x20_html_links(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return pages.select("page_id", F.explode(X.html_links(c("html"))).alias("l")).select("page_id", "l.href", "l.text")
+
+
+QUERIES["x20_html_links"] = x20_html_links
+SQL["x20_html_links"] = r"""SELECT page_id, href, text FROM (SELECT page_id, regexp_replace(unnest(regexp_extract_all(html, '(?s)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 1)), '^/+|/+$', '', 'g') AS href,
+  unnest(regexp_extract_all(html, '(?s)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 2)) AS text FROM pages) WHERE href <> ''"""
+
+
+def x21_html_heading(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", X.html_heading(c("html")).alias("heading"))
+
+
+QUERIES["x21_html_heading"] = x21_html_heading
+SQL["x21_html_heading"] = "SELECT page_id, nullif(" + _strip(r"regexp_extract(html, '(?s)<h1\b[^>]*>(.*?)</h1>', 1)") + ", '') AS heading FROM pages"
+
+
+@query("images_fx", """SELECT id, s.w AS w, s.h AS h FROM (SELECT id, list_sort([{'d': abs(1.0 - width::DOUBLE / height), 'i': 0, 'w': 512, 'h': 512}, {'d': abs(448 / 576 - width::DOUBLE / height), 'i': 1, 'w': 448, 'h': 576},
+  {'d': abs(576 / 448 - width::DOUBLE / height), 'i': 2, 'w': 576, 'h': 448}])[1] AS s FROM images_fx)""")
+def n1_nearest_size(d):
+    return d.select("id", G.nearest_size(c("width"), c("height")).alias("s")).select("id", "s.w", "s.h")
+
+
+@query("detections_fx", """WITH a AS (SELECT det_idx, trunc(x1) AS x1, trunc(y1) AS y1, trunc(x2) AS x2, trunc(y2) AS y2, img_w AS w, img_h AS h FROM detections_fx),
+  b AS (SELECT *, x2 - x1 AS bw, y2 - y1 AS bh, list_sort([{'d': abs(1.0 - (x2 - x1) / (y2 - y1)), 'i': 0, 'r': 1.0::DOUBLE}, {'d': abs(0.75 - (x2 - x1) / (y2 - y1)), 'i': 1, 'r': 0.75::DOUBLE}, {'d': abs(4::DOUBLE / 3 - (x2 - x1) / (y2 - y1)), 'i': 2, 'r': 4::DOUBLE / 3}])[1].r AS r FROM a),
+  g AS (SELECT *, CASE WHEN bw / bh > r THEN bw ELSE bh * r END AS gw, CASE WHEN bw / bh > r THEN bw / r ELSE bh END AS gh, CASE WHEN bw / bh > r THEN bh * r ELSE bw END AS sw, CASE WHEN bw / bh > r THEN bh ELSE bw / r END AS sh FROM b),
+  n AS (SELECT *, CASE WHEN gw <= w AND gh <= h THEN gw ELSE sw END AS nw, CASE WHEN gw <= w AND gh <= h THEN gh ELSE sh END AS nh FROM g),
+  o AS (SELECT *, greatest((x1 + x2) / 2 - nw / 2, 0.0) AS l, greatest((y1 + y2) / 2 - nh / 2, 0.0) AS t FROM n)
+  SELECT det_idx, trunc(l)::INT AS x1, trunc(t)::INT AS y1, trunc(least(w, l + nw))::INT AS x2, trunc(least(h, t + nh))::INT AS y2 FROM o""".replace("WITH a", ", a", 1))
+def n2_adjust_crop(d):
+    return d.select("det_idx", G.adjust_crop(*(c(x) for x in ("x1", "y1", "x2", "y2", "img_w", "img_h"))).alias("b")).select("det_idx", "b.*")
+
+
+@query("images_fx", """SELECT id, nw AS w, nh AS h, floor((1024 - nw) / 2)::INT AS x, floor((1024 - nh) / 2)::INT AS y FROM (SELECT id, floor(width * least(1024.0::DOUBLE / width, 1024.0::DOUBLE / height))::INT AS nw,
+  floor(height * least(1024.0::DOUBLE / width, 1024.0::DOUBLE / height))::INT AS nh FROM images_fx)""")
+def n8_fit_letterbox(d):
+    return d.select("id", G.fit_letterbox(c("width"), c("height")).alias("b")).select("id", "b.*")
+
+
+@query("images_fx", "SELECT id, CASE WHEN width < 960 OR height < 960 THEN 'pad' ELSE 'resize' END AS action, CASE WHEN width < 960 OR height < 960 THEN floor((960 - width) / 2) ELSE 0 END::INT AS x, CASE WHEN width < 960 OR height < 960 THEN floor((960 - height) / 2) ELSE 0 END::INT AS y FROM images_fx")
+def n9_center_paste(d):
+    return d.select("id", G.center_paste(c("width"), c("height"), 960).alias("b")).select("id", "b.*")
+
+
+@query("images_fx", "SELECT id, CASE WHEN height - 600 > 0 THEN height - 600 END AS new_h FROM images_fx")
+def n10_trim_top_bottom(d):
+    return d.select("id", G.trim_top_bottom(c("height"), 300).alias("new_h"))
+
+
+@query("api_fx", "SELECT * FROM api_fx WHERE heart > 5 AND (heart + likes) / 2 > laugh + cry AND prompt IS NOT NULL AND width >= 600 AND height >= 600")
+def p1_filter_api_quality(d):
+    return C.filter_api_quality(d)
+
+
+@query("images_fx", "SELECT * FROM images_fx WHERE greatest(width, height) <= 576")
+def p3_filter_small(d):
+    return C.filter_small(d)
+
+
+@query("images_fx", "SELECT * FROM images_fx WHERE (filename LIKE 'img1%' OR filename LIKE 'img2%') AND filename LIKE '%.png'")
+def p4_filter_by_prefixes(d):
+    return C.filter_by_prefixes(d, ["img1", "img2"])
+
+
+@query("images_fx", "SELECT * FROM images_fx WHERE NOT filename LIKE '%.jpg'")
+def p5_drop_by_suffix(d):
+    return C.drop_by_suffix(d, ".jpg")
+
+
+@query("ids_fx names_fx", "SELECT * FROM (SELECT id, filename, regexp_extract(filename, '^(\\d+)\\.(\\d+)[a-zA-Z]?\\.png$', 1) AS first_id FROM ids_fx) WHERE first_id IN (SELECT id FROM names_fx)")
+def p6_filter_valid_ids(d, names):
+    return C.filter_valid_ids(d, names)
+
+
+@query("captions_fx", f"SELECT id, array_to_string(list_transform(list_filter(string_split(text, ','), lambda x: NOT contains(x, 'th')), lambda x: {_strip('x')}), ', ') AS text FROM captions_fx")
+def p7_drop_banned_tags(d):
+    return d.select("id", C.drop_banned_tags(c("text"), ["th"]).alias("text"))
+
+
+@query("detections_fx", "SELECT * FROM detections_fx WHERE confidence >= 0.3")
+def p8_filter_detections(d):
+    return C.filter_detections(d, 0.3)
+
+
+@query("captions_fx", "SELECT id, coalesce(contains(text, 'idiot') OR contains(text, 'stupid'), false) AS quarantined FROM captions_fx")
+def p9_quarantine_phrases(d):
+    return C.quarantine_phrases(d, ["idiot", "stupid"]).select("id", "quarantined")
+
+
+@query("images_fx captions_fx", "SELECT * FROM captions_fx WHERE (rel_dir, stem) IN (SELECT rel_dir, stem FROM images_fx)")
+def j1_pair_images_captions(imgs, caps):
+    return C.pair_images_captions(imgs, caps)
+
+
+@query("images_fx captions_fx", "SELECT * FROM captions_fx WHERE (rel_dir, stem) NOT IN (SELECT rel_dir, stem FROM images_fx WHERE filename LIKE '%.png')")
+def j2_orphan_captions(imgs, caps):
+    return C.orphan_captions(caps, imgs)
+
+
+@query("images_fx captions_fx", "SELECT * FROM images_fx WHERE (rel_dir, stem) NOT IN (SELECT rel_dir, stem FROM captions_fx)")
+def j3_pending_images(imgs, caps):
+    return C.pending_images(imgs, caps)
+
+
+@query("api_fx", "SELECT * EXCLUDE k FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_no, pos, id) AS k FROM api_fx WHERE url NOT IN (SELECT url FROM api_fx WHERE id % 5 = 0)) WHERE k = 1")
+def j4_unseen_urls(d):
+    return C.unseen_urls(d, d.filter("id % 5 = 0").select(F.concat("url", F.lit(" ")).alias("url")))
+
+
+@query("images_fx", "SELECT DISTINCT lower(filename) AS filename FROM images_fx WHERE filename LIKE '%.png' AND width < 800 INTERSECT SELECT lower(filename) FROM images_fx WHERE filename LIKE '%.png' AND width >= 800")
+def j5_common_files(d):
+    return C.common_files(d.filter("width < 800"), d.filter("width >= 800"))
+
+
+@query("captions_fx", "SELECT rel_dir, stem, concat_ws(', ', max(CASE WHEN kind = 'blip' THEN replace(text, chr(10), ' ') END), max(CASE WHEN kind = 'wd14' THEN replace(text, chr(10), ' ') END)) AS text FROM captions_fx WHERE kind IN ('blip', 'wd14') GROUP BY 1, 2")
+def j6_combine_caption_kinds(d):
+    return C.combine_caption_kinds(d)
+
+
+@query("ids_fx names_fx", """SELECT i.id, filename, style_id, body_id, 'fusion ' || lower(coalesce(b.name, body_id)) || '_body in ' || lower(coalesce(s.name, style_id)) || '_style' AS label
+  FROM (SELECT *, regexp_extract(filename, '^(\\d+)[._](\\d+)[a-zA-Z]?\\.png$', 1) AS style_id, regexp_extract(filename, '^(\\d+)[._](\\d+)[a-zA-Z]?\\.png$', 2) AS body_id FROM ids_fx) i
+  LEFT JOIN names_fx s ON s.id = style_id LEFT JOIN names_fx b ON b.id = body_id""")
+def j7_label_from_ids(d, names):
+    return C.label_from_ids(d, names)
+
+
+@query("ids_fx", "SELECT idx, i.has IS NULL AS blank, (idx % 20) * 96 AS x, (idx // 20) * 96 AS y FROM (SELECT unnest(range(502)) AS idx) g LEFT JOIN (SELECT DISTINCT id % 700 AS j, true AS has FROM ids_fx) i ON i.j = idx")
+def j10_dense_grid(d):
+    return C.dense_grid(d.select((c("id") % 700).alias("idx")))
+
+
+@query("ids_fx names_fx", "SELECT i.id, coalesce(n.name, i.id) AS name FROM (SELECT CAST(id % 40 AS STRING) AS id FROM ids_fx) i LEFT JOIN names_fx n ON n.id = i.id")
+def j11_recode_ids(d, names):
+    return C.recode_ids(d.select((c("id") % 40).cast("string").alias("id")), names)
+
+
+@query("captions_fx", f"SELECT tag, count(*) AS n FROM (SELECT unnest({TAGS}) AS tag FROM captions_fx) GROUP BY 1")
+def a1_tag_frequency(d):
+    return A.tag_frequency(d.select(X.pieces(c("text")).alias("tags")))
+
+
+@query("images_fx", """SELECT rel_dir, n, repeats, repeats || '_' || clean AS new_name FROM (SELECT *, CASE WHEN clean IN ('other', '0other') THEN 1 ELSE greatest(1, least(4, round_even(160::DOUBLE / n, 0)::INT)) END AS repeats
+  FROM (SELECT rel_dir, count(*) AS n, regexp_replace(string_split(rel_dir, '/')[-1], '^\\d+_', '') AS clean FROM images_fx GROUP BY 1))""")
+def a2_folder_repeats(d):
+    return A.folder_repeats(d)
+
+
+@query("results_fx")
+def a6_merge_caption_results(d):
+    return A.merge_caption_results(d).select("image_id", F.to_json("meta").alias("meta"))
+
+
+CUT = """cut AS (SELECT min(seq) AS cut FROM (SELECT seq, seq - coalesce(max(CASE WHEN ok THEN seq END) OVER (PARTITION BY batch ORDER BY seq), min(seq) OVER (PARTITION BY batch) - 1) AS run FROM fetch_fx) WHERE run >= 4)"""
+
+
+@query("fetch_fx", f", {CUT} SELECT seq, ok, batch FROM fetch_fx, cut WHERE cut IS NULL OR seq <= cut")
+def w6_cut_after_failures(d):
+    return A.cut_after_failures(d, limit=4)
+
+
+@query("fetch_fx", f", {CUT} SELECT k.batch, k.n_ok, k.n, k.n < a.n AS stopped FROM (SELECT batch, count(*) FILTER (ok) AS n_ok, count(*) AS n FROM fetch_fx, cut WHERE cut IS NULL OR seq <= cut GROUP BY 1) k JOIN (SELECT batch, count(*) AS n FROM fetch_fx GROUP BY 1) a ON a.batch = k.batch")
+def a7_fetch_batch_summary(d):
+    return A.fetch_batch_summary(d, limit=4)
+
+
+@query("pixels_fx", """SELECT image_id, rgba FROM (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY n DESC, rgba) AS k FROM (SELECT image_id, rgba, sum((x = 0)::INT + (x = w - 1)::INT + (y = 0)::INT + (y = h - 1)::INT) AS n FROM pixels_fx GROUP BY 1, 2)) WHERE k = 1 AND n > 0""")
+def a8_boundary_mode_color(d):
+    return A.boundary_mode_color(d)
+
+
+@query("rowsums_fx", "SELECT image_id, coalesce(min(y) FILTER (gray_sum > 20), min(y)) AS top, coalesce(max(y) FILTER (gray_sum > 20), max(y)) AS bottom FROM rowsums_fx GROUP BY 1")
+def a9_letterbox_bounds(d):
+    return A.letterbox_bounds(d)
+
+
+@query("images_fx", "SELECT * EXCLUDE k FROM (SELECT *, row_number() OVER (PARTITION BY rel_dir ORDER BY least(width, height) DESC, filename DESC) AS k FROM images_fx WHERE filename LIKE '%.png') WHERE k <= 5")
+def w1_keep_largest(d):
+    return A.keep_largest(d, 5)
+
+
+@query("scores_fx")
+def w2_select_sharpest(d):
+    return A.select_sharpest(d, 10).withColumn("score", F.round("score", 9))
+
+
+@query("captions_fx", f"""SELECT * EXCLUDE m FROM (SELECT *, row_number() OVER (PARTITION BY dir ORDER BY {_u("'3|' || dir || '|' || rel_dir || '/' || stem")}, rel_dir, stem, id) AS rank, count(*) OVER (PARTITION BY dir) AS m
+  FROM (SELECT *, unnest([string_split(rel_dir, '/')[1], rel_dir]) AS dir FROM captions_fx)) WHERE rank <= 2 AND m >= 2""")
+def w3_sample_per_folder(d):
+    return A.sample_per_folder(d, 2, 3)
+
+
+@query("captions_fx", """SELECT id, (row_number() OVER (ORDER BY rel_dir, stem, id) - 1) // 100 + 1 AS file_no, '--prompt "a ' || text || ', b" --negative_prompt "c"' AS line FROM captions_fx""")
+def w4_chunk_prompts(d):
+    return A.chunk_prompts(d, 100, c("text"), "a ", "b", "c")
+
+
+@query("captions_fx", f"""SELECT id, rel_dir, stem, kind, text, ntile(5) OVER (ORDER BY {_u("'5|' || id")}, id)::INT AS shard FROM captions_fx""")
+def w5_assign_shards(d):
+    return A.assign_shards(d, 5, 5)
+
+
+@query("api_fx", "SELECT * EXCLUDE k FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY page_no, pos) AS k FROM api_fx) WHERE k <= 20")
+def w8_cap_per_source(d):
+    return A.cap_per_source(d, 20)
+
+
+@query("api_fx", """, p AS (SELECT *, heart > 5 AS ok FROM api_fx), s AS (SELECT source, min(page_no) AS stop FROM (SELECT source, page_no, bool_or(ok) AS a FROM p GROUP BY 1, 2) WHERE NOT a GROUP BY 1)
+  SELECT * EXCLUDE (k, ok, stop) FROM (SELECT p.*, s.stop, row_number() OVER (PARTITION BY p.source ORDER BY page_no, pos) AS k FROM p LEFT JOIN s ON s.source = p.source WHERE ok AND (s.stop IS NULL OR page_no < s.stop)) WHERE k <= 30""")
+def w7_take_until_empty_page(d):
+    return A.take_until_empty_page(d, c("heart") > 5, 30)
+
+
+@query("detections_fx")
+def w9_crop_plan(d):
+    return A.crop_plan(C.filter_detections(d, 0.2), upscaler=True)
+
+
+@query("images_fx")
+def w10_flatten_tree(d):
+    return A.flatten_tree(d).select("id", "dest")
+
+
+@query("images_fx", "SELECT DISTINCT rel_dir AS path FROM images_fx")
+def w13_ordered_catalog(d):
+    return A.ordered_catalog(d.select(c("rel_dir").alias("path")))
+
+
+@query("emb_fx", "SELECT * FROM (SELECT a.grp, a.id AS a, b.id AS b, round(list_cosine_similarity(a.vec::DOUBLE[], b.vec::DOUBLE[]), 6) AS sim FROM emb_fx a JOIN emb_fx b ON a.grp = b.grp AND a.id < b.id WHERE list_cosine_similarity(a.vec::DOUBLE[], b.vec::DOUBLE[]) > 0.25)")
+def d2_similar_pairs(d):
+    return D.similar_pairs(d, 0.25).withColumn("sim", F.round("sim", 6))
+
+
+@query("emb_fx")
+def d1_near_duplicates(d):
+    from framewright.plans.session import with_checkpoints
+
+    with_checkpoints(d.sparkSession)
+    return D.near_duplicates(d, 0.25).select("id", "grp", "status", "has_duplicates")
+
+
+@query("images_fx", "SELECT id, path, filename FROM (SELECT id, rel_dir || '/' || filename AS path, filename, row_number() OVER (PARTITION BY filename ORDER BY rel_dir || '/' || filename DESC) AS k FROM images_fx) WHERE k = 1")
+def d4_dedup_by_filename(d):
+    return D.dedup_by_filename(d.select("id", F.concat_ws("/", "rel_dir", "filename").alias("path"), "filename"))
+
+
+def t1_compare_keys(spark, sf_dir):
+    a = spark.read.parquet(f"{sf_dir}/orders.parquet").select(c("o_custkey").alias("key"))
+    b = spark.read.parquet(f"{sf_dir}/customer.parquet").select(c("c_custkey").alias("key"))
+    return C.compare_keys(a, b)
+
+
+QUERIES["t1_compare_keys"] = t1_compare_keys
+SQL["t1_compare_keys"] = "SELECT coalesce(a.k, b.k) AS key, CASE WHEN b.k IS NULL THEN 'a' WHEN a.k IS NULL THEN 'b' ELSE 'both' END AS side FROM (SELECT DISTINCT o_custkey AS k FROM orders) a FULL JOIN (SELECT DISTINCT c_custkey AS k FROM customer) b ON a.k = b.k"
+
+
+def t2_fill_missing_keys(spark, sf_dir):
+    a = spark.read.parquet(f"{sf_dir}/customer.parquet").select(c("c_custkey").alias("key"), c("c_name").alias("v"))
+    b = spark.read.parquet(f"{sf_dir}/orders.parquet").select(c("o_custkey").alias("key"), c("o_orderstatus").alias("v"))
+    return C.fill_missing_keys(a, b)
+
+
+QUERIES["t2_fill_missing_keys"] = t2_fill_missing_keys
+SQL["t2_fill_missing_keys"] = "SELECT o_custkey AS key, o_orderstatus AS v FROM orders UNION ALL SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)"
+
+
+def t4_invert_map(spark, sf_dir):
+    return C.invert_map(spark.read.parquet(f"{sf_dir}/part.parquet").select(c("p_partkey").alias("id"), c("p_name").alias("name")))
+
+
+QUERIES["t4_invert_map"] = t4_invert_map
+SQL["t4_invert_map"] = "SELECT p_name AS name, max(p_partkey) AS id FROM part GROUP BY 1"
+
+
+@query("videos_fx", """SELECT video_idx, frame, printf('f_%08d.png', video_idx * 1000000 + frame) AS name FROM (SELECT video_idx, floor(i * last / (CASE WHEN n > 1 THEN n - 1 ELSE 1 END)::DOUBLE)::BIGINT AS frame
+  FROM (SELECT *, unnest(range(n)) AS i FROM (SELECT *, floor(frame_count / fps * 40 / 60)::INT AS n, floor(frame_count / fps * frame_count / (frame_count / fps)) AS last FROM videos_fx)))""")
+def r1_frame_plan(d):
+    return A.frame_plan(d)
+
+
+@query("images_fx", "SELECT id, printf('.part%03d', p) AS part, p * 100000 AS \"offset\", least(100000, size - p * 100000) AS length FROM (SELECT id, width * height AS size, unnest(range(greatest(1, (width * height + 99999) // 100000))) AS p FROM images_fx)")
+def r4_file_chunks(d):
+    return A.file_chunks(d.select("id", (c("width") * c("height")).alias("size")), 100_000)
 
 
 def queries():
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql():
-    return {}
+    return dict(SQL)
