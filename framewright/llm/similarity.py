@@ -48,7 +48,7 @@ MINHASHES = 3
 LEVELS = 3
 #: Cost of a verification in postings read, and how much rarer candidates get with each match asked for.
 VERIFY_COST, SELECTIVITY = 50.0, 8.0
-BLOCK_WORDS = 400_000
+BLOCK_WORDS = 200_000
 #: Up to so many ids of candidates are broadcast; more are joined by a shuffle of the texts.
 BROADCAST_IDS = 1_000_000
 #: A bit for each of 512 classes of hashes: whether the set has an odd number of that class. Folded: of 256 classes.
