@@ -94,8 +94,7 @@ def sample_per_folder(captions: DataFrame, k: int = 2, seed: int = 0) -> DataFra
 def numbered(df: DataFrame, *order: str) -> DataFrame:
     """Adds ``rn``, the row's place in the whole order from 1.
 
-    Rows are ranked within the runs of a range of hashes of their own, so no task sorts everything:
-    runs are the distinct values of ``order[0]``.
+    Rows are ranked within the distinct values of ``order[0]``, so no task sorts everything.
     """
     first = order[0]
     before = Window.orderBy(first).rowsBetween(Window.unboundedPreceding, -1)
@@ -163,7 +162,7 @@ def crop_plan(detections: DataFrame, upscaler: bool = False, t: float = 1.0) ->
 def flatten_tree(images: DataFrame) -> DataFrame:
     """Destinations in the first folder; the k-th image of a name gets ``_k``.
 
-    A generated name that a file already has is resolved in the rows of that name only.
+    A generated name that another file has by nature is not resolved.
     """
     sub = F.element_at(F.split("rel_dir", "/"), 1)
     rows = images.withColumn("sub", F.when(F.col("rel_dir") == "", ".").otherwise(sub))
