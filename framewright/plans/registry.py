@@ -410,6 +410,54 @@ def r4_file_chunks(d):
     return A.file_chunks(d.select("id", (c("width") * c("height")).alias("size")), 100_000)
 
 
+@query("images_fx", """SELECT w, h, n, dense_rank() OVER (ORDER BY w, h) - 1 AS bucket_id FROM (SELECT s.w AS w, s.h AS h, count(*) AS n FROM (SELECT list_sort([{'d': abs(1.0 - width::DOUBLE / height), 'i': 0, 'w': 512, 'h': 512},
+  {'d': abs(448 / 576 - width::DOUBLE / height), 'i': 1, 'w': 448, 'h': 576}, {'d': abs(576 / 448 - width::DOUBLE / height), 'i': 2, 'w': 576, 'h': 448}])[1] AS s FROM images_fx) GROUP BY 1, 2)""")
+def a4_bucket_histogram(d):
+    return A.bucket_histogram(d.select(G.nearest_size(c("width"), c("height")).alias("s")).select("s.w", "s.h"))
+
+
+@query("captions_fx", f"""SELECT shard, count(*) AS n FROM (SELECT ntile(5) OVER (ORDER BY {_u("'5|' || id")}, id)::INT AS shard FROM captions_fx) GROUP BY 1""")
+def a5_shard_summary(d):
+    return A.shard_summary(A.assign_shards(d, 5, 5))
+
+
+@query("images_fx", "SELECT * FROM images_fx WHERE width = 1319 AND height = 929")
+def p2_filter_expected_size(d):
+    return C.filter_expected_size(d, 1319, 929)
+
+
+@query("names_fx", "SELECT a.id AS a, b.id AS b, 'http://x/' || a.id || '.' || b.id AS url FROM names_fx a CROSS JOIN names_fx b")
+def j9_id_pair_urls(names):
+    return C.id_pair_urls(names, "http://x/")
+
+
+@query("images_fx captions_fx", "SELECT rel_dir, stem, 'images' AS source FROM images_fx UNION ALL SELECT rel_dir, stem, 'captions' FROM captions_fx")
+def t3_union_sources(imgs, caps):
+    return C.union_sources({"images": imgs.select("rel_dir", "stem"), "captions": caps.select("rel_dir", "stem")})
+
+
+@query("captions_fx", f"SELECT id, array_to_string(list_reverse(string_split(replace(rel_dir, '/', '-'), '-')), ', ') || ', ' || {_strip('text')} AS text FROM captions_fx")
+def x13_caption_from_filename(d):
+    return d.select("id", X.caption_from_filename(F.replace(c("rel_dir"), F.lit("/"), F.lit("-")), c("text")).alias("text"))
+
+
+@query("captions_fx", "SELECT id, stem || '_wd14.txt' AS name FROM captions_fx")
+def x15_caption_kind_name(d):
+    return d.select("id", X.caption_kind_name(c("stem"), "_wd14").alias("name"))
+
+
+@query("emb_fx", "SELECT id, CASE WHEN prev IS NULL THEN NULL ELSE round(list_cosine_similarity(vec::DOUBLE[], prev::DOUBLE[]), 6) END AS sim FROM (SELECT a.id, a.vec, b.vec AS prev FROM emb_fx a LEFT JOIN emb_fx b ON b.id = a.id - 1)")
+def n12_cosine(d):
+    before = d.select((c("id") + 1).alias("id"), c("vec").alias("prev"))
+    return d.join(before, "id", "left").select("id", F.when(c("prev").isNotNull(), F.round(G.cosine(c("vec"), c("prev")), 6)).alias("sim"))
+
+
+@query("captions_fx", "SELECT id, CASE kind WHEN '' THEN 'score_7_up|score_8_up|score_9|x' WHEN 'wd14' THEN 'score_4_up|x' ELSE 'blip|x' END AS labels FROM captions_fx")
+def x4_expand_scores(d):
+    folder = F.when(c("kind") == "", "score_9").when(c("kind") == "wd14", "score_4").otherwise(c("kind"))
+    return d.select("id", F.array_join(X.expand_scores(F.array(folder, F.lit("x"))), "|").alias("labels"))
+
+
 def queries():
     return dict(QUERIES)
 
