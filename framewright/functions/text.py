@@ -40,8 +40,9 @@ def remove_brackets(c: Column) -> Column:
 
 def remove_substring_tags(c: Column) -> Column:
     """Drops every tag that is part of a different tag; exact repeats stay."""
-    tags = pieces(c)
-    return F.array_join(F.filter(tags, lambda x: ~F.exists(tags, lambda y: (y != x) & y.contains(x))), ", ")
+    # the list is bound once; named twice, it would be split anew for every tag
+    kept = F.transform(F.array(pieces(c)), lambda tags: F.filter(tags, lambda x: ~F.exists(tags, lambda y: (y != x) & y.contains(x))))
+    return F.array_join(F.get(kept, 0), ", ")
 
 
 def drop_tags_randomly(c: Column, key: Column, trigger_rate: float = 0.3, drop_chance: float = 0.6, seed: int = 0, empty_text: str = "cartoon") -> Column:
