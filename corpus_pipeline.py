@@ -1,8 +1,8 @@
 """A corpus pipeline: quality, near duplicates, decontamination, secrets, packing.
 
 Each stage takes and returns a DataFrame and works on all rows that its predecessor kept; all
-but the last return the columns of ``documents``. Rows with null ids pass the stages on
-near duplicates and decontamination. An empty table gives an empty result.
+but the last return the columns of ``documents``. Rows with null ids pass the stage on
+near duplicates. An empty table gives an empty result.
 """
 
 from __future__ import annotations
