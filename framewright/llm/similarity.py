@@ -268,10 +268,18 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "tex
 
     Rows with a null id, and texts without a word, stay. Of rows that repeat both the id and
     the text, one stays.
+
+    Up to ``BROADCAST_IDS`` ids to drop are broadcast, so texts stay where they are; for more,
+    texts are shuffled once.
     """
     found = staged(similar_components(df, id_col, text, n, num, den), "components")
-    drop = found.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    again = found.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1").select(id_col)
-    kept = df.join(drop, id_col, "left_anti")
-    once = kept.join(again, id_col, "left_semi").dropDuplicates([id_col, text])
-    return kept.join(again, id_col, "left_anti").unionByName(once).select(df.columns)
+    by_id = found.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id_at")).agg(F.max(F.col(id_col) != F.col("component_id")).alias("goes"), F.count(F.lit(1)).alias("times"))
+    marks = staged(by_id.filter("goes or times > 1").select("id_at", F.when(F.col("goes"), "drop").otherwise("again").alias("mark_at")), "marks")
+    counts = {r["mark_at"]: r["count"] for r in marks.groupBy("mark_at").count().collect()}
+    few = sum(counts.values()) <= BROADCAST_IDS
+    rows, mark = df.join(F.broadcast(marks) if few else marks, df[id_col] == marks["id_at"], "left"), marks["mark_at"]
+    own = [df[c] for c in df.columns]
+    kept = rows.filter(mark.isNull()).select(own)
+    if not counts.get("again"):
+        return kept
+    return kept.unionByName(rows.filter(mark == "again").select(own).dropDuplicates([id_col, text]))

@@ -75,6 +75,14 @@ def test_drop_near_duplicates(docs, none):
     assert len([i for i in ids if i is not None]) == len({i for i in ids if i is not None})
     assert ids.count(None) == 2
     assert similarity.drop_near_duplicates(none).count() == 0
+    clash = docs.withColumn("mark_at", F.lit("drop")).withColumn("id_at", F.lit(1))
+    assert [r["doc_id"] for r in similarity.drop_near_duplicates(clash).orderBy("doc_id").collect()] == sorted(ids, key=lambda x: (x is not None, x))
+
+
+def test_drop_near_duplicates_by_shuffle(docs, monkeypatch):
+    want = sorted(map(str, similarity.drop_near_duplicates(docs).collect()))
+    monkeypatch.setattr(similarity, "BROADCAST_IDS", 0)
+    assert sorted(map(str, similarity.drop_near_duplicates(docs).collect())) == want
 
 
 def repeats(tokens, least):
@@ -217,6 +225,10 @@ def test_contaminated(spark, docs, none):
     found = decontamination.contaminated(docs.unionByName(extra), items).collect()
     assert [(r["doc_id"], r["item_id"]) for r in found] == [(500, 7)]
     assert decontamination.drop_contaminated(docs.unionByName(extra), items).count() == docs.count() + 2
+    # rows are judged by their own text: a clean row with the id of a leak stays, a leak without an id goes
+    same = spark.createDataFrame([(500, f"{filler} {leak}", "", ""), (500, filler, "", ""), (None, leak, "", "")], DOCS)
+    assert [r["text"] for r in decontamination.drop_contaminated(same, items).collect()] == [filler]
+    assert decontamination.drop_contaminated(docs, items.limit(0)).count() == docs.count()
     assert decontamination.contaminated(none, items).count() == 0
     assert decontamination.contaminated(docs, items.limit(0)).count() == 0
 
