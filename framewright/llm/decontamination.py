@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -154,6 +155,19 @@ def find_leaks(index: Index, texts: list[list[str]], threshold: float, q_overlap
             yield lo + d, i, *x
 
 
+def _number(benchmark: DataFrame, item_col: str) -> str:
+    return "bigint" if dict(benchmark.dtypes)[item_col] in ("tinyint", "smallint", "int", "bigint") else "string"
+
+
+def _shards(benchmark: DataFrame, item_col: str, item_text: str) -> Iterator[Broadcast[Index]]:
+    """Broadcast indexes of at most about ``ITEMS`` items; one, maybe empty, at least."""
+    items = benchmark.select(F.col(item_col).cast(_number(benchmark, item_col)).alias("i"), F.col(item_text).cast("string").alias("t")).filter("t is not null")
+    n_shards = max(1, -(-items.count() // (ITEMS // 2)))
+    for k in range(n_shards):
+        own = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n_shards)) == k).collect()
+        yield benchmark.sparkSession.sparkContext.broadcast(Index(sorted(((r["i"], r["t"]) for r in own), key=str)))
+
+
 def contaminated(
     df: DataFrame,
     benchmark: DataFrame,
@@ -171,17 +185,12 @@ def contaminated(
     ``question_overlap, answer_overlap`` (share of its trigrams found near the passage).
     Repeated rows of ``df`` are reported once each.
     """
-    spark = df.sparkSession
     kind = dict(benchmark.dtypes)[item_col]
-    number = "bigint" if kind in ("tinyint", "smallint", "int", "bigint") else "string"
-    items = benchmark.select(F.col(item_col).cast(number).alias("i"), F.col(item_text).cast("string").alias("t")).filter("t is not null")
-    n_shards = max(1, -(-items.count() // (ITEMS // 2)))
+    number = _number(benchmark, item_col)
     schema = f"`{id_col}` {dict(df.dtypes)[id_col]}, `{item_col}` {number}, bm25 double, question_overlap double, answer_overlap double"
     docs = df.select(F.col(id_col).alias("d"), F.col(text).cast("string").alias("t"))
-    result = spark.createDataFrame([], schema)
-    for k in range(n_shards):
-        own = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n_shards)) == k).collect()
-        index = spark.sparkContext.broadcast(Index(sorted(((r["i"], r["t"]) for r in own), key=str)))
+    result = None
+    for index in _shards(benchmark, item_col, item_text):
 
         def query(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -196,11 +205,32 @@ def contaminated(
                     )
 
         found = docs.mapInArrow(query, schema)
-        result = found if n_shards == 1 else result.unionByName(found)
+        result = found if result is None else result.unionByName(found)
     return result.withColumn(item_col, F.col(item_col).cast(kind))
 
 
-def drop_contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``df`` without the documents that hold a test item. Rows with a null id stay."""
-    found = contaminated(df, benchmark, id_col, **options).select(id_col).distinct()
-    return df.join(found, id_col, "left_anti")
+def drop_contaminated(
+    df: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    item_col: str = "item_id",
+    item_text: str = "text",
+    threshold: float = 0.5,
+    q_overlap: float = 0.6,
+    a_overlap: float = 0.5,
+) -> DataFrame:
+    """``df`` without the rows whose text holds a test item, whatever their ids.
+
+    Every row is judged where it is, so nothing is shuffled.
+    """
+    kept, at = df, df.columns.index(text)
+    for index in _shards(benchmark, item_col, item_text):
+
+        def keep(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts = [terms(t) for t in batch.column(at).to_pylist()]
+                leaks = {d for d, *_ in find_leaks(index.value, texts, threshold, q_overlap, a_overlap)}
+                yield batch.filter(pa.array([d not in leaks for d in range(len(texts))], pa.bool_()))
+
+        kept = kept.mapInArrow(keep, df.schema)
+    return kept
