@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +36,7 @@ BLOCK = 8
 #: Items of an index shard.
 ITEMS = 20_000
 #: Words of texts treated together.
-BLOCK_WORDS = 400_000
+BLOCK_WORDS = 100_000
 FREQUENT_SHARE = 0.35
 
 
@@ -168,6 +169,15 @@ def _shards(benchmark: DataFrame, item_col: str, item_text: str) -> Iterator[Bro
         yield benchmark.sparkSession.sparkContext.broadcast(Index(sorted(((r["i"], r["t"]) for r in own), key=str)))
 
 
+def _in_blocks(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, list[list[str]]]]:
+    """Slices of batches, of about ``BLOCK_WORDS`` words in column ``at``, with the terms of each text."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
+        for lo, hi in chunks([n // 6 + 1 for n in sizes], BLOCK_WORDS):
+            part = batch.slice(lo, hi - lo)
+            yield part, [terms(t) for t in part.column(at).to_pylist()]
+
+
 def contaminated(
     df: DataFrame,
     benchmark: DataFrame,
@@ -193,9 +203,8 @@ def contaminated(
     for index in _shards(benchmark, item_col, item_text):
 
         def query(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                ids, raw = batch.column(0), batch.column(1)
-                texts = [terms(t) for t in raw.to_pylist()]
+            for batch, texts in _in_blocks(batches, 1):
+                ids = batch.column(0)
                 rows = list(find_leaks(index.value, texts, threshold, q_overlap, a_overlap))
                 if rows:
                     d, i, *rest = zip(*rows, strict=True)
@@ -227,8 +236,7 @@ def drop_contaminated(
     for index in _shards(benchmark, item_col, item_text):
 
         def keep(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                texts = [terms(t) for t in batch.column(at).to_pylist()]
+            for batch, texts in _in_blocks(batches, at):
                 leaks = {d for d, *_ in find_leaks(index.value, texts, threshold, q_overlap, a_overlap)}
                 yield batch.filter(pa.array([d not in leaks for d in range(len(texts))], pa.bool_()))
 
