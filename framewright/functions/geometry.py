@@ -14,6 +14,11 @@ SIZES_1024 = ((1024, 1024), (896, 1152), (1152, 896))
 ASPECTS = (("square", 1, 1), ("portrait", 3, 4), ("landscape", 4, 3), ("tall", 9, 16), ("wide", 16, 9))
 
 
+#: Fixed values: (width step, height step, first, last) of each family of resolutions, upright and lying.
+RESOLUTION_FAMILIES = ((32, 32, 8, 32), (32, 64, 12, 24), (64, 96, 5, 12), (96, 128, 3, 9))
+RESOLUTIONS = tuple(dict.fromkeys(size for a, b, lo, hi in RESOLUTION_FAMILIES for n in range(lo, hi + 1) for size in ((a * n, b * n), (b * n, a * n))))
+
+
 def _nearest(distance: Sequence[Column], values: Sequence[Column]) -> Column:
     """The value of the least distance, the first of equals."""
     return F.array_min(F.array(*(F.struct(d.alias("d"), F.lit(i).alias("i"), v.alias("v")) for i, (d, v) in enumerate(zip(distance, values, strict=True))))).v
@@ -25,7 +30,7 @@ def nearest_size(w: Column, h: Column, sizes: Sequence[tuple[int, int]] = SIZES_
     return _nearest([F.abs(F.lit(a / b) - ratio) for a, b in sizes], [F.struct(F.lit(a).alias("w"), F.lit(b).alias("h")) for a, b in sizes])
 
 
-def nearest_resolution(w: Column, h: Column, sizes: Sequence[tuple[int, int]]) -> Column:
+def nearest_resolution(w: Column, h: Column, sizes: Sequence[tuple[int, int]] = RESOLUTIONS) -> Column:
     """Least difference of ratio plus a thousandth of the difference of area."""
     ratio, area = F.try_divide(w.cast("double"), h), w.cast("double") * h
     return _nearest([F.abs(F.lit(a / b) - ratio) + F.abs(F.lit(float(a * b)) - area) / 1000 for a, b in sizes], [F.struct(F.lit(a).alias("w"), F.lit(b).alias("h")) for a, b in sizes])
@@ -101,6 +106,12 @@ def trim_top_bottom(h: Column, px: int) -> Column:
     return F.when(h - 2 * px > 0, h - 2 * px)
 
 
+def trim_and_resize_meta(w: Column, h: Column, target_w: int, target_h: int) -> Column:
+    """The size before the resize and the crop box after it: all of the target."""
+    box = F.struct(F.lit(0).alias("x1"), F.lit(0).alias("y1"), F.lit(target_w).alias("x2"), F.lit(target_h).alias("y2"))
+    return F.struct(w.alias("original_w"), h.alias("original_h"), box.alias("crop"))
+
+
 def cosine(a: Column, b: Column) -> Column:
     """Cosine in double precision; 0 where a vector is all zero."""
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)

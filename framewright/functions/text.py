@@ -149,9 +149,10 @@ def html_heading(html: Column, tag: str = "h1", scope_class: str | None = None)
     return F.nullif(py_strip(F.regexp_extract(html, rf"(?s){scope}<{tag}\b[^>]*>(.*?)</{tag}>", 1)), F.lit(""))
 
 
-def html_images(html: Column, article_class: str) -> Column:
-    """(src, id) of the matching articles; ids without ``#``, dots as underscores, else ``unknown``."""
-    articles = F.regexp_extract_all(html, F.lit(rf'(?s)<article[^>]*class="[^"]*\b{article_class}\b[^"]*"[^>]*>(.*?)</article>'), 1)
+def html_images(html: Column, article_class: str | None = None) -> Column:
+    """(src, id) of the matching articles (all without a class); ids without ``#``, dots as underscores, else ``unknown``."""
+    scope = rf'[^>]*class="[^"]*\b{article_class}\b[^"]*"' if article_class else r"\b"
+    articles = F.regexp_extract_all(html, F.lit(rf"(?s)<article{scope}[^>]*>(.*?)</article>"), 1)
 
     def image(a: Column) -> Column:
         own = F.replace(F.replace(F.regexp_extract(a, r'(?s)class="[^"]*sprite-id[^"]*"[^>]*>\s*(.*?)\s*<', 1), F.lit("#"), F.lit("")), F.lit("."), F.lit("_"))

@@ -113,7 +113,7 @@ def dest_name_from_prompt(df: DataFrame, names: DataFrame) -> DataFrame:
     info = F.coalesce(F.try_element_at("info", F.lit("Parameters")), F.try_element_at("info", F.lit("Comment")), F.get(F.filter(F.map_values("info"), lambda v: v.contains("fusion")), 0))
     pattern = r"fusion (\S+)_body in (\S+)_style"
     found = df.withColumn("_t", F.lower(info)).withColumn("_b", F.regexp_extract("_t", pattern, 1)).withColumn("_s", F.regexp_extract("_t", pattern, 2))
-    low = names.select("id", F.lower("name").alias("name"))
+    low = invert_map(names.select("id", F.lower("name").alias("name"))).select("id", "name")
     found = found.join(low.toDF("_bid", "_b"), "_b", "left").join(low.toDF("_sid", "_s"), "_s", "left")
     both = F.col("_bid").isNotNull() & F.col("_sid").isNotNull()
     dest = F.when(F.coalesce(F.col("_b"), F.lit("")) == "", F.lit(None)).when(both, F.concat_ws(".", "_sid", "_bid", F.lit("png"))).otherwise(F.col("filename"))

@@ -64,6 +64,23 @@ def near_duplicates(emb: DataFrame, threshold: float = 0.95) -> DataFrame:
     return out.select(*emb.columns, F.when(F.col("gone"), "delete").otherwise("keep").alias("status"), F.coalesce("linked", F.lit(False)).alias("has_duplicates"))
 
 
+def leaf_groups(images: DataFrame) -> DataFrame:
+    """Adds ``grp``: the topmost folder below the root, on the way to ``rel_dir``, that holds rows itself.
+
+    Rows in the root have no group.
+    """
+    held = images.select("rel_dir").filter("rel_dir <> ''").distinct()
+    parts = F.split("rel_dir", "/")
+    ways = held.select("rel_dir", F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))).alias("grp"))
+    top = ways.join(held.select(F.col("rel_dir").alias("grp")), "grp").groupBy("rel_dir").agg(F.min_by("grp", F.length("grp")).alias("grp"))
+    return images.join(top, "rel_dir", "left")
+
+
+def near_duplicates_by_leaf(emb: DataFrame, threshold: float = 0.95) -> DataFrame:
+    """``near_duplicates`` within the groups of ``leaf_groups``; rows in the root are kept."""
+    return near_duplicates(leaf_groups(emb), threshold)
+
+
 def dedup_by_filename(images: DataFrame, keep: str = "last") -> DataFrame:
     """One path for each filename: the last (or first) in order of path."""
     order = F.col("path").desc() if keep == "last" else F.col("path")

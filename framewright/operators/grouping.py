@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -184,20 +185,66 @@ def ordered_catalog(df: DataFrame, column: str = "path") -> DataFrame:
     return df.select(column).distinct().orderBy(column)
 
 
-def select_tags(probs: Column, names: Sequence[str], categories: Sequence[int], general: float = 0.35, character: float = 0.35, undesired: Sequence[str] = (), sep: str = ", ") -> Column:
-    """Tag text of a score vector: the best rating in front, then tags at or over their thresholds."""
+def select_tags(
+    probs: Column,
+    names: Sequence[str],
+    categories: Sequence[int],
+    general: float = 0.35,
+    character: float = 0.35,
+    undesired: Sequence[str] = (),
+    sep: str = ", ",
+    rating: str | None = "first",
+    characters_first: bool = False,
+    always_first: Sequence[str] = (),
+) -> Column:
+    """Tag text of a score vector, for a vocabulary in the vector's order.
+
+    Categories are 9 (ratings), 0 (general) and 4 (characters). General and character tags count
+    at or over their thresholds; ``characters_first`` puts the characters in front, the last one
+    first. The best rating (the first of equals) stands ``first``, ``last`` or nowhere (None).
+    Each tag of ``always_first`` that is there then moves to the front. Null scores give null.
+    """
     table = F.array(*(F.struct(F.lit(n).alias("n"), F.lit(c).alias("c")) for n, c in zip(names, categories, strict=True)))
     scored = F.zip_with(probs, table, lambda p, t: F.struct(p.cast("double").alias("p"), t.n.alias("n"), t.c.alias("c")))
-    over = F.filter(scored, lambda x: ((x.c == 0) & (x.p >= general)) | ((x.c == 4) & (x.p >= character)))
-    wanted = F.filter(F.transform(over, lambda x: x.n), lambda n: ~n.isin(list(undesired)) if undesired else F.lit(True))
-    ratings = F.filter(scored, lambda x: x.c == 9)
-    best = F.array_max(F.transform(ratings, lambda x, i: F.struct(x.p.alias("p"), (-i).alias("i"), x.n.alias("n")))).n
-    return F.array_join(F.concat(F.array(best), wanted), sep)
-
-
-def vocab_normalise(name: Column) -> Column:
-    """Underscores become spaces in names of over three characters."""
-    return F.when(F.length(name) > 3, F.replace(name, F.lit("_"), F.lit(" "))).otherwise(name)
+    skipped = [u.strip() for u in undesired]
+    wanted = lambda x: ~x.n.isin(skipped) if skipped else F.lit(True)
+    plain = lambda x: (x.c == 0) & (x.p >= general) & wanted(x)
+    person = lambda x: (x.c == 4) & (x.p >= character) & wanted(x)
+    of = lambda keep: F.transform(F.filter(scored, keep), lambda x: x.n)
+    tags = F.concat(F.reverse(of(person)), of(plain)) if characters_first else of(lambda x: plain(x) | person(x))
+    if rating:
+        ratings = F.filter(scored, lambda x: x.c == 9)
+        best = F.array(F.array_max(F.transform(ratings, lambda x, i: F.struct(x.p.alias("p"), (-i).alias("i"), x.n.alias("n")))).n)
+        tags = F.concat(best, tags) if rating == "first" else F.concat(tags, best)
+    for first in always_first:
+        at = F.array_position(tags, first)
+        tags = F.when(at > 0, F.concat(F.array(F.lit(first)), F.filter(tags, lambda x, i, at=at: i != at - 1))).otherwise(tags)
+    return F.array_join(tags, sep)
+
+
+def vocab_normalise(vocab: DataFrame, series_sep: str | None = None, underscores: bool = True, replacements: str = "") -> DataFrame:
+    """The names of a vocabulary (``pos, name, category``) as captions show them.
+
+    ``series_sep`` parts a character's trailing ``(series)`` from it; ``underscores`` become spaces
+    in names of over three characters; ``replacements`` are ``source,target`` pairs between
+    semicolons (both marks escaped by a backslash), each for the first match only: general tags
+    before characters before ratings. The table is small: the windows run over one name's rows.
+    """
+    name = F.col("name")
+    if series_sep is not None:
+        parts = F.split(name, r"\(")
+        head = F.regexp_replace(F.array_join(F.slice(parts, 1, F.size(parts) - 1), "("), "_$", "")
+        series = F.concat(head, F.lit(series_sep), F.replace(F.element_at(parts, -1), F.lit(")"), F.lit("")))
+        name = F.when((F.col("category") == 4) & name.endswith(")") & name.contains("("), series).otherwise(name)
+    if underscores:
+        name = F.when(F.length(name) > 3, F.replace(name, F.lit("_"), F.lit(" "))).otherwise(name)
+    out = vocab.withColumn("name", name)
+    kind = F.when(F.col("category") == 0, 0).when(F.col("category") == 4, 1).otherwise(2)
+    for pair in filter(None, re.split(r"(?<!\\);", replacements)):
+        source, target = (re.sub(r"\\([,;])", r"\1", x) for x in re.split(r"(?<!\\),", pair))
+        first = F.row_number().over(Window.partitionBy("name").orderBy(kind, "pos")) == 1
+        out = out.withColumn("_first", first).withColumn("name", F.when(F.col("_first") & (F.col("name") == source), target).otherwise(F.col("name"))).drop("_first")
+    return out
 
 
 def frame_plan(videos: DataFrame, per_min: int = 40, start: float = 0.0, end: float | None = None) -> DataFrame:
@@ -212,6 +259,51 @@ def frame_plan(videos: DataFrame, per_min: int = 40, start: float = 0.0, end: fl
     return rows.withColumn("frame", frame).select("video_idx", "frame", frame_name(F.col("video_idx"), F.col("frame")).alias("name"))
 
 
+def frame_plan_legacy(videos: DataFrame, per_min: int = 40) -> DataFrame:
+    """Frames spread evenly from the first to the last; one frame asked for gives the first."""
+    n = F.floor(F.col("frame_count") / F.col("fps") * per_min / 60).cast("int")
+    rows = videos.withColumn("n", n).filter("n > 0").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    frame = F.floor(F.coalesce(F.try_divide(F.col("i") * (F.col("frame_count") - 1), F.col("n") - 1), F.lit(0))).cast("long")
+    return rows.select("video_idx", frame.alias("frame"), frame_name(F.col("video_idx"), frame).alias("name"))
+
+
+def fetch_plan(feeds: DataFrame, template: str, batch: int = 500) -> DataFrame:
+    """Numbers, urls and batch folders of each feed's run of ``total`` items from ``start``.
+
+    ``template`` has ``{}`` where the number goes. A feed without items gives no rows.
+    """
+    at = F.explode(F.sequence(F.lit(0), F.col("total") - 1))
+    head, tail = template.split("{}")
+    rows = feeds.filter("total > 0").select("feed", "start", at.alias("i")).withColumn("seq", (F.col("start") + F.col("i")).cast("long"))
+    folder = F.format_string("batch_%02d", F.floor(F.col("i") / batch))
+    return rows.select("feed", "seq", F.concat(F.lit(head), F.col("seq").cast("string"), F.lit(tail)).alias("url"), folder.alias("folder"))
+
+
+def prompt_lines_for_ids(names: DataFrame, lo: int, hi: int) -> DataFrame:
+    """A prompt line for each id from ``lo`` to ``hi`` - 1; ids without a name stand for themselves."""
+    ids = names.sparkSession.range(lo, hi).select(F.col("id").cast("string").alias("id"))
+    return ids.join(names.select("id", "name"), "id", "left").select("id", F.format_string('--prompt "fusion %s_body" ', F.coalesce("name", "id")).alias("line"))
+
+
+def sample_unique_pairs(ids: DataFrame, n: int = 1000, seed: int = 0) -> DataFrame:
+    """``n`` different ordered pairs of ids (one id twice is a pair), the same for the same seed; all pairs if there are fewer.
+
+    Pairs are drawn, not listed: twice as many numbered draws as needed, of which the first of
+    each pair counts. Only where ``n`` is over a quarter of the pairs are all listed, at most 4 n.
+    """
+    placed = numbered(ids.select("id").withColumn("_run", F.floor(uniform(seed, F.col("id")) * 4096)), "_run", "id").select("id", "rn")
+    m = placed.count()
+    spark = ids.sparkSession
+    if m * m < 4 * n:
+        pairs = spark.range(m * m).select((F.floor(F.col("id") / m) + 1).alias("i"), (F.col("id") % m + 1).alias("j"), F.col("id").alias("k"))
+        pairs = pairs.select("i", "j", uniform(seed, F.col("k")).alias("k"))
+    else:
+        place = lambda side: F.floor(uniform(seed, F.lit(side), F.col("id")) * m) + 1
+        pairs = spark.range(2 * n + 64).select(place("a").alias("i"), place("b").alias("j"), F.col("id").alias("k")).groupBy("i", "j").agg(F.min("k").alias("k"))
+    chosen = pairs.orderBy("k", "i", "j").limit(n)
+    return chosen.join(placed.toDF("a", "i"), "i").join(placed.toDF("b", "j"), "j").select("a", "b")
+
+
 def file_chunks(files: DataFrame, chunk: int = 100 * 1024 * 1024) -> DataFrame:
     rows = files.withColumn("part", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("size") / chunk) - 1, F.lit(0)).cast("int"))))
     offset = F.col("part").cast("long") * chunk
@@ -225,3 +317,9 @@ def score_batches(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
             yield fn(frame)
 
     return df.mapInPandas(run, schema)
+
+
+def score_prompts(df: DataFrame, prompts: Sequence[tuple[str, str]], fn: Callable, schema: str) -> DataFrame:
+    """Every row with every (prompt, key), run through a model's batch function."""
+    each = F.explode(F.array(*(F.struct(F.lit(p).alias("prompt"), F.lit(k).alias("key")) for p, k in prompts)))
+    return score_batches(df.withColumn("_p", each).select(*df.columns, "_p.prompt", "_p.key"), fn, schema)

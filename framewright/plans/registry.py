@@ -10,6 +10,10 @@ from framewright.functions import text as X
 from framewright.operators import catalog as C
 from framewright.operators import dedup as D
 from framewright.operators import grouping as A
+from framewright.operators import pixels as P
+from framewright.plans.session import scratch
+from framewright.sources import files as S
+from framewright.streaming import unseen as U
 
 DIR = "concat(CAST(doc_id % 4 AS STRING), '_', source, '/', lang)"
 VIEWS = {
@@ -31,6 +35,14 @@ VIEWS = {
     "results_fx": "SELECT conv_id AS image_id, turn, role AS key, text FROM conversations",
     "ids_fx": "SELECT c_custkey AS id, concat(CAST(c_custkey % 30 AS STRING), '.', CAST(c_nationkey AS STRING), CASE WHEN c_custkey % 4 = 0 THEN 'a' ELSE '' END, '.png') AS filename FROM customer",
     "names_fx": "SELECT CAST(n_nationkey AS STRING) AS id, n_name AS name FROM nation",
+    "dedup_fx": "SELECT label AS grp, CASE WHEN vec_id % 3 = 0 THEN 'delete' ELSE 'keep' END AS status FROM embeddings",
+    "gray_fx": "SELECT vec_id AS id, 8 AS width, 8 AS height, embedding FROM embeddings",
+    "leaf_fx": "SELECT vec_id AS id, embedding AS vec, concat('d', CAST(label % 4 AS STRING), CASE WHEN label % 4 > 1 OR vec_id % 3 = 0 THEN concat('/s', CAST(vec_id % 2 AS STRING), CASE WHEN vec_id % 5 = 0 THEN '/t' ELSE '' END) ELSE '' END) AS rel_dir FROM embeddings",
+    "feeds_fx": "SELECT s_suppkey AS feed, s_suppkey * 10000 AS start, s_suppkey * 397 % 1200 AS total FROM supplier",
+    "info_fx": """SELECT c_custkey AS id, c_custkey % 4 AS kind, concat(CAST(c_custkey AS STRING), '.png') AS filename, concat('A Fusion ', CASE WHEN c_custkey % 7 = 0 THEN 'nobody' ELSE c_name END, '_Body in ', n_name, '_style, b') AS prompt
+        FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+    "people_fx": "SELECT CAST(c_custkey AS STRING) AS id, CASE WHEN c_custkey % 11 = 0 THEN 'twin' ELSE c_name END AS name FROM customer UNION ALL SELECT concat('n', CAST(n_nationkey AS STRING)) AS id, n_name AS name FROM nation",
+    "vocab_fx": "SELECT p_partkey AS pos, concat(replace(p_name, ' ', '_'), CASE WHEN p_partkey % 3 = 0 THEN concat('_(', p_brand, ')') ELSE '' END) AS name, CASE p_partkey % 5 WHEN 0 THEN 4 WHEN 1 THEN 9 ELSE 0 END AS category FROM part",
     "emb_fx": "SELECT vec_id AS id, label AS grp, embedding AS vec FROM embeddings",
 }
 BASE = "nation customer supplier part orders lineitem events documents embeddings pages conversations".split()
@@ -458,6 +470,246 @@ def x4_expand_scores(d):
     return d.select("id", F.array_join(X.expand_scores(F.array(folder, F.lit("x"))), "|").alias("labels"))
 
 
+@query("dedup_fx", "SELECT grp, count(*) AS initial, count(*) FILTER (status = 'keep') AS retained, count(*) FILTER (status <> 'keep') AS deleted FROM dedup_fx GROUP BY 1")
+def a3_dedup_summary(d):
+    return A.dedup_summary(d)
+
+
+FAMILIES = "SELECT unnest(range(a, b + 1)) AS n, u, v FROM (VALUES (8, 32, 32, 32), (12, 24, 32, 64), (5, 12, 64, 96), (3, 9, 96, 128)) f(a, b, u, v)"
+
+
+@query("images_fx", f""", r AS (SELECT DISTINCT n * u AS w, n * v AS h FROM ({FAMILIES}) UNION SELECT DISTINCT n * v, n * u FROM ({FAMILIES})),
+  s AS (SELECT i.id, r.w, r.h, row_number() OVER (PARTITION BY i.id ORDER BY abs(r.w::DOUBLE / r.h - width::DOUBLE / height) + abs(r.w * r.h - width::DOUBLE * height) / 1000) AS k FROM images_fx i CROSS JOIN r) SELECT id, w, h FROM s WHERE k = 1""")
+def n3_nearest_resolution(d):
+    return d.select("id", G.nearest_resolution(c("width"), c("height")).alias("s")).select("id", "s.w", "s.h")
+
+
+@query("detections_fx", """SELECT det_idx, CASE WHEN ok THEN l END AS x1, CASE WHEN ok THEN t END AS y1, CASE WHEN ok THEN l + 448 END AS x2, CASE WHEN ok THEN t + 576 END AS y2
+  FROM (SELECT det_idx, x2 - x1 >= 250 AND y2 - y1 >= 250 AS ok, greatest(floor((x1 + x2) / 2 - 224), 0) AS l, greatest(floor((y1 + y2) / 2 - 288), 0) AS t FROM detections_fx)""")
+def n4_center_crop(d):
+    return d.select("det_idx", G.center_crop(c("x1"), c("y1"), c("x2"), c("y2"), F.lit(448), F.lit(576)).alias("b")).select("det_idx", "b.*")
+
+
+@query("images_fx", """SELECT id, name, floor(width / (a / b))::INT AS crop_h FROM (SELECT id, width, name, a::DOUBLE AS a, b, row_number() OVER (PARTITION BY id ORDER BY abs(a::DOUBLE / b - width::DOUBLE / height), o) AS k
+  FROM images_fx CROSS JOIN (VALUES (0, 'square', 1, 1), (1, 'portrait', 3, 4), (2, 'landscape', 4, 3), (3, 'tall', 9, 16), (4, 'wide', 16, 9)) t(o, name, a, b)) WHERE k = 1""")
+def n5_nearest_aspect(d):
+    return d.select("id", G.nearest_aspect(c("width"), c("height")).alias("s")).select("id", "s.*")
+
+
+BUCKETS = """r AS (SELECT id, width AS w, height AS h, width::DOUBLE / height AS ar, floor(sqrt(1048576.0::DOUBLE * (width::DOUBLE / height)) + 0.5) AS rw, floor(sqrt(1048576.0::DOUBLE / (width::DOUBLE / height)) + 0.5) AS rh FROM images_fx),
+  q AS (SELECT *, rw - rw % 64 AS aw, rh - rh % 64 AS bh FROM r), p AS (SELECT *, floor(aw / ar + 0.5) - floor(aw / ar + 0.5) % 64 AS ah, floor(bh * ar + 0.5) - floor(bh * ar + 0.5) % 64 AS bw FROM q),
+  z AS (SELECT id, CASE WHEN w * h <= 1048576 THEN w WHEN abs(aw / ah - ar) < abs(bw / bh - ar) THEN aw ELSE bw END::BIGINT AS sw, CASE WHEN w * h <= 1048576 THEN h WHEN abs(aw / ah - ar) < abs(bw / bh - ar) THEN ah ELSE bh END::BIGINT AS sh FROM p)"""
+
+
+@query("images_fx", f", {BUCKETS} SELECT id, sw - sw % 64 AS w, sh - sh % 64 AS h, sw AS resized_w, sh AS resized_h FROM z")
+def n6_select_bucket(d):
+    return d.select("id", G.select_bucket(c("width"), c("height")).alias("b")).select("id", "b.*")
+
+
+@query("images_fx", f""", {BUCKETS} SELECT id, (sw % 64) // 2 AS "left", (sh % 64) // 2 AS top, (sw % 64) // 2 + sw - sw % 64 AS "right", (sh % 64) // 2 + sh - sh % 64 AS bottom FROM z""")
+def n7_crop_ltrb(d):
+    b = d.select("id", G.select_bucket(c("width"), c("height")).alias("b")).select("id", "b.*")
+    return b.select("id", G.crop_ltrb(c("resized_w"), c("resized_h"), c("w"), c("h")).alias("m")).select("id", "m.*")
+
+
+@query("images_fx", "SELECT id, width AS original_w, height AS original_h, 0 AS x1, 0 AS y1, 960 AS x2, 540 AS y2 FROM images_fx")
+def n11_trim_and_resize_meta(d):
+    return d.select("id", G.trim_and_resize_meta(c("width"), c("height"), 960, 540).alias("m")).select("id", "m.original_w", "m.original_h", "m.crop.*")
+
+
+def _gray(d):
+    return d.select("id", "width", "height", F.transform("embedding", lambda v: F.floor((v.cast("double") + 1) * 100).cast("double")).alias("gray"))
+
+
+GRAY = "g AS (SELECT id, i % 8 AS x, i // 8 AS y, floor((embedding[i + 1]::DOUBLE + 1) * 100) AS v FROM (SELECT id, embedding, unnest(range(64)) AS i FROM gray_fx))"
+
+
+@query("gray_fx", f""", {GRAY} SELECT id, round(var_pop(s - 4 * v), 6) AS vol FROM (SELECT a.id, a.x, a.y, any_value(a.v) AS v, sum(b.v * m) AS s FROM g a CROSS JOIN (VALUES (-1, 0), (1, 0), (0, -1), (0, 1)) o(dx, dy)
+  CROSS JOIN (SELECT 1 AS m) JOIN g b ON b.id = a.id AND b.x = CASE a.x + dx WHEN -1 THEN 1 WHEN 8 THEN 6 ELSE a.x + dx END AND b.y = CASE a.y + dy WHEN -1 THEN 1 WHEN 8 THEN 6 ELSE a.y + dy END GROUP BY 1, 2, 3) GROUP BY 1""")
+def n13_laplacian_variance(d):
+    return P.laplacian_variance(_gray(d)).withColumn("vol", F.round("vol", 6))
+
+
+@query("gray_fx", f", {GRAY} SELECT id AS image_id, y, sum(v) AS gray_sum FROM g GROUP BY 1, 2")
+def n14_gray_row_sums(d):
+    return P.gray_row_sums(_gray(d))
+
+
+@query("captions_fx", "SELECT id, replace(replace(text, 'the', 'a'), 'a ', 'an ') AS text FROM captions_fx")
+def x5_replace_phrases(d):
+    return d.select("id", X.replace_phrases(c("text"), {"the": "a", "a ": "an "}).alias("text"))
+
+
+@query("results_fx", f"SELECT image_id, turn, {_strip("CASE key WHEN 'user' THEN coalesce(text, '') ELSE '' END || ', ' || CASE key WHEN 'assistant' THEN coalesce(text, '') ELSE '' END")} AS text FROM results_fx")
+def x9_caption_from_meta(d):
+    return d.select("image_id", "turn", X.caption_from_meta(F.create_map("key", "text"), ["user", "assistant"]).alias("text"))
+
+
+@query("results_fx", f"SELECT image_id, turn, CASE WHEN key <> 'user' THEN text END AS other, {_strip('text')} AS \"user\" FROM results_fx")
+def x10_upsert_meta(d):
+    meta = X.upsert_meta(F.create_map("key", "text"), "user", c("text"))
+    other = F.when(c("key") != "user", F.try_element_at(meta, c("key")))
+    return d.select("image_id", "turn", other.alias("other"), F.try_element_at(meta, F.lit("user")).alias("user"))
+
+
+@query("captions_fx", f"SELECT id, array_to_string(list_concat(t, list_filter(string_split(stem || ' la de', ' '), lambda x: NOT list_contains(t, x))), ',') AS text FROM (SELECT id, stem, list_filter({TAGS}, lambda x: x <> '') AS t FROM captions_fx)")
+def x16_merge_tag_lists(d):
+    return d.select("id", X.merge_tag_lists(c("text"), F.split(F.concat("stem", F.lit(" la de")), " "), ",").alias("text"))
+
+
+@query("vocab_fx", """, s AS (SELECT pos, category, CASE WHEN category = 4 AND name LIKE '%)' THEN regexp_replace(name, '_?\\(([^(]*)\\)$', ', \\1') ELSE name END AS name FROM vocab_fx),
+  u AS (SELECT pos, category, CASE WHEN len(name) > 3 THEN replace(name, '_', ' ') ELSE name END AS name FROM s),
+  k AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY CASE category WHEN 0 THEN 0 WHEN 4 THEN 1 ELSE 2 END, pos) AS k FROM u)
+  SELECT pos, category, CASE WHEN k = 1 AND name = 'part 7' THEN 'a,b' ELSE name END AS name FROM k""")
+def x17_vocab_normalise(d):
+    return A.vocab_normalise(d, series_sep=", ", replacements=r"part 7,a\,b")
+
+
+@query("videos_fx", "SELECT video_idx, printf('f_%08d.png', video_idx * 1000000 + frame_count) AS name FROM videos_fx")
+def x18_frame_name(d):
+    return d.select("video_idx", X.frame_name(c("video_idx"), c("frame_count")).alias("name"))
+
+
+@query("people_fx", """SELECT CAST(i AS VARCHAR) AS id, '--prompt "fusion ' || coalesce(name, CAST(i AS VARCHAR)) || '_body" ' AS line FROM (SELECT unnest(range(100, 2000)) AS i) LEFT JOIN people_fx p ON p.id = CAST(i AS VARCHAR)""")
+def x19_prompt_lines_for_ids(names):
+    return A.prompt_lines_for_ids(names, 100, 2000)
+
+
+def x22_html_images(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return pages.select("page_id", F.explode(X.html_images(c("html"))).alias("i")).select("page_id", "i.src", "i.id")
+
+
+QUERIES["x22_html_images"] = x22_html_images
+SQL["x22_html_images"] = r"""SELECT page_id, regexp_extract(a, '(?s)<img[^>]*src="([^"]*)"', 1) AS src, CASE WHEN n = '' THEN 'unknown' ELSE n END AS id FROM (SELECT page_id, a, replace(replace(regexp_extract(a, '(?s)class="[^"]*sprite-id[^"]*"[^>]*>\s*(.*?)\s*<', 1), '#', ''), '.', '_') AS n
+  FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<article\b[^>]*>(.*?)</article>', 1)) AS a FROM pages))"""
+
+
+def x23_absolute_url(spark, sf_dir):
+    links = x20_html_links(spark, sf_dir)
+    url = X.absolute_url("http://site.org/dex/index.html", F.when(c("page_id") % 2 == 0, F.concat(F.lit("/"), "href")).otherwise(c("href")))
+    return links.select("page_id", "href", url.alias("url"), F.element_at(F.split(url, "/"), -1).alias("filename"))
+
+
+QUERIES["x23_absolute_url"] = x23_absolute_url
+SQL["x23_absolute_url"] = f"""SELECT page_id, href, url, string_split(url, '/')[-1] AS filename FROM (SELECT page_id, href, CASE WHEN page_id % 2 = 0 THEN 'http://site.org/' || href WHEN regexp_matches(href, '^https?://') THEN href
+  ELSE 'http://site.org/dex/' || href END AS url FROM ({SQL["x20_html_links"]}))"""
+
+
+@query("info_fx people_fx", """, low AS (SELECT lower(name) AS name, max(id) AS id FROM people_fx GROUP BY 1), f AS (SELECT id, filename, CASE WHEN kind < 3 THEN lower(prompt) END AS t FROM info_fx)
+  SELECT f.id, filename, CASE WHEN coalesce(regexp_extract(t, 'fusion (\\S+)_body in (\\S+)_style', 1), '') = '' THEN NULL WHEN b.id IS NOT NULL AND s.id IS NOT NULL THEN s.id || '.' || b.id || '.png' ELSE filename END AS dest
+  FROM f LEFT JOIN low b ON b.name = regexp_extract(t, 'fusion (\\S+)_body in (\\S+)_style', 1) LEFT JOIN low s ON s.name = regexp_extract(t, 'fusion (\\S+)_body in (\\S+)_style', 2)""")
+def j8_dest_name_from_prompt(d, names):
+    key = F.when(c("kind") == 0, "Parameters").when(c("kind") == 1, "Comment").otherwise("Other")
+    text = F.when(c("kind") < 3, c("prompt")).otherwise("none")
+    return C.dest_name_from_prompt(d.select("id", "filename", F.create_map(key, F.replace(text, F.lit("Fusion"), F.lit("fusion"))).alias("info")), names).select("id", "filename", "dest")
+
+
+@query("images_fx", """SELECT id, CASE WHEN k = 0 THEN filename WHEN k <= 10 THEN regexp_extract(filename, '^(.*)\\.', 1) || substr('abcdefghij', k, 1) || regexp_extract(filename, '\\.[^.]*$') END AS dest
+  FROM (SELECT id, filename, row_number() OVER (PARTITION BY filename ORDER BY id) - 1 AS k FROM images_fx)""")
+def w11_unique_dest_names(d):
+    return A.unique_dest_names(d.select("id", c("filename").alias("dest"))).select("id", c("unique_dest").alias("dest"))
+
+
+@query("emb_fx", """SELECT id, array_to_string(list_concat(list_concat(list_reverse(list_transform(list_filter(range(4, 64), lambda i: i >= 50 AND vec[i + 1]::DOUBLE >= 0.1), lambda i: 't' || i)),
+  list_transform(list_filter(range(4, 64), lambda i: i < 50 AND i <> 9 AND vec[i + 1]::DOUBLE >= 0.05), lambda i: 't' || i)), ['t' || (list_position(vec[1:4], list_max(vec[1:4])) - 1)]), ',') AS tags FROM emb_fx""")
+def w12_select_tags(d):
+    kinds = [9] * 4 + [0] * 46 + [4] * 14
+    tags = A.select_tags(c("vec"), [f"t{i}" for i in range(64)], kinds, 0.05, 0.1, undesired=["t9 "], sep=",", rating="last", characters_first=True)
+    return d.select("id", tags.alias("tags"))
+
+
+@query("leaf_fx", """SELECT id, (SELECT min(r) FROM (SELECT DISTINCT rel_dir AS r FROM leaf_fx) WHERE l.rel_dir = r OR starts_with(l.rel_dir, r || '/')) AS grp FROM leaf_fx l""")
+def d3_leaf_groups(d):
+    return D.leaf_groups(d).select("id", "grp")
+
+
+@query("leaf_fx")
+def d3_near_duplicates_by_leaf(d):
+    from framewright.plans.session import with_checkpoints
+
+    with_checkpoints(d.sparkSession)
+    return D.near_duplicates_by_leaf(d, 0.25).select("id", "grp", "status", "has_duplicates")
+
+
+@query("ids_fx", f""", p AS (SELECT id, row_number() OVER (ORDER BY floor({_u("'3|' || id")} * 4096), id) AS rn, count(*) OVER () AS m FROM ids_fx),
+  k AS (SELECT k, floor({_u("'3|a|' || k")} * m) + 1 AS i, floor({_u("'3|b|' || k")} * m) + 1 AS j FROM (SELECT unnest(range(2064)) AS k) CROSS JOIN (SELECT DISTINCT m FROM p)),
+  f AS (SELECT i, j, min(k) AS k FROM k GROUP BY 1, 2 ORDER BY 3 LIMIT 1000) SELECT a.id AS a, b.id AS b FROM f JOIN p a ON a.rn = i JOIN p b ON b.rn = j""")
+def d5_sample_unique_pairs(d):
+    return A.sample_unique_pairs(d, 1000, 3)
+
+
+@query("videos_fx", """SELECT video_idx, frame, printf('f_%08d.png', video_idx * 1000000 + frame) AS name FROM (SELECT video_idx, floor(i * (frame_count - 1) / (CASE WHEN n > 1 THEN n - 1 ELSE 1 END)::DOUBLE)::BIGINT AS frame
+  FROM (SELECT *, unnest(range(n)) AS i FROM (SELECT *, floor(frame_count / fps * 40 / 60)::INT AS n FROM videos_fx)))""")
+def r2_frame_plan_legacy(d):
+    return A.frame_plan_legacy(d)
+
+
+@query("feeds_fx", "SELECT feed, start + i AS seq, 'http://x/' || (start + i) || '.jpg' AS url, printf('batch_%02d', i // 100) AS folder FROM (SELECT feed, start, unnest(range(total)) AS i FROM feeds_fx)")
+def r3_fetch_plan(d):
+    return A.fetch_plan(d, "http://x/{}.jpg", 100)
+
+
+@query("captions_fx", "SELECT id, CAST(length(text) AS BIGINT) AS score FROM captions_fx WHERE text IS NOT NULL")
+def u1_score_batches(d):
+    return A.score_batches(d.filter("text is not null"), lambda f: f[["id"]].assign(score=f["text"].str.len()), "id long, score long")
+
+
+@query("captions_fx", "SELECT id, k AS key, contains(text, p) AS hit FROM captions_fx CROSS JOIN (VALUES ('the', 'en'), ('der', 'de')) v(p, k) WHERE text IS NOT NULL")
+def u2_score_prompts(d):
+    def hit(f):
+        return f[["id", "key"]].assign(hit=[p in t for p, t in zip(f["prompt"], f["text"], strict=True)])
+
+    return A.score_prompts(d.filter("text is not null"), [("the", "en"), ("der", "de")], hit, "id long, key string, hit boolean")
+
+
+def st1_stream_unseen(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    out = scratch(spark, "st1")
+    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parquet*")
+    U.stream_pending(U.stream_unseen(stream.select("user_id"), "user_id"), out, f"{out}-state").awaitTermination()
+    return spark.read.parquet(out)
+
+
+QUERIES["st1_stream_unseen"] = st1_stream_unseen
+SQL["st1_stream_unseen"] = "SELECT DISTINCT user_id FROM events"
+
+
+def st2_stream_pending(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    out = scratch(spark, "st2")
+    for _ in range(2):  # the second run finds nothing new
+        stream = spark.readStream.schema(orders.schema).parquet(f"{sf_dir}/orders.parquet*")
+        U.stream_pending(stream.select("o_orderkey", "o_custkey"), out, f"{out}-state").awaitTermination()
+    return spark.read.parquet(out)
+
+
+QUERIES["st2_stream_pending"] = st2_stream_pending
+SQL["st2_stream_pending"] = "SELECT o_orderkey, o_custkey FROM orders"
+
+
+@query("images_fx", "SELECT id, filename, split_part(rel_dir, '/', 1) AS folder FROM images_fx")
+def s6_write_training_set(d):
+    out = scratch(d.sparkSession, "s6")
+    S.write_training_set(d.select("id", "filename", F.split_part("rel_dir", F.lit("/"), F.lit(1)).alias("folder")), out)
+    return d.sparkSession.read.schema("id long, filename string, folder string").parquet(out)
+
+
+@query("captions_fx", """SELECT (row_number() OVER (ORDER BY rel_dir, stem, id) - 1) // 100 + 1 AS file_no, '--prompt "' || replace(replace(text, chr(10), ' '), chr(13), ' ') || ', " --negative_prompt ""' AS line FROM captions_fx WHERE text IS NOT NULL""")
+def s7_write_prompt_files(d):
+    out = scratch(d.sparkSession, "s7")
+    S.write_prompt_files(A.chunk_prompts(d.filter("text is not null"), 100, F.translate("text", "\n\r", "  ")), out)
+    return d.sparkSession.read.schema("value string, file_no long").text(out).select("file_no", c("value").alias("line"))
+
+
+def s8_json_values_to_lines(spark, sf_dir):
+    return S.json_values_to_lines(spark.read.parquet(f"{sf_dir}/events.parquet"), "props")
+
+
+QUERIES["s8_json_values_to_lines"] = s8_json_values_to_lines
+SQL["s8_json_values_to_lines"] = "SELECT json_extract_string(props, unnest(json_keys(props))) AS line FROM events"
+
+
 def queries():
     return dict(QUERIES)
 

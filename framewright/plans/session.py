@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -11,3 +12,10 @@ def with_checkpoints(spark: SparkSession) -> None:
     """Sets a checkpoint folder only where the session names none, as in local tests."""
     if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the session's shared folder."""
+    with_checkpoints(spark)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
