@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,6 +24,11 @@ def _nearest(distance: Sequence[Column], values: Sequence[Column]) -> Column:
     return F.array_min(F.array(*(F.struct(d.alias("d"), F.lit(i).alias("i"), v.alias("v")) for i, (d, v) in enumerate(zip(distance, values, strict=True))))).v
 
 
+def _let(then: Callable[[Column], Column], **values: Column) -> Column:
+    """``then`` of a struct of the values, each computed once; written out in every place, they outgrow generated code."""
+    return F.get(F.transform(F.array(F.struct(*(v.alias(k) for k, v in values.items()))), then), 0)
+
+
 def nearest_size(w: Column, h: Column, sizes: Sequence[tuple[int, int]] = SIZES_512) -> Column:
     """The size with the nearest aspect ratio, as a struct (w, h)."""
     ratio = F.try_divide(w.cast("double"), h)
@@ -47,19 +52,29 @@ def adjust_crop(x1: Column, y1: Column, x2: Column, y2: Column, w: Column, h: Co
     It grows if the image has room, else it shrinks; then it is clamped and truncated. A box
     without height gives null.
     """
-    x1, y1, x2, y2 = (c.cast("int").cast("double") for c in (x1, y1, x2, y2))
-    bw, bh = x2 - x1, y2 - y1
-    ratio = F.try_divide(bw, bh)
-    target = _nearest([F.abs(F.lit(r) - ratio) for r in (1.0, 0.75, 4 / 3)], [F.lit(r) for r in (1.0, 0.75, 4 / 3)])
-    wide = ratio > target
-    grow_w, grow_h = F.when(wide, bw).otherwise(bh * target), F.when(wide, bw / target).otherwise(bh)
-    small_w, small_h = F.when(wide, bh * target).otherwise(bw), F.when(wide, bh).otherwise(bw / target)
-    fits = (grow_w <= w) & (grow_h <= h)
-    nw, nh = F.when(fits, grow_w).otherwise(small_w), F.when(fits, grow_h).otherwise(small_h)
-    left, top = F.greatest((x1 + x2) / 2 - nw / 2, F.lit(0.0)), F.greatest((y1 + y2) / 2 - nh / 2, F.lit(0.0))
-    right, bottom = F.least(w.cast("double"), left + nw), F.least(h.cast("double"), top + nh)
-    box = F.struct(*(c.cast("int").alias(n) for n, c in (("x1", left), ("y1", top), ("x2", right), ("y2", bottom))))
-    return F.when(bh != 0, box)
+    ratios = (1.0, 0.75, 4 / 3)
+
+    def shaped(b: Column) -> Column:
+        bw, bh = b["x2"] - b["x1"], b["y2"] - b["y1"]
+        target = lambda s: _nearest([F.abs(F.lit(r) - s["ratio"]) for r in ratios], [F.lit(r) for r in ratios])
+        return _let(lambda s: _let(lambda t: sized(b, s, t["target"]), target=target(s)), bw=bw, bh=bh, ratio=F.try_divide(bw, bh))
+
+    def sized(b: Column, s: Column, target: Column) -> Column:
+        wide, by_w, by_h = s["ratio"] > target, s["bw"] / target, s["bh"] * target
+        grow_w, grow_h = F.when(wide, s["bw"]).otherwise(by_h), F.when(wide, by_w).otherwise(s["bh"])
+        fits = (grow_w <= b["w"]) & (grow_h <= b["h"])
+        nw = F.when(fits, grow_w).when(wide, by_h).otherwise(s["bw"])
+        nh = F.when(fits, grow_h).when(wide, s["bh"]).otherwise(by_w)
+        return F.when(s["bh"] != 0, _let(lambda n: clamped(b, n), nw=nw, nh=nh))
+
+    def clamped(b: Column, n: Column) -> Column:
+        left = F.greatest((b["x1"] + b["x2"]) / 2 - n["nw"] / 2, F.lit(0.0))
+        top = F.greatest((b["y1"] + b["y2"]) / 2 - n["nh"] / 2, F.lit(0.0))
+        sides = (("x1", left), ("y1", top), ("x2", F.least(b["w"], left + n["nw"])), ("y2", F.least(b["h"], top + n["nh"])))
+        return F.struct(*(c.cast("int").alias(k) for k, c in sides))
+
+    corners = {k: c.cast("int").cast("double") for k, c in (("x1", x1), ("y1", y1), ("x2", x2), ("y2", y2))}
+    return _let(shaped, **corners, w=w.cast("double"), h=h.cast("double"))
 
 
 def center_crop(x1: Column, y1: Column, x2: Column, y2: Column, w: Column, h: Column) -> Column:
