@@ -185,6 +185,12 @@ def ordered_catalog(df: DataFrame, column: str = "path") -> DataFrame:
     return df.select(column).distinct().orderBy(column)
 
 
+def _to_front(tags: Column, tag: str) -> Column:
+    """The first occurrence of the tag, if any, moved to the front."""
+    at = F.array_position(tags, tag)
+    return F.when(at > 0, F.concat(F.array(F.lit(tag)), F.filter(tags, lambda x, i: i != at - 1))).otherwise(tags)
+
+
 def select_tags(
     probs: Column,
     names: Sequence[str],
@@ -217,8 +223,7 @@ def select_tags(
         best = F.array(F.array_max(F.transform(ratings, lambda x, i: F.struct(x.p.alias("p"), (-i).alias("i"), x.n.alias("n")))).n)
         tags = F.concat(best, tags) if rating == "first" else F.concat(tags, best)
     for first in always_first:
-        at = F.array_position(tags, first)
-        tags = F.when(at > 0, F.concat(F.array(F.lit(first)), F.filter(tags, lambda x, i, at=at: i != at - 1))).otherwise(tags)
+        tags = _to_front(tags, first)
     return F.array_join(tags, sep)
 
 
