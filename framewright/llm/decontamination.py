@@ -6,7 +6,8 @@ block-max WAND over a whole batch of passages: items are kept in blocks, every b
 largest impact of each term and one bound for all its frequent terms together; a passage
 is scored against a block only if the sum of its bounds reaches the threshold, and nothing
 that could reach it is skipped. Each retrieved pair is then verified: the item is split into
-a question and an answer, and its word trigrams must occur in the text near the passage.
+a question and an answer, and its word trigrams must occur in the text near the passage; a
+part of one or two words counts as one run of words.
 
 An item's answer is its last sentence if it has over one, else its last third of the words.
 
@@ -55,7 +56,13 @@ def question_answer(text: str) -> tuple[list[str], list[str]]:
 
 
 def grams(words: list[str], n: int = 3) -> set[tuple[str, ...]]:
-    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} or ({tuple(words)} if words else set())
+    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
+
+
+def part_grams(words: list[str]) -> tuple[int, set[tuple[str, ...]]]:
+    """Trigrams of a part and their length, 3; a shorter part is one run of its own length."""
+    n = min(3, len(words))
+    return n, grams(words, n) if n else set()
 
 
 class Index:
@@ -65,7 +72,7 @@ class Index:
         kept = [(i, t, w) for i, t in items if (w := terms(t))]
         self.ids = [i for i, _, _ in kept]
         self.words = [w for _, _, w in kept]
-        self.parts = [tuple(map(grams, question_answer(t))) for _, t, _ in kept]
+        self.parts = [tuple(map(part_grams, question_answer(t))) for _, t, _ in kept]
         self.longest = max(map(len, self.words), default=0)
         count = Counter(w for words in self.words for w in set(words))
         self.vocabulary = {w: k for k, w in enumerate(sorted(count, key=lambda w: (-count[w], w)))}
@@ -144,12 +151,16 @@ def find_leaks(index: Index, texts: list[list[str]], threshold: float, q_overlap
         both, codes = np.r_[piece, piece[later] - 1], np.r_[code, code[later]]
         keys = np.unique(both * n_terms + codes)
         found: dict[tuple[int, int], tuple[float, float, float]] = {}
+        at_window, near = -1, {}
         for window, i, score in index.retrieve(keys // n_terms, keys % n_terms, threshold):
             d = int(np.searchsorted(base, window, "right")) - 1
             at = (window - int(base[d])) * half
-            near = grams(part[d][at : at + 2 * half])
-            q, a = index.parts[i]
-            here = [len(x & near) / len(x) if x else 1.0 for x in (q, a)]
+            if window != at_window:
+                at_window, near = window, {}
+            for n, x in index.parts[i]:
+                if x and n not in near:
+                    near[n] = grams(part[d][at : at + 2 * half], n)
+            here = [len(x & near[n]) / len(x) if x else 1.0 for n, x in index.parts[i]]
             if here[0] >= q_overlap and here[1] >= a_overlap and (score, *here) > found.get((d, i), (0.0,)):
                 found[d, i] = (score, *here)
         for (d, i), x in sorted(found.items()):

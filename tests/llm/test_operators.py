@@ -233,6 +233,48 @@ def test_contaminated(spark, docs, none):
     assert decontamination.contaminated(docs, items.limit(0)).count() == 0
 
 
+def held(words, run):
+    return any(words[i : i + len(run)] == run for i in range(len(words) - len(run) + 1))
+
+
+def share(words, part):
+    """Share of a part's distinct trigrams, or of the whole part if it is shorter, in ``words``."""
+    n = min(3, len(part))
+    own = {tuple(part[i : i + n]) for i in range(len(part) - n + 1)} if n else set()
+    return sum(held(words, list(g)) for g in own) / len(own) if own else 1.0
+
+
+def test_find_leaks_is_brute_force():
+    """All pairs of windows and items, with questions and answers of one word and more."""
+    r = random.Random(8)
+    vocab = [f"t{i}" for i in range(30)]
+    some = lambda k: " ".join(r.choices(vocab, k=k))
+    items = [(i, f"{some(r.randint(1, 6))}? {some(r.randint(1, 4))}.") for i in range(30)] + [(30 + i, some(2 + i)) for i in range(8)]
+    index = decontamination.Index(items)
+    texts = [decontamination.terms(f"{some(r.randint(0, 60))} {r.choice(items)[1] if r.random() < 0.6 else ''} {some(r.randint(0, 60))}") for _ in range(60)]
+    half, want, short = max(index.longest, 8), set(), 0
+    for d, words in enumerate(texts):
+        for at in range(0, len(words), half):
+            window = words[at : at + 2 * half]
+            own = {index.vocabulary[w] for w in window}
+            for i, (_, text) in enumerate(items):
+                q, a = decontamination.question_answer(text)
+                if sum(index.impacts[i].get(t, 0) for t in own) >= 0.5 and share(window, q) >= 0.6 and share(window, a) >= 0.5:
+                    want.add((d, i))
+                    short += min(len(q), len(a)) < 3
+    assert {(d, i) for d, i, *_ in decontamination.find_leaks(index, texts, 0.5, 0.6, 0.5)} == want and short > 10
+
+
+def test_every_item_is_found(spark, sf_dir):
+    """Texts that hold an item of the benchmark word for word, whatever its length."""
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    items += [(-1, "Is the old mill by the river still working today? Yes."), (-2, "Why? Nobody ever knew the cause of it."), (-3, "name the two seas"), (-4, "capital of France: Paris")]
+    filler = " ".join(f"z{i}" for i in range(100))
+    index = decontamination.Index(items)
+    found = {(d, index.ids[i]) for d, i, *_ in decontamination.find_leaks(index, [decontamination.terms(f"{filler} {t} {filler}") for _, t in items], 0.5, 0.6, 0.5)}
+    assert found >= {(d, i) for d, (i, t) in enumerate(items) if decontamination.terms(t)}
+
+
 def test_segments_and_rules(spark):
     words = urls.Segmenter({"free": 50, "bets": 20, "casino": 20, "win": 30, "the": 90})
     assert words.words("freebetscasino-win12") == ["free", "bets", "casino", "win", "0"]
