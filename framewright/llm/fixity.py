@@ -1,12 +1,15 @@
 """Merkle fixity audit of WARC replicas.
 
-A record's SHA-256 digest is a leaf. ``FAN`` neighbouring nodes, an ordered range of offsets,
-give the parent's digest, up to one root a file. The audit compares the roots of two
-replicas and goes down only into nodes that differ, so sound files cost one row each.
-Both replicas share one table with a ``side``; a level has a sixteenth of the rows of the one below.
+A record's key and SHA-256 digest make a leaf, and their hash gives it a fixed place, so a record
+that is lost or added moves no other. ``FAN`` neighbouring nodes give the parent's digest, up
+to one root a file. The audit compares the roots of two replicas and goes down only into
+nodes that differ, so sound files cost one row each. Both replicas share one table with a
+``side``; a file has about as many places as records, and a level a sixteenth of the one below.
 
-A record that only one replica has is reported as ``missing`` or ``extra``. Null bodies count
-as empty. Repeated rows are records of their own, in the order of offset, then digest.
+The records found are aligned by key and digest: a key with another digest is ``corrupt``, a
+record that only one replica has ``missing`` or ``extra``, wherever it is in the file. Null
+bodies count as empty. Repeated rows are records of their own, in the order of offset, then
+digest; of equal copies the last are missing or extra. The order of records is not compared.
 """
 
 from __future__ import annotations
@@ -27,47 +30,64 @@ def warc_record(url: Column, body: Column) -> Column:
 
 
 def manifest(df: DataFrame, file: Column, order: list[Column], record: Column, keep: list[str] = ()) -> DataFrame:
-    """``file, offset, length, digest`` of each record, laid out in each file by ``order``; also the columns ``keep``."""
+    """``file, key, offset, length, digest`` of each record, laid out in each file by ``order``; also the columns ``keep``.
+
+    ``key`` has the values of ``order`` as JSON.
+    """
     rows = df.select(file.alias("file"), *keep, *(c.alias(f"_{i}") for i, c in enumerate(order)), F.octet_length(record).cast("long").alias("length"), F.sha2(record, 256).alias("digest"))
     by = Window.partitionBy("file").orderBy(*(f"_{i}" for i in range(len(order))), "digest")
     before = F.coalesce(F.sum("length").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return rows.select("file", before.alias("offset"), "length", "digest", *keep)
+    key = F.to_json(F.array(*(F.col(f"_{i}").cast("string") for i in range(len(order)))))
+    return rows.select("file", key.alias("key"), before.alias("offset"), "length", "digest", *keep)
 
 
 def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
     """Returns ``file, seq, kind, offset, length, expected, actual`` for each record that differs.
 
-    Both inputs have ``file, offset, length, digest``; ``seq`` counts a file's records from 0 by
-    offset. ``kind`` is ``corrupt``, ``missing`` or ``extra``.
+    Both inputs have ``file, key, offset, length, digest``; ``seq`` counts a file's records from 0 by
+    offset, in the replica for an ``extra`` one. ``kind`` is ``corrupt``, ``missing`` or ``extra``.
     """
-    columns = ["file", "offset", "length", "digest"]
+    columns = ["file", "key", "offset", "length", "digest"]
     both = primary.select(F.lit("primary").alias("side"), *columns).unionByName(replica.select(F.lit("replica").alias("side"), *columns))
-    seq = F.row_number().over(Window.partitionBy("side", "file").orderBy("offset", "length", "digest")) - 1
-    leaves = staged(both.withColumn("node", seq.cast("long")), "fixity-leaves")
-    levels, top = [leaves], (leaves.agg(F.max("node")).first()[0] or 0)
-    while top > 0:
-        children = F.array_sort(F.collect_list(F.struct("node", "digest")))
-        parent = F.sha2(F.array_join(F.transform(children, lambda c: c.digest), ""), 256).alias("digest")
-        below = levels[-1].select("side", "file", "node", "digest")
-        up = below.groupBy("side", "file", F.floor(F.col("node") / FAN).alias("up")).agg(parent)
+    seq = F.row_number().over(Window.partitionBy("side", "file").orderBy("offset", "length", "digest", "key")) - 1
+    leaves = staged(both.withColumn("seq", seq.cast("long")), "fixity-leaves")
+    most, depth = (leaves.agg(F.max("seq")).first()[0] or 0) + 1, 0
+    while FAN**depth < most:
+        depth += 1
+    node = F.pmod(F.xxhash64("key", "digest"), F.lit(FAN**depth)).alias("node")
+    copies = leaves.groupBy("side", "file", node, "key", "digest").agg(F.count(F.lit(1)).alias("n"))
+    own = F.transform(F.array_sort(F.collect_list(F.struct("digest", "key", "n"))), lambda x: F.to_json(x))
+    levels = [staged(copies.groupBy("side", "file", "node").agg(F.sha2(F.array_join(own, "\n"), 256).alias("digest")), "fixity-level")]
+    for _ in range(depth):
+        children = F.transform(F.array_sort(F.collect_list(F.struct("node", "digest"))), lambda c: F.concat(c.node.cast("string"), F.lit(" "), c.digest))
+        parent = F.sha2(F.array_join(children, "\n"), 256).alias("digest")
+        up = levels[-1].groupBy("side", "file", F.floor(F.col("node") / FAN).alias("up")).agg(parent)
         levels.append(staged(up.withColumnRenamed("up", "node"), "fixity-level"))
-        top //= FAN
+
+    def joined(rows: DataFrame, on: list[str]) -> DataFrame:
+        one, two = (rows.filter(F.col("side") == s).drop("side").alias(s[0]) for s in ("primary", "replica"))
+        same = [F.col(f"p.{c}").eqNullSafe(F.col(f"r.{c}")) for c in on]
+        return one.join(two, same, "full_outer")
 
     def differing(level: DataFrame) -> DataFrame:
-        one, two = (level.filter(F.col("side") == s).drop("side") for s in ("primary", "replica"))
-        one, two = one.alias("p"), two.alias("r")
-        joined = one.join(two, F.col("p.file").eqNullSafe(F.col("r.file")) & (F.col("p.node") == F.col("r.node")), "full_outer")
-        return joined.filter(~F.col("p.digest").eqNullSafe(F.col("r.digest")))
+        bad = joined(level, ["file", "node"]).filter(~F.col("p.digest").eqNullSafe(F.col("r.digest")))
+        return bad.select(F.coalesce("p.file", "r.file").alias("of"), F.coalesce("p.node", "r.node").alias("at"))
 
-    found = differing(levels[-1])
+    within = lambda place: F.col("file").eqNullSafe(F.col("of")) & (place == F.col("at"))
+    bad = differing(levels[-1])
     for level in levels[-2::-1]:
-        bad = found.select(F.coalesce("p.file", "r.file").alias("of"), F.coalesce("p.node", "r.node").alias("up")).distinct()
-        within = F.col("file").eqNullSafe(F.col("of")) & (F.floor(F.col("node") / FAN) == F.col("up"))
-        found = differing(level.join(bad, within, "left_semi"))
+        bad = differing(level.join(bad, within(F.floor(F.col("node") / FAN)), "left_semi"))
+    found = leaves.withColumn("node", node).join(bad, within(F.col("node")), "left_semi").drop("node")
+    # records that both have go away, copy by copy; what is left of a key is paired in its order
+    left, right = (F.count(F.when(F.col("side") == s, 1)).over(Window.partitionBy("file", "key", "digest")) for s in ("primary", "replica"))
+    copy = F.row_number().over(Window.partitionBy("side", "file", "key", "digest").orderBy("seq"))
+    alone = found.withColumn("shared", F.least(left, right)).withColumn("copy", copy).filter("copy > shared")
+    place = F.row_number().over(Window.partitionBy("side", "file", "key").orderBy("seq"))
+    pairs = joined(alone.withColumn("place", place), ["file", "key", "place"])
     kind = F.when(F.col("r.digest").isNull(), "missing").when(F.col("p.digest").isNull(), "extra").otherwise("corrupt")
-    return found.select(
+    return pairs.select(
         F.coalesce("p.file", "r.file").alias("file"),
-        F.coalesce("p.node", "r.node").alias("seq"),
+        F.coalesce("p.seq", "r.seq").alias("seq"),
         kind.alias("kind"),
         F.coalesce("p.offset", "r.offset").alias("offset"),
         F.coalesce("p.length", "r.length").alias("length"),

@@ -312,6 +312,42 @@ def test_fixity(spark):
     assert fixity.audit(own(df.limit(0)), own(df.limit(0))).count() == 0
 
 
+def test_fixity_in_the_middle(spark):
+    """Losses, insertions and damage anywhere in a file, with copies and equal records under other keys."""
+    schema = "page_id long, url string, html string"
+    r = random.Random(9)
+    rows = [(2 * i, f"http://x/{i}", "b" * (i % 50)) for i in range(900)] + [(40, "http://x/20", "b" * 20)] * 3 + [(None, None, None)]
+    rows += [(2000 + i, "http://same", "copy") for i in range(20)]
+    lost = {*r.sample(range(0, 1800, 2), 12), 0, 2007, 2008}
+    bad = set(r.sample([i for i in range(0, 1800, 2) if i not in lost and i != 40], 12))
+    other = [(i, u, "changed" * r.randint(1, 9) if i in bad else h) for i, u, h in rows if i not in lost]
+    other.remove((40, "http://x/20", "b" * 20))
+    new = [(i, "http://new", "n") for i in r.sample(range(1, 1800, 2), 10)] + [(1234, "http://x/617", "b" * 17)]
+    other += [x for x in new if x[0] not in lost]
+    own = lambda x: fixity.manifest(spark.createDataFrame(x, schema), F.floor(F.col("page_id") / 300), [F.col("page_id")], fixity.warc_record(F.col("url"), F.col("html")))
+    one, two = own(rows), own(other)
+    place = {}
+    for side, m in (("primary", one), ("replica", two)):
+        for file, own_rows in itertools.groupby(sorted(m.collect(), key=lambda x: (str(x["file"]), x["offset"])), key=lambda x: str(x["file"])):
+            for seq, x in enumerate(own_rows):
+                place.setdefault((side, x["key"]), []).append((file, seq, x["digest"]))
+    want = Counter()
+    for key in {k for _, k in place}:
+        p, q = place.get(("primary", key), []), place.get(("replica", key), [])
+        for mine, theirs in ((p, q), (q, p)):
+            for x in [*mine]:
+                if y := next((y for y in theirs if y[2] == x[2]), None):
+                    mine.remove(x), theirs.remove(y)
+        want.update((*x[:2], "corrupt") for x, _ in zip(p, q, strict=False))
+        want.update((*x[:2], "missing") for x in p[len(q) :])
+        want.update((*x[:2], "extra") for x in q[len(p) :])
+    found = Counter((str(x["file"]), x["seq"], x["kind"]) for x in fixity.audit(one, two).collect())
+    # which of equal copies is named is open, so those only count
+    assert Counter((f, k) for f, _, k in found.elements()) == Counter((f, k) for f, _, k in want.elements())
+    assert {x for x in want if x not in found} <= {x for x in want if x[0] == "0" and x[2] == "missing"}
+    assert Counter(k for _, _, k in found.elements()) == {"missing": len(lost) + 1, "corrupt": len(bad), "extra": len([x for x in new if x[0] not in lost])}
+
+
 def test_perspectives(spark):
     rows = [(1, 0, "system", "rules"), (1, 1, "ann", "hi <|im_end|>"), (1, 2, "bob", None), (1, 3, None, "x"), (2, 0, "system", "alone")]
     rows += [(3, i, "ann" if i % 2 else "bob", f"t{i}") for i in range(200)] + [(3, 5, "ann", "t5")]
