@@ -6,8 +6,11 @@ naive Bayes model scores the words. Its labels are weak: a url whose words hold
 ``lexicon`` is a bad example, any other a good one, so the model carries the judgement
 over to words that keep company with the lexicon's. Its counts, too, cover all urls.
 
-Both tables that are broadcast have a proven bound: they keep what makes up at least one in
-``VOCABULARY`` of a total, so at most ``VOCABULARY`` entries, whatever the input's size.
+Both tables that are broadcast have a proven bound: they hold what makes up at least one in
+``VOCABULARY`` of a total, so at most ``VOCABULARY`` entries, whatever the input's size, and the words
+of up to ``SHORT`` letters. The other words count as well: they are joined to the distinct
+names, as parts of up to ``LONGEST_WORD`` letters, and to the words of the distinct addresses.
+Words seen once don't count in splitting.
 
 Null urls and urls without ``://`` have an empty host and path, match no rule and have no words;
 the model's prior judges them. Repeated rows are judged alike.
@@ -17,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import ChainMap
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -27,6 +31,7 @@ from framewright.llm.common import ascii_lower, staged
 
 VOCABULARY = 100_000
 LONGEST_WORD = 24
+SHORT = 3
 LONGEST_NAME = 2_000
 LEXICON = ("adult", "porn", "casino", "bet", "bets", "pills", "spam", "ads", "viagra", "lottery")
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -58,22 +63,31 @@ def matched_rule(host_col: Column, path_col: Column, rules: Sequence[tuple[str,
 
 
 class Segmenter:
-    """Splits a run of letters into the likeliest words."""
+    """Splits a run of letters into the likeliest words.
 
-    def __init__(self, counts: dict[str, int]):
-        total = sum(counts.values()) or 1
+    ``total`` is the sum of all counts, where ``counts`` lacks some.
+    """
+
+    def __init__(self, counts: dict[str, int], total: int | None = None):
+        total = total or sum(counts.values()) or 1
+        self.total = total
         self.cost = {w: -math.log(n / total) for w, n in counts.items()}
         self.longest = max(map(len, self.cost), default=1)
         # an unknown word costs more with each letter
         self.unknown = [0.0, *(math.log(total) + 2.3 * k for k in range(1, LONGEST_WORD + 1))]
         self.known: dict[str, list[str]] = {}
 
-    def split(self, name: str) -> list[str]:
+    def split(self, name: str, more: dict[str, int] | None = None) -> list[str]:
+        """``more`` are counts of words that the segmenter lacks."""
+        cost_of, longest = self.cost, self.longest
+        if more:
+            cost_of = ChainMap({w: -math.log(n / self.total) for w, n in more.items()}, self.cost)
+            longest = max(longest, *map(len, more))
         best, back = [0.0], [0]
         for end in range(1, len(name) + 1):
             cost, at = math.inf, end - 1
             for start in range(max(0, end - LONGEST_WORD), end):
-                own = self.cost.get(name[start:end]) if end - start <= self.longest else None
+                own = cost_of.get(name[start:end]) if end - start <= longest else None
                 if (c := best[start] + (self.unknown[end - start] if own is None else own)) < cost:
                     cost, at = c, start
             best.append(cost), back.append(at)
@@ -83,29 +97,96 @@ class Segmenter:
             end = back[end]
         return words[::-1]
 
-    def words(self, text: str) -> list[str]:
-        """Words of the text's names; any number counts as ``0``."""
-        if (found := self.known.get(text)) is None:
+    def lacking(self, name: str) -> set[str]:
+        """Parts of the name that may be words that the segmenter lacks."""
+        parts = {name[i:j] for i in range(len(name)) for j in range(i + SHORT + 1, min(i + LONGEST_WORD, len(name)) + 1)}
+        return {x for x in parts if x not in self.cost}
+
+    def words(self, text: str, special: dict[str, list[str]] | None = None) -> list[str]:
+        """Words of the text's names; any number counts as ``0``. ``special`` has the words of some sections."""
+        special = special or {}
+        if special or (found := self.known.get(text)) is None:
             found = []
-            for piece in LETTERS.findall(text):
-                # a very long name is split in sections, so that no text is dropped
-                found += ["0"] if piece.isdigit() else [w for k in range(0, len(piece), LONGEST_NAME) for w in self.split(piece[k : k + LONGEST_NAME])]
+            for x in sections(text):
+                found += ["0"] if x.isdigit() else special[x] if x in special else self.split(x)
+            if special:
+                return found
             if len(self.known) >= 50_000:
                 self.known.clear()
             self.known[text] = found
         return found
 
 
-def unigrams(df: DataFrame, html: str, names: Column) -> dict[str, int]:
-    """Counts of the words of the pages, and of the parts of hyphenated and short names in their urls."""
+def sections(text: str) -> list[str]:
+    """Names and numbers in a text; a very long name is split in sections, so that no text is dropped."""
+    out = []
+    for piece in LETTERS.findall(text):
+        out += [piece] if piece.isdigit() else [piece[k : k + LONGEST_NAME] for k in range(0, len(piece), LONGEST_NAME)]
+    return out
+
+
+def unigrams(df: DataFrame, html: str, names: Column) -> DataFrame:
+    """``w, n``: counts of the words of the pages, and of the parts of hyphenated and short names in their urls."""
     visible = F.lower(F.regexp_replace(F.coalesce(F.col(html), F.lit("")), MARKUP, " "))
     # a name without a hyphen may be several words run together, so it is no evidence of a word unless it's short
     own = F.transform(F.split(names, "[^a-z-]+"), lambda x: F.when(x.contains("-") | (F.length(x) <= 3), F.split(x, "-")).otherwise(F.array()))
     pieces = F.concat(F.split(visible, "[^a-z]+"), F.flatten(own))
     words = df.select(F.explode(pieces).alias("w")).filter((F.length("w") > 0) & (F.length("w") <= LONGEST_WORD))
-    counts = staged(words.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "url-words")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    return {r["w"]: r["n"] for r in counts.filter(F.col("n") >= max(2, total / VOCABULARY)).collect()}
+    return staged(words.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "url-words")
+
+
+def _segmented(names: DataFrame, counts: DataFrame, lexicon: Sequence[str]) -> DataFrame:
+    """``names`` (``host, path, count``) with their ``words``, by all words that occur twice or more."""
+    spark = names.sparkSession
+    sums = counts.agg(F.sum("n").alias("all"), F.sum(F.when(F.col("n") >= 2, F.col("n"))).alias("twice")).first()
+    least = max(2, (sums["all"] or 0) / VOCABULARY)
+    common = (F.col("n") >= least) | ((F.length("w") <= SHORT) & (F.col("n") >= 2)) | F.col("w").isin(list(lexicon))
+    own = {r["w"]: r["n"] for r in counts.filter(common).collect()}
+    total = sums["twice"] or 0
+    for word in lexicon:
+        before = own.get(word, 0)
+        own[word] = max(2, before)
+        total += own[word] - (before if before >= 2 else 0)
+    segmenter = spark.sparkContext.broadcast(Segmenter(own, total))
+    special = F.lit(None).cast("array<struct<piece:string,own:array<string>>>")
+    names = names.withColumn("special", special)
+    if least > 2:
+
+        def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                rows = [(h, p, x) for h, p in zip(b["host"], b["path"], strict=True) for x in {*sections(h.rpartition(".")[0]), *sections(p.lower())} if len(x) > SHORT and not x.isdigit()]
+                yield pd.DataFrame(rows, columns=["host", "path", "piece"])
+
+        def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                for lo in range(0, len(b), 256):
+                    rows = [(x, w) for x in b["piece"][lo : lo + 256] for w in segmenter.value.lacking(x)]
+                    yield pd.DataFrame(rows, columns=["piece", "w"])
+
+        def respelt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                found = [(x, segmenter.value.split(x, {m["w"]: m["n"] for m in more})) for x, more in zip(b["piece"], b["more"], strict=True)]
+                yield pd.DataFrame([x for x in found if x[1] != segmenter.value.split(x[0])], columns=["piece", "own"])
+
+        of = names.select("host", "path").mapInPandas(pieces, "host string, path string, piece string")
+        rare = counts.filter(~common & (F.col("n") >= 2))
+        known = of.select("piece").distinct().mapInPandas(parts, "piece string, w string").join(rare, "w")
+        own_words = known.groupBy("piece").agg(F.collect_list(F.struct("w", "n")).alias("more")).mapInPandas(respelt, "piece string, own array<string>")
+        by_name = of.join(own_words, "piece").groupBy("host", "path").agg(F.collect_list(F.struct("piece", "own")).alias("special"))
+        names = names.drop("special").join(by_name, ["host", "path"], "left")
+
+    def split_names(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for hosts, paths, specials in batches:
+            out = []
+            for h, p, x in zip(hosts, paths, specials, strict=True):
+                own = {} if x is None else {y["piece"]: list(y["own"]) for y in x}
+                # the last label of a host is no name
+                out.append(segmenter.value.words(h.rpartition(".")[0], own) + segmenter.value.words(p.lower(), own))
+            yield pd.Series(out, index=hosts.index, dtype=object)
+
+    split_names.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series, pd.Series]], "return": Iterator[pd.Series]}
+    words = F.pandas_udf(split_names, "array<string>").asNondeterministic()
+    return names.withColumn("words", words("host", "path", "special")).drop("special")
 
 
 def filter_urls(
@@ -123,22 +204,12 @@ def filter_urls(
     sc = df.sparkSession.sparkContext
     address = F.col(url).cast("string")
     counts = unigrams(df, html, F.concat(host(address), F.lower(path(address))))
-    for word in lexicon:
-        counts[word] = max(2, counts.get(word, 0))
-    segmenter = sc.broadcast(Segmenter(counts))
-
-    def split_names(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for hosts, paths in batches:
-            words = segmenter.value.words
-            # the last label of a host is no name
-            yield pd.Series([words(h.rpartition(".")[0]) + words(p.lower()) for h, p in zip(hosts, paths, strict=True)], index=hosts.index, dtype=object)
-
-    split_names.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.Series]}
-    words = F.pandas_udf(split_names, "array<string>").asNondeterministic()
-    split = df.withColumn("host", host(address)).withColumn("path", path(address)).withColumn("words", words("host", "path"))
+    split = df.withColumn("host", host(address)).withColumn("path", path(address))
+    names = staged(split.groupBy("host", "path").agg(F.count(F.lit(1)).alias("count")), "url-names")
+    names = staged(_segmented(names, counts, lexicon), "url-sets")
 
     bad = F.arrays_overlap("words", F.array(*map(F.lit, lexicon)))
-    urls = staged(split.select(bad.alias("bad"), "words").groupBy("bad", "words").count(), "url-sets")
+    urls = names.select(bad.alias("bad"), "words", "count")
     prior = {r["bad"]: r["n"] for r in urls.groupBy("bad").agg(F.sum("count").alias("n")).collect()}
     per_word = urls.select("bad", "count", F.explode("words").alias("w")).groupBy("w").agg(
         F.sum(F.when(F.col("bad"), F.col("count")).otherwise(0)).alias("bad"),
@@ -147,17 +218,36 @@ def filter_urls(
     per_word = staged(per_word, "url-model")
     sums = per_word.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count(F.lit(1)).alias("n")).first()
     n_bad, n_good, kinds = sums["bad"] or 0, sums["good"] or 0, sums["n"]
-    frequent = per_word.filter((F.col("bad") >= max(1, n_bad * 2 / VOCABULARY)) | (F.col("good") >= max(1, n_good * 2 / VOCABULARY)))
-    odds = {r["w"]: math.log((r["bad"] + 1) / (n_bad + kinds)) - math.log((r["good"] + 1) / (n_good + kinds)) for r in frequent.collect()}
-    bias = math.log((prior.get(True, 0) + 1) / (prior.get(False, 0) + 1))
-    model = sc.broadcast(odds)
 
-    def score(lists: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in lists:
-            get = model.value.get
-            yield batch.map(lambda own: bias + sum(get(w, 0.0) for w in own)).astype("float64")
+    def odds_of(n_in_bad: int, n_in_good: int) -> float:
+        return math.log((n_in_bad + 1) / (n_bad + kinds)) - math.log((n_in_good + 1) / (n_good + kinds))
 
-    score.__annotations__ = {"lists": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    frequent = (F.col("bad") >= max(1, n_bad * 2 / VOCABULARY)) | (F.col("good") >= max(1, n_good * 2 / VOCABULARY))
+    bias = math.log((prior.get(True, 0) + 1) / (prior.get(False, 0) + 1))
+    model = sc.broadcast({r["w"]: odds_of(r["bad"], r["good"]) for r in per_word.filter(frequent).collect()})
+    if max(n_bad, n_good) * 2 > VOCABULARY:
+
+        def lacking(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                rows = [(h, p, w) for h, p, own in zip(b["host"], b["path"], b["words"], strict=True) for w in set(own) if w not in model.value]
+                yield pd.DataFrame(rows, columns=["host", "path", "w"])
+
+        rare = names.select("host", "path", "words").mapInPandas(lacking, "host string, path string, w string").join(per_word.filter(~frequent), "w")
+        names = names.join(rare.groupBy("host", "path").agg(F.collect_list(F.struct("w", "bad", "good")).alias("rare")), ["host", "path"], "left")
+    else:
+        names = names.withColumn("rare", F.lit(None).cast("array<struct<w:string,bad:bigint,good:bigint>>"))
+
+    def score(lists: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for batch, rares in lists:
+            out = []
+            for own, rare in zip(batch, rares, strict=True):
+                more = {} if rare is None else {x["w"]: odds_of(x["bad"], x["good"]) for x in rare}
+                out.append(bias + sum(more[w] if w in more else model.value.get(w, 0.0) for w in own))
+            yield pd.Series(out, index=batch.index, dtype="float64")
+
+    score.__annotations__ = {"lists": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.Series]}
+    judged = staged(names.select("host", "path", "words", F.pandas_udf(score, "double")("words", "rare").alias("odds")), "url-odds")
+    judged = judged.select(F.col("host").alias("__host_of"), F.col("path").alias("__path_of"), "words", "odds")
     rule, verdict = matched_rule(F.col("host"), F.col("path"), rules)
-    judged = split.withColumn("odds", F.pandas_udf(score, "double")("words")).withColumn("rule", rule)
-    return judged.withColumn("verdict", F.coalesce(verdict, F.when(F.col("odds") > 0, "block").otherwise("allow")))
+    split = split.drop("words", "odds", "rule", "verdict").join(judged, (F.col("host") == F.col("__host_of")) & (F.col("path") == F.col("__path_of")), "left").drop("__host_of", "__path_of")
+    return split.withColumn("rule", rule).withColumn("verdict", F.coalesce(verdict, F.when(F.col("odds") > 0, "block").otherwise("allow")))

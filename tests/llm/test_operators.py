@@ -301,6 +301,21 @@ def test_bayes_generalises(spark):
     assert right / len(out) > 0.95
 
 
+def test_rare_words_count(spark, monkeypatch):
+    """Words below a share of the table, in splitting and in the model, count as where all are broadcast."""
+    r = random.Random(10)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    vocab = ["".join(r.choices(letters, k=r.randint(2, 9))) for _ in range(300)]
+    rows = [(i, f"http://{''.join(r.choices(vocab, k=3))}.example.com/{r.choice(vocab)}{r.choice(['casino', '', ''])}/{i}", " ".join(r.choices(vocab, k=8))) for i in range(400)]
+    rows += [(i, None if i % 2 else rows[0][1], None) for i in range(400, 420)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = lambda: sorted((r["page_id"], r["words"], r["odds"], r["verdict"]) for r in urls.filter_urls(df, ()).collect())
+    want = found()
+    assert len(want) == len(rows)
+    monkeypatch.setattr(urls, "VOCABULARY", 20)
+    assert found() == want
+
+
 def test_fixity(spark):
     rows = [(i, f"http://x/{i}", "b" * (i % 50)) for i in range(700)] + [(3, "http://x/3", "b" * 3), (None, None, None)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
