@@ -6,7 +6,9 @@ a block of texts at once, neighbours in suffix order give the longest common pre
 the maximal repeats among them are united into spans.
 
 Texts without white space are covered too: a word of over ``LONG_WORD`` code points counts
-as one token per code point, and a repeat must also be ``min_chars`` long.
+as one token per code point, and a repeat must also be ``min_chars`` long. For the limit on the longest
+repeat, ``WORD_CHARS`` such tokens count as a word. A run of over ``LONG_WORD`` times the same code
+point (a ruler line) is one token, so it does not repeat itself.
 
 Nulls and empty texts have no words, fail the base rule and have no spans. Other columns of
 the input stay as they are; one named like the result column is replaced.
@@ -14,6 +16,7 @@ the input stay as they are; one named like the result column is replaced.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,12 +28,14 @@ from framewright.llm.common import WORD, chunks, mix
 
 SYMBOLS = "#*$%&|<>"
 LONG_WORD = 40
+WORD_CHARS = 6
+RUN = re.compile(r"(.)\1{%d,}|." % LONG_WORD, re.S)
 WINDOW = 5
 #: Words of texts that are treated together, which bounds the memory of a task.
 BLOCK_WORDS = 400_000
 SCHEMA = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "n_repeats long, longest_repeat long, covered_chars long, spans array<struct<start:int,end:int>>"
+    "n_repeats long, longest_repeat long, longest_words double, covered_chars long, spans array<struct<start:int,end:int>>"
 )
 
 
@@ -116,7 +121,8 @@ def _tokens(text: str) -> tuple[list[str], list[int], list[int]]:
         if len(word) <= LONG_WORD:
             words.append(word), starts.append(at), ends.append(m.end())
         else:
-            words.extend(word), starts.extend(range(at, m.end())), ends.extend(range(at + 1, m.end() + 1))
+            for x in RUN.finditer(word):
+                words.append(x.group()), starts.append(at + x.start()), ends.append(at + x.end())
     return words, starts, ends
 
 
@@ -135,6 +141,7 @@ def analyse(texts: list[str | None], min_words: int, min_chars: int) -> pd.DataF
     repeated = np.bincount(doc, _repeat_words(_numbered(flat), doc), len(texts)).astype(np.int64)
     out["n_repeat_words"] = repeated
     repeats, longest, covered = (np.zeros(len(texts), dtype=np.int64) for _ in range(3))
+    longest_words = np.zeros(len(texts))
     spans: list[list[tuple[int, int]]] = [[] for _ in texts]
     # a repeat of min_words >= WINDOW words has a repeated window; long words are split, so look at all of those
     look = [i for i, w in enumerate(words) if repeated[i] or any(len(x) > LONG_WORD for x in w)]
@@ -153,6 +160,11 @@ def analyse(texts: list[str | None], min_words: int, min_chars: int) -> pd.DataF
         these = np.array(look[lo:hi])
         repeats[these] = np.bincount(at_doc[at], minlength=hi - lo)
         np.maximum.at(longest, these[at_doc[at]], size)
+        # only the tokens of a split word touch each other
+        touch = (end[:-1] == start[1:]) & (at_doc[:-1] == at_doc[1:])
+        weight = np.where(np.r_[touch, False] | np.r_[False, touch], 1, WORD_CHARS)[: len(codes)]
+        before = np.r_[0, np.cumsum(weight)]
+        np.maximum.at(longest_words, these[at_doc[at]], (before[at + size] - before[at]) / WORD_CHARS)
         covered[these] = np.bincount(at_doc, np.where(cover, end - start, 0), hi - lo)
         edge = np.flatnonzero(np.diff(at_doc)) + 1
         first = cover & ~np.r_[False, cover[:-1]]
@@ -161,7 +173,7 @@ def analyse(texts: list[str | None], min_words: int, min_chars: int) -> pd.DataF
         final[edge - 1] |= cover[edge - 1]
         for d, a, b in zip(at_doc[first], start[first], end[final], strict=True):
             spans[look[lo + d]].append((int(a), int(b)))
-    out |= {"n_repeats": repeats, "longest_repeat": longest, "covered_chars": covered, "spans": spans}
+    out |= {"n_repeats": repeats, "longest_repeat": longest, "longest_words": longest_words, "covered_chars": covered, "spans": spans}
     return pd.DataFrame(out)
 
 
@@ -193,9 +205,10 @@ def quality_rules(
 
     ``base_failed``: under ten words, or over a fifth of the words in repeated five-word
     windows. ``kept``: not failed, repeats of ``min_words`` words cover at most
-    ``max_fraction`` of the characters in words, and none is over ``max_longest`` tokens.
+    ``max_fraction`` of the characters in words, and none is over ``max_longest`` words long
+    (``longest_words``; ``longest_repeat`` counts tokens).
     """
     q = lambda name: F.col(f"{out}.{name}")
     failed = (q("n_words") < 10) | (100 * q("n_repeat_words") > 20 * q("n_words"))
-    sound = (q("covered_chars") <= max_fraction * q("word_chars")) & (q("longest_repeat") <= max_longest)
+    sound = (q("covered_chars") <= max_fraction * q("word_chars")) & (q("longest_words") <= max_longest)
     return repetition(df, text, min_words, out=out).withColumn("base_failed", failed).withColumn("kept", ~failed & sound)

@@ -122,6 +122,20 @@ def test_quality_rules(spark, docs, none):
     assert quality.quality_rules(docs).count() == docs.count() and quality.quality_rules(none).count() == 0
 
 
+def test_long_words_are_no_long_repeats(spark):
+    """Clean texts with ruler lines, a long url twice or a phrase without spaces twice stay; a long passage twice does not."""
+    r = random.Random(11)
+    clean = lambda: " ".join(f"word{r.randrange(10**6)}" for _ in range(100))
+    signs = lambda k: "".join(chr(r.randrange(0x4E00, 0x9FA0)) for _ in range(k))
+    url, phrase, passage = "https://example.org/" + "/".join(f"part{i}" for i in range(12)), signs(65), signs(400)
+    texts = [f"{clean()}\n{'-' * 66}\n{clean()}", f"{clean()}\n{'=' * 300}\n{clean()}\n{'=' * 300}", f"{clean()} {url} {clean()} {url}"]
+    texts += [f"{clean()} {signs(500)}{phrase}{signs(500)}{phrase}{signs(500)}", f"{clean()} {signs(3000)}{passage}{signs(3000)}{passage}"]
+    rows = [(i, t, "", "") for i, t in enumerate(texts)]
+    found = {x["doc_id"]: x for x in quality.quality_rules(spark.createDataFrame(rows, DOCS)).collect()}
+    assert [found[i]["kept"] for i in range(5)] == [True, True, True, True, False]
+    assert found[0]["repetition"]["covered_chars"] == 0 and found[4]["repetition"]["longest_words"] == pytest.approx(400 / quality.WORD_CHARS)
+
+
 def plain_secrets(text):
     found = [(m.start(), "assign", m.end()) for m in secrets.ASSIGN.finditer(text) if len(m.group(2)) >= 8]
     found += [(m.start(), "access", m.end()) for m in secrets.ACCESS.finditer(text) if len(m.group()) >= 16]
