@@ -6,16 +6,18 @@ least ``num / den``. The steps:
 
 1. A sketch counts all shingles in 2 ** ``BITS`` buckets and so gives each shingle a class of
    frequency. Its size is constant, and it only sets an order: classes ascending, then hashes.
-2. A node's prefix at level l is its first ``n - ceil(num * n / den) + l`` shingles in that order.
-   Two similar nodes share at least l shingles of their prefixes at level l. Each node
-   picks the level with the least estimated cost: postings to read, and candidates to
+2. Two similar nodes of n and m shingles share ``need = ceil((n + m) * num / (num + den))`` of them, so at
+   least l of the first ``n - need + l`` and ``m - need + l`` in that order: their prefixes at level l. Each
+   node picks the level with the least estimated cost: postings to read, and candidates to
    verify, which get fewer as more matches are asked for.
 3. Nodes that share a MinHash value are verified against one leader and joined to it first.
    So large groups of near copies become one component with a number of pairs that is
    linear in their size.
 4. Prefixes are joined on the shingle and a band of set sizes, for nodes in different components
    only, and for pairs that pass a bitmap bound on the symmetric difference. The smaller
-   node of a pair probes, and the pair needs as many matches as its level.
+   node of a pair probes, and the pair needs as many matches as its level. A match counts only
+   where its places leave room for the overlap that the pair's two sizes require: own shingles
+   come first, so what two copies of a third text share comes too late in both to pair them.
 5. Pairs left after a finer bitmap bound are verified on the whole sets.
 6. Links give components; each row gets the smallest id that its node reaches.
 
@@ -36,7 +38,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framewright.llm.common import WORD, chunks, lower_ascii, mix, staged
@@ -45,7 +47,7 @@ from framewright.llm.components import components
 #: Of the sketch: 2 ** BITS counters, sent in pieces of SEGMENT.
 BITS, SEGMENT = 22, 1024
 MINHASHES = 3
-LEVELS = 3
+LEVELS = 4
 #: Cost of a verification in postings read, and how much rarer candidates get with each match asked for.
 VERIFY_COST, SELECTIVITY = 50.0, 8.0
 BLOCK_WORDS = 200_000
@@ -155,9 +157,9 @@ def _described(docs: DataFrame, n: int, num: int, den: int, id_type: str) -> Dat
                 need = required(len(own), num, den)
                 most = min(LEVELS, need)
                 kind = classes.value[(own >> np.uint64(64 - BITS)).astype(np.int64)]
-                first = len(own) - need + 1
                 # ``own`` ascends, so a stable sort by class orders by class, then hash
-                order = np.argsort(kind, kind="stable")[: first + LEVELS - 1]
+                order = np.argsort(kind, kind="stable")[: len(own) - need + LEVELS]
+                first = len(own) - required(len(own), 2 * num, num + den) + 1
                 prefixes.append(own[order].view(np.int64)), levels.append(_level(kind[order], first, most))
                 hashes.append(np.array([mix(own ^ s).min() for s in seeds], dtype=np.uint64).view(np.int64))
                 nodes.append(node_of(own)), rare.append(int((kind == 0).sum()))
@@ -231,21 +233,24 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text: str = "text"
     # all other pairs, of nodes in different components
     width = math.log(den / num) if num < den else 1.0
     band = F.floor(F.log(F.col("n").cast("double")) / width + 1e-9).cast("int")
-    came = F.greatest(F.col("pos") + 1 - (F.col("n") - F.ceil(F.col("n") * num / den)), F.lit(1)).cast("int")
+    # the level at which a node's shingle comes into the prefix of a probe, whose partners have its size or more
+    came = F.col("pos") + 1 - (F.col("n") - F.ceil(F.col("n") * 2 * num / (num + den)))
     folded = [F.col(f"b{k}").bitwiseXOR(F.col(f"b{k + 4}")).alias(f"c{k}") for k in range(4)]
     placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     prefixes = rows.filter("node is not null and id_at is not null").groupBy("node").agg(F.first("prefix").alias("prefix"))
     # what goes to the shuffle on all shingles of prefixes is narrow; the rest is added to what is shared between components
     tokens = prefixes.join(placed.select("node", "root"), "node").select("node", "root", F.posexplode("prefix").alias("pos", "token"))
-    # (a window: a token's rows need no second shuffle, and those of a frequent one are sorted and spilled, not held)
-    same = Window.partitionBy("token")
-    shared = tokens.withColumn("lo", F.min("root").over(same)).withColumn("hi", F.max("root").over(same)).filter("lo <> hi")
+    several = tokens.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("token")
+    shared = tokens.join(several, "token", "left_semi")
     postings = shared.select("node", "pos", "token").join(placed.select("node", "n", "root", band.alias("band"), "level", *folded), "node")
-    postings = staged(postings.withColumn("at", came).drop("pos"), "postings")
-    probe = postings.filter("at <= level").select("token", F.explode(F.array("band", F.col("band") + 1)).alias("band"), *(F.col(c).alias(f"u_{c}") for c in ("node", "n", "root", "level", *_FOLDED)))
+    postings = staged(postings, "postings")
+    probe = postings.filter(came <= F.col("level")).select("token", F.explode(F.array("band", F.col("band") + 1)).alias("band"), *(F.col(c).alias(f"u_{c}") for c in ("node", "n", "pos", "root", "level", *_FOLDED)))
     apart = sum((F.bit_count(F.col(f"u_{c}").bitwiseXOR(F.col(c))) for c in _FOLDED), F.lit(0))
+    # the overlap that the pair needs, less what may follow a match that is the level's last
+    before = F.ceil((F.col("u_n") + F.col("n")) * num / (num + den)) - F.col("u_level")
     found = probe.join(postings.drop("level"), ["token", "band"]).filter(
-        (F.col("at") <= F.col("u_level"))
+        (F.col("u_n") - F.col("u_pos") - 1 >= before)
+        & (F.col("n") - F.col("pos") - 1 >= before)
         & (F.col("u_root") != F.col("root"))
         & ((F.col("u_n") < F.col("n")) | ((F.col("u_n") == F.col("n")) & (F.col("u_node") < F.col("node"))))
         & (F.col("n") * num <= F.col("u_n") * den)
