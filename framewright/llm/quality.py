@@ -70,24 +70,26 @@ def suffix_lcp(codes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """Suffix array of the texts' suffixes, text by text, and the common prefix of each with the next.
 
     ``doc`` numbers the texts in ascending order. Prefixes are counted in tokens and stay
-    within a text.
+    within a text. Memory: four bytes a token for each doubling up to the longest text, next to
+    some 60 a token, for one block of ``BLOCK_WORDS`` or one longer text at a time.
     """
     n = len(codes)
+    small = np.int32 if n < (1 << 31) - 2 else np.int64
     rank = np.unique(doc * (codes.max() + 1) + codes, return_inverse=True)[1].astype(np.int64) + 1
-    levels, length, longest = [rank], 1, np.bincount(doc).max()
+    levels, length, longest = [rank.astype(small)], 1, np.bincount(doc).max()
     while rank.max() < n and length < longest:
         after = np.zeros(n, dtype=np.int64)
         inside = np.flatnonzero(doc[: n - length] == doc[length:]) if length < n else np.zeros(0, dtype=np.int64)
         after[inside] = rank[inside + length]
         rank = np.unique(rank * (n + 1) + after, return_inverse=True)[1].astype(np.int64) + 1
-        levels.append(rank)
+        levels.append(rank.astype(small))
         length *= 2
     order = np.empty(n, dtype=np.int64)
     order[rank - 1] = np.arange(n)
     i, j = order[:-1].copy(), order[1:].copy()
     lcp = np.zeros(n - 1, dtype=np.int64)
     for k in range(len(levels) - 1, -1, -1):
-        padded = np.r_[levels[k], 0]
+        padded = np.append(levels.pop(), small(0))
         step = (padded[i] == padded[j]) * np.int64(1 << k)
         lcp += step
         i += step
@@ -200,15 +202,26 @@ def quality_rules(
     max_fraction: float = 0.2,
     max_longest: int = 64,
     out: str = "repetition",
+    failed: str = "base_failed",
+    kept: str = "kept",
 ) -> DataFrame:
-    """Adds ``out``, ``base_failed`` and ``kept``.
+    """Adds ``out``, ``base_failed`` and ``kept``, or columns named by ``failed`` and ``kept``.
 
     ``base_failed``: under ten words, or over a fifth of the words in repeated five-word
     windows. ``kept``: not failed, repeats of ``min_words`` words cover at most
     ``max_fraction`` of the characters in words, and none is over ``max_longest`` words long
     (``longest_words``; ``longest_repeat`` counts tokens).
     """
-    q = lambda name: F.col(f"{out}.{name}")
-    failed = (q("n_words") < 10) | (100 * q("n_repeat_words") > 20 * q("n_words"))
+    q = lambda name: F.col(f"`{out}`.{name}")
+    fails = (q("n_words") < 10) | (100 * q("n_repeat_words") > 20 * q("n_words"))
     sound = (q("covered_chars") <= max_fraction * q("word_chars")) & (q("longest_words") <= max_longest)
-    return repetition(df, text, min_words, out=out).withColumn("base_failed", failed).withColumn("kept", ~failed & sound)
+    return repetition(df, text, min_words, out=out).withColumn(failed, fails).withColumn(kept, ~fails & sound)
+
+
+def keep_sound(df: DataFrame, text: str = "text") -> DataFrame:
+    """``df`` without the rows that ``quality_rules`` rejects; its columns stay, whatever their names."""
+    prefix = "_"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    judged = quality_rules(df, text, out=f"{prefix}repetition", failed=f"{prefix}failed", kept=f"{prefix}kept")
+    return judged.filter(F.col(f"{prefix}kept")).select(*(F.col(f"`{c}`") for c in df.columns))

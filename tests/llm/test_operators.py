@@ -122,6 +122,18 @@ def test_quality_rules(spark, docs, none):
     assert quality.quality_rules(docs).count() == docs.count() and quality.quality_rules(none).count() == 0
 
 
+def test_quality_counts_and_clashes(spark):
+    text = "one #two $three\none #two $three\n \n&& four\n \n* <five> |six| 10%"
+    rows = [(1, text, "s", "mine"), (2, "", None, None), (3, " \n\n", "s", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept string, repetition string")
+    out = {r["doc_id"]: r["x"] for r in quality.repetition(df, out="x").collect()}
+    assert (out[1]["n_words"], out[1]["n_symbols"], out[1]["n_dup_lines"]) == (12, 12, 1)
+    assert (out[2]["n_words"], out[3]["n_words"], out[3]["n_dup_lines"], out[3]["word_chars"]) == (0, 0, 0, 0)
+    clean = " ".join(f"word{i}" for i in range(60))
+    df = spark.createDataFrame([(1, clean, "a", "b", "c"), (2, "no", "a", "b", "c")], "doc_id long, text string, kept string, _kept string, base_failed string")
+    assert [tuple(r) for r in quality.keep_sound(df).collect()] == [(1, clean, "a", "b", "c")]
+
+
 def test_long_words_are_no_long_repeats(spark):
     """Clean texts with ruler lines, a long url twice or a phrase without spaces twice stay; a long passage twice does not."""
     r = random.Random(11)
@@ -222,13 +234,28 @@ def test_backoff_scores(docs, none):
 def test_retrieval_is_brute_force():
     r = random.Random(5)
     vocab = [f"t{i}" for i in range(60)]
-    items = [(i, " ".join(r.choices(vocab, weights=range(1, 61), k=r.randint(3, 15)))) for i in range(40)]
+    items = [(i, " ".join(r.choices(vocab, weights=range(1, 61), k=r.randint(3, 40)))) for i in range(90)]
     index = decontamination.Index(items)
+    assert sorted(i for x in index.postings.values() for i in x.items) == list(range(90)) and len(index.postings) == 4
     for threshold in (0.2, 0.5, 0.8):
-        passages = [sorted({index.vocabulary[w] for w in r.choices(vocab, k=20) if w in index.vocabulary}) for _ in range(50)]
+        passages = [sorted({index.vocabulary[w] for w in r.choices(vocab, k=20) if w in index.vocabulary}) for _ in range(60)]
         flat = np.array([(p, t) for p, own in enumerate(passages) for t in own])
-        want = {(p, i) for p, own in enumerate(passages) for i, x in enumerate(index.impacts) if sum(x.get(t, 0) for t in own) >= threshold}
-        assert {(p, i) for p, i, _ in index.retrieve(flat[:, 0], flat[:, 1], threshold)} == want
+        for postings in index.postings.values():
+            want = {(p, i) for p, own in enumerate(passages) for i in postings.items if sum(index.impacts[i].get(t, 0) for t in own) >= threshold}
+            known = flat[postings.known[flat[:, 1]]]
+            hopeful = set(postings.hopeful(known[:, 0], known[:, 1], threshold).tolist())
+            assert {p for p, _ in want} <= hopeful
+            found = [(p, *x) for p, own in enumerate(passages) for x in postings.wand(own, threshold)]
+            assert {(p, i) for p, i, _ in found} == want and len(found) == len(want)
+            assert all(x == pytest.approx(sum(index.impacts[i].get(t, 0) for t in passages[p])) for p, i, x in found)
+
+
+def test_shards_of_the_index_change_nothing(spark, sf_dir, monkeypatch):
+    docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    found = lambda: sorted(tuple(r) for r in decontamination.contaminated(docs, items).collect())
+    one, kept = found(), decontamination.drop_contaminated(docs, items).count()
+    monkeypatch.setattr(decontamination, "ITEMS", 20)
+    assert one and found() == one and decontamination.drop_contaminated(docs, items.unionByName(items)).count() == kept
 
 
 def test_contaminated(spark, docs, none):
@@ -245,6 +272,10 @@ def test_contaminated(spark, docs, none):
     assert decontamination.drop_contaminated(docs, items.limit(0)).count() == docs.count()
     assert decontamination.contaminated(none, items).count() == 0
     assert decontamination.contaminated(docs, items.limit(0)).count() == 0
+    clash = decontamination.contaminated(extra, items.withColumnRenamed("item_id", "doc_id"), item_col="doc_id")
+    assert [(r["doc_id"], r["item_doc_id"]) for r in clash.collect()] == [(500, 7)]
+    long = spark.createDataFrame([(1, " ".join(f"y{i}" for i in range(300_000)) + " " + leak, "", "")] * 2, DOCS)
+    assert [r["item_id"] for r in decontamination.contaminated(long, items).collect()] == [7, 7]
 
 
 def held(words, run):
@@ -266,13 +297,14 @@ def test_find_leaks_is_brute_force():
     items = [(i, f"{some(r.randint(1, 6))}? {some(r.randint(1, 4))}.") for i in range(30)] + [(30 + i, some(2 + i)) for i in range(8)]
     index = decontamination.Index(items)
     texts = [decontamination.terms(f"{some(r.randint(0, 60))} {r.choice(items)[1] if r.random() < 0.6 else ''} {some(r.randint(0, 60))}") for _ in range(60)]
-    half, want, short = max(index.longest, 8), set(), 0
+    want, short = set(), 0
     for d, words in enumerate(texts):
-        for at in range(0, len(words), half):
-            window = words[at : at + 2 * half]
-            own = {index.vocabulary[w] for w in window}
-            for i, (_, text) in enumerate(items):
-                q, a = decontamination.question_answer(text)
+        for i, (_, text) in enumerate(items):
+            half = decontamination.half_of(len(decontamination.terms(text)))
+            q, a = decontamination.question_answer(text)
+            for at in range(0, len(words), half):
+                window = words[at : at + 2 * half]
+                own = {index.vocabulary[w] for w in window if w in index.vocabulary}
                 if sum(index.impacts[i].get(t, 0) for t in own) >= 0.5 and share(window, q) >= 0.6 and share(window, a) >= 0.5:
                     want.add((d, i))
                     short += min(len(q), len(a)) < 3
