@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 from framewright.llm.common import staged
 from framewright.llm.decontamination import drop_contaminated
 from framewright.llm.packing import pack_buckets
-from framewright.llm.quality import quality_rules
+from framewright.llm.quality import keep_sound
 from framewright.llm.secrets import redact_secrets
 from framewright.llm.similarity import drop_near_duplicates
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what the suffix-array rules reject."""
-    return quality_rules(docs, out="repetition_").filter("kept").select(docs.columns)
+    return keep_sound(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
