@@ -38,7 +38,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewright.llm.common import WORD, chunks, lower_ascii, mix, staged
@@ -239,10 +239,15 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text: str = "text"
     placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     prefixes = rows.filter("node is not null and id_at is not null").groupBy("node").agg(F.first("prefix").alias("prefix"))
     # what goes to the shuffle on all shingles of prefixes is narrow; the rest is added to what is shared between components
-    tokens = prefixes.join(placed.select("node", "root"), "node").select("node", "root", F.posexplode("prefix").alias("pos", "token"))
-    several = tokens.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("token")
-    shared = tokens.join(several, "token", "left_semi")
-    postings = shared.select("node", "pos", "token").join(placed.select("node", "n", "root", band.alias("band"), "level", *folded), "node")
+    tokens = prefixes.join(placed.select("node", "root", "rare"), "node").select("node", "root", "rare", F.posexplode("prefix").alias("pos", "token"))
+    # a prefix begins with its rare shingles. A window sorts and spills their rows, and needs no second shuffle; frequent
+    # ones, whose rows may be many, are summed before the shuffle and joined back
+    same = Window.partitionBy("token")
+    rare = tokens.filter("pos < rare").withColumn("lo", F.min("root").over(same)).withColumn("hi", F.max("root").over(same)).filter("lo <> hi")
+    frequent = tokens.filter("pos >= rare")
+    several = frequent.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("token")
+    shared = rare.select("node", "pos", "token").union(frequent.join(several, "token", "left_semi").select("node", "pos", "token"))
+    postings = shared.join(placed.select("node", "n", "root", band.alias("band"), "level", *folded), "node")
     postings = staged(postings, "postings")
     probe = postings.filter(came <= F.col("level")).select("token", F.explode(F.array("band", F.col("band") + 1)).alias("band"), *(F.col(c).alias(f"u_{c}") for c in ("node", "n", "pos", "root", "level", *_FOLDED)))
     apart = sum((F.bit_count(F.col(f"u_{c}").bitwiseXOR(F.col(c))) for c in _FOLDED), F.lit(0))
