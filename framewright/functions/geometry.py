@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 #: Target sizes, in the order that breaks ties.
 SIZES_512 = ((512, 512), (448, 576), (576, 448))
 SIZES_1024 = ((1024, 1024), (896, 1152), (1152, 896))
-#: Named aspect targets.
-ASPECTS = (("square", 1, 1), ("portrait", 3, 4), ("landscape", 4, 3), ("tall", 9, 16), ("wide", 16, 9))
+#: Target sizes and their aspect ratios, in the order that breaks ties.
+ASPECTS = (("640x960", 2, 3), ("768x1024", 3, 4), ("960x640", 3, 2), ("1024x1024", 1, 1), ("1024x768", 4, 3))
 
 
 #: Fixed values: (width step, height step, first, last) of each family of resolutions, upright and lying.
@@ -42,6 +42,7 @@ def nearest_resolution(w: Column, h: Column, sizes: Sequence[tuple[int, int]] =
 
 
 def nearest_aspect(w: Column, h: Column) -> Column:
+    """The target of the nearest ratio and the height that a crop of full width has at that ratio."""
     ratio = F.try_divide(w.cast("double"), h)
     return _nearest([F.abs(F.lit(a / b) - ratio) for _, a, b in ASPECTS], [F.struct(F.lit(n).alias("name"), F.floor(w / F.lit(a / b)).cast("int").alias("crop_h")) for n, a, b in ASPECTS])
 
@@ -49,8 +50,8 @@ def nearest_aspect(w: Column, h: Column) -> Column:
 def adjust_crop(x1: Column, y1: Column, x2: Column, y2: Column, w: Column, h: Column) -> Column:
     """The box at the nearest of the ratios 1, 3/4 and 4/3 about its centre, as a struct.
 
-    It grows if the image has room, else it shrinks; then it is clamped and truncated. A box
-    without height gives null.
+    It grows if the grown window about the centre lies inside the image, else it shrinks; then it is
+    clamped and truncated. A box without height gives null.
     """
     ratios = (1.0, 0.75, 4 / 3)
 
@@ -60,11 +61,12 @@ def adjust_crop(x1: Column, y1: Column, x2: Column, y2: Column, w: Column, h: Co
         return _let(lambda s: _let(lambda t: sized(b, s, t["target"]), target=target(s)), bw=bw, bh=bh, ratio=F.try_divide(bw, bh))
 
     def sized(b: Column, s: Column, target: Column) -> Column:
-        wide, by_w, by_h = s["ratio"] > target, s["bw"] / target, s["bh"] * target
-        grow_w, grow_h = F.when(wide, s["bw"]).otherwise(by_h), F.when(wide, by_w).otherwise(s["bh"])
-        fits = (grow_w <= b["w"]) & (grow_h <= b["h"])
-        nw = F.when(fits, grow_w).when(wide, by_h).otherwise(s["bw"])
-        nh = F.when(fits, grow_h).when(wide, s["bh"]).otherwise(by_w)
+        narrow, by_w, by_h = target > s["ratio"], s["bw"] / target, s["bh"] * target
+        grow_w, grow_h = F.when(narrow, by_h).otherwise(s["bw"]), F.when(narrow, s["bh"]).otherwise(by_w)
+        inside = lambda low, high, side, most: ((low + high) / 2 - side / 2 >= 0) & ((low + high) / 2 + side / 2 <= most)
+        fits = inside(b["x1"], b["x2"], grow_w, b["w"]) & inside(b["y1"], b["y2"], grow_h, b["h"])
+        nw = F.when(fits, grow_w).when(narrow, s["bw"]).otherwise(by_h)
+        nh = F.when(fits, grow_h).when(narrow, by_w).otherwise(s["bh"])
         return F.when(s["bh"] != 0, _let(lambda n: clamped(b, n), nw=nw, nh=nh))
 
     def clamped(b: Column, n: Column) -> Column:
@@ -78,30 +80,65 @@ def adjust_crop(x1: Column, y1: Column, x2: Column, y2: Column, w: Column, h: Co
 
 
 def center_crop(x1: Column, y1: Column, x2: Column, y2: Column, w: Column, h: Column) -> Column:
-    """A window of ``w`` by ``h`` about the box's centre, at 0 or above; null for boxes with a side under 250."""
+    """A window of ``w`` by ``h`` about the truncated box's centre, at 0 or above; null for boxes with a side under 250."""
+    x1, y1, x2, y2 = (c.cast("int") for c in (x1, y1, x2, y2))
     left, top = F.greatest(F.floor((x1 + x2) / 2 - w / 2), F.lit(0)), F.greatest(F.floor((y1 + y2) / 2 - h / 2), F.lit(0))
     box = F.struct(left.cast("int").alias("x1"), top.cast("int").alias("y1"), (left + w).cast("int").alias("x2"), (top + h).cast("int").alias("y2"))
     return F.when((x2 - x1 >= 250) & (y2 - y1 >= 250), box)
 
 
-def select_bucket(w: Column, h: Column, max_area: int = 1024 * 1024, step: int = 64) -> Column:
-    """No-upscale bucket: shrink to ``max_area``, then cut each side to a multiple of ``step``."""
+def center_crop_nearest(x1: Column, y1: Column, x2: Column, y2: Column, sizes: Sequence[tuple[int, int]] = RESOLUTIONS) -> Column:
+    """``center_crop`` to the resolution nearest to the truncated box's size."""
+    bw, bh = x2.cast("int") - x1.cast("int"), y2.cast("int") - y1.cast("int")
+    return _let(lambda s: center_crop(x1, y1, x2, y2, s["size"]["w"], s["size"]["h"]), size=nearest_resolution(bw, bh, sizes))
+
+
+def select_bucket(w: Column, h: Column, max_area: int = 1024 * 1024, step: int = 64, resos: Sequence[tuple[int, int]] | None = None) -> Column:
+    """Bucket, resized size and error of the ratio, as a struct (w, h, resized_w, resized_h, ar_error).
+
+    Without ``resos`` images only shrink: to ``max_area``, with one side at a multiple of ``step``; the
+    bucket is what multiples of ``step`` the resized image covers. With ``resos`` images shrink or grow to cover
+    the bucket among them that equals their size, else has the nearest ratio.
+    """
     ratio = F.try_divide(w.cast("double"), h)
-    rw, rh = F.sqrt(F.lit(float(max_area)) * ratio), F.sqrt(F.lit(float(max_area)) / ratio)
-    to = lambda c: F.floor(c + 0.5) - F.pmod(F.floor(c + 0.5), F.lit(step))
-    by_w, by_h = (to(rw), to(to(rw) / ratio)), (to(to(rh) * ratio), to(rh))
-    err = lambda p: F.abs(F.try_divide(p[0].cast("double"), p[1]) - ratio)
-    first = err(by_w) < err(by_h)
-    large = w.cast("long") * h > max_area
-    sw = F.when(large, F.when(first, by_w[0]).otherwise(by_h[0])).otherwise(w.cast("long"))
-    sh = F.when(large, F.when(first, by_w[1]).otherwise(by_h[1])).otherwise(h.cast("long"))
-    return F.struct((sw - F.pmod(sw, F.lit(step))).alias("w"), (sh - F.pmod(sh, F.lit(step))).alias("h"), sw.alias("resized_w"), sh.alias("resized_h"))
+    whole = lambda c: F.floor(c + 0.5).cast("long")
+
+    def out(bw: Column, bh: Column, rw: Column, rh: Column) -> Column:
+        return F.struct(bw.cast("long").alias("w"), bh.cast("long").alias("h"), rw.alias("resized_w"), rh.alias("resized_h"), (F.try_divide(bw.cast("double"), bh) - ratio).alias("ar_error"))
+
+    if resos:
+        own = F.lit(False)
+        for a, b in resos:
+            own = own | ((w == a) & (h == b))
+
+        def covered(s: Column) -> Column:
+            scale = F.when(ratio > s["size"]["w"] / s["size"]["h"], s["size"]["h"] / h).otherwise(s["size"]["w"] / w)
+            return _let(lambda k: out(s["size"]["w"], s["size"]["h"], whole(w * k["scale"]), whole(h * k["scale"])), scale=scale)
+
+        return _let(covered, size=F.when(own, F.struct(w.cast("int").alias("w"), h.cast("int").alias("h"))).otherwise(nearest_size(w, h, resos)))
 
+    to = lambda c: whole(c) - F.pmod(whole(c), F.lit(step))
 
-def crop_ltrb(rw: Column, rh: Column, w: Column, h: Column) -> Column:
-    """Margins of a resized image in its bucket, floor centred."""
-    left, top = F.floor((rw - w) / 2), F.floor((rh - h) / 2)
-    return F.struct(left.alias("left"), top.alias("top"), (left + w).alias("right"), (top + h).alias("bottom"))
+    def rounded(s: Column) -> Column:
+        by_w = F.abs(F.try_divide(s["rw"].cast("double"), to(s["rw"] / ratio)) - ratio)
+        by_h = F.abs(F.try_divide(to(s["rh"] * ratio).cast("double"), s["rh"]) - ratio)
+        large, first = w.cast("long") * h > max_area, by_w < by_h
+        sw = F.when(~large, w.cast("long")).when(first, s["rw"]).otherwise(whole(s["rh"] * ratio))
+        sh = F.when(~large, h.cast("long")).when(first, whole(s["rw"] / ratio)).otherwise(s["rh"])
+        return _let(lambda r: out(r["w"] - F.pmod(r["w"], F.lit(step)), r["h"] - F.pmod(r["h"], F.lit(step)), r["w"], r["h"]), w=sw, h=sh)
+
+    rw = F.sqrt(F.lit(float(max_area)) * ratio)
+    return _let(rounded, rw=to(rw), rh=to(F.lit(float(max_area)) / rw))
+
+
+def crop_ltrb(bucket_w: Column, bucket_h: Column, w: Column, h: Column) -> Column:
+    """Where an image of ``w`` by ``h``, resized to fit inside its bucket, lies in it, as doubles."""
+    bw, bh = bucket_w.cast("double"), bucket_h.cast("double")
+    ratio = F.try_divide(w.cast("double"), h)
+    wide = F.try_divide(bw, bh) > ratio
+    rw, rh = F.when(wide, bh * ratio).otherwise(bw), F.when(wide, bh).otherwise(bw / ratio)
+    left, top = (F.floor((a - b) / 2).cast("double") for a, b in ((bw, rw), (bh, rh)))
+    return F.struct(left.alias("left"), top.alias("top"), (left + rw).alias("right"), (top + rh).alias("bottom"))
 
 
 def fit_letterbox(w: Column, h: Column, side: int = 1024) -> Column:
@@ -111,12 +148,22 @@ def fit_letterbox(w: Column, h: Column, side: int = 1024) -> Column:
 
 
 def center_paste(w: Column, h: Column, side: int = 96) -> Column:
-    """(action, x, y): pad where either side is short, else resize."""
+    """(action, x, y): pad where either side is short, else resize; the offset of a longer side is negative."""
     pad = (w < side) | (h < side)
-    at = lambda c: F.when(pad, F.floor((side - c) / 2)).otherwise(0).cast("int")
+    at = lambda c: F.when(pad, F.floor((F.lit(side) - c) / 2)).otherwise(0).cast("int")
     return F.struct(F.when(pad, "pad").otherwise("resize").alias("action"), at(w).alias("x"), at(h).alias("y"))
 
 
+def center_cut_paste(w: Column, h: Column, side_w: int = 96, side_h: int = 96) -> Column:
+    """Without resizing: the box (x1, y1, x2, y2) of the image that the canvas can hold, and where it is pasted (x, y)."""
+    def along(c: Column, side: int):
+        low = F.greatest(F.floor((c - side) / 2), F.lit(0)).cast("int")
+        return low, F.least(c, low + side).cast("int"), F.greatest(F.floor((F.lit(side) - F.least(c, F.lit(side))) / 2), F.lit(0)).cast("int")
+
+    (x1, x2, x), (y1, y2, y) = along(w, side_w), along(h, side_h)
+    return F.struct(x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"), x.alias("x"), y.alias("y"))
+
+
 def trim_top_bottom(h: Column, px: int) -> Column:
     return F.when(h - 2 * px > 0, h - 2 * px)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,6 +18,15 @@ SCORE_LABELS = {
 }
 
 
+#: The score phrases that captions lose first, in this order.
+SCORE_PHRASES = ("score_9,", "score_8_up,", "score_7_up,", "score_6_up,", "score_5_up,", "score_4_up,")
+
+
+def bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, where it is named in several places."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
 def uniform(seed: int, *keys) -> Column:
     """A number in [0, 1) from a hash of the seed and keys: the same in every run and partitioning."""
     digest = F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *(k.cast("string") for k in keys))), 1, 8)
@@ -40,17 +49,22 @@ def remove_brackets(c: Column) -> Column:
 
 def remove_substring_tags(c: Column) -> Column:
     """Drops every tag that is part of a different tag; exact repeats stay."""
-    # the list is bound once; named twice, it would be split anew for every tag
-    kept = F.transform(F.array(pieces(c)), lambda tags: F.filter(tags, lambda x: ~F.exists(tags, lambda y: (y != x) & y.contains(x))))
-    return F.array_join(F.get(kept, 0), ", ")
+    def alone(s: Column) -> Column:
+        # a tag occurs once in the list of distinct tags, for itself; anywhere else it is part of another
+        return F.filter(s["tags"], lambda x: F.when(x == "", s["all"] == ",,").otherwise(F.length(s["all"]) - F.length(F.replace(s["all"], x, F.lit(""))) == F.length(x)))
+
+    listed = lambda tags: F.struct(tags.alias("tags"), F.concat(F.lit(","), F.array_join(F.array_distinct(tags), ","), F.lit(",")).alias("all"))
+    return F.array_join(bound(pieces(c), lambda tags: bound(listed(tags), alone)), ", ")
 
 
 def drop_tags_randomly(c: Column, key: Column, trigger_rate: float = 0.3, drop_chance: float = 0.6, seed: int = 0, empty_text: str = "cartoon") -> Column:
     """With ``trigger_rate``, keeps each tag with a chance of 1 - ``drop_chance``; never empties a caption."""
-    tags = F.split(c, ", ")
-    kept = F.filter(tags, lambda x, i: uniform(seed, key, i) > drop_chance)
-    thinned = F.when(F.size(kept) > 0, F.array_join(kept, ", ")).otherwise(c)
-    return F.when(c == "", empty_text).when(uniform(seed, key) > trigger_rate, c).otherwise(thinned)
+
+    def thinned(text: Column) -> Column:
+        kept = F.filter(F.split(text, ", "), lambda x, i: uniform(seed, key, i) > drop_chance)
+        return bound(kept, lambda tags: F.when(F.size(tags) > 0, F.array_join(tags, ", ")).otherwise(text))
+
+    return bound(c, lambda text: F.when(text == "", empty_text).when(uniform(seed, key) > trigger_rate, text).otherwise(thinned(text)))
 
 
 def expand_scores(folders: Column) -> Column:
@@ -65,8 +79,9 @@ def replace_phrases(c: Column, mapping: Mapping[str, str] | None = None) -> Colu
     return c
 
 
-def remove_phrases(c: Column, banned: Sequence[str] = ()) -> Column:
-    return replace_phrases(c, dict.fromkeys(banned, ""))
+def remove_phrases(c: Column, banned: Sequence[str] = (), scores: Sequence[str] = SCORE_PHRASES) -> Column:
+    """Without the score phrases, then without the banned ones, each in the order given."""
+    return replace_phrases(c, dict.fromkeys((*scores, *banned), ""))
 
 
 def folder_labels(rel_dir: Column) -> Column:
@@ -135,12 +150,19 @@ def extension(filename: Column) -> Column:
     return F.regexp_extract(filename, r"^.*[^.].*(\.[^.]*)$", 1)
 
 
-def html_links(html: Column) -> Column:
-    """(href, text) of the anchors; the href without slashes at its ends, empty ones left out."""
-    anchor = r'(?s)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
-    pairs = F.arrays_zip(F.regexp_extract_all(html, F.lit(anchor), 1).alias("href"), F.regexp_extract_all(html, F.lit(anchor), 2).alias("text"))
-    stripped = F.transform(pairs, lambda p: F.struct(F.regexp_replace(p["href"], "^/+|/+$", "").alias("href"), p["text"].alias("text")))
-    return F.filter(stripped, lambda p: p.href != "")
+def html_links(html: Column, attribute: tuple[str, str] | None = None, ext: str | None = None) -> Column:
+    """(href, text) of the anchors; the href without slashes at its ends, empty ones left out.
+
+    Only those with the ``attribute`` (name, value), and whose href ends with ``ext``, such as ``.png``.
+    The text is without markup and white space at its ends.
+    """
+    anchor = r"(?s)(<a\s[^>]*>)(.*?)</a>"
+    pairs = F.arrays_zip(F.regexp_extract_all(html, F.lit(anchor), 1).alias("tag"), F.regexp_extract_all(html, F.lit(anchor), 2).alias("text"))
+    if attribute:
+        pairs = F.filter(pairs, lambda p: p["tag"].rlike(rf'\s{attribute[0]}="{attribute[1]}"'))
+    href = lambda p: F.regexp_replace(F.regexp_extract(p["tag"], r'\shref="([^"]*)"', 1), "^/+|/+$", "")
+    stripped = F.transform(pairs, lambda p: F.struct(href(p).alias("href"), py_strip(F.regexp_replace(p["text"], "(?s)<[^>]*>", "")).alias("text")))
+    return F.filter(stripped, lambda p: (p.href != "") & p.href.endswith(ext or ""))
 
 
 def html_heading(html: Column, tag: str = "h1", scope_class: str | None = None) -> Column:
@@ -150,15 +172,18 @@ def html_heading(html: Column, tag: str = "h1", scope_class: str | None = None)
 
 
 def html_images(html: Column, article_class: str | None = None) -> Column:
-    """(src, id) of the matching articles (all without a class); ids without ``#``, dots as underscores, else ``unknown``."""
+    """(src, id) of the matching articles (all without a class) that have an image with a source.
+
+    Ids are without ``#`` at their ends, dots as underscores; ``unknown`` where there's none.
+    """
     scope = rf'[^>]*class="[^"]*\b{article_class}\b[^"]*"' if article_class else r"\b"
     articles = F.regexp_extract_all(html, F.lit(rf"(?s)<article{scope}[^>]*>(.*?)</article>"), 1)
 
     def image(a: Column) -> Column:
-        own = F.replace(F.replace(F.regexp_extract(a, r'(?s)class="[^"]*sprite-id[^"]*"[^>]*>\s*(.*?)\s*<', 1), F.lit("#"), F.lit("")), F.lit("."), F.lit("_"))
+        own = F.replace(F.trim(F.regexp_extract(a, r'(?s)class="[^"]*sprite-id[^"]*"[^>]*>\s*(.*?)\s*<', 1), F.lit("#")), F.lit("."), F.lit("_"))
         return F.struct(F.regexp_extract(a, r'(?s)<img[^>]*src="([^"]*)"', 1).alias("src"), F.when(own == "", "unknown").otherwise(own).alias("id"))
 
-    return F.transform(articles, image)
+    return F.filter(F.transform(articles, image), lambda x: x.src != "")
 
 
 def absolute_url(base: str, href: Column) -> Column:

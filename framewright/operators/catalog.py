@@ -7,19 +7,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from framewright.functions.text import py_strip
+from framewright.functions.text import caption_kind_name, py_strip, remove_brackets
 
 
 def filter_api_quality(df: DataFrame, min_w: int = 600, min_h: int = 600) -> DataFrame:
-    """Items that are liked, large enough and have a prompt."""
-    liked = (F.col("heart") > 5) & ((F.col("heart") + F.col("likes")) / 2 > F.col("laugh") + F.col("cry"))
-    return df.filter(liked & F.col("prompt").isNotNull() & (F.col("width") >= min_w) & (F.col("height") >= min_h))
+    """Items that are liked, large enough and have a prompt.
+
+    Counts and prompt are flat (``heart, likes, laugh, cry, prompt``), or in ``stats`` and ``meta`` as ``read_api_items`` gives them.
+    """
+    if "stats" in df.columns:
+        heart, likes, laugh, cry = (F.col(f"stats.{x}Count") for x in ("heart", "like", "laugh", "cry"))
+        prompt = F.try_element_at("meta", F.lit("prompt"))
+    else:
+        heart, likes, laugh, cry, prompt = (F.col(x) for x in ("heart", "likes", "laugh", "cry", "prompt"))
+    liked = (heart > 5) & ((heart + likes) / 2 > laugh + cry)
+    return df.filter(liked & prompt.isNotNull() & (F.col("width") >= min_w) & (F.col("height") >= min_h))
 
 
 def filter_expected_size(df: DataFrame, w: int, h: int) -> DataFrame:
     return df.filter((F.col("width") == w) & (F.col("height") == h))
 
 
+def filter_size_of(df: DataFrame, reference: DataFrame) -> DataFrame:
+    """Rows of the size of the reference's one row; none if it has no row."""
+    size = reference.select(F.col("width").alias("_w"), F.col("height").alias("_h")).limit(1)
+    return df.join(F.broadcast(size), (F.col("width") == F.col("_w")) & (F.col("height") == F.col("_h"))).drop("_w", "_h")
+
+
 def filter_small(df: DataFrame, size_threshold: int = 576) -> DataFrame:
     return df.filter(F.greatest("width", "height") <= size_threshold)
 
@@ -95,14 +109,33 @@ def combine_caption_kinds(captions: DataFrame, kinds: Sequence[str] = ("blip", "
     return captions.filter(F.col("kind").isin(list(kinds))).groupBy("rel_dir", "stem").agg(F.concat_ws(", ", *parts).alias("text"))
 
 
-def label_from_ids(df: DataFrame, names: DataFrame) -> DataFrame:
-    """Style and body ids of ``a.b.png`` files, their names or else the ids, and the label text."""
+def _captioned(label: Column, content: str | None) -> Column:
+    return F.concat(label, F.lit(", "), remove_brackets(F.col(content))) if content else label
+
+
+def label_from_id(df: DataFrame, names: DataFrame, content: str | None = None) -> DataFrame:
+    """Adds ``style_id`` of ``a.png`` files and ``label``, its name or else the id; other files drop out.
+
+    With ``content`` the label stands before that column's text, brackets removed.
+    """
+    ids = df.withColumn("style_id", F.regexp_extract("filename", r"^(\d+)[a-zA-Z]?\.png$", 1)).filter("style_id <> ''")
+    named = ids.join(names.toDF("style_id", "style_name"), "style_id", "left")
+    return named.withColumn("label", _captioned(F.lower(F.coalesce("style_name", "style_id")), content)).drop("style_name")
+
+
+def label_from_ids(df: DataFrame, names: DataFrame, content: str | None = None) -> DataFrame:
+    """Adds style and body ids of ``a.b.png`` or ``a_b.png`` files and ``label``, made of their names or else the ids.
+
+    Other files drop out. With ``content`` the label stands before that column's text, brackets removed.
+    """
     pattern = r"^(\d+)[._](\d+)[a-zA-Z]?\.png$"
+    df = df.filter(F.col("filename").rlike(pattern))
     ids = df.withColumn("style_id", F.regexp_extract("filename", pattern, 1)).withColumn("body_id", F.regexp_extract("filename", pattern, 2))
     style, body = names.toDF("style_id", "style_name"), names.toDF("body_id", "body_name")
     named = ids.join(style, "style_id", "left").join(body, "body_id", "left")
     s, b = F.lower(F.coalesce("style_name", "style_id")), F.lower(F.coalesce("body_name", "body_id"))
-    return named.withColumn("label", F.concat(F.lit("fusion "), b, F.lit("_body in "), s, F.lit("_style"))).drop("style_name", "body_name")
+    label = F.concat(F.lit("fusion "), b, F.lit("_body in "), s, F.lit("_style"))
+    return named.withColumn("label", _captioned(label, content)).drop("style_name", "body_name")
 
 
 def dest_name_from_prompt(df: DataFrame, names: DataFrame) -> DataFrame:
@@ -126,12 +159,41 @@ def id_pair_urls(ids: DataFrame, base: str) -> DataFrame:
 
 
 def dense_grid(images: DataFrame, n: int = 502, cols: int = 20, cell: int = 96) -> DataFrame:
-    """Cells 0 to n - 1 of a sheet with their places; ``blank`` where no image has the index ``idx``."""
+    """Cells 0 to n - 1 of a sheet with their places; ``blank`` where no image has the index ``idx``.
+
+    The sheet has ``grid_rows(n, cols)`` rows. ``indexed`` takes the indexes from file names.
+    """
     cells = images.sparkSession.range(n).withColumnRenamed("id", "idx")
     at = cells.join(images.select("idx").distinct().withColumn("has", F.lit(True)), "idx", "left")
     return at.select("idx", F.col("has").isNull().alias("blank"), ((F.col("idx") % cols) * cell).alias("x"), (F.floor(F.col("idx") / cols) * cell).alias("y"))
 
 
+def grid_rows(n: int, cols: int = 20) -> int:
+    return -(-n // cols)
+
+
+def indexed(images: DataFrame, base: str) -> DataFrame:
+    """The images named ``{base}.{i}.png``, with ``idx``."""
+    head, tail = f"{base}.", F.expr(f"substr(filename, {len(base) + 2}, length(filename) - {len(base) + 5})")
+    own = images.filter(F.col("filename").startswith(head) & F.col("filename").endswith(".png") & tail.rlike("^[0-9]{1,18}$"))
+    return own.withColumn("idx", tail.cast("long"))
+
+
+def rename_captions(captions: DataFrame, images: DataFrame, suffix: str = "_wd14") -> DataFrame:
+    """Captions (``rel_dir, filename``) after those paired with an image have got the suffix.
+
+    Captions that have it, and those without an image of their stem in the folder, stay. A renamed caption replaces
+    one that has the new name; of several the last by ``id`` wins.
+    """
+    stem = F.regexp_replace("filename", r"\.txt$", "")
+    has = images.filter(F.col("filename").rlike(r"\.(png|jpg|jpeg|gif|bmp)$")).select("rel_dir", F.regexp_replace("filename", r"\.[^.]*$", "").alias("_stem")).distinct().withColumn("_has", F.lit(True))
+    named = captions.withColumn("_stem", stem).join(has, ["rel_dir", "_stem"], "left")
+    moves = F.col("_has").isNotNull() & F.col("filename").endswith(".txt") & ~F.col("filename").endswith(f"{suffix}.txt")
+    named = named.withColumn("_moved", F.coalesce(moves, F.lit(False)).cast("int")).withColumn("filename", F.when(F.col("_moved") == 1, caption_kind_name(F.col("_stem"), suffix)).otherwise(F.col("filename")))
+    last = F.row_number().over(Window.partitionBy("rel_dir", "filename").orderBy(F.desc("_moved"), F.desc("id")))
+    return named.withColumn("_k", last).filter("_k = 1").select(*captions.columns)
+
+
 def recode_ids(df: DataFrame, mapping: DataFrame, column: str = "id") -> DataFrame:
     """``name`` for each id; ids without one as text."""
     return df.join(mapping.select(F.col("id").alias(column), "name"), column, "left").withColumn("name", F.coalesce("name", F.col(column).cast("string")))

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewright.functions.geometry import adjust_crop
-from framewright.functions.text import frame_name, uniform
+from framewright.functions.text import frame_name, merge_tag_lists, py_strip, uniform
 
 
 def tag_frequency(tagged: DataFrame, column: str = "tags") -> DataFrame:
@@ -39,13 +41,23 @@ def shard_summary(sharded: DataFrame) -> DataFrame:
     return sharded.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
 
 
-def merge_caption_results(results: DataFrame) -> DataFrame:
-    """A map of key to text for each image; of repeated keys the last turn wins."""
-    last = results.groupBy("image_id", "key").agg(F.max_by("text", "turn").alias("text"))
-    return last.groupBy("image_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("key", "text")))).alias("meta"))
+def merge_caption_results(results: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """A map of key to text for each image; of repeated keys the last turn wins, of its texts the greatest.
+
+    ``existing`` (``image_id, meta``) keeps its other keys and its images without results.
+    """
+    last = results.groupBy("image_id", "key").agg(F.max(F.struct("turn", "text")).alias("t"))
+    new = last.groupBy("image_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("key", "t.text")))).alias("meta"))
+    if existing is None:
+        return new
+    both = existing.select("image_id", F.col("meta").alias("old")).join(new, "image_id", "full_outer")
+    kept = F.map_filter("old", lambda k, _: ~F.array_contains(F.map_keys("meta"), k))
+    merged = F.when(F.col("old").isNull(), F.col("meta")).when(F.col("meta").isNull(), F.col("old")).otherwise(F.map_concat(kept, "meta"))
+    return both.select("image_id", merged.alias("meta"))
 
 
 def fetch_batch_summary(log: DataFrame, batch: int = 500, limit: int = 100) -> DataFrame:
+    log = log.withColumn("batch", F.floor(F.col("seq") / batch))
     kept = cut_after_failures(log, batch, limit)
     done = kept.groupBy("batch").agg(F.count_if("ok").alias("n_ok"), F.count(F.lit(1)).alias("n"))
     sizes = log.groupBy("batch").agg(F.count(F.lit(1)).alias("of"))
@@ -84,7 +96,7 @@ def select_sharpest(scores: DataFrame, n: int = 100) -> DataFrame:
 def sample_per_folder(captions: DataFrame, k: int = 2, seed: int = 0) -> DataFrame:
     """k files of each folder, drawn from all below it; smaller folders are left out."""
     parts = F.split("rel_dir", "/")
-    above = captions.withColumn("dir", F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))))
+    above = captions.select("*", F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))).alias("dir"))
     path = F.concat_ws("/", "rel_dir", "stem")
     order = Window.partitionBy("dir").orderBy(uniform(seed, F.col("dir"), path), "rel_dir", "stem", "id")
     ranked = above.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
@@ -100,15 +112,17 @@ def numbered(df: DataFrame, *order: str) -> DataFrame:
     first = order[0]
     before = Window.orderBy(first).rowsBetween(Window.unboundedPreceding, -1)
     runs = df.groupBy(first).agg(F.count(F.lit(1)).alias("n"))
-    runs = runs.select(first, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    runs = runs.select(F.col(first).alias("_of"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
     rank = F.row_number().over(Window.partitionBy(first).orderBy(*order[1:]))
-    return df.withColumn("_r", rank).join(runs, first).withColumn("rn", F.col("before") + F.col("_r")).drop("_r", "before")
+    ranked = df.withColumn("_r", rank).join(runs, F.col(first).eqNullSafe(F.col("_of")))
+    return ranked.withColumn("rn", F.col("_before") + F.col("_r")).drop("_r", "_of", "_before")
 
 
 def chunk_prompts(lines: DataFrame, max_lines: int, line: Column, prefix: str = "", suffix: str = "", negative: str = "", order: Sequence[str] = ("rel_dir", "stem", "id")) -> DataFrame:
-    """Prompt lines with the number of the file of at most ``max_lines`` that each goes to."""
-    text = F.concat(F.lit(f'--prompt "{prefix}'), line, F.lit(f', {suffix}" --negative_prompt "{negative}"'))
-    return numbered(lines, *order).select("id", (F.floor((F.col("rn") - 1) / max_lines) + 1).alias("file_no"), text.alias("line"))
+    """Prompt lines, stripped, with the file of at most ``max_lines`` that each goes to and its place there from 1."""
+    text = F.concat(F.lit(f'--prompt "{prefix}'), py_strip(line), F.lit(f', {suffix}" --negative_prompt "{negative}"'))
+    at = F.col("rn") - 1
+    return numbered(lines, *order).select("id", (F.floor(at / max_lines) + 1).alias("file_no"), (F.pmod(at, F.lit(max_lines)) + 1).alias("line_no"), text.alias("line"))
 
 
 def assign_shards(pairs: DataFrame, n: int = 5, seed: int = 0) -> DataFrame:
@@ -122,13 +136,22 @@ def assign_shards(pairs: DataFrame, n: int = 5, seed: int = 0) -> DataFrame:
     return ranked.join(F.broadcast(total)).withColumn("shard", (shard + 1).cast("int")).drop("_u", "_run", "_n", "rn")
 
 
-def cut_after_failures(log: DataFrame, batch: int = 500, limit: int = 100) -> DataFrame:
-    """The log up to the row that makes a run of ``limit`` failures within a batch; all after it goes."""
-    own = Window.partitionBy("batch").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    start = F.min("seq").over(Window.partitionBy("batch"))
-    run = F.col("seq") - F.coalesce(F.max(F.when(F.col("ok"), F.col("seq"))).over(own), start - 1)
-    hit = log.withColumn("run", run).filter(F.col("run") >= limit).agg(F.min("seq").alias("cut"))
-    return log.join(F.broadcast(hit)).filter(F.col("cut").isNull() | (F.col("seq") <= F.col("cut"))).drop("cut")
+def cut_after_failures(log: DataFrame, batch: int = 500, limit: int = 100, source: str | None = None) -> DataFrame:
+    """The log up to the row that makes a run of ``limit`` failures within ``batch`` numbers; all after it goes.
+
+    Runs start anew with each batch. With ``source`` each value of that column is a log of its own.
+    """
+    keys = [source] if source else []
+    numbers = log.withColumn("_batch", F.floor(F.col("seq") / batch))
+    own = Window.partitionBy(*keys, "_batch")
+    until = own.orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    run = F.col("seq") - F.coalesce(F.max(F.when(F.col("ok"), F.col("seq"))).over(until), F.min("seq").over(own) - 1)
+    hit = numbers.withColumn("_run", run).filter(F.col("_run") >= limit).groupBy(*keys).agg(F.min("seq").alias("_cut"))
+    if source:
+        cut = log.join(hit.withColumnRenamed(source, "_of"), F.col(source).eqNullSafe(F.col("_of")), "left")
+    else:
+        cut = log.join(F.broadcast(hit), how="left")
+    return cut.filter(F.col("_cut").isNull() | (F.col("seq") <= F.col("_cut"))).select(*log.columns)
 
 
 def take_until_empty_page(items: DataFrame, passing: Column, max_images: int) -> DataFrame:
@@ -144,33 +167,93 @@ def cap_per_source(df: DataFrame, n: int = 250, order: Sequence[str] = ("page_no
     return df.withColumn("_k", rank).filter(F.col("_k") <= n).drop("_k")
 
 
-def crop_plan(detections: DataFrame, upscaler: bool = False, t: float = 1.0) -> DataFrame:
-    """A row for each crop that is kept, by the scaled size rule, and a whole-frame row for images without one."""
+def crop_plan(
+    detections: DataFrame, upscaler: bool = False, t: float = 1.0, mode: str = "scaled", confidence: float = 0.0, images: DataFrame | None = None, filename: Column | None = None
+) -> DataFrame:
+    """A row for each crop that is kept, and a whole-frame row for each image without one.
+
+    ``scaled`` leaves out crops whose longer side is under 512 ``t``, makes those over 1024 ``t`` 1024 long and the rest
+    512 if there's an upscaler; ``fixed`` leaves out those with a side under 250 and makes those over 768 long
+    1024, the rest 512. Detections under ``confidence`` give no crop. ``images`` (``image_id, img_w, img_h``) names
+    images that may have no detection at all. With ``filename`` each row has ``name``, numbered from the second crop on.
+    """
+    if images is not None:
+        detections = images.select("image_id", "img_w", "img_h").join(detections.drop("img_w", "img_h"), "image_id", "left")
     boxes = detections.withColumn("box", adjust_crop(*(F.col(c) for c in ("x1", "y1", "x2", "y2", "img_w", "img_h"))))
-    most = F.greatest(F.col("box.x2") - F.col("box.x1"), F.col("box.y2") - F.col("box.y1"))
-    small = F.lit(512) if upscaler else F.lit(None).cast("int")
-    target = F.when(most < 512 * t, F.lit(None)).when(most > 1024 * t, 1024).otherwise(small)
-    kept = boxes.withColumn("target", target).filter("target is not null")
-    index = F.row_number().over(Window.partitionBy("image_id").orderBy("det_idx")) - 1
-    cols = ["image_id", "subfolder", "crop_idx", "target", "x1", "y1", "x2", "y2"]
-    crops = kept.withColumn("crop_idx", index).select("image_id", F.format_string("%02d", "class_id").alias("subfolder"), "crop_idx", "target", "box.x1", "box.y1", "box.x2", "box.y2")
-    frames = detections.select("image_id", "img_w", "img_h").distinct().join(kept.select("image_id"), "image_id", "left_anti")
+    bw, bh = F.col("box.x2") - F.col("box.x1"), F.col("box.y2") - F.col("box.y1")
+    most = F.greatest(bw, bh)
+    if mode == "fixed":
+        target = F.when(F.least(F.abs(bw), F.abs(bh)) < 250, F.lit(None)).when(most > 768, 1024).otherwise(512)
+    else:
+        target = F.when(most < 512 * t, F.lit(None)).when(most > 1024 * t, 1024).otherwise(F.lit(512) if upscaler else F.lit(None))
+    sure = F.coalesce(F.col("confidence") >= confidence, F.lit(False)) if "confidence" in detections.columns else F.col("det_idx").isNotNull()
+    boxes = boxes.withColumn("target", F.when(sure & F.col("box").isNotNull(), target).cast("int"))
+    own = Window.partitionBy("image_id")
+    kept = F.col("target").isNotNull()
+    # crops in order of detection, then the rest; the first row of an image without a crop stands for its frame
+    boxes = boxes.withColumn("crop_idx", F.row_number().over(own.orderBy(F.col("target").isNull(), "det_idx")) - 1).withColumn("_first", F.max(kept).over(own))
+    rows = boxes.filter(kept | (~F.col("_first") & (F.col("crop_idx") == 0)))
     whole = adjust_crop(F.lit(0), F.lit(0), F.col("img_w"), F.col("img_h"), F.col("img_w"), F.col("img_h"))
-    rest = frames.withColumn("box", whole).select("image_id", F.lit("xx").alias("subfolder"), F.lit(0).alias("crop_idx"), F.lit(1024).alias("target"), "box.x1", "box.y1", "box.x2", "box.y2")
-    return crops.unionByName(rest.select(*cols))
+    rows = rows.withColumn("box", F.when(kept, F.col("box")).otherwise(whole))
+    folder = F.when(kept, F.format_string("%02d", "class_id")).otherwise("xx")
+    columns = [F.col("image_id"), folder.alias("subfolder"), "crop_idx", F.coalesce("target", F.lit(1024)).alias("target"), "box.x1", "box.y1", "box.x2", "box.y2"]
+    if filename is not None:
+        numbered_name = F.concat(F.expr("substr(_name, 1, length(_name) - 4)"), F.lit("_"), F.col("crop_idx").cast("string"), F.lit("."), F.expr("right(_name, 3)"))
+        rows = rows.withColumn("_name", filename)
+        columns.append(F.when(F.col("crop_idx") > 0, numbered_name).otherwise(F.col("_name")).alias("name"))
+    return rows.select(*columns)
 
 
-def flatten_tree(images: DataFrame) -> DataFrame:
-    """Destinations in the first folder; the k-th image of a name gets ``_k``.
+def _first_free(rows: DataFrame, name: str, order: Sequence[str], out: str) -> DataFrame:
+    """Adds ``out``: for each row in order, the first of ``name``, ``name_1`` and on that no row before it in ``sub`` has taken.
 
-    A generated name that another file has by nature is not resolved.
+    Names of which none looks like another's numbered form are numbered by a window. Families of names that may run into each
+    other (``n``, ``n_1``) and have repeats are walked through one by one, a family in a task.
+    """
+    stem, ext = F.regexp_extract(name, r"^(.*?)(\.[^.]*)?$", 1), F.regexp_extract(name, r"(\.[^.]*)$", 1)
+    rows = rows.withColumn("_root", F.concat(F.regexp_replace(stem, r"(_\d+)+$", ""), F.lit("/"), ext))
+    kinds = rows.groupBy("sub", "_root").agg(F.min(name).alias("lo"), F.max(name).alias("hi"), F.count(name).alias("n"), F.count_distinct(name).alias("d"))
+    mixed = kinds.filter("lo <> hi and n > d").select("sub", "_root", F.lit(True).alias("_mixed"))
+    rows = rows.join(mixed, ["sub", "_root"], "left")
+    k = F.row_number().over(Window.partitionBy("sub", name).orderBy(*order)) - 1
+    plain = rows.filter(F.col("_mixed").isNull()).withColumn("_k", k)
+    plain = plain.withColumn(out, F.when(F.col("_k") == 0, F.col(name)).otherwise(F.concat(stem, F.lit("_"), F.col("_k").cast("string"), ext))).drop("_k", "_mixed", "_root")
+
+    columns = plain.columns
+
+    def walk(frame: pd.DataFrame) -> pd.DataFrame:
+        taken, following, dest = set(), {}, []
+        frame = frame.sort_values(list(order), ignore_index=True)
+        for own in frame[name]:
+            new, count = own, following.get(own, 1)
+            at = own.rfind(".")
+            head, tail = (own, "") if at < 0 else (own[:at], own[at:])
+            while new in taken:
+                new, count = f"{head}_{count}{tail}", count + 1
+            following[own] = count
+            taken.add(new)
+            dest.append(new)
+        return frame.assign(**{out: dest})[columns]
+
+    walked = rows.filter("_mixed").groupBy("sub", "_root").applyInPandas(walk, plain.schema)
+    return plain.unionByName(walked)
+
+
+def flatten_tree(images: DataFrame, captions: DataFrame | None = None) -> DataFrame:
+    """Adds ``dest``, the image's path in a tree of first folders only; with ``captions`` also ``caption_dest``.
+
+    In order of folder, name and id, an image whose name is taken gets the first free ``_1``, ``_2`` and on. The caption of its
+    folder and stem, if there's one, is copied as well, under the first free name by a count of its own.
     """
     sub = F.element_at(F.split("rel_dir", "/"), 1)
     rows = images.withColumn("sub", F.when(F.col("rel_dir") == "", ".").otherwise(sub))
-    k = F.row_number().over(Window.partitionBy("sub", "filename").orderBy("rel_dir")) - 1
-    stem, ext = F.regexp_extract("filename", r"^(.*?)(\.[^.]*)?$", 1), F.regexp_extract("filename", r"(\.[^.]*)$", 1)
-    name = F.when(F.col("k") == 0, F.col("filename")).otherwise(F.concat(stem, F.lit("_"), F.col("k").cast("string"), ext))
-    return rows.withColumn("k", k).withColumn("dest", F.concat_ws("/", "sub", name)).drop("k")
+    rows = _first_free(rows, "filename", ("rel_dir", "filename", "id"), "_name").withColumn("dest", F.concat_ws("/", "sub", "_name")).drop("_name")
+    if captions is None:
+        return rows
+    has = captions.select("rel_dir", "stem").distinct()
+    own = rows.join(has, ["rel_dir", "stem"], "left_semi").select("sub", "rel_dir", "filename", "id", F.concat("stem", F.lit(".txt")).alias("txt"))
+    named = _first_free(own, "txt", ("rel_dir", "filename", "id"), "_name").select("id", F.concat_ws("/", "sub", "_name").alias("caption_dest"))
+    return rows.join(named, "id", "left")
 
 
 def unique_dest_names(df: DataFrame) -> DataFrame:
@@ -202,15 +285,18 @@ def select_tags(
     rating: str | None = "first",
     characters_first: bool = False,
     always_first: Sequence[str] = (),
+    existing: Column | None = None,
 ) -> Column:
     """Tag text of a score vector, for a vocabulary in the vector's order.
 
     Categories are 9 (ratings), 0 (general) and 4 (characters). General and character tags count
     at or over their thresholds; ``characters_first`` puts the characters in front, the last one
-    first. The best rating (the first of equals) stands ``first``, ``last`` or nowhere (None).
-    Each tag of ``always_first`` that is there then moves to the front. Null scores give null.
+    first. The best rating (the first of equals) stands ``first``, ``last`` or nowhere (None), unless it is undesired.
+    Each tag of ``always_first`` that is there then moves to the front. With ``existing`` caption
+    text, its tags come first and only new ones follow; where it is null, as without it. Null scores give null.
     """
-    table = F.array(*(F.struct(F.lit(n).alias("n"), F.lit(c).alias("c")) for n, c in zip(names, categories, strict=True)))
+    # one literal: the optimizer folds it to an array, however long the vocabulary
+    table = F.from_json(F.lit(json.dumps([{"n": n, "c": c} for n, c in zip(names, categories, strict=True)])), "array<struct<n:string,c:int>>")
     scored = F.zip_with(probs, table, lambda p, t: F.struct(p.cast("double").alias("p"), t.n.alias("n"), t.c.alias("c")))
     skipped = [u.strip() for u in undesired]
     wanted = lambda x: ~x.n.isin(skipped) if skipped else F.lit(True)
@@ -220,11 +306,15 @@ def select_tags(
     tags = F.concat(F.reverse(of(person)), of(plain)) if characters_first else of(lambda x: plain(x) | person(x))
     if rating:
         ratings = F.filter(scored, lambda x: x.c == 9)
-        best = F.array(F.array_max(F.transform(ratings, lambda x, i: F.struct(x.p.alias("p"), (-i).alias("i"), x.n.alias("n")))).n)
+        best = F.array(F.array_max(F.transform(ratings, lambda x, i: F.struct(x.p.alias("p"), (-i).alias("i"), x.n.alias("n")))))
+        best = F.transform(F.filter(best, lambda x: x.isNotNull() & wanted(x)), lambda x: x.n)
         tags = F.concat(best, tags) if rating == "first" else F.concat(tags, best)
     for first in always_first:
         tags = _to_front(tags, first)
-    return F.array_join(tags, sep)
+    if existing is None:
+        return F.array_join(tags, sep)
+    before = F.regexp_replace(existing, r"^\n+|\n+$", "")
+    return F.when(existing.isNull(), F.array_join(tags, sep)).otherwise(merge_tag_lists(before, tags, sep))
 
 
 def vocab_normalise(vocab: DataFrame, series_sep: str | None = None, underscores: bool = True, replacements: str = "") -> DataFrame:
@@ -315,16 +405,40 @@ def file_chunks(files: DataFrame, chunk: int = 100 * 1024 * 1024) -> DataFrame:
     return rows.select("id", F.format_string(".part%03d", "part").alias("part"), offset.alias("offset"), F.least(F.lit(chunk), F.col("size") - offset).alias("length"))
 
 
-def score_batches(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """Runs a model's batch function (pandas frame in and out) over the rows."""
-    def run(frames):
-        for frame in frames:
-            yield fn(frame)
-
-    return df.mapInPandas(run, schema)
+def score_batches(df: DataFrame, fn: Callable, schema: str, batch: int = 250, done: DataFrame | None = None, key: str = "id", report: bool = False) -> DataFrame:
+    """Runs a model's batch function (pandas frame in and out, at most ``batch`` rows) over the rows whose key isn't ``done``.
 
+    With ``report``, a batch that fails is tried row by row; a row that fails gives its key and the ``error``, and other
+    rows have a null ``error``. Without, a failure ends the job.
+    """
+    if done is not None:
+        df = df.join(done.select(key), key, "left_anti")
 
-def score_prompts(df: DataFrame, prompts: Sequence[tuple[str, str]], fn: Callable, schema: str) -> DataFrame:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for at in range(0, len(frame), batch):
+                part = frame.iloc[at : at + batch].reset_index(drop=True)
+                if not report:
+                    yield fn(part)
+                    continue
+                try:
+                    yield fn(part).assign(error=None)
+                except Exception:
+                    yield from one_by_one(part)
+
+    def one_by_one(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        for at in range(len(part)):
+            row = part.iloc[at : at + 1].reset_index(drop=True)
+            try:
+                yield fn(row).assign(error=None)
+            except Exception as e:
+                yield pd.DataFrame({c: [row[key].iloc[0] if c == key else None] for c in names}).assign(error=f"{type(e).__name__}: {e}")
+
+    names = [x.split()[0] for x in schema.split(",")]
+    return df.mapInPandas(run, f"{schema}, error string" if report else schema)
+
+
+def score_prompts(df: DataFrame, prompts: Sequence[tuple[str, str]], fn: Callable, schema: str, batch: int = 250) -> DataFrame:
     """Every row with every (prompt, key), run through a model's batch function."""
     each = F.explode(F.array(*(F.struct(F.lit(p).alias("prompt"), F.lit(k).alias("key")) for p, k in prompts)))
-    return score_batches(df.withColumn("_p", each).select(*df.columns, "_p.prompt", "_p.key"), fn, schema)
+    return score_batches(df.withColumn("_p", each).select(*df.columns, "_p.prompt", "_p.key"), fn, schema, batch)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,21 +45,25 @@ VIEWS = {
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "people_fx": "SELECT CAST(c_custkey AS STRING) AS id, CASE WHEN c_custkey % 11 = 0 THEN 'twin' ELSE c_name END AS name FROM customer UNION ALL SELECT concat('n', CAST(n_nationkey AS STRING)) AS id, n_name AS name FROM nation",
     "vocab_fx": "SELECT p_partkey AS pos, concat(replace(p_name, ' ', '_'), CASE WHEN p_partkey % 3 = 0 THEN concat('_(', p_brand, ')') ELSE '' END) AS name, CASE p_partkey % 5 WHEN 0 THEN 4 WHEN 1 THEN 9 ELSE 0 END AS category FROM part",
+    "articles_fx": """SELECT page_id, CASE WHEN page_id % 3 = 0 THEN html ELSE replace(html, '<article>', concat('<article><img src="/i/', CAST(page_id AS STRING), '.png"><span class="sprite-id">#', CAST(page_id AS STRING), '.', CAST(page_id % 7 AS STRING), '</span>')) END AS html FROM pages""",
     "emb_fx": "SELECT vec_id AS id, label AS grp, embedding AS vec FROM embeddings",
 }
 BASE = "nation customer supplier part orders lineitem events documents embeddings pages conversations".split()
 
 
 def fx(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    body = VIEWS[name]
     for t in BASE:
-        if f" {t}" in VIEWS[name]:
-            spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
-    return spark.sql(VIEWS[name])
+        own, n = re.subn(rf"\b(FROM|JOIN) {t}\b", rf"\1 framewright_{t}", body)
+        if n:
+            spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(f"framewright_{t}")
+            body = own
+    return spark.sql(body)
 
 
 def _sql(body: str) -> str:
     used = [n for n in VIEWS if n in body]
-    head = "WITH " + ", ".join(f"{n} AS ({VIEWS[n]})" for n in used)
+    head = "WITH RECURSIVE " + ", ".join(f"{n} AS ({VIEWS[n]})" for n in used)
     return head + body if body.startswith(",") else f"{head} {body}"
 
 
@@ -111,7 +117,11 @@ def x6_folder_labels(d):
     return d.select("id", F.array_join(X.folder_labels(c("rel_dir")), "|").alias("labels"))
 
 
-@query("captions_fx images_fx")
+@query("captions_fx images_fx", f""", p AS (SELECT id, rel_dir, stem, string_split(rel_dir, '/')[-1] AS folder, {UNBRACKET} AS plain FROM captions_fx WHERE (rel_dir, stem) IN (SELECT rel_dir, stem FROM images_fx)),
+  s AS (SELECT id, rel_dir, stem, plain, CASE WHEN regexp_replace(folder, '^\\d+_', '') IN ('other', '0other', 'minor') THEN '' ELSE regexp_replace(folder, '^\\d+_', '') || ', ' END AS label, {TAGS.replace("text", "plain")} AS tags FROM p),
+  u AS (SELECT id, rel_dir, stem, label, array_to_string(list_filter(tags, lambda x: len(list_filter(tags, lambda y: y <> x AND contains(y, x))) = 0), ', ') AS text FROM s),
+  k AS (SELECT *, list_filter(string_split(text, ', '), lambda x, i: {_u("'0|' || id || '|' || (i - 1)")} > 0.6) AS kept FROM u)
+  SELECT id, rel_dir, stem, label || CASE WHEN text = '' THEN 'cartoon' WHEN {_u("'0|' || id")} > 0.3 THEN text WHEN len(kept) > 0 THEN array_to_string(kept, ', ') ELSE text END AS caption FROM k""")
 def x7_label_caption(caps, imgs):
     paired = C.pair_images_captions(imgs, caps)
     return paired.select("id", "rel_dir", "stem", X.label_caption(c("text"), c("rel_dir"), c("id"), "last_only").alias("caption"))
@@ -127,9 +137,12 @@ def x11_strip_markup(d):
     return d.select("id", X.strip_markup(c("prompt")).alias("prompt"))
 
 
-@query("captions_fx", "SELECT id, replace(replace(text, 'the ', ''), 'de ', '') AS text FROM captions_fx")
+SCORES_OUT = "replace(replace(replace(replace(replace(replace('score_8_up,score_9, ' || text, 'score_9,', ''), 'score_8_up,', ''), 'score_7_up,', ''), 'score_6_up,', ''), 'score_5_up,', ''), 'score_4_up,', '')"
+
+
+@query("captions_fx", f"SELECT id, replace(replace({SCORES_OUT}, 'the ', ''), 'de ', '') AS text FROM captions_fx")
 def x12_remove_phrases(d):
-    return d.select("id", X.remove_phrases(c("text"), ["the ", "de "]).alias("text"))
+    return d.select("id", X.remove_phrases(F.concat(F.lit("score_8_up,score_9, "), "text"), ["the ", "de "]).alias("text"))
 
 
 @query("images_fx", "SELECT id, CASE WHEN filename LIKE 'img1%' THEN substr(filename, 5) ELSE filename END AS filename FROM images_fx")
@@ -143,8 +156,8 @@ def x20_html_links(spark, sf_dir):
 
 
 QUERIES["x20_html_links"] = x20_html_links
-SQL["x20_html_links"] = r"""SELECT page_id, href, text FROM (SELECT page_id, regexp_replace(unnest(regexp_extract_all(html, '(?s)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 1)), '^/+|/+$', '', 'g') AS href,
-  unnest(regexp_extract_all(html, '(?s)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 2)) AS text FROM pages) WHERE href <> ''"""
+SQL["x20_html_links"] = r"""SELECT page_id, href, regexp_replace(regexp_replace(body, '(?s)<[^>]*>', '', 'g'), '^[\s\x1c-\x1f\x{85}\x{a0}]+|[\s\x1c-\x1f\x{85}\x{a0}]+$', '', 'g') AS text FROM (SELECT page_id, body, regexp_replace(regexp_extract(tag, '\shref="([^"]*)"', 1), '^/+|/+$', '', 'g') AS href
+  FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?s)(<a\s[^>]*>)(.*?)</a>', 1)) AS tag, unnest(regexp_extract_all(html, '(?s)(<a\s[^>]*>)(.*?)</a>', 2)) AS body FROM pages)) WHERE href <> ''"""
 
 
 def x21_html_heading(spark, sf_dir):
@@ -161,12 +174,16 @@ def n1_nearest_size(d):
     return d.select("id", G.nearest_size(c("width"), c("height")).alias("s")).select("id", "s.w", "s.h")
 
 
-@query("detections_fx", """WITH a AS (SELECT det_idx, trunc(x1) AS x1, trunc(y1) AS y1, trunc(x2) AS x2, trunc(y2) AS y2, img_w AS w, img_h AS h FROM detections_fx),
-  b AS (SELECT *, x2 - x1 AS bw, y2 - y1 AS bh, list_sort([{'d': abs(1.0 - (x2 - x1) / (y2 - y1)), 'i': 0, 'r': 1.0::DOUBLE}, {'d': abs(0.75 - (x2 - x1) / (y2 - y1)), 'i': 1, 'r': 0.75::DOUBLE}, {'d': abs(4::DOUBLE / 3 - (x2 - x1) / (y2 - y1)), 'i': 2, 'r': 4::DOUBLE / 3}])[1].r AS r FROM a),
-  g AS (SELECT *, CASE WHEN bw / bh > r THEN bw ELSE bh * r END AS gw, CASE WHEN bw / bh > r THEN bw / r ELSE bh END AS gh, CASE WHEN bw / bh > r THEN bh * r ELSE bw END AS sw, CASE WHEN bw / bh > r THEN bh ELSE bw / r END AS sh FROM b),
-  n AS (SELECT *, CASE WHEN gw <= w AND gh <= h THEN gw ELSE sw END AS nw, CASE WHEN gw <= w AND gh <= h THEN gh ELSE sh END AS nh FROM g),
-  o AS (SELECT *, greatest((x1 + x2) / 2 - nw / 2, 0.0) AS l, greatest((y1 + y2) / 2 - nh / 2, 0.0) AS t FROM n)
-  SELECT det_idx, trunc(l)::INT AS x1, trunc(t)::INT AS y1, trunc(least(w, l + nw))::INT AS x2, trunc(least(h, t + nh))::INT AS y2 FROM o""".replace("WITH a", ", a", 1))
+#: Boxes ``o`` (x1, y1, x2, y2 as integers) of the table ``a`` with corners, w and h.
+ADJUSTED = """b AS (SELECT *, x2 - x1 AS bw, y2 - y1 AS bh, list_sort([{'d': abs(1.0 - (x2 - x1) / (y2 - y1)), 'i': 0, 'r': 1.0::DOUBLE}, {'d': abs(0.75 - (x2 - x1) / (y2 - y1)), 'i': 1, 'r': 0.75::DOUBLE}, {'d': abs(4::DOUBLE / 3 - (x2 - x1) / (y2 - y1)), 'i': 2, 'r': 4::DOUBLE / 3}])[1].r AS r FROM a),
+  g AS (SELECT *, (x1 + x2) / 2 AS cx, (y1 + y2) / 2 AS cy, CASE WHEN r > bw / bh THEN bh * r ELSE bw END AS gw, CASE WHEN r > bw / bh THEN bh ELSE bw / r END AS gh, CASE WHEN r > bw / bh THEN bw ELSE bh * r END AS sw, CASE WHEN r > bw / bh THEN bw / r ELSE bh END AS sh FROM b),
+  f AS (SELECT *, cx - gw / 2 >= 0 AND cx + gw / 2 <= w AND cy - gh / 2 >= 0 AND cy + gh / 2 <= h AS fits FROM g),
+  n AS (SELECT *, CASE WHEN fits THEN gw ELSE sw END AS nw, CASE WHEN fits THEN gh ELSE sh END AS nh FROM f),
+  l AS (SELECT *, greatest(cx - nw / 2, 0.0) AS ll, greatest(cy - nh / 2, 0.0) AS tt FROM n),
+  o AS (SELECT * REPLACE (trunc(ll)::INT AS x1, trunc(tt)::INT AS y1, trunc(least(w, ll + nw))::INT AS x2, trunc(least(h, tt + nh))::INT AS y2) FROM l)"""
+
+
+@query("detections_fx", f", a AS (SELECT det_idx, trunc(x1) AS x1, trunc(y1) AS y1, trunc(x2) AS x2, trunc(y2) AS y2, img_w AS w, img_h AS h FROM detections_fx), {ADJUSTED} SELECT det_idx, x1, y1, x2, y2 FROM o")
 def n2_adjust_crop(d):
     return d.select("det_idx", G.adjust_crop(*(c(x) for x in ("x1", "y1", "x2", "y2", "img_w", "img_h"))).alias("b")).select("det_idx", "b.*")
 
@@ -182,6 +199,12 @@ def n9_center_paste(d):
     return d.select("id", G.center_paste(c("width"), c("height"), 960).alias("b")).select("id", "b.*")
 
 
+@query("images_fx", """SELECT id, greatest(floor((width - 640) / 2), 0)::INT AS x1, greatest(floor((height - 960) / 2), 0)::INT AS y1, least(width, greatest(floor((width - 640) / 2), 0) + 640)::INT AS x2, least(height, greatest(floor((height - 960) / 2), 0) + 960)::INT AS y2,
+  greatest(floor((640 - width) / 2), 0)::INT AS x, greatest(floor((960 - height) / 2), 0)::INT AS y FROM images_fx""")
+def n9_center_cut_paste(d):
+    return d.select("id", G.center_cut_paste(c("width"), c("height"), 640, 960).alias("b")).select("id", "b.*")
+
+
 @query("images_fx", "SELECT id, CASE WHEN height - 600 > 0 THEN height - 600 END AS new_h FROM images_fx")
 def n10_trim_top_bottom(d):
     return d.select("id", G.trim_top_bottom(c("height"), 300).alias("new_h"))
@@ -264,6 +287,12 @@ def j7_label_from_ids(d, names):
     return C.label_from_ids(d, names)
 
 
+@query("ids_fx names_fx", "SELECT id, style_id, lower(coalesce(name, style_id)) || ', (the) text' AS label FROM (SELECT id, regexp_extract(filename, '^(\\d+)\\.', 1) AS style_id FROM ids_fx) LEFT JOIN (SELECT id AS i, name FROM names_fx) ON i = style_id".replace("(the)", "the"))
+def j7_label_from_id(d, names):
+    one = d.withColumn("filename", F.concat(F.regexp_extract("filename", r"^(\d+)\.", 1), F.lit("b.png"))).withColumn("text", F.lit("(the) text"))
+    return C.label_from_id(one, names, "text").select("id", "style_id", "label")
+
+
 @query("ids_fx", "SELECT idx, i.has IS NULL AS blank, (idx % 20) * 96 AS x, (idx // 20) * 96 AS y FROM (SELECT unnest(range(502)) AS idx) g LEFT JOIN (SELECT DISTINCT id % 700 AS j, true AS has FROM ids_fx) i ON i.j = idx")
 def j10_dense_grid(d):
     return C.dense_grid(d.select((c("id") % 700).alias("idx")))
@@ -285,9 +314,11 @@ def a2_folder_repeats(d):
     return A.folder_repeats(d)
 
 
-@query("results_fx")
+@query("results_fx", "SELECT image_id, key, text FROM (SELECT *, row_number() OVER (PARTITION BY image_id, key ORDER BY turn DESC, text DESC NULLS LAST) AS k FROM (SELECT * FROM results_fx UNION ALL SELECT DISTINCT image_id, -1, 'note', 'old' FROM results_fx)) WHERE k = 1")
 def a6_merge_caption_results(d):
-    return A.merge_caption_results(d).select("image_id", F.to_json("meta").alias("meta"))
+    old = A.merge_caption_results(d.filter("turn < 2")).withColumn("meta", F.map_concat("meta", F.create_map(F.lit("note"), F.lit("old"))))
+    rest = d.select("image_id").distinct().join(old, "image_id", "left").withColumn("meta", F.coalesce("meta", F.create_map(F.lit("note"), F.lit("old"))))
+    return A.merge_caption_results(d.filter("turn >= 2"), rest).select("image_id", F.explode("meta").alias("key", "text"))
 
 
 CUT = """cut AS (SELECT min(seq) AS cut FROM (SELECT seq, seq - coalesce(max(CASE WHEN ok THEN seq END) OVER (PARTITION BY batch ORDER BY seq), min(seq) OVER (PARTITION BY batch) - 1) AS run FROM fetch_fx) WHERE run >= 4)"""
@@ -318,7 +349,8 @@ def w1_keep_largest(d):
     return A.keep_largest(d, 5)
 
 
-@query("scores_fx")
+@query("scores_fx", """SELECT path, grp, vol, ssim, round(score, 9) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY score DESC, path)::INT AS rank FROM (SELECT *, coalesce((vol - min(vol) OVER g) / nullif(max(vol) OVER g - min(vol) OVER g, 0), 0.0)
+  + coalesce(1 - (ssim - min(ssim) OVER g) / nullif(max(ssim) OVER g - min(ssim) OVER g, 0), 0.0) AS score FROM scores_fx WINDOW g AS (PARTITION BY grp))) WHERE rank <= 10""")
 def w2_select_sharpest(d):
     return A.select_sharpest(d, 10).withColumn("score", F.round("score", 9))
 
@@ -329,7 +361,7 @@ def w3_sample_per_folder(d):
     return A.sample_per_folder(d, 2, 3)
 
 
-@query("captions_fx", """SELECT id, (row_number() OVER (ORDER BY rel_dir, stem, id) - 1) // 100 + 1 AS file_no, '--prompt "a ' || text || ', b" --negative_prompt "c"' AS line FROM captions_fx""")
+@query("captions_fx", """SELECT id, (row_number() OVER (ORDER BY rel_dir, stem, id) - 1) // 100 + 1 AS file_no, (row_number() OVER (ORDER BY rel_dir, stem, id) - 1) % 100 + 1 AS line_no, '--prompt "a ' || """ + _strip("text") + """ || ', b" --negative_prompt "c"' AS line FROM captions_fx""")
 def w4_chunk_prompts(d):
     return A.chunk_prompts(d, 100, c("text"), "a ", "b", "c")
 
@@ -350,14 +382,31 @@ def w7_take_until_empty_page(d):
     return A.take_until_empty_page(d, c("heart") > 5, 30)
 
 
-@query("detections_fx")
+def _crops(rule: str) -> str:
+    return f""", a AS (SELECT image_id, det_idx, class_id, confidence, trunc(x1) AS x1, trunc(y1) AS y1, trunc(x2) AS x2, trunc(y2) AS y2, img_w AS w, img_h AS h FROM detections_fx
+    UNION ALL SELECT DISTINCT image_id, NULL, NULL, NULL, 0.0::DOUBLE, 0.0::DOUBLE, img_w::DOUBLE, img_h::DOUBLE, img_w, img_h FROM detections_fx), {ADJUSTED},
+  t AS (SELECT *, CASE WHEN det_idx IS NULL OR confidence < 0.2 THEN NULL {rule} END AS target FROM (SELECT *, greatest(x2 - x1, y2 - y1) AS most, least(x2 - x1, y2 - y1) AS least_side FROM o)),
+  k AS (SELECT image_id, printf('%02d', class_id) AS subfolder, (row_number() OVER (PARTITION BY image_id ORDER BY det_idx) - 1)::INT AS crop_idx, target, x1, y1, x2, y2 FROM t WHERE target IS NOT NULL
+    UNION ALL SELECT image_id, 'xx', 0, 1024, x1, y1, x2, y2 FROM t WHERE det_idx IS NULL AND image_id NOT IN (SELECT image_id FROM t WHERE target IS NOT NULL))
+  SELECT *, 'c' || image_id || CASE WHEN crop_idx > 0 THEN '_' || crop_idx ELSE '' END || '.png' AS name FROM k"""
+
+
+@query("detections_fx", _crops("WHEN most < 512 THEN NULL WHEN most > 1024 THEN 1024 ELSE 512"))
 def w9_crop_plan(d):
-    return A.crop_plan(C.filter_detections(d, 0.2), upscaler=True)
+    return A.crop_plan(d, upscaler=True, confidence=0.2, filename=F.format_string("c%d.png", "image_id"))
+
+
+@query("detections_fx", _crops("WHEN least_side < 250 THEN NULL WHEN most > 768 THEN 1024 ELSE 512"))
+def w9_crop_plan_fixed(d):
+    images = d.select("image_id", "img_w", "img_h").distinct()
+    return A.crop_plan(d.filter("confidence >= 0.1"), mode="fixed", confidence=0.2, images=images, filename=F.format_string("c%d.png", "image_id"))
 
 
-@query("images_fx")
-def w10_flatten_tree(d):
-    return A.flatten_tree(d).select("id", "dest")
+@query("images_fx captions_fx", """, i AS (SELECT id, rel_dir, filename, stem, string_split(rel_dir, '/')[1] AS sub, (rel_dir, stem) IN (SELECT rel_dir, stem FROM captions_fx) AS has FROM images_fx),
+  n AS (SELECT *, row_number() OVER (PARTITION BY sub, filename ORDER BY rel_dir, id) - 1 AS k, row_number() OVER (PARTITION BY sub, stem, has ORDER BY rel_dir, filename, id) - 1 AS t FROM i)
+  SELECT id, sub || '/' || CASE WHEN k = 0 THEN filename ELSE stem || '_' || k || regexp_extract(filename, '\\.[^.]*$') END AS dest, CASE WHEN has THEN sub || '/' || stem || CASE WHEN t = 0 THEN '' ELSE '_' || t END || '.txt' END AS caption_dest FROM n""")
+def w10_flatten_tree(imgs, caps):
+    return A.flatten_tree(imgs, caps).select("id", "dest", "caption_dest")
 
 
 @query("images_fx", "SELECT DISTINCT rel_dir AS path FROM images_fx")
@@ -370,7 +419,16 @@ def d2_similar_pairs(d):
     return D.similar_pairs(d, 0.25).withColumn("sim", F.round("sim", 6))
 
 
-@query("emb_fx")
+def _greedy(rows: str) -> str:
+    """In order of id, a row stays unless it is similar to one that stays; ``rows`` has id, grp and vec."""
+    return f""", v AS ({rows}), p AS (SELECT a.id AS a, b.id AS b FROM v a JOIN v b ON a.grp = b.grp AND a.id < b.id WHERE list_cosine_similarity(a.vec::DOUBLE[], b.vec::DOUBLE[]) > 0.25),
+  s AS (SELECT b AS id, list(a) AS before, row_number() OVER (ORDER BY b) AS rn FROM p GROUP BY b),
+  g AS (SELECT 0::BIGINT AS rn, []::BIGINT[] AS gone UNION ALL SELECT s.rn, CASE WHEN len(list_filter(s.before, lambda x: NOT list_contains(g.gone, x))) > 0 THEN list_append(g.gone, s.id) ELSE g.gone END FROM g JOIN s ON s.rn = g.rn + 1),
+  z AS (SELECT unnest(gone) AS id FROM (SELECT gone FROM g ORDER BY rn DESC LIMIT 1))
+  SELECT id, grp, CASE WHEN id IN (SELECT id FROM z) THEN 'delete' ELSE 'keep' END AS status, id NOT IN (SELECT id FROM z) AND id IN (SELECT a FROM p UNION SELECT b FROM p) AS has_duplicates FROM v"""
+
+
+@query("emb_fx", _greedy("SELECT id, grp, vec FROM emb_fx"))
 def d1_near_duplicates(d):
     from framewright.plans.session import with_checkpoints
 
@@ -433,9 +491,9 @@ def a5_shard_summary(d):
     return A.shard_summary(A.assign_shards(d, 5, 5))
 
 
-@query("images_fx", "SELECT * FROM images_fx WHERE width = 1319 AND height = 929")
+@query("images_fx", "SELECT * FROM images_fx WHERE (width, height) = (SELECT (width, height) FROM images_fx WHERE id = 7)")
 def p2_filter_expected_size(d):
-    return C.filter_expected_size(d, 1319, 929)
+    return C.filter_size_of(d, d.filter("id = 7"))
 
 
 @query("names_fx", "SELECT a.id AS a, b.id AS b, 'http://x/' || a.id || '.' || b.id AS url FROM names_fx a CROSS JOIN names_fx b")
@@ -453,9 +511,11 @@ def x13_caption_from_filename(d):
     return d.select("id", X.caption_from_filename(F.replace(c("rel_dir"), F.lit("/"), F.lit("-")), c("text")).alias("text"))
 
 
-@query("captions_fx", "SELECT id, stem || '_wd14.txt' AS name FROM captions_fx")
-def x15_caption_kind_name(d):
-    return d.select("id", X.caption_kind_name(c("stem"), "_wd14").alias("name"))
+@query("captions_fx images_fx", """, b AS (SELECT id, rel_dir, stem || CASE WHEN kind = '' THEN '' ELSE '_' || kind END AS base FROM captions_fx), m AS (SELECT *, (rel_dir, base) IN (SELECT rel_dir, stem FROM images_fx) AND NOT ends_with(base, '_wd14') AS moved FROM b)
+  SELECT id, rel_dir, filename FROM (SELECT id, rel_dir, filename, row_number() OVER (PARTITION BY rel_dir, filename ORDER BY moved DESC, id DESC) AS k FROM (SELECT *, base || CASE WHEN moved THEN '_wd14.txt' ELSE '.txt' END AS filename FROM m)) WHERE k = 1""")
+def x15_caption_kind_name(caps, imgs):
+    own = caps.select("id", "rel_dir", F.concat("stem", F.when(c("kind") == "", "").otherwise(F.concat(F.lit("_"), "kind")), F.lit(".txt")).alias("filename"))
+    return C.rename_captions(own, imgs, "_wd14")
 
 
 @query("emb_fx", "SELECT id, CASE WHEN prev IS NULL THEN NULL ELSE round(list_cosine_similarity(vec::DOUBLE[], prev::DOUBLE[]), 6) END AS sim FROM (SELECT a.id, a.vec, b.vec AS prev FROM emb_fx a LEFT JOIN emb_fx b ON b.id = a.id - 1)")
@@ -491,25 +551,37 @@ def n4_center_crop(d):
 
 
 @query("images_fx", """SELECT id, name, floor(width / (a / b))::INT AS crop_h FROM (SELECT id, width, name, a::DOUBLE AS a, b, row_number() OVER (PARTITION BY id ORDER BY abs(a::DOUBLE / b - width::DOUBLE / height), o) AS k
-  FROM images_fx CROSS JOIN (VALUES (0, 'square', 1, 1), (1, 'portrait', 3, 4), (2, 'landscape', 4, 3), (3, 'tall', 9, 16), (4, 'wide', 16, 9)) t(o, name, a, b)) WHERE k = 1""")
+  FROM images_fx CROSS JOIN (VALUES (0, '640x960', 2, 3), (1, '768x1024', 3, 4), (2, '960x640', 3, 2), (3, '1024x1024', 1, 1), (4, '1024x768', 4, 3)) t(o, name, a, b)) WHERE k = 1""")
 def n5_nearest_aspect(d):
     return d.select("id", G.nearest_aspect(c("width"), c("height")).alias("s")).select("id", "s.*")
 
 
-BUCKETS = """r AS (SELECT id, width AS w, height AS h, width::DOUBLE / height AS ar, floor(sqrt(1048576.0::DOUBLE * (width::DOUBLE / height)) + 0.5) AS rw, floor(sqrt(1048576.0::DOUBLE / (width::DOUBLE / height)) + 0.5) AS rh FROM images_fx),
-  q AS (SELECT *, rw - rw % 64 AS aw, rh - rh % 64 AS bh FROM r), p AS (SELECT *, floor(aw / ar + 0.5) - floor(aw / ar + 0.5) % 64 AS ah, floor(bh * ar + 0.5) - floor(bh * ar + 0.5) % 64 AS bw FROM q),
-  z AS (SELECT id, CASE WHEN w * h <= 1048576 THEN w WHEN abs(aw / ah - ar) < abs(bw / bh - ar) THEN aw ELSE bw END::BIGINT AS sw, CASE WHEN w * h <= 1048576 THEN h WHEN abs(aw / ah - ar) < abs(bw / bh - ar) THEN ah ELSE bh END::BIGINT AS sh FROM p)"""
+BUCKETS = """r AS (SELECT id, width AS w, height AS h, width::DOUBLE / height AS ar, sqrt(1048576.0::DOUBLE * (width::DOUBLE / height)) AS rw FROM images_fx),
+  q AS (SELECT *, floor(rw + 0.5) - floor(rw + 0.5) % 64 AS aw, floor(1048576.0::DOUBLE / rw + 0.5) - floor(1048576.0::DOUBLE / rw + 0.5) % 64 AS bh FROM r),
+  p AS (SELECT *, floor(aw / ar + 0.5) - floor(aw / ar + 0.5) % 64 AS ah, floor(bh * ar + 0.5) - floor(bh * ar + 0.5) % 64 AS bw FROM q),
+  z AS (SELECT id, w AS iw, h AS ih, ar, CASE WHEN w * h <= 1048576 THEN w WHEN abs(aw / ah - ar) < abs(bw / bh - ar) THEN aw ELSE floor(bh * ar + 0.5) END::BIGINT AS sw,
+    CASE WHEN w * h <= 1048576 THEN h WHEN abs(aw / ah - ar) < abs(bw / bh - ar) THEN floor(aw / ar + 0.5) ELSE bh END::BIGINT AS sh FROM p)"""
 
 
-@query("images_fx", f", {BUCKETS} SELECT id, sw - sw % 64 AS w, sh - sh % 64 AS h, sw AS resized_w, sh AS resized_h FROM z")
+@query("images_fx", f", {BUCKETS} SELECT id, sw - sw % 64 AS w, sh - sh % 64 AS h, sw AS resized_w, sh AS resized_h, round((sw - sw % 64)::DOUBLE / (sh - sh % 64) - ar, 9) AS ar_error FROM z")
 def n6_select_bucket(d):
-    return d.select("id", G.select_bucket(c("width"), c("height")).alias("b")).select("id", "b.*")
+    rows = d.select("id", G.select_bucket(c("width"), c("height")).alias("b")).select("id", "b.*")
+    return rows.withColumn("ar_error", F.round("ar_error", 9))
 
 
-@query("images_fx", f""", {BUCKETS} SELECT id, (sw % 64) // 2 AS "left", (sh % 64) // 2 AS top, (sw % 64) // 2 + sw - sw % 64 AS "right", (sh % 64) // 2 + sh - sh % 64 AS bottom FROM z""")
+@query("images_fx", """, s AS (SELECT id, width, height, width::DOUBLE / height AS ar, list_sort([{'d': abs(1.0 - width::DOUBLE / height), 'i': 0, 'w': 1024, 'h': 1024}, {'d': abs(896 / 1152 - width::DOUBLE / height), 'i': 1, 'w': 896, 'h': 1152},
+  {'d': abs(1152 / 896 - width::DOUBLE / height), 'i': 2, 'w': 1152, 'h': 896}])[1] AS s FROM images_fx), k AS (SELECT *, CASE WHEN ar > s.w::DOUBLE / s.h THEN s.h::DOUBLE / height ELSE s.w::DOUBLE / width END AS scale FROM s)
+  SELECT id, s.w::BIGINT AS w, s.h::BIGINT AS h, floor(width * scale + 0.5)::BIGINT AS resized_w, floor(height * scale + 0.5)::BIGINT AS resized_h, round(s.w::DOUBLE / s.h - ar, 9) AS ar_error FROM k""")
+def n6_select_bucket_upscale(d):
+    rows = d.select("id", G.select_bucket(c("width"), c("height"), resos=G.SIZES_1024).alias("b")).select("id", "b.*")
+    return rows.withColumn("ar_error", F.round("ar_error", 9))
+
+
+@query("images_fx", f""", {BUCKETS}, b AS (SELECT id, ar, (sw - sw % 64)::DOUBLE AS bw, (sh - sh % 64)::DOUBLE AS bh FROM z), f AS (SELECT *, CASE WHEN bw / bh > ar THEN bh * ar ELSE bw END AS fw, CASE WHEN bw / bh > ar THEN bh ELSE bw / ar END AS fh FROM b)
+  SELECT id, floor((bw - fw) / 2) AS "left", floor((bh - fh) / 2) AS top, floor((bw - fw) / 2) + fw AS "right", floor((bh - fh) / 2) + fh AS bottom FROM f""")
 def n7_crop_ltrb(d):
-    b = d.select("id", G.select_bucket(c("width"), c("height")).alias("b")).select("id", "b.*")
-    return b.select("id", G.crop_ltrb(c("resized_w"), c("resized_h"), c("w"), c("h")).alias("m")).select("id", "m.*")
+    b = d.select("id", "width", "height", G.select_bucket(c("width"), c("height")).alias("b"))
+    return b.select("id", G.crop_ltrb(c("b.w"), c("b.h"), c("width"), c("height")).alias("m")).select("id", "m.*")
 
 
 @query("images_fx", "SELECT id, width AS original_w, height AS original_h, 0 AS x1, 0 AS y1, 960 AS x2, 540 AS y2 FROM images_fx")
@@ -575,16 +647,12 @@ def x19_prompt_lines_for_ids(names):
     return A.prompt_lines_for_ids(names, 100, 2000)
 
 
-def x22_html_images(spark, sf_dir):
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+@query("articles_fx", r""", i AS (SELECT page_id, regexp_extract(a, '(?s)<img[^>]*src="([^"]*)"', 1) AS src, replace(trim(regexp_extract(a, '(?s)class="[^"]*sprite-id[^"]*"[^>]*>\s*(.*?)\s*<', 1), '#'), '.', '_') AS n
+  FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<article\b[^>]*>(.*?)</article>', 1)) AS a FROM articles_fx)) SELECT page_id, src, CASE WHEN n = '' THEN 'unknown' ELSE n END AS id FROM i WHERE src <> ''""")
+def x22_html_images(pages):
     return pages.select("page_id", F.explode(X.html_images(c("html"))).alias("i")).select("page_id", "i.src", "i.id")
 
 
-QUERIES["x22_html_images"] = x22_html_images
-SQL["x22_html_images"] = r"""SELECT page_id, regexp_extract(a, '(?s)<img[^>]*src="([^"]*)"', 1) AS src, CASE WHEN n = '' THEN 'unknown' ELSE n END AS id FROM (SELECT page_id, a, replace(replace(regexp_extract(a, '(?s)class="[^"]*sprite-id[^"]*"[^>]*>\s*(.*?)\s*<', 1), '#', ''), '.', '_') AS n
-  FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<article\b[^>]*>(.*?)</article>', 1)) AS a FROM pages))"""
-
-
 def x23_absolute_url(spark, sf_dir):
     links = x20_html_links(spark, sf_dir)
     url = X.absolute_url("http://site.org/dex/index.html", F.when(c("page_id") % 2 == 0, F.concat(F.lit("/"), "href")).otherwise(c("href")))
@@ -611,11 +679,13 @@ def w11_unique_dest_names(d):
     return A.unique_dest_names(d.select("id", c("filename").alias("dest"))).select("id", c("unique_dest").alias("dest"))
 
 
-@query("emb_fx", """SELECT id, array_to_string(list_concat(list_concat(list_reverse(list_transform(list_filter(range(4, 64), lambda i: i >= 50 AND vec[i + 1]::DOUBLE >= 0.1), lambda i: 't' || i)),
-  list_transform(list_filter(range(4, 64), lambda i: i < 50 AND i <> 9 AND vec[i + 1]::DOUBLE >= 0.05), lambda i: 't' || i)), ['t' || (list_position(vec[1:4], list_max(vec[1:4])) - 1)]), ',') AS tags FROM emb_fx""")
+@query("emb_fx", """, r AS (SELECT id, 't' || (list_position(vec[1:4], list_max(vec[1:4])) - 1) AS best, vec FROM emb_fx), n AS (SELECT id, list_concat(list_concat(list_reverse(list_transform(list_filter(range(4, 64), lambda i: i >= 50 AND vec[i + 1]::DOUBLE >= 0.1), lambda i: 't' || i)),
+  list_transform(list_filter(range(4, 64), lambda i: i < 50 AND i <> 9 AND vec[i + 1]::DOUBLE >= 0.05), lambda i: 't' || i)), CASE WHEN best = 't2' THEN [] ELSE [best] END) AS tags FROM r)
+  SELECT id, array_to_string(CASE WHEN id % 2 = 0 THEN list_concat(['a', 't5'], list_filter(tags, lambda x: x NOT IN ('a', 't5'))) ELSE tags END, ',') AS tags FROM n""")
 def w12_select_tags(d):
     kinds = [9] * 4 + [0] * 46 + [4] * 14
-    tags = A.select_tags(c("vec"), [f"t{i}" for i in range(64)], kinds, 0.05, 0.1, undesired=["t9 "], sep=",", rating="last", characters_first=True)
+    old = F.when(c("id") % 2 == 0, "a, t5,\n")
+    tags = A.select_tags(c("vec"), [f"t{i}" for i in range(64)], kinds, 0.05, 0.1, undesired=["t9 ", "t2"], sep=",", rating="last", characters_first=True, existing=old)
     return d.select("id", tags.alias("tags"))
 
 
@@ -624,7 +694,7 @@ def d3_leaf_groups(d):
     return D.leaf_groups(d).select("id", "grp")
 
 
-@query("leaf_fx")
+@query("leaf_fx", _greedy("SELECT id, (SELECT min(r) FROM (SELECT DISTINCT rel_dir AS r FROM leaf_fx) WHERE l.rel_dir = r OR starts_with(l.rel_dir, r || '/')) AS grp, vec FROM leaf_fx l"))
 def d3_near_duplicates_by_leaf(d):
     from framewright.plans.session import with_checkpoints
 
@@ -695,7 +765,7 @@ def s6_write_training_set(d):
     return d.sparkSession.read.schema("id long, filename string, folder string").parquet(out)
 
 
-@query("captions_fx", """SELECT (row_number() OVER (ORDER BY rel_dir, stem, id) - 1) // 100 + 1 AS file_no, '--prompt "' || replace(replace(text, chr(10), ' '), chr(13), ' ') || ', " --negative_prompt ""' AS line FROM captions_fx WHERE text IS NOT NULL""")
+@query("captions_fx", """SELECT (row_number() OVER (ORDER BY rel_dir, stem, id) - 1) // 100 + 1 AS file_no, '--prompt "' || """ + _strip("replace(replace(text, chr(10), ' '), chr(13), ' ')") + """ || ', " --negative_prompt ""' AS line FROM captions_fx WHERE text IS NOT NULL""")
 def s7_write_prompt_files(d):
     out = scratch(d.sparkSession, "s7")
     S.write_prompt_files(A.chunk_prompts(d.filter("text is not null"), 100, F.translate("text", "\n\r", "  ")), out)

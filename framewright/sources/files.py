@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from framewright.functions.text import extension
@@ -19,23 +21,38 @@ PRESETS = {
 }
 
 
-def _parts(path, root: str):
-    plain = F.regexp_replace(path, "^file:/*", "/")
-    rel = F.regexp_replace(F.replace(plain, F.lit(root.rstrip("/") + "/"), F.lit("")), "^/", "")
-    name = F.element_at(F.split(rel, "/"), -1)
-    return plain, F.regexp_replace(rel, "/?[^/]*$", ""), name
+#: Items of a landed page, as far as jobs use them.
+API_SCHEMA = (
+    "page_no int, items array<struct<id:bigint,url:string,width:int,height:int,"
+    "stats:struct<heartCount:int,likeCount:int,laughCount:int,cryCount:int>,meta:map<string,string>>>"
+)
+
+
+def _parts(path: Column, root: str) -> tuple[Column, Column, Column]:
+    """Plain path, folder below the root and file name."""
+    plain, top = F.regexp_replace(path, "^file:/*", "/"), re.sub("^file:/*", "/", root).rstrip("/") + "/"
+    rel = F.when(plain.startswith(top), F.substring(plain, len(top) + 1, 1 << 30)).otherwise(plain)
+    rel = F.regexp_replace(rel, "^/", "")
+    return plain, F.regexp_replace(rel, "/?[^/]*$", ""), F.element_at(F.split(rel, "/"), -1)
 
 
 def image_catalog(spark: SparkSession, root: str, preset: str = "caption") -> DataFrame:
+    """``path, rel_dir, folders, filename, stem, ext, size_bytes`` of the image files below the root.
+
+    Sizes in pixels come from ``read_gray`` or a table of the images.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", F.col("length").alias("size_bytes"))
-    path, rel, name = _parts(F.url_decode("path"), root)
+    path, rel, name = _parts(F.col("path"), root)
     rows = files.select(path.alias("path"), rel.alias("rel_dir"), name.alias("filename"), "size_bytes").filter(F.col("filename").rlike(PRESETS[preset]))
+    rows = rows.withColumn("folders", F.filter(F.split("rel_dir", "/"), lambda x: x != ""))
     ext = extension(F.col("filename"))
     return rows.withColumn("ext", ext).withColumn("stem", F.expr("substr(filename, 1, length(filename) - length(ext))"))
 
 
 def _whole(spark: SparkSession, root: str, suffix: str) -> DataFrame:
-    text = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*{suffix}").select("value", F.url_decode("_metadata.file_path").alias("p"))
+    # this path is encoded as a URL; a plus sign in it stands for itself
+    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    text = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*{suffix}").select("value", F.url_decode(encoded).alias("p"))
     _, rel, name = _parts(F.col("p"), root)
     return text.select(rel.alias("rel_dir"), F.regexp_replace(name, suffix.replace(".", r"\.") + "$", "").alias("stem"), "value")
 
@@ -51,15 +68,26 @@ def read_caption_meta(spark: SparkSession, root: str, suffix: str = ".json") ->
 
 
 def read_tag_vocab(spark: SparkSession, path: str) -> DataFrame:
+    """A tagger's vocabulary with ``pos``, its places from 0. It is a small table, so one task numbers it."""
     rows = spark.read.csv(path, header=True)
     if rows.columns[:3] != ["tag_id", "name", "category"]:
         raise ValueError("a vocabulary starts with tag_id, name, category")
-    return rows.withColumn("pos", F.monotonically_increasing_id())
+    return rows.withColumn("_at", F.monotonically_increasing_id()).withColumn("pos", F.row_number().over(Window.orderBy("_at")) - 1).drop("_at")
+
+
+def _pages(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(f"{schema}, _corrupt_record string").json(path, multiLine=True)
+
+
+def read_api_items(spark: SparkSession, path: str, schema: str = API_SCHEMA) -> DataFrame:
+    """A row for each item of the landed pages, with its page and place; ``read_api_errors`` has the other pages."""
+    return _pages(spark, path, schema).filter(F.col("items").isNotNull()).select("page_no", F.posexplode("items").alias("pos", "item")).select("page_no", "pos", "item.*")
 
 
-def read_api_items(spark: SparkSession, path: str) -> DataFrame:
-    pages = spark.read.json(path, multiLine=True)
-    return pages.filter(F.col("items").isNotNull()).select("page_no", F.posexplode("items").alias("pos", "item")).select("page_no", "pos", "item.*")
+def read_api_errors(spark: SparkSession, path: str, schema: str = API_SCHEMA) -> DataFrame:
+    """``page_no, file, record`` of pages without items; ``record`` where the page could not be read."""
+    pages = _pages(spark, path, schema).select("page_no", "items", F.col("_metadata.file_path").alias("file"), F.col("_corrupt_record").alias("record"))
+    return pages.filter(F.col("items").isNull()).drop("items")
 
 
 def write_training_set(df: DataFrame, out: str) -> None:
@@ -67,8 +95,10 @@ def write_training_set(df: DataFrame, out: str) -> None:
 
 
 def write_prompt_files(df: DataFrame, out: str) -> None:
-    df.repartition("file_no").select("file_no", "line").write.partitionBy("file_no").text(out)
+    """One text file a ``file_no``, in folders of that name, its lines in the order of ``line_no``."""
+    df.repartition("file_no").sortWithinPartitions("file_no", "line_no").select("file_no", "line").write.partitionBy("file_no").text(out)
 
 
 def json_values_to_lines(values: DataFrame, column: str = "value") -> DataFrame:
+    """The values of JSON objects, a line each; of a repeated key the last value counts."""
     return values.select(F.explode(F.map_values(F.from_json(column, "map<string,string>"))).alias("line"))
