@@ -1,16 +1,24 @@
 """URL filters: host and path rules, then naive Bayes over segmented names.
 
 Names in hosts and paths are split into words by a unigram Viterbi search. The unigram counts
-come from the whole table: words of the pages' text and of hyphenated names. A multinomial
-naive Bayes model scores the words. Its labels are weak: a url whose words hold a word of
-``lexicon`` is a bad example, any other a good one, so the model carries the judgement
-over to words that keep company with the lexicon's. Its counts, too, cover all urls.
+come from the whole table: words of the pages' text and of hyphenated names. Words seen once
+don't count in splitting.
 
-Both tables that are broadcast have a proven bound: they hold what makes up at least one in
-``VOCABULARY`` of a total, so at most ``VOCABULARY`` entries, whatever the input's size, and the words
-of up to ``SHORT`` letters. The other words count as well: they are joined to the distinct
-names, as parts of up to ``LONGEST_WORD`` letters, and to the words of the distinct addresses.
-Words seen once don't count in splitting.
+A multinomial naive Bayes model scores the words. Its labels are ``examples``, a bounded list of labelled
+names that the caller gives; the model is fitted on them, then refitted ``rounds`` times on all urls, each counted
+in both classes by its odds so far (expectation maximisation). So a word that no example has counts by the company it
+keeps, and an example's word that mostly stands in harmless names loses its weight. A word's odds are
+
+    log((b + S * s) / s) - log((g + S * (1 - s)) / (1 - s))
+
+with b and g its count in bad and good names, s the share of all words in bad names and S ``SMOOTHING``, so a
+rare word leans to neither side by itself. Examples keep ``EXAMPLE_SHARE`` of all counts at any size of the table. Urls
+are scored relationally: their distinct word lists, exploded, join the words' odds and are summed.
+
+What is broadcast has a proven bound: entries that make up at least one in ``VOCABULARY`` of a
+total, so at most ``VOCABULARY`` of them, whatever the input's size, and the words of up to ``SHORT`` letters.
+The other words are joined by a shuffle: to the distinct names, as parts of up to ``LONGEST_WORD``
+letters, and to the exploded word lists.
 
 Null urls and urls without ``://`` have an empty host and path, match no rule and have no words;
 the model's prior judges them. Repeated rows are judged alike.
@@ -20,7 +28,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import ChainMap
+from collections import ChainMap, Counter
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -33,7 +41,20 @@ VOCABULARY = 100_000
 LONGEST_WORD = 24
 SHORT = 3
 LONGEST_NAME = 2_000
-LEXICON = ("adult", "porn", "casino", "bet", "bets", "pills", "spam", "ads", "viagra", "lottery")
+SMOOTHING, EXAMPLE_SHARE, PRIOR = 1.0, 0.02, 0.1
+#: Labelled names, as words; the label holds for all names behind it.
+EXAMPLES = (
+    ("block", "casino win", "online casino bonus", "casino slots", "live casino jackpot", "free bets", "sport bets odds", "bet win", "lottery win", "poker cash"),
+    ("block", "cheap pills", "pills online", "viagra cheap", "cheap loans", "payday cash loans", "weight loss pills", "replica watches cheap", "cheap tickets deals"),
+    ("block", "adult", "adult x", "adult video", "porn tube", "porn x video", "sex cams", "adult dating", "free porn", "xxx"),
+    ("block", "ads", "ads track", "click track", "ad server", "pop ads", "ads click", "track pixel", "banner ads", "affiliate clicks"),
+    ("block", "spam", "spam farm", "link farm", "seo links", "content farm", "buy links", "spam mail", "free download crack", "warez keys"),
+    ("allow", "news", "daily news", "city library", "public library", "school", "university press", "science journal", "history museum", "art museum"),
+    ("allow", "blog", "my blog", "garden blog", "cooking recipes", "travel guide", "book reviews", "music school", "film review", "poetry archive"),
+    ("allow", "docs", "developer docs", "open source", "code forum", "user guide", "help center", "support forum", "wiki", "data archive"),
+    ("allow", "home page", "company info", "our team", "about", "contact", "community forum", "weather report", "health service"),
+    ("allow", "city council", "local government", "tax office", "railway timetable", "farm school", "family farm", "free school", "track and field", "sports club"),
+)
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 MARKUP = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<[^>]*>"
 LETTERS = re.compile(r"[a-z]+|[0-9]+")
@@ -189,65 +210,80 @@ def _segmented(names: DataFrame, counts: DataFrame, lexicon: Sequence[str]) -> D
     return names.withColumn("words", words("host", "path", "special")).drop("special")
 
 
+def word_odds(b: Column, g: Column, share: Column) -> Column:
+    """Log odds of a word with ``b`` and ``g`` occurrences, where ``share`` of all words are in bad names."""
+    return F.log((b + SMOOTHING * share) / share) - F.log((g + SMOOTHING * (1 - share)) / (1 - share))
+
+
+def _totals(words: DataFrame) -> tuple[float, float]:
+    sums = words.agg(F.sum("b").alias("b"), F.sum("g").alias("g")).first()
+    return sums["b"] or 0.0, sums["g"] or 0.0
+
+
+def _scored(terms: DataFrame, words: DataFrame, prior: float) -> DataFrame:
+    """``key, odds`` for the exploded word lists ``terms`` (``key, w, m``) by the counts ``words`` (``w, b, g``)."""
+    b, g = _totals(words)
+    if not b or not g:
+        return terms.select("key").distinct().withColumn("odds", F.lit(prior))
+    model = words.select("w", (F.col("b") + F.col("g")).alias("n"), word_odds(F.col("b"), F.col("g"), F.lit(b / (b + g))).alias("o"))
+    often = F.col("n") >= (b + g) / VOCABULARY
+    hot = F.broadcast(model.filter(often).select("w", "o"))
+    frequent = terms.join(hot, "w").select("key", (F.col("m") * F.col("o")).alias("o"))
+    rest = terms.join(hot.select("w"), "w", "left_anti").join(model.filter(~often).select("w", "o"), "w").select("key", (F.col("m") * F.col("o")).alias("o"))
+    known = frequent.unionByName(rest).groupBy("key").agg(F.round(F.sum("o") + prior, 9).alias("odds"))
+    return terms.select("key").distinct().join(known, "key", "left").withColumn("odds", F.coalesce("odds", F.lit(prior)))
+
+
+def judged_lists(lists: DataFrame, examples: Sequence[tuple[str, ...]] = EXAMPLES, rounds: int = 2) -> DataFrame:
+    """``key, odds`` for the distinct word lists ``lists`` (``key, words, n``; ``n`` urls have the list), and the empty list."""
+    spark = lists.sparkSession
+    labelled = Counter((w, label) for label, *names in examples for name in names for w in name.split())
+    given = [(w, float(labelled[w, "block"]), float(labelled[w, "allow"])) for w in sorted({w for w, _ in labelled})]
+    given = spark.createDataFrame(given, "w string, b double, g double")
+    terms = lists.select("key", "n", F.explode("words").alias("w")).groupBy("key", "n", "w").agg(F.count(F.lit(1)).alias("m"))
+    terms = staged(terms, "url-terms")
+    n_words = terms.agg(F.sum(F.col("n") * F.col("m"))).first()[0] or 0
+    n_given = sum(labelled.values())
+    weight = max(1.0, EXAMPLE_SHARE * n_words / max(1, n_given))
+    words, prior = given, math.log(PRIOR / (1 - PRIOR))
+    for _ in range(rounds):
+        odds = staged(_scored(terms, words, prior), "url-odds")
+        # (least and greatest pass over nulls)
+        p = 1 / (1 + F.exp(-F.greatest(F.least(F.coalesce("odds", F.lit(prior)), F.lit(30.0)), F.lit(-30.0))))
+        share = lists.select("key", "n").join(odds, "key", "left").withColumn("p", p)
+        bad, good = share.agg(F.sum(F.col("n") * F.col("p")), F.sum(F.col("n") * (1 - F.col("p")))).first()
+        seen = terms.join(odds.select("key", p.alias("p")), "key").groupBy("w").agg(
+            F.sum(F.col("n") * F.col("m") * F.col("p")).alias("b"), F.sum(F.col("n") * F.col("m") * (1 - F.col("p"))).alias("g")
+        )
+        both = seen.unionByName(given.select("w", (F.col("b") * weight).alias("b"), (F.col("g") * weight).alias("g")))
+        words = staged(both.groupBy("w").agg(F.sum("b").alias("b"), F.sum("g").alias("g")), "url-model")
+        prior = math.log(((bad or 0) + 1) / ((good or 0) + 1))
+    odds = _scored(terms, words, prior)
+    return lists.select("key").join(odds, "key", "left").withColumn("odds", F.coalesce("odds", F.lit(prior)))
+
+
 def filter_urls(
     df: DataFrame,
     rules: Sequence[tuple[str, str]],
     url: str = "url",
     html: str = "html",
-    lexicon: Sequence[str] = LEXICON,
+    examples: Sequence[tuple[str, ...]] = EXAMPLES,
+    rounds: int = 2,
 ) -> DataFrame:
     """Adds ``host, path, rule, verdict, words, odds``; every row stays.
 
     ``verdict`` is the rule's, else ``block`` if the model's log odds are above 0, else
-    ``allow``. Columns of these names in ``df`` are replaced.
+    ``allow``. ``examples`` are (label, name, ...) with names as words. Columns of the added names in ``df`` are replaced.
     """
-    sc = df.sparkSession.sparkContext
     address = F.col(url).cast("string")
     counts = unigrams(df, html, F.concat(host(address), F.lower(path(address))))
     split = df.withColumn("host", host(address)).withColumn("path", path(address))
     names = staged(split.groupBy("host", "path").agg(F.count(F.lit(1)).alias("count")), "url-names")
-    names = staged(_segmented(names, counts, lexicon), "url-sets")
-
-    bad = F.arrays_overlap("words", F.array(*map(F.lit, lexicon)))
-    urls = names.select(bad.alias("bad"), "words", "count")
-    prior = {r["bad"]: r["n"] for r in urls.groupBy("bad").agg(F.sum("count").alias("n")).collect()}
-    per_word = urls.select("bad", "count", F.explode("words").alias("w")).groupBy("w").agg(
-        F.sum(F.when(F.col("bad"), F.col("count")).otherwise(0)).alias("bad"),
-        F.sum(F.when(F.col("bad"), 0).otherwise(F.col("count"))).alias("good"),
-    )
-    per_word = staged(per_word, "url-model")
-    sums = per_word.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count(F.lit(1)).alias("n")).first()
-    n_bad, n_good, kinds = sums["bad"] or 0, sums["good"] or 0, sums["n"]
-
-    def odds_of(n_in_bad: int, n_in_good: int) -> float:
-        return math.log((n_in_bad + 1) / (n_bad + kinds)) - math.log((n_in_good + 1) / (n_good + kinds))
-
-    frequent = (F.col("bad") >= max(1, n_bad * 2 / VOCABULARY)) | (F.col("good") >= max(1, n_good * 2 / VOCABULARY))
-    bias = math.log((prior.get(True, 0) + 1) / (prior.get(False, 0) + 1))
-    model = sc.broadcast({r["w"]: odds_of(r["bad"], r["good"]) for r in per_word.filter(frequent).collect()})
-    if max(n_bad, n_good) * 2 > VOCABULARY:
-
-        def lacking(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                rows = [(h, p, w) for h, p, own in zip(b["host"], b["path"], b["words"], strict=True) for w in set(own) if w not in model.value]
-                yield pd.DataFrame(rows, columns=["host", "path", "w"])
-
-        rare = names.select("host", "path", "words").mapInPandas(lacking, "host string, path string, w string").join(per_word.filter(~frequent), "w")
-        names = names.join(rare.groupBy("host", "path").agg(F.collect_list(F.struct("w", "bad", "good")).alias("rare")), ["host", "path"], "left")
-    else:
-        names = names.withColumn("rare", F.lit(None).cast("array<struct<w:string,bad:bigint,good:bigint>>"))
-
-    def score(lists: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for batch, rares in lists:
-            out = []
-            for own, rare in zip(batch, rares, strict=True):
-                more = {} if rare is None else {x["w"]: odds_of(x["bad"], x["good"]) for x in rare}
-                out.append(bias + sum(more[w] if w in more else model.value.get(w, 0.0) for w in own))
-            yield pd.Series(out, index=batch.index, dtype="float64")
-
-    score.__annotations__ = {"lists": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.Series]}
-    judged = staged(names.select("host", "path", "words", F.pandas_udf(score, "double")("words", "rare").alias("odds")), "url-odds")
-    judged = judged.select(F.col("host").alias("__host_of"), F.col("path").alias("__path_of"), "words", "odds")
+    known = sorted({w for _, *own in examples for name in own for w in name.split()})
+    names = staged(_segmented(names, counts, known).withColumn("key", F.array_join(F.array_sort("words"), " ")), "url-sets")
+    lists = names.groupBy("key").agg(F.first(F.array_sort("words")).alias("words"), F.sum("count").alias("n"))
+    odds = staged(judged_lists(staged(lists, "url-lists"), examples, rounds), "url-odds")
+    judged = names.join(odds, "key").select(F.col("host").alias("__host_of"), F.col("path").alias("__path_of"), "words", "odds")
     rule, verdict = matched_rule(F.col("host"), F.col("path"), rules)
     split = split.drop("words", "odds", "rule", "verdict").join(judged, (F.col("host") == F.col("__host_of")) & (F.col("path") == F.col("__path_of")), "left").drop("__host_of", "__path_of")
     return split.withColumn("rule", rule).withColumn("verdict", F.coalesce(verdict, F.when(F.col("odds") > 0, "block").otherwise("allow")))

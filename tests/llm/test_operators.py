@@ -333,18 +333,59 @@ def test_segments_and_rules(spark):
     assert urls.filter_urls(df.limit(0), rules).count() == 0
 
 
+def test_bayes_is_brute_force(spark):
+    """Odds and verdicts of the fit on examples and of two rounds on all urls, by plain sums."""
+    r = random.Random(7)
+    vocab = ["casino", "win", "news", "blog", "farm", "garden", "jackpot", "river"]
+    names = [tuple(r.choices(vocab, k=r.randint(0, 4))) for _ in range(60)]
+    count = Counter(tuple(sorted(x)) for x in names)
+    examples = (("block", "casino win", "casino"), ("allow", "news blog", "garden news"))
+    given = [Counter(w for label, *own in examples if label == side for x in own for w in x.split()) for side in ("block", "allow")]
+    n_words = sum(len(x) * n for x, n in count.items())
+    weight = max(1.0, urls.EXAMPLE_SHARE * n_words / sum(map(len, (x.split() for _, *own in examples for x in own))))
+    words, prior = {w: (given[0][w], given[1][w]) for w in {*given[0], *given[1]}}, math.log(urls.PRIOR / (1 - urls.PRIOR))
+
+    def odds(x):
+        b, g = (sum(v[k] for v in words.values()) for k in (0, 1))
+        s = b / (b + g)
+        own = [math.log((words[w][0] + urls.SMOOTHING * s) / s) - math.log((words[w][1] + urls.SMOOTHING * (1 - s)) / (1 - s)) for w in x if w in words]
+        return prior + sum(own)
+
+    for _ in range(2):
+        p = {x: 1 / (1 + math.exp(-odds(x))) for x in count}
+        words = {w: (given[0][w] * weight + sum(n * x.count(w) * p[x] for x, n in count.items()), given[1][w] * weight + sum(n * x.count(w) * (1 - p[x]) for x, n in count.items())) for w in vocab}
+        bad = sum(n * p[x] for x, n in count.items())
+        prior = math.log((bad + 1) / (len(names) - bad + 1))
+    lists = spark.createDataFrame([(" ".join(x), list(x), n) for x, n in count.items()], "key string, words array<string>, n long")
+    found = {x["key"]: x["odds"] for x in urls.judged_lists(lists, examples).collect()}
+    assert found == {" ".join(x): pytest.approx(odds(x), abs=1e-6) for x in count}
+
+
 def test_bayes_generalises(spark):
-    """Held out: bad hosts whose words aren't in the lexicon, but keep company with it in others."""
+    """Held out: bad hosts whose words no example has, but which keep company with the examples' in others."""
     r = random.Random(6)
-    good, bad = ["garden", "school", "paper", "river", "music"], ["jackpot", "bonus", "spin"]
+    good, bad = ["garden", "school", "paper", "river", "music"], ["zorple", "quivex", "blint"]
     rows = []
     for i in range(600):
         name = "".join(r.sample(bad, 2)) + "casino" if i % 4 == 0 else "".join(r.sample(good, 2))
         rows.append((i, f"http://{name}.example.com/p/{i}", " ".join(good + bad)))
     rows += [(1000 + i, f"http://{''.join(r.sample(bad, 2))}.example.com/p/{i}", "") for i in range(20)]
-    out = urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string"), ()).collect()
-    right = sum((r["verdict"] == "block") == (r["page_id"] >= 1000 or r["page_id"] % 4 == 0) for r in out)
-    assert right / len(out) > 0.95
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    right = lambda **k: sum((r["verdict"] == "block") == (r["page_id"] >= 1000 or r["page_id"] % 4 == 0) for r in urls.filter_urls(df, (), **k).collect()) / len(rows)
+    assert right() > 0.95 > right(rounds=0)
+
+
+def test_held_out_examples():
+    """Each labelled name is judged by a model of all others that share no name with it."""
+    rows = [(label, name) for label, *own in urls.EXAMPLES for name in own]
+    right = 0
+    for k, (label, name) in enumerate(rows):
+        rest = [Counter(w for i, (x, n) in enumerate(rows) if i != k and x == side for w in n.split()) for side in ("block", "allow")]
+        b, g = (sum(c.values()) for c in rest)
+        s = b / (b + g)
+        own = [math.log((rest[0][w] + s) / s) - math.log((rest[1][w] + 1 - s) / (1 - s)) for w in name.split() if w in rest[0] or w in rest[1]]
+        right += (sum(own) > 0) == (label == "block") if own else 0.5
+    assert right / len(rows) > 0.7
 
 
 def test_rare_words_count(spark, monkeypatch):
@@ -359,7 +400,8 @@ def test_rare_words_count(spark, monkeypatch):
     want = found()
     assert len(want) == len(rows)
     monkeypatch.setattr(urls, "VOCABULARY", 20)
-    assert found() == want
+    got = found()
+    assert [x[:2] + x[3:] for x in got] == [x[:2] + x[3:] for x in want] and [x[2] for x in got] == pytest.approx([x[2] for x in want], abs=1e-6)
 
 
 def test_fixity(spark):
