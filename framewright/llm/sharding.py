@@ -1,14 +1,16 @@
 """Sharding by vector bin packing: bytes, tokens and rows balanced together.
 
 Rows with equal texts form a group and go to one shard, unless the group is so large that
-it would unbalance the shards: then it is split by a hash of its ids. The many small groups
-are joined to ``fine`` bundles by their hash, so what the driver places, the units, is
-bounded by a constant: ``fine`` bundles and at most 2 * 3 * ``n_shards`` * ``SHARE`` pieces of
-large groups, whatever the input's size. Units are placed largest first, each in the shard
-where the dot product of its vector with the residual capacity is highest.
-
-Null texts count as empty. Ties, repeated rows and null ids are placed like all others; slots
-follow the ids within a unit. An empty table gives no rows.
+it would unbalance the shards: then it is split in pieces by a hash of its rows. Groups are placed largest first,
+each in the shard where the dot product of its vector with the residual capacity is highest.
+
+What the driver places is bounded whatever the input's size: the groups with at least one in ``LIMIT`` of all
+bytes, tokens or rows (so at most 3 * ``LIMIT``), the pieces of large ones (at most 2 * 3 * ``n_shards`` * ``SHARE`` more), and
+``bundles`` bundles of the groups below that, which join one by their hash. Tables of up to ``LIMIT``
+groups have no bundles, as each group has one in ``LIMIT`` of all rows.
+
+Null texts count as empty. Ties, repeated rows and null ids are placed like all others. Rows of a large group that are equal in
+all columns stay in one piece. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,6 +23,10 @@ from framewright.llm.common import staged, word_count
 
 #: A group is split when it holds over 1 / (n_shards * SHARE) of the bytes, tokens or rows.
 SHARE = 32
+LIMIT = 20_000
+#: Rows of a unit that get their slots in one task, about.
+RUN = 1_000_000
+SUMS = ("size", "tokens", "n")
 
 
 def place(vectors: np.ndarray, n_shards: int) -> np.ndarray:
@@ -33,49 +39,80 @@ def place(vectors: np.ndarray, n_shards: int) -> np.ndarray:
     return shard
 
 
-def pack_shards(df: DataFrame, n_shards: int = 8, id_col: str = "doc_id", text: str = "text", fine: int = 8192) -> DataFrame:
-    """Returns ``id_col, size, tokens, text_crc32, shard, slot`` for every row of ``df``.
-
-    ``size`` is the UTF-8 length of the text plus 1. Slots count from 0 in each shard without gaps.
-    """
-    spark = df.sparkSession
+def _described(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with the columns of the plan: ``size, tokens, text_crc32``, the group and the row's hash."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = df.select(
-        F.col(id_col),
-        (F.octet_length(body) + 1).cast("long").alias("size"),
-        word_count(body).alias("tokens"),
-        F.crc32(body).alias("text_crc32"),
-        F.xxhash64(body).alias("grp"),
-    )
-    rows = staged(rows, "shard-rows")
-    sums = [F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("n")]
-    groups = rows.groupBy("grp").agg(*sums)
-    total = groups.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("size", "tokens", "n"))).first()
-    whole = np.maximum(np.array([total["size"], total["tokens"], total["n"]], dtype=np.float64), 1)
-    part = F.greatest(*(F.col(c) / F.lit(float(w)) for c, w in zip(("size", "tokens", "n"), whole, strict=True))) * (n_shards * SHARE)
-    large = {r["grp"]: int(r["pieces"]) for r in groups.filter((part > 1) & (F.col("n") > 1)).select("grp", F.ceil(part).alias("pieces")).collect()}
-    first, at = [], fine
-    for grp, pieces in sorted(large.items()):
-        first.append((grp, at, pieces))
-        at += pieces
-    split = F.broadcast(spark.createDataFrame(first, "grp long, first int, pieces int"))
-    piece = F.col("first") + F.pmod(F.xxhash64(id_col, "size"), F.col("pieces").cast("long"))
-    rows = rows.join(split, "grp", "left").withColumn("unit", F.coalesce(piece, F.pmod("grp", F.lit(fine))).cast("int"))
+    size = (F.octet_length(body) + 1).cast("long")
+    others = [F.col(f"`{c}`").cast("string") for c in df.columns if c != text]
+    added = {"_size": size, "_tokens": word_count(body), "_crc": F.crc32(body), "_grp": F.xxhash64(body), "_row": F.xxhash64(F.to_json(F.array(*others)) if others else F.lit(0), size)}
+    return df.withColumns(added)
+
 
-    units = rows.groupBy("unit").agg(*sums).toPandas().sort_values("unit", ignore_index=True)
-    shard = place(units[["size", "tokens", "n"]].to_numpy(dtype=np.float64) / whole, n_shards)
+def _placed(rows: DataFrame, n_shards: int, bundles: int) -> tuple[DataFrame, DataFrame, bool]:
+    """Broadcast tables: the first unit and pieces of groups placed by themselves; shard, slots before and runs of units. And whether a unit has several runs."""
+    spark = rows.sparkSession
+    sums = [F.sum("_size").alias("size"), F.sum("_tokens").alias("tokens"), F.count(F.lit(1)).alias("n")]
+    total = rows.agg(*sums).first()
+    whole = np.maximum(np.array([total[c] or 0 for c in SUMS], dtype=np.float64), 1)
+    share = F.greatest(*(F.col(c) / F.lit(float(w)) for c, w in zip(SUMS, whole, strict=True)))
+    single = rows.groupBy("_grp").agg(*sums).withColumn("share", share).filter(F.col("share") >= 1 / LIMIT).collect()
+    first, at = [], bundles
+    for r in sorted(single, key=lambda r: r["_grp"]):
+        pieces = int(np.ceil(r["share"] * n_shards * SHARE)) if r["n"] > 1 else 1
+        first.append((r["_grp"], at, pieces))
+        at += pieces
+    split = F.broadcast(spark.createDataFrame(first, "_grp long, _first int, _pieces int"))
+    units = _units(rows, split, bundles).groupBy("_unit").agg(*sums).toPandas().sort_values("_unit", ignore_index=True)
+    shard = place(units[list(SUMS)].to_numpy(dtype=np.float64) / whole, n_shards)
     offset = np.zeros(len(units), dtype=np.int64)
     for k in range(n_shards):
         n = units["n"].to_numpy(dtype=np.int64)[shard == k]
         offset[shard == k] = np.cumsum(n) - n
-    table = [(int(u), int(s), int(o)) for u, s, o in zip(units["unit"], shard, offset, strict=True)]
-    placed = F.broadcast(spark.createDataFrame(table, "unit int, shard int, before long"))
-    order = Window.partitionBy("unit").orderBy(id_col, "text_crc32", "size", "tokens")
-    slot = F.col("before") + F.row_number().over(order) - 1
-    return rows.join(placed, "unit").select(id_col, "size", "tokens", "text_crc32", "shard", slot.cast("long").alias("slot"))
+    runs = np.maximum(1, units["n"].to_numpy(dtype=np.int64) // RUN)
+    table = [(int(u), int(s), int(o), int(r)) for u, s, o, r in zip(units["_unit"], shard, offset, runs, strict=True)]
+    return split, F.broadcast(spark.createDataFrame(table, "_unit int, _shard int, _before long, _runs long")), bool((runs > 1).any())
+
+
+def _units(rows: DataFrame, split: DataFrame, bundles: int) -> DataFrame:
+    piece = F.col("_first") + F.pmod("_row", F.col("_pieces").cast("long"))
+    return rows.join(split, "_grp", "left").withColumn("_unit", F.coalesce(piece, F.pmod("_grp", F.lit(bundles))).cast("int"))
 
 
-def write_shards(df: DataFrame, plan: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """Writes the rows of ``df`` by ``plan``, one folder a shard, in the order of slots within a file. Ids must be unique."""
-    rows = df.join(plan.select(id_col, "shard", "slot"), id_col)
-    rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+def _slotted(rows: DataFrame, split: DataFrame, placed: DataFrame, several: bool, bundles: int) -> DataFrame:
+    """Adds ``_shard`` and ``_slot``."""
+    rows = _units(rows, split, bundles).join(placed, "_unit").withColumn("_run", F.pmod(F.xxhash64("_row"), F.col("_runs")))
+    if several:
+        before = Window.partitionBy("_unit").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+        counts = rows.groupBy("_unit", "_run").agg(F.count(F.lit(1)).alias("_n"))
+        counts = counts.select("_unit", "_run", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_earlier"))
+        rows = rows.join(counts, ["_unit", "_run"])
+    else:
+        rows = rows.withColumn("_earlier", F.lit(0))
+    rank = F.row_number().over(Window.partitionBy("_unit", "_run").orderBy("_row", "_grp")) - 1
+    return rows.withColumn("_slot", (F.col("_before") + F.col("_earlier") + rank).cast("long"))
+
+
+def pack_shards(df: DataFrame, n_shards: int = 8, id_col: str = "doc_id", text: str = "text", bundles: int = 8192) -> DataFrame:
+    """Returns ``id_col, size, tokens, text_crc32, shard, slot`` for every row of ``df``.
+
+    ``size`` is the UTF-8 length of the text plus 1. Slots count from 0 in each shard without gaps.
+    """
+    rows = _described(df.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")), "_text").drop("_text")
+    rows = staged(rows, "shard-rows")
+    rows = _slotted(rows, *_placed(rows, n_shards, bundles), bundles)
+    names = {"_id": id_col, "_size": "size", "_tokens": "tokens", "_crc": "text_crc32", "_shard": "shard", "_slot": "slot"}
+    return rows.select(*(F.col(c).alias(name) for c, name in names.items()))
+
+
+def write_shards(df: DataFrame, path: str, n_shards: int = 8, text: str = "text", bundles: int = 8192) -> None:
+    """Writes all rows of ``df`` as Parquet, one folder ``shard=k`` a shard, each file in the order of ``slot``, which is added.
+
+    Null and repeated ids, and rows equal in all columns, are written as often as they come.
+    """
+    if {"shard", "slot"} & {c.lower() for c in df.columns}:
+        raise ValueError("columns named shard and slot are added, so rename those of the input")
+    rows = _described(df, text)
+    narrow = staged(rows.select("_size", "_tokens", "_grp", "_row"), "shard-rows")
+    planned = _slotted(rows, *_placed(narrow, n_shards, bundles), bundles)
+    out = planned.select(*(F.col(f"`{c}`") for c in df.columns), F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))
+    out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
