@@ -5,25 +5,60 @@ and all others as named users. The spans of the assistant's turns, text and end
 the ones to train on. Roles in ``context`` are rendered under their own name and are no
 participants.
 
-A dialogue is rendered in parts of at most ``TURNS`` turns, so that a conversation with a great
-share of all rows is no group of one task: part p holds turns p * ``TURNS`` and on. Turns that
-share a number (repeated rows) stay, ordered by role and text; where they make a part too
-long it goes on in a ``section``. A null turn comes first in part -1. A null role is the
+A dialogue of up to ``part_bytes`` of text is rendered whole, and so is any other with ``part_bytes=None``. Longer
+ones go on in further parts, so that a conversation with a great share of all rows is no row of unbounded size: a part
+has the turns that begin within its ``part_bytes``. Later parts begin with what is carried into them and not
+trained on: the context turns that open the dialogue, and the turns in the last ``carry_bytes`` before the cut.
+
+Turns are in order of number, role and text, null numbers first; numbers may have gaps and repeat. A null role is the
 user ``unknown``, a participant like the others; a null text is empty. Conversations
-with nobody but context roles give no rows. Other columns are not returned.
+with nobody but context roles give no rows. Other columns are not returned. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TURNS = 64
+PART_BYTES, CARRY_BYTES = 1 << 20, 4096
+#: Turn numbers that are ordered in one task.
+BIN = 1024
 BEGIN, END = "<|im_start|>", "<|im_end|>\n"
 
 
+def guarded(c: Column) -> Column:
+    """The text with marks broken up by a space, so that it can neither close nor open a turn."""
+    return F.replace(c, F.lit("<|"), F.lit("< |"))
+
+
+def _ordered(df: DataFrame, conv: str, turn: str, role: str, text: str, context: Sequence[str]) -> DataFrame:
+    """``null, key`` of the conversation, ``rank`` of each turn, bytes before it, and where the context at its start ends."""
+    role = F.coalesce(F.col(role).cast("string"), F.lit("unknown"))
+    turns = df.select(
+        F.col(conv).alias("conv"),
+        F.col(conv).isNull().alias("null"),
+        F.coalesce(F.col(conv).cast("string"), F.lit("")).alias("key"),
+        F.col(turn).cast("long").alias("turn"),
+        role.alias("role"),
+        guarded(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("text"),
+    ).withColumn("bytes", F.octet_length("text") + F.octet_length("role") + 32)
+    # ranks and bytes within bins of turn numbers, then those of the bins before
+    turns = turns.withColumn("bin", F.coalesce(F.floor(F.col("turn") / BIN), F.lit(-(1 << 60))))
+    order = Window.partitionBy("null", "key", "bin").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    turns = turns.withColumn("r", F.row_number().over(order) - 1).withColumn("b", F.coalesce(F.sum("bytes").over(before), F.lit(0)))
+    other = F.min(F.when(~F.col("role").isin(list(context)), F.col("r")))
+    bins = turns.groupBy("null", "key", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("s"), other.alias("o"))
+    own = Window.partitionBy("null", "key")
+    earlier = own.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = bins.withColumn("n", F.coalesce(F.sum("n").over(earlier), F.lit(0))).withColumn("all", F.sum("s").over(own)).withColumn("s", F.coalesce(F.sum("s").over(earlier), F.lit(0)))
+    bins = bins.withColumn("o", F.min(F.col("n") + F.col("o")).over(own))
+    turns = turns.join(bins, ["null", "key", "bin"])
+    return turns.select("conv", "null", "key", "role", "text", "bytes", "all", (F.col("n") + F.col("r")).alias("rank"), (F.col("s") + F.col("b")).alias("at"), F.col("o").alias("opened"))
+
+
 def perspectives(
     df: DataFrame,
     conv: str = "conv_id",
@@ -31,44 +66,50 @@ def perspectives(
     role: str = "role",
     text: str = "text",
     context: Sequence[str] = ("system",),
+    part_bytes: int | None = PART_BYTES,
+    carry_bytes: int = CARRY_BYTES,
 ) -> DataFrame:
-    """Returns ``conv, participant, part, section, n_turns, rendered, mask``.
+    """Returns ``conv, participant, part, n_turns, n_carried, rendered, mask``.
 
-    ``mask`` is an array of (start, end), code points of ``rendered``, end exclusive. A mark
-    inside a text is broken up with a space, so no text can close its turn.
+    ``mask`` is an array of (start, end), code points of ``rendered``, end exclusive. ``n_turns`` counts the part's own
+    turns. A mark inside a text or role is broken up with a space, and line breaks in a role become spaces.
     """
-    turns = df.select(
-        F.col(conv).alias("conv"),
-        F.col(turn).cast("long").alias("turn"),
-        F.coalesce(F.col(role).cast("string"), F.lit("unknown")).alias("role"),
-        F.replace(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit("<|"), F.lit("< |")).alias("text"),
-    ).withColumn("part", F.coalesce(F.floor(F.col("turn") / TURNS), F.lit(-1)).cast("long"))
-    order = Window.partitionBy("conv", "part").orderBy("turn", "role", "text")
-    turns = turns.withColumn("section", F.floor((F.row_number().over(order) - 1) / TURNS).cast("long"))
-    listed = F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")
-    parts = turns.groupBy("conv", "part", "section").agg(listed)
-    speakers = turns.filter(~F.col("role").isin(list(context))).select("conv", F.col("role").alias("participant")).distinct()
-    rows = parts.join(speakers.withColumnRenamed("conv", "of"), F.col("conv").eqNullSafe(F.col("of")))
-
-    mine = F.lit("assistant\n")
+    turns = _ordered(df, conv, turn, role, text, context)
+    own = lambda part, is_own: F.struct(part.cast("long").alias("part"), F.lit(is_own).alias("own"))
+    if part_bytes is None:
+        into = F.array(own(F.lit(0), True))
+    else:
+        part = F.floor(F.col("at") / part_bytes)
+        last = F.floor((F.col("all") - 1) / part_bytes)
+        opening = F.col("rank") < F.coalesce("opened", F.lit(1 << 60))
+        later = F.when(opening & (last > part), F.transform(F.sequence(part + 1, F.greatest(last, part + 1)), lambda p: own(p, False)))
+        tail = ~opening & (F.col("at") + F.col("bytes") > (part + 1) * part_bytes - carry_bytes) & (last > part)
+        into = F.concat(F.array(own(part, True)), F.coalesce(later, F.when(tail, F.array(own(part + 1, False))), F.array().cast("array<struct<part:bigint,own:boolean>>")))
+    turns = turns.withColumn("into", F.explode(into)).select("conv", "null", "key", "role", "text", "rank", "into.part", "into.own")
+    listed = F.array_sort(F.collect_list(F.struct("rank", "own", "role", "text"))).alias("turns")
+    n_own = F.count_if("own").alias("n_turns")
+    parts = turns.groupBy("null", "key", "part").agg(F.first("conv").alias("conv"), n_own, listed).filter("n_turns > 0")
+    speakers = turns.filter(~F.col("role").isin(list(context))).select("null", "key", F.col("role").alias("participant")).distinct()
+    rows = parts.join(speakers, ["null", "key"])
+
+    name = lambda t: F.translate(guarded(t.role), "\n\r", "  ")
 
     def label(t):
-        return F.when(t.role == F.col("participant"), mine).when(t.role.isin(list(context)), F.concat(t.role, F.lit("\n"))).otherwise(F.concat(F.lit("user name="), t.role, F.lit("\n")))
+        return F.when(t.role == F.col("participant"), F.lit("assistant\n")).when(t.role.isin(list(context)), F.concat(name(t), F.lit("\n"))).otherwise(F.concat(F.lit("user name="), name(t), F.lit("\n")))
 
     rows = rows.withColumn("head", F.transform("turns", lambda t: F.concat(F.lit(BEGIN), label(t))))
     rows = rows.withColumn("body", F.transform("turns", lambda t: F.concat(t.text, F.lit(END))))
-    size = F.transform(F.arrays_zip("head", "body"), lambda x: F.length(x.head) + F.length(x.body))
-    rows = rows.withColumn("size", size)
+    # running ends, one pass: the last element of the list so far plus the next turn
+    sizes = F.transform(F.arrays_zip("head", "body"), lambda x: F.length(x.head) + F.length(x.body))
+    step = lambda done, n: F.concat(done, F.array(F.element_at(done, -1) + n))
+    rows = rows.withColumn("ends", F.aggregate(sizes, F.array(F.lit(0)), step))
     spans = F.transform(
-        F.arrays_zip("turns", "head", "body"),
+        F.arrays_zip("turns", "head"),
         lambda x, i: F.struct(
-            (F.aggregate(F.slice("size", F.lit(1), i), F.lit(0), lambda a, b: a + b) + F.length(x.head)).alias("start"),
-            (F.aggregate(F.slice("size", F.lit(1), i + 1), F.lit(0), lambda a, b: a + b) - 1).alias("end"),
-            (x.turns.role == F.col("participant")).alias("own"),
+            (F.get("ends", i) + F.length(x.head)).alias("start"), (F.get("ends", i + 1) - 1).alias("end"), ((x.turns.role == F.col("participant")) & x.turns.own).alias("own")
         ),
     )
     mask = F.transform(F.filter(spans, lambda s: s.own), lambda s: F.struct(s.start.alias("start"), s.end.alias("end")))
     rendered = F.array_join(F.transform(F.arrays_zip("head", "body"), lambda x: F.concat(x.head, x.body)), "")
-    return rows.select(
-        F.col("conv").alias(conv), "participant", "part", "section", F.size("turns").cast("long").alias("n_turns"), rendered.alias("rendered"), mask.alias("mask")
-    )
+    carried = (F.size("turns") - F.col("n_turns")).cast("long").alias("n_carried")
+    return rows.select(F.col("conv").alias(conv), "participant", "part", "n_turns", carried, rendered.alias("rendered"), mask.alias("mask"))

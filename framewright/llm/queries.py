@@ -117,25 +117,19 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT doc_id, min(rea
 
 OP2_SQL = r"""
 WITH t AS (
-  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|', '< |') AS text,
-         coalesce(CAST(floor(turn / 64.0) AS BIGINT), -1) AS part
-  FROM conversations
-), s AS (
-  SELECT *, (row_number() OVER (PARTITION BY conv_id, part ORDER BY turn NULLS FIRST, role, text) - 1) // 64 AS section FROM t
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations
 ), p AS (SELECT DISTINCT conv_id, role AS participant FROM t WHERE role <> 'system'
 ), r AS (
-  SELECT s.*, participant, role = participant AS own,
-         '<|im_start|>' || CASE WHEN role = participant THEN 'assistant' WHEN role = 'system' THEN role ELSE 'user name=' || role END || chr(10) AS head
-  FROM s JOIN p ON s.conv_id IS NOT DISTINCT FROM p.conv_id
-), z AS (
-  SELECT *, head || text || '<|im_end|>' || chr(10) AS seg,
-         row_number() OVER (PARTITION BY conv_id, participant, part, section ORDER BY turn NULLS FIRST, role, text) AS k FROM r
+  SELECT t.*, participant, role = participant AS own, row_number() OVER (PARTITION BY t.conv_id, participant ORDER BY turn NULLS FIRST, role, text) AS k,
+         '<|im_start|>' || CASE WHEN role = participant THEN 'assistant' WHEN role = 'system' THEN role ELSE 'user name=' || translate(replace(role, '<|', '< |'), chr(10) || chr(13), '  ') END || chr(10) AS head
+  FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id
+), z AS (SELECT *, head || text || '<|im_end|>' || chr(10) AS seg FROM r
 ), a AS (
-  SELECT *, coalesce(sum(length(seg)) OVER (PARTITION BY conv_id, participant, part, section ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base FROM z
+  SELECT *, coalesce(sum(length(seg)) OVER (PARTITION BY conv_id, participant ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base FROM z
 )
-SELECT conv_id, participant, part, section, count(*) AS n_turns, string_agg(seg, '' ORDER BY k) AS rendered,
+SELECT conv_id, participant, 0 AS part, count(*) AS n_turns, 0 AS n_carried, string_agg(seg, '' ORDER BY k) AS rendered,
        coalesce(string_agg(CASE WHEN own THEN CAST(base + length(head) AS BIGINT) || ':' || CAST(base + length(seg) - 1 AS BIGINT) END, ',' ORDER BY k), '') AS mask
-FROM a GROUP BY conv_id, participant, part, section
+FROM a GROUP BY conv_id, participant
 """
 
 OP5_SQL = r"""
