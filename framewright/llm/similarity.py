@@ -4,8 +4,8 @@ A document is the set of its distinct word n-grams (shingles), kept as 64-bit ha
 Documents with equal sets form one node. Two nodes link when their Jaccard similarity is at
 least ``num / den``. The steps:
 
-1. A sketch counts all shingles in 2 ** ``BITS`` buckets and so gives each shingle a class of
-   frequency. Its size is constant, and it only sets an order: classes ascending, then hashes.
+1. A sketch counts all shingles in buckets and so gives each shingle a class of frequency. It grows
+   with the corpus from 2 ** 22 to 2 ** 24 buckets, a byte each, and only sets an order: classes ascending, then hashes.
 2. Two similar nodes of n and m shingles share ``need = ceil((n + m) * num / (num + den))`` of them, so at
    least l of the first ``n - need + l`` and ``m - need + l`` in that order: their prefixes at level l. Each
    node picks the level with the least estimated cost: postings to read, and candidates to
@@ -23,7 +23,8 @@ least ``num / den``. The steps:
 
 No posting, candidate or partner is capped. Pairs inside a component need not be verified, as
 they can't change it. Hashes of shingles are 64 bits wide, so a false match of two
-shingles of one pair has a chance of about 1e-13.
+shingles of one pair has a chance of about 1e-13. Sets are told apart by 128 bits: a 64-bit name
+and a check, and sets that share a name but not the check are renamed.
 
 Null and empty texts, and texts without a word, have an empty set and link with nothing. Rows
 with a null id keep their set size and have a null component. Repeated ids and rows stay.
@@ -44,8 +45,8 @@ from pyspark.sql import functions as F
 from framewright.llm.common import WORD, chunks, lower_ascii, mix, staged
 from framewright.llm.components import components
 
-#: Of the sketch: 2 ** BITS counters, sent in pieces of SEGMENT.
-BITS, SEGMENT = 22, 1024
+#: Bits of the sketch, least and most; shingles a bucket up to which it is not made larger; counters sent in a piece.
+BITS, FILL, SEGMENT = (22, 24), 64, 1024
 MINHASHES = 3
 LEVELS = 4
 #: Cost of a verification in postings read, and how much rarer candidates get with each match asked for.
@@ -83,9 +84,17 @@ def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
     return sets
 
 
-def node_of(own: np.ndarray) -> int:
-    """A 64-bit name of the set, the same for equal sets."""
-    return int(mix(np.array([own.sum(dtype=np.uint64) ^ np.uint64(len(own)) ^ np.bitwise_xor.reduce(mix(own))], dtype=np.uint64)).view(np.int64)[0])
+def node_of(own: np.ndarray) -> tuple[int, int]:
+    """A 64-bit name of the set and a 64-bit check, the same for equal sets."""
+    once = mix(own)
+    sums = np.array([own.sum(dtype=np.uint64) ^ np.uint64(len(own)) ^ np.bitwise_xor.reduce(once), once.sum(dtype=np.uint64)], dtype=np.uint64)
+    name, check = mix(sums).view(np.int64).tolist()
+    return name, check
+
+
+def renamed(name: int, check: int) -> int:
+    """Another name for one of the sets that share theirs."""
+    return int(mix(mix(np.array([name], dtype=np.int64).view(np.uint64)) + np.array([check], dtype=np.int64).view(np.uint64)).view(np.int64)[0])
 
 
 def _in_blocks(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -97,11 +106,14 @@ def _in_blocks(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.R
 
 def frequency_classes(docs: DataFrame, n: int) -> np.ndarray:
     """A class for each bucket of the sketch: 0 up to what chance brings there, then one more for each doubling."""
+    words = (docs.agg(F.sum(F.length("text_at"))).first()[0] or 0) / 6
+    bits = next((b for b in range(*BITS) if words <= FILL * 2**b), BITS[1])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << BITS, dtype=np.int64)
+        total = np.zeros(1 << bits, dtype=np.int32)
         for _, sets in _in_blocks(batches, n):
-            total += np.bincount((np.concatenate(sets) >> np.uint64(64 - BITS)).astype(np.int64), minlength=1 << BITS)
+            at, times = np.unique(np.concatenate(sets) >> np.uint64(64 - bits), return_counts=True)
+            total[at.astype(np.int64)] += times.astype(np.int32)
         while len(at := np.flatnonzero(total.reshape(-1, SEGMENT).any(axis=1))):
             # a byte for each counter; what is over 255 follows in another piece
             piece = np.minimum(total, 255).astype(np.uint8).reshape(-1, SEGMENT)
@@ -114,17 +126,26 @@ def frequency_classes(docs: DataFrame, n: int) -> np.ndarray:
         for batch in batches:
             for x in batch.column("counts").to_pylist():
                 total += np.frombuffer(x, dtype=np.uint8)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["segment", "counts"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary()), pa.array([int(total.sum())], pa.int64())], names=["segment", "counts", "n"]
+        )
+
+    def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for x in batch.column(1).to_pylist():
+                above = (np.frombuffer(x, dtype=np.int64) - mean) / max(2.0 * math.sqrt(mean), 2.0)
+                out.append(np.ceil(np.log2(np.maximum(above, 1.0))).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["segment", "classes"])
 
     add.__annotations__ = {"key": tuple[pa.Scalar, ...], "batches": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}
     pieces = docs.mapInArrow(count, "segment int, counts binary")
-    rows = pieces.groupBy("segment").applyInArrow(add, "segment int, counts binary").collect()
-    total = np.zeros((1 << BITS) // SEGMENT * SEGMENT, dtype=np.int64).reshape(-1, SEGMENT)
-    for r in rows:
-        total[r["segment"]] = np.frombuffer(r["counts"], dtype=np.int64)
-    total = total.reshape(-1)
-    mean = total.mean()
-    return np.ceil(np.log2(np.maximum((total - mean) / max(2.0 * math.sqrt(mean), 2.0), 1.0))).astype(np.uint8)
+    counts = staged(pieces.groupBy("segment").applyInArrow(add, "segment int, counts binary, n bigint"), "sketch")
+    mean = (counts.agg(F.sum("n")).first()[0] or 0) / (1 << bits)
+    classes = np.zeros((1 << bits) // SEGMENT * SEGMENT, dtype=np.uint8).reshape(-1, SEGMENT)
+    for r in counts.select("segment", "counts").mapInArrow(classify, "segment int, classes binary").collect():
+        classes[r["segment"]] = np.frombuffer(r["classes"], dtype=np.uint8)
+    return classes.reshape(-1)
 
 
 def required(n: int, num: int, den: int) -> int:
@@ -140,43 +161,45 @@ def _level(classes: np.ndarray, first: int, most: int) -> int:
     return int(np.argmin(cost)) + 1
 
 
-SKETCH = "id_at bigint, n bigint, node bigint, rare bigint, prefix array<bigint>, level int, hashes array<bigint>, " + ", ".join(f"{b} bigint" for b in _BITMAP)
+SKETCH = "id_at bigint, n bigint, node bigint, check bigint, rare bigint, prefix array<bigint>, level int, hashes array<bigint>, " + ", ".join(f"{b} bigint" for b in _BITMAP)
 
 
 def _described(docs: DataFrame, n: int, num: int, den: int, id_type: str) -> DataFrame:
-    classes = docs.sparkSession.sparkContext.broadcast(frequency_classes(docs, n))
+    found = frequency_classes(docs, n)
+    classes, width = docs.sparkSession.sparkContext.broadcast(found), len(found).bit_length() - 1
     seeds = mix(np.arange(1, MINHASHES + 1, dtype=np.uint64))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _in_blocks(batches, n):
-            prefixes, levels, hashes, nodes, rare, bitmaps = [], [], [], [], [], np.zeros((len(sets), 512), dtype=np.uint8)
+            prefixes, levels, hashes, names, rare, bitmaps = [], [], [], [], [], np.zeros((len(sets), 512), dtype=np.uint8)
             for i, own in enumerate(sets):
                 if not len(own):
-                    prefixes.append([]), levels.append(0), hashes.append([]), nodes.append(None), rare.append(0)
+                    prefixes.append([]), levels.append(0), hashes.append([]), names.append((None, None)), rare.append(0)
                     continue
                 need = required(len(own), num, den)
                 most = min(LEVELS, need)
-                kind = classes.value[(own >> np.uint64(64 - BITS)).astype(np.int64)]
+                kind = classes.value[(own >> np.uint64(64 - width)).astype(np.int64)]
                 # ``own`` ascends, so a stable sort by class orders by class, then hash
                 order = np.argsort(kind, kind="stable")[: len(own) - need + LEVELS]
                 first = len(own) - required(len(own), 2 * num, num + den) + 1
                 prefixes.append(own[order].view(np.int64)), levels.append(_level(kind[order], first, most))
                 hashes.append(np.array([mix(own ^ s).min() for s in seeds], dtype=np.uint64).view(np.int64))
-                nodes.append(node_of(own)), rare.append(int((kind == 0).sum()))
+                names.append(node_of(own)), rare.append(int((kind == 0).sum()))
                 bitmaps[i] = np.bincount((own & np.uint64(511)).astype(np.int64), minlength=512) & 1
             bits = np.packbits(bitmaps, axis=1).view(np.int64)
             arrays = [pa.array(x, pa.list_(pa.int64())) for x in (prefixes, hashes)]
+            node, check = (pa.array([x[k] for x in names], pa.int64()) for k in (0, 1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.array(rare, pa.int64()), arrays[0], pa.array(levels, pa.int32()), arrays[1]]
+                [batch.column(0), pa.array([len(x) for x in sets], pa.int64()), node, check, pa.array(rare, pa.int64()), arrays[0], pa.array(levels, pa.int32()), arrays[1]]
                 + [pa.array(bits[:, k], pa.int64()) for k in range(8)],
-                names=["id_at", "n", "node", "rare", "prefix", "level", "hashes", *_BITMAP],
+                names=["id_at", "n", "node", "check", "rare", "prefix", "level", "hashes", *_BITMAP],
             )
 
     return docs.mapInArrow(describe, SKETCH.replace("id_at bigint", f"id_at {id_type}"))
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """The links among the candidates ``pairs`` (``u, v``), as ``u, v``."""
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num: int, den: int, names: dict[tuple[int, int], int]) -> DataFrame:
+    """The links among the candidates ``pairs`` (``u, v``), as ``u, v``; ``names`` are those of renamed sets."""
     about = nodes.select("node", "n", *_BITMAP)
     one = about.toDF("u", "un", *(f"u{b}" for b in _BITMAP))
     two = about.toDF("v", "vn", *(f"v{b}" for b in _BITMAP))
@@ -192,7 +215,8 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num:
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in _in_blocks(batches, n):
             sets = [x for x in sets if len(x)]
-            yield pa.RecordBatch.from_arrays([pa.array(map(node_of, sets), pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["node", "members"])
+            own = [names.get(x, x[0]) for x in map(node_of, sets)]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["node", "members"])
 
     sets = docs.join(ids, "id_at", "left_semi").mapInArrow(sets_of, "node bigint, members binary").dropDuplicates(["node"])
     sets = staged(sets, "sets")
@@ -218,8 +242,22 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text: str = "text"
     docs = df.select(F.col(id_col).alias("id_at"), F.col(text).cast("string").alias("text_at"))
     rows = staged(_described(docs, n, num, den, id_type), "described")
     first = ("n", "rare", "level", "hashes", *_BITMAP)
-    nodes = rows.filter("node is not null and id_at is not null").groupBy("node").agg(F.min("id_at").alias("rep"), *(F.first(c).alias(c) for c in first))
-    nodes = staged(nodes, "nodes")
+
+    def by_name(rows: DataFrame) -> DataFrame:
+        own = rows.filter("node is not null and id_at is not null").groupBy("node")
+        return staged(own.agg(F.min("id_at").alias("rep"), F.min("check").alias("lo"), F.max("check").alias("hi"), *(F.first(c).alias(c) for c in first)), "nodes")
+
+    nodes, names = by_name(rows), {}
+    # some three in 10 ** 10 sets share a name by chance
+    same = nodes.filter("lo <> hi").select("node")
+    if not same.isEmpty():
+        clash = rows.join(same, "node", "left_semi").select("node", "check").distinct().collect()
+        names = {(r["node"], r["check"]): renamed(r["node"], r["check"]) for r in clash}
+        other = docs.sparkSession.createDataFrame([(*k, v) for k, v in names.items()], "node bigint, check bigint, other bigint")
+        columns = rows.columns
+        rows = rows.join(F.broadcast(other), ["node", "check"], "left").withColumn("node", F.coalesce("other", "node")).select(columns)
+        nodes = by_name(rows)
+    nodes = nodes.drop("lo", "hi")
 
     # near copies of a leader: of the nodes that share a MinHash value, the one with the fewest rare shingles, so with
     # the fewest changes of its own
@@ -227,7 +265,7 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text: str = "text"
     least = F.min(F.struct("rare", "node"))
     leaders = keys.groupBy("k", "h").agg(least.alias("u"), F.count(F.lit(1)).alias("m")).filter("m > 1").select("k", "h", F.col("u.node").alias("u"))
     starts = keys.join(leaders, ["k", "h"]).filter("node <> u").select("u", F.col("node").alias("v")).distinct()
-    early = staged(_verified(starts, nodes, docs, n, num, den), "links")
+    early = staged(_verified(starts, nodes, docs, n, num, den, names), "links")
     roots = components(early)
 
     # all other pairs, of nodes in different components
@@ -262,7 +300,7 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text: str = "text"
         & (apart * (den + num) <= (F.col("u_n") + F.col("n")) * (den - num))
     )
     matches = found.groupBy(F.col("u_node").alias("u"), F.col("node").alias("v")).agg(F.count(F.lit(1)).alias("m"), F.first("u_level").alias("level"))
-    late = _verified(matches.filter("m >= level").select("u", "v"), nodes, docs, n, num, den)
+    late = _verified(matches.filter("m >= level").select("u", "v"), nodes, docs, n, num, den, names)
     roots = components(early.unionByName(late))
 
     named = nodes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
