@@ -34,10 +34,12 @@ def word_count(c: Column) -> Column:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: the session's ``spark.checkpoint.dir``.
 
-    Where it is unset, as in local tests, a temporary folder is set once.
+    Where it is unset and all runs on one machine, as in local tests, a temporary folder is set once.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -46,14 +48,25 @@ def shared_folder(spark: SparkSession) -> str:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again.
 
-    That cuts the lineage: a lost executor costs a new read, not a new computation.
+    That cuts the lineage: a lost executor costs a new read, not a new computation. The files stay
+    until ``drop_staged``, as a result may be read again at any time.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_staging(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _staging(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/staged-{spark.sparkContext.applicationId}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Removes all that this application has staged; for the end of a job, when its results are written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staging(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 

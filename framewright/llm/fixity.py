@@ -29,28 +29,41 @@ def warc_record(url: Column, body: Column) -> Column:
     return F.concat(*head, F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n"))
 
 
+def _in_order(rows: DataFrame, *order: str) -> DataFrame:
+    """Adds ``seq`` and ``offset``: the records, and their bytes, that come before in the file.
+
+    Ranges of the whole order are dealt to tasks, so a file of any size is numbered by many; what earlier ranges hold of a file
+    is added from a small table.
+    """
+    ranges = staged(rows.repartitionByRange("file", *order).withColumn("_range", F.spark_partition_id()), "fixity-order")
+    own = Window.partitionBy("file", "_range").orderBy(*order)
+    earlier = Window.partitionBy("file").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranges.groupBy("file", "_range").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("s"))
+    before = sums.select(F.col("file").alias("_of"), F.col("_range").alias("_at"), *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}") for c in ("n", "s")))
+    ranked = ranges.withColumn("_k", F.row_number().over(own) - 1).withColumn("_b", F.coalesce(F.sum("length").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    out = ranked.join(before, F.col("file").eqNullSafe(F.col("_of")) & (F.col("_range") == F.col("_at")))
+    return out.withColumn("seq", (F.col("_n") + F.col("_k")).cast("long")).withColumn("offset", (F.col("_s") + F.col("_b")).cast("long")).drop("_range", "_k", "_b", "_of", "_at", "_n", "_s")
+
+
 def manifest(df: DataFrame, file: Column, order: list[Column], record: Column, keep: list[str] = ()) -> DataFrame:
-    """``file, key, offset, length, digest`` of each record, laid out in each file by ``order``; also the columns ``keep``.
+    """``file, key, seq, offset, length, digest`` of each record, laid out in each file by ``order``; also the columns ``keep``.
 
     ``key`` has the values of ``order`` as JSON.
     """
     rows = df.select(file.alias("file"), *keep, *(c.alias(f"_{i}") for i, c in enumerate(order)), F.octet_length(record).cast("long").alias("length"), F.sha2(record, 256).alias("digest"))
-    by = Window.partitionBy("file").orderBy(*(f"_{i}" for i in range(len(order))), "digest")
-    before = F.coalesce(F.sum("length").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     key = F.to_json(F.array(*(F.col(f"_{i}").cast("string") for i in range(len(order)))))
-    return rows.select("file", key.alias("key"), before.alias("offset"), "length", "digest", *keep)
+    return _in_order(rows, *(f"_{i}" for i in range(len(order))), "digest").select("file", key.alias("key"), "seq", "offset", "length", "digest", *keep)
 
 
 def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
     """Returns ``file, seq, kind, offset, length, expected, actual`` for each record that differs.
 
-    Both inputs have ``file, key, offset, length, digest``; ``seq`` counts a file's records from 0 by
-    offset, in the replica for an ``extra`` one. ``kind`` is ``corrupt``, ``missing`` or ``extra``.
+    Both inputs are manifests; ``seq`` counts a file's records from 0, in the replica for an ``extra`` one.
+    ``kind`` is ``corrupt``, ``missing`` or ``extra``.
     """
-    columns = ["file", "key", "offset", "length", "digest"]
+    columns = ["file", "key", "seq", "offset", "length", "digest"]
     both = primary.select(F.lit("primary").alias("side"), *columns).unionByName(replica.select(F.lit("replica").alias("side"), *columns))
-    seq = F.row_number().over(Window.partitionBy("side", "file").orderBy("offset", "length", "digest", "key")) - 1
-    leaves = staged(both.withColumn("seq", seq.cast("long")), "fixity-leaves")
+    leaves = staged(both, "fixity-leaves")
     most, depth = (leaves.agg(F.max("seq")).first()[0] or 0) + 1, 0
     while FAN**depth < most:
         depth += 1

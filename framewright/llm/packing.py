@@ -83,17 +83,18 @@ def pack_buckets(
     buckets = F.broadcast(spark.createDataFrame(table, "bucket int, bound long, room long, runs long"))
     in_bucket = F.array_position(F.transform(F.array(*map(F.lit, bounds)), lambda b: b >= F.col("length")), True) - 1 if bounds else F.lit(None)
     pieces = pieces.withColumn("bucket", F.when(F.col("length") > 0, in_bucket).cast("int")).join(buckets, "bucket", "left")
-    pieces = pieces.withColumn("run", F.pmod(F.xxhash64("key", "piece"), F.coalesce("runs", F.lit(1))))
+    empty, pieces = pieces.filter("length = 0"), pieces.filter("length > 0")
+    pieces = pieces.withColumn("run", F.pmod(F.xxhash64("key", "piece"), F.col("runs")))
 
     # ranks over a bucket without sorting it in one task: rank in its run plus what runs before it hold
     before = Window.partitionBy("bucket").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
-    runs = pieces.filter("length > 0").groupBy("bucket", "run").agg(F.count(F.lit(1)).alias("n"))
+    runs = pieces.groupBy("bucket", "run").agg(F.count(F.lit(1)).alias("n"))
     runs = runs.select("bucket", "run", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     order = Window.partitionBy("bucket", "run").orderBy("key", id_col, "piece")
     ranked = pieces.withColumn("rank", F.row_number().over(order) - 1).join(runs, ["bucket", "run"], "left")
     rank = F.col("before") + F.col("rank")
     batch = F.concat_ws("-", "bucket", F.floor(rank / F.col("room")))
-    return ranked.select(
+    packed = ranked.select(
         id_col,
         "piece",
         "start",
@@ -101,6 +102,10 @@ def pack_buckets(
         "bucket",
         "bound",
         (F.col("bound") - F.col("length")).alias("padding"),
-        F.when(F.col("length") > 0, batch).alias("batch_id"),
+        batch.alias("batch_id"),
         F.pmod(rank, F.col("room")).alias("place"),
     )
+    # nothing to rank here, however many rows there are
+    kinds = dict(packed.dtypes)
+    nothing = (F.lit(None).cast(kinds[c]).alias(c) for c in ("bound", "padding", "batch_id", "place"))
+    return packed.unionByName(empty.select(id_col, "piece", "start", "length", "bucket", *nothing))

@@ -69,6 +69,21 @@ def test_similar_components(docs, n, num, den):
     assert {r["component_id"] for r in found if r["doc_id"] is None} == {None}
 
 
+def test_sets_that_share_a_name(docs, monkeypatch):
+    want = Counter(map(tuple, similarity.similar_components(docs, n=2, num=60, den=100).collect()))
+    full, asked = similarity.node_of, []
+    monkeypatch.setattr(similarity, "node_of", lambda own: (full(own)[0] % 7, full(own)[1]))
+    monkeypatch.setattr(similarity, "renamed", lambda name, check, f=similarity.renamed: asked.append(name) or f(name, check))
+    assert Counter(map(tuple, similarity.similar_components(docs, n=2, num=60, den=100).collect())) == want and len(asked) > 7
+
+
+def test_large_sketch(docs, monkeypatch):
+    want = Counter(map(tuple, similarity.similar_components(docs).collect()))
+    monkeypatch.setattr(similarity, "FILL", 1e-9)
+    assert len(similarity.frequency_classes(docs.select("doc_id", F.col("text").alias("text_at")), 3)) == 1 << 24
+    assert Counter(map(tuple, similarity.similar_components(docs).collect())) == want
+
+
 def test_drop_near_duplicates(docs, none):
     kept = similarity.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
