@@ -68,7 +68,8 @@ def op7_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    rows = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.withColumns({c: F.round(c, 6) for c in ("bm25", "question_overlap", "answer_overlap")})
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,5 +153,115 @@ FROM o WHERE lost OR expected <> actual
 """
 
 
+#: Words ``word`` and tokens ``p`` with their first code points as ``pos`` (from 0): words of over 40 code points are taken apart,
+#: but for runs of over 40 equal ones. ``weight`` is in sixths of a word.
+OP3_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents
+), w AS (
+  SELECT rid, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws, regexp_extract_all(text, '[\x20\x09-\x0D]+') AS gs, regexp_matches(text, '^[\x20\x09-\x0D]') AS lead FROM d
+), word AS (
+  SELECT rid, i, ws[i] AS w, CAST(sum(length(ws[i])) OVER o - length(ws[i]) + sum(CASE WHEN lead THEN length(gs[i]) WHEN i > 1 THEN length(gs[i - 1]) ELSE 0 END) OVER o AS BIGINT) AS pos
+  FROM (SELECT rid, ws, gs, lead, unnest(range(1, len(ws) + 1)) AS i FROM w) WINDOW o AS (PARTITION BY rid ORDER BY i)
+), sign AS (SELECT rid, i, pos, k, string_split(w, '')[k] AS c FROM (SELECT *, unnest(range(1, length(w) + 1)) AS k FROM word WHERE length(w) > 40)
+), equal AS (SELECT *, k - row_number() OVER (PARTITION BY rid, i, c ORDER BY k) AS run FROM sign
+), piece AS (SELECT rid, i, pos, k, c, count(*) OVER (PARTITION BY rid, i, c, run) AS m, row_number() OVER (PARTITION BY rid, i, c, run ORDER BY k) AS r FROM equal
+), token AS (
+  SELECT rid, i, 0 AS k, w, pos FROM word WHERE length(w) <= 40
+  UNION ALL SELECT rid, i, k, CASE WHEN m > 40 THEN repeat(c, m) ELSE c END, pos + k - 1 FROM piece WHERE m <= 40 OR r = 1
+), p AS (SELECT rid, row_number() OVER (PARTITION BY rid ORDER BY i, k) AS i, w, pos, CASE WHEN count(*) OVER (PARTITION BY rid, i) > 1 THEN 1 ELSE 6 END AS weight FROM token
+), five AS (
+  SELECT rid, count(DISTINCT j) AS n FROM (SELECT rid, unnest(range(i, i + 5)) AS j FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS m
+    FROM (SELECT rid, i, len(list(w) OVER f) AS n, array_to_string(list(w) OVER f, ' ') AS g FROM word WINDOW f AS (PARTITION BY rid ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)) WHERE n = 5) WHERE m > 1) GROUP BY rid
+), ten AS (SELECT rid, i, len(list(w) OVER t) AS n, array_to_string(list(w) OVER t, ' ') AS g FROM p WINDOW t AS (PARTITION BY rid ORDER BY i ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING)
+), pairs AS (SELECT a.rid, a.i, b.i - a.i AS shift FROM ten a JOIN ten b ON a.rid = b.rid AND a.g = b.g AND a.i <> b.i WHERE a.n = 10 AND b.n = 10
+), runs AS (SELECT *, i - row_number() OVER (PARTITION BY rid, shift ORDER BY i) AS run FROM pairs
+), most AS (SELECT rid, i, max(n) AS n FROM (SELECT rid, i, max(i) OVER (PARTITION BY rid, shift, run) - i + 10 AS n FROM runs) GROUP BY rid, i
+), fits AS (SELECT m.rid, m.i, m.n FROM most m JOIN p a ON a.rid = m.rid AND a.i = m.i JOIN p b ON b.rid = m.rid AND b.i = m.i + m.n - 1 WHERE b.pos + length(b.w) - a.pos >= 40
+), firsts AS (SELECT f.* FROM fits f LEFT JOIN fits e ON e.rid = f.rid AND e.i = f.i - 1 AND e.i + e.n >= f.i + f.n WHERE e.rid IS NULL
+), heavy AS (SELECT rid, max(s) AS s FROM (SELECT f.rid, f.i, sum(p.weight) AS s FROM firsts f JOIN p ON p.rid = f.rid AND p.i >= f.i AND p.i < f.i + f.n GROUP BY f.rid, f.i) GROUP BY rid
+), cover AS (SELECT DISTINCT rid, unnest(range(i, i + n)) AS i FROM firsts
+), own AS (SELECT rid, count(*) AS n_repeats, max(n) AS longest_repeat FROM firsts GROUP BY rid
+), chars AS (SELECT c.rid, sum(length(p.w)) AS covered_chars FROM cover c JOIN p ON p.rid = c.rid AND p.i = c.i GROUP BY c.rid
+), lines AS (SELECT rid, count(*) - count(DISTINCT l) AS n FROM (SELECT rid, unnest(string_split(text, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY rid
+), f AS (
+  SELECT w.rid, w.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(lines.n, 0) AS n_dup_lines, coalesce(five.n, 0) AS n_repeat_words,
+         coalesce(n_repeats, 0) AS n_repeats, coalesce(longest_repeat, 0) AS longest_repeat, coalesce(covered_chars, 0) AS covered_chars
+  FROM w LEFT JOIN lines ON lines.rid = w.rid LEFT JOIN five ON five.rid = w.rid LEFT JOIN own ON own.rid = w.rid LEFT JOIN chars ON chars.rid = w.rid
+)
+SELECT f.* EXCLUDE rid, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND covered_chars <= 0.2 * word_chars AND coalesce(heavy.s, 0) <= 64 * 6 AS kept FROM f LEFT JOIN heavy ON heavy.rid = f.rid
+"""
+
+OP8_SQL = r"""
+WITH b AS (SELECT row_number() OVER () AS b, item_id, text, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS ws FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)
+), it AS (SELECT *, len(ws) AS n, CAST(greatest(8, pow(2, ceil(log2(len(ws))))) AS BIGINT) AS h FROM b WHERE len(ws) > 0
+), tf AS (SELECT b, h, n, w, count(*) AS f FROM (SELECT b, h, n, unnest(ws) AS w FROM it) GROUP BY ALL
+), raw AS (
+  SELECT tf.b, h, tf.w, ln(1 + (c.n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * f * 2.2::DOUBLE / (f + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * tf.n / c.mean)) AS x
+  FROM tf JOIN (SELECT w, count(*) AS df FROM tf GROUP BY w) d ON d.w = tf.w CROSS JOIN (SELECT count(*) AS n, avg(n) AS mean FROM it) c
+), imp AS (SELECT b, h, w, x / sum(x) OVER (PARTITION BY b) AS x FROM raw
+), doc AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS ws FROM documents
+), word AS (SELECT rid, i, ws[i + 1] AS w FROM (SELECT rid, ws, unnest(range(len(ws))) AS i FROM doc)
+), win AS (SELECT DISTINCT rid, h, w, i // h - s AS k FROM word JOIN (SELECT DISTINCT h, w FROM imp) USING (w) CROSS JOIN (VALUES (0), (1)) o(s) WHERE i // h - s >= 0
+), hit AS (SELECT rid, win.h, k, b, round(sum(x), 9) AS s FROM win JOIN imp ON imp.h = win.h AND imp.w = win.w GROUP BY ALL HAVING sum(x) >= 0.5
+), part AS (
+  SELECT b, CASE WHEN len(ps) > 1 THEN flatten(ps[1:len(ps) - 1]) ELSE ws[1:greatest(1, n - greatest(1, n // 3))] END AS q, CASE WHEN len(ps) > 1 THEN ps[len(ps)] ELSE ws[greatest(1, n - greatest(1, n // 3)) + 1:] END AS a
+  FROM (SELECT *, list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(10), 'g'), chr(10)), lambda x: regexp_extract_all(lower(x), '[\p{L}\p{N}]+')), lambda x: len(x) > 0) AS ps FROM it)
+), near AS (SELECT hit.*, doc_id, doc.ws[k * h + 1:(k + 2) * h] AS ws, q, a, least(3, len(q)) AS nq, least(3, len(a)) AS na FROM hit JOIN doc USING (rid) JOIN part USING (b)
+), gram AS (
+  SELECT *, list_distinct(list_transform(range(1, len(q) - nq + 2), lambda j: array_to_string(q[j:j + nq - 1], ' '))) AS gq, list_distinct(list_transform(range(1, len(a) - na + 2), lambda j: array_to_string(a[j:j + na - 1], ' '))) AS ga,
+    list_transform(range(1, len(ws) - nq + 2), lambda j: array_to_string(ws[j:j + nq - 1], ' ')) AS wq, list_transform(range(1, len(ws) - na + 2), lambda j: array_to_string(ws[j:j + na - 1], ' ')) AS wa FROM near
+), o AS (
+  SELECT *, CASE WHEN nq = 0 THEN 1.0::DOUBLE ELSE len(list_filter(gq, lambda x: list_contains(wq, x)))::DOUBLE / len(gq) END AS oq, CASE WHEN na = 0 THEN 1.0::DOUBLE ELSE len(list_filter(ga, lambda x: list_contains(wa, x)))::DOUBLE / len(ga) END AS oa FROM gram
+), best AS (SELECT *, row_number() OVER (PARTITION BY rid, b ORDER BY s DESC, oq DESC, oa DESC) AS r FROM o WHERE oq >= 0.6 AND oa >= 0.5)
+SELECT doc_id, item_id, round(s, 6) AS bm25, round(oq, 6) AS question_overlap, round(oa, 6) AS answer_overlap FROM best JOIN it USING (b) WHERE r = 1
+"""
+
+
+def _either_case(words: str) -> str:
+    return "".join(f"[{x}{x.upper()}]" if x.isalpha() else x for x in words)
+
+
+#: The n-th match starts where its text comes first after the match before it. Checksums are CRC-32 in base 62, bit by bit.
+OP9_SQL = (
+    r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
+), m AS (
+  SELECT rid, t, 'assign' AS kind, 1 AS o, regexp_extract_all(t, '(?:ASSIGN)["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+') AS ms FROM d
+  UNION ALL SELECT rid, t, 'access', 2, regexp_extract_all(t, 'AKIA[A-Z0-9]+') FROM d
+  UNION ALL SELECT rid, t, 'hex', 3, regexp_extract_all(t, '[0-9a-f]+') FROM d
+  UNION ALL SELECT rid, t, 'github', 4, regexp_extract_all(t, '(?:gh[pousr]|npm)_[A-Za-z0-9]+') FROM d
+), p AS (
+  SELECT rid, kind, o, t, ms, 0 AS k, CAST(0 AS BIGINT) AS s, CAST(0 AS BIGINT) AS e FROM m WHERE kind <> 'hex' AND len(ms) > 0
+  UNION ALL SELECT rid, kind, o, t, ms, k + 1, e + instr(substr(t, e + 1), ms[k + 1]) - 1, e + instr(substr(t, e + 1), ms[k + 1]) - 1 + length(ms[k + 1]) FROM p WHERE k < len(ms)
+), hx AS (
+  SELECT rid, t, ms, 0 AS k, CAST(0 AS BIGINT) AS e, CAST(0 AS BIGINT) AS s FROM (SELECT rid, t, list_filter(ms, lambda x: length(x) >= 32) AS ms FROM m WHERE kind = 'hex') WHERE len(ms) > 0
+  UNION ALL SELECT rid, t, ms, k + 1, e + instr(substr(t, e + 1), ms[k + 1]) - 1 + length(ms[k + 1]), e + instr(substr(t, e + 1), ms[k + 1]) - 1 FROM hx WHERE k < len(ms)
+), c AS (
+  SELECT rid, kind, o, s, e, ms[k] AS x, substr(t, s, 1) AS prev FROM p WHERE k > 0
+), f AS (
+  SELECT rid, kind, o, s, e FROM c WHERE kind = 'assign' AND length(regexp_extract(x, '^(?:ASSIGN)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1)) >= 8
+  UNION ALL SELECT rid, kind, o, s, e FROM c WHERE kind = 'access' AND length(x) >= 16
+  UNION ALL SELECT rid, 'hex', 3, s, e FROM hx WHERE k > 0
+  UNION ALL SELECT rid, CASE WHEN x LIKE 'npm%' THEN 'npm' ELSE 'github' END, CASE WHEN x LIKE 'npm%' THEN 5 ELSE 4 END, s, e
+    FROM (SELECT *, xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(substr(x, 5, 30), ''), lambda y: CAST(ascii(y) AS BIGINT))),
+      lambda r, y: list_reduce([xor(r, y), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, 3988292384 * (a & 1))))) AS crc FROM c WHERE kind = 'github' AND length(x) = 40 AND NOT regexp_matches(coalesce(prev, ''), '[A-Za-z0-9]'))
+    WHERE substr(x, 35, 6) = array_to_string(list_transform([916132832, 14776336, 238328, 3844, 62, 1], lambda q: substr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz', CAST((crc // q) % 62 AS BIGINT) + 1, 1)), '')
+), a AS (
+  SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, o, e) FILTER (o <= 3) AS base, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, o, e) AS spans FROM f GROUP BY rid
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN a ON a.rid = d.rid
+"""
+).replace("ASSIGN", "|".join(_either_case(x) for x in ("password", "passwd", "secret", "token")) + "|" + _either_case("api") + "_?" + _either_case("key"))
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard": OP1_SQL, "op2_chat_perspectives": OP2_SQL, "op5_merkle_fixity": OP5_SQL}
+    return {
+        "op1_ngram_jaccard": OP1_SQL,
+        "op2_chat_perspectives": OP2_SQL,
+        "op3_suffix_array_rules": OP3_SQL,
+        "op5_merkle_fixity": OP5_SQL,
+        "op8_bm25_decontamination": OP8_SQL,
+        "op9_secret_scan": OP9_SQL,
+    }
