@@ -5,18 +5,19 @@ same for the bigram, else 0.16 times its unigram's share. Counts cover the whole
 the scored document itself (leave one out), so no text vouches for itself. A document's score is
 the mean over its words; a word that no other document has counts as seen half a time.
 
-Three shuffles do the work, each over blocks rather than rows for each n-gram, which would not
-fit the disk that a corpus of this kind has beside it:
+``backoff_scores_by_rows`` is the plain form: a row for each n-gram of each text, a count table
+partitioned by hash, joins and sums. Its shuffles take over ten times the input's disk, so
+``backoff_scores`` does the same join on packed rows, each a block of texts by a part of the hashes:
 
 1. Documents go to ``blocks`` by a hash of id and text. A block lists its distinct n-grams once
    each, as 64-bit hashes with counts, split by hash into ``parts``.
-2. Each part adds up its n-grams over all blocks: the count tables, partitioned by hash. It
+2. Each part adds up its n-grams over all blocks: the count table, partitioned by hash. It
    sends every block the totals of the n-grams that it asked for, in the same order.
 3. Each block joins the totals to its documents' n-grams and sums the scores.
 
 So a frequent n-gram has one entry a block, whatever its count, and no key is hot. Blocks and
-parts grow in number with the corpus, not in size. Both sides list a block's n-grams in
-ascending order; a digest of each list is sent along and checked.
+parts grow in number with the corpus, not in size; there are never more packed rows than distinct n-grams of
+blocks. Both sides list a block's n-grams in ascending order; a digest of each list is sent along and checked.
 
 Null and empty texts have no words and a null score. Repeated rows count as documents of their
 own. Other columns are not returned.
@@ -31,10 +32,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from framewright.llm.common import WORD, lower_ascii, mix, word_count
+from framewright.llm.common import WORD, WORD_SQL, ascii_lower, lower_ascii, mix, staged, word_count
 
 ORDER = 3
 ALPHA = 0.4
@@ -42,6 +43,7 @@ ALPHA = 0.4
 BLOCK_CHARS, PART_CHARS = 6_000_000, 10_000_000
 #: Bytes of a hash that are sent; its top bits give the part. Two of the about 2 million n-grams of a
 #: part are taken for one with a chance of about one in a million each, at any size of the corpus.
+#: With 8, whole 64-bit hashes are compared.
 SENT = 5
 
 
@@ -67,15 +69,15 @@ def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
 
 
-def pack(keys: np.ndarray) -> bytes:
-    """The low ``SENT`` bytes of each hash."""
-    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SENT].tobytes()
+def pack(keys: np.ndarray, sent: int) -> bytes:
+    """The low ``sent`` bytes of each hash."""
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :sent].tobytes()
 
 
-def unpack(raw) -> np.ndarray:
-    rows = np.frombuffer(raw, dtype=np.uint8).reshape(-1, SENT)
+def unpack(raw, sent: int) -> np.ndarray:
+    rows = np.frombuffer(raw, dtype=np.uint8).reshape(-1, sent)
     out = np.zeros((len(rows), 8), dtype=np.uint8)
-    out[:, :SENT] = rows
+    out[:, :sent] = rows
     return out.view("<u8").reshape(-1)
 
 
@@ -123,10 +125,36 @@ def scores(doc: np.ndarray, keys: np.ndarray, at: np.ndarray, totals: np.ndarray
     return pd.DataFrame(out | {f"n_order{k + 1}": np.bincount(doc, used == k, n_docs).astype(np.int64) for k in range(ORDER)})
 
 
-def backoff_scores(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def backoff_scores_by_rows(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """As ``backoff_scores``, with a row for each n-gram and 64-bit hashes, for corpora that leave the disk for it."""
+    docs = df.select(F.col(id_col).alias("id_at"), F.regexp_extract_all(ascii_lower(F.coalesce(F.col(text).cast("string"), F.lit(""))), F.lit(WORD_SQL), 0).alias("w"))
+    docs = staged(docs.withColumn("row", F.monotonically_increasing_id()), "lm-docs")
+    n_corpus = docs.agg(F.sum(F.size("w"))).first()[0] or 0
+    gram = lambda w, i, k: F.xxhash64(*(F.get(w, i - j) for j in reversed(range(k))))
+    grams = F.transform("w", lambda _, i: F.array(*(F.when(i >= k - 1, F.struct(F.lit(k).alias("k"), gram(F.col("w"), i, k).alias("h"))) for k in range(1, ORDER + 1))))
+    each = docs.select("row", F.posexplode(grams).alias("pos", "own")).select("row", "pos", F.explode("own").alias("g")).filter("g is not null").select("row", "pos", "g.k", "g.h")
+    own = each.groupBy("row", "k", "h").agg(F.count(F.lit(1)).alias("m"))
+    table = own.groupBy("k", "h").agg(F.sum("m").alias("n"))
+    other = own.join(table, ["k", "h"]).select("row", "k", "h", (F.col("n") - F.col("m")).alias("c"))
+    at = each.join(other, ["row", "k", "h"]).groupBy("row", "pos").agg(*(F.max(F.when(F.col("k") == k, F.col("c"))).alias(f"c{k}") for k in range(1, ORDER + 1)))
+    words = Window.partitionBy("row").orderBy("pos")
+    at = at.join(docs.select("row", F.size("w").alias("size")), "row")
+    value, used = F.log(ALPHA ** (ORDER - 1) * F.greatest("c1", F.lit(0.5)) / F.greatest(F.lit(n_corpus) - F.col("size"), F.lit(1))), F.lit(1)
+    for k in range(2, ORDER + 1):
+        context = F.lag(f"c{k - 1}").over(words)
+        seen = (F.col(f"c{k}") > 0) & (context > 0)
+        value = F.when(seen, F.log(ALPHA ** (ORDER - k) * F.col(f"c{k}") / context)).otherwise(value)
+        used = F.when(seen, k).otherwise(used)
+    scored = at.withColumn("value", value).withColumn("used", used).groupBy("row").agg(F.avg("value").alias("score"), *(F.count_if(F.col("used") == k).alias(f"n_order{k}") for k in range(1, ORDER + 1)))
+    counts = [F.coalesce(f"n_order{k}", F.lit(0)).alias(f"n_order{k}") for k in range(1, ORDER + 1)]
+    return docs.join(scored, "row", "left").select(F.col("id_at").alias(id_col), F.size("w").cast("long").alias("n_words"), *counts, "score")
+
+
+def backoff_scores(df: DataFrame, id_col: str = "doc_id", text: str = "text", sent: int = SENT) -> DataFrame:
     """Returns ``id_col, n_words, n_order1, n_order2, n_order3, score`` for every row of ``df``.
 
-    ``n_orderK``: words scored by their n-gram of K words. ``score``: mean log score of a word.
+    ``n_orderK``: words scored by their n-gram of K words. ``score``: mean log score of a word. ``sent``: bytes of a hash
+    that are compared within a part, 8 for all.
     """
     docs = df.select(F.col(id_col).alias("id_at"), F.col(text).cast("string").alias("t"))
     chars, n_corpus = (x or 0 for x in docs.agg(F.sum(F.length("t")), F.sum(word_count(F.col("t")))).first())
@@ -143,21 +171,21 @@ def backoff_scores(df: DataFrame, id_col: str = "doc_id", text: str = "text") ->
             {
                 "block": pa.array([table.column("block")[0].as_py()] * len(rows), pa.int32()),
                 "part": pa.array([k for k, _, _ in rows], pa.int32()),
-                "keys": pa.array([pack(x) for _, x, _ in rows], pa.binary()),
+                "keys": pa.array([pack(x, sent) for _, x, _ in rows], pa.binary()),
                 "counts": pa.array([pack_counts(x) for _, _, x in rows], pa.binary()),
             }
         )
 
     def add(key, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))
-        lists = [unpack(x.as_buffer()) for x in table.column("keys")]
+        lists = [unpack(x.as_buffer(), sent) for x in table.column("keys")]
         counts = [unpack_counts(x.as_buffer(), len(y)) for x, y in zip(table.column("counts"), lists, strict=True)]
         kinds, inverse = np.unique(np.concatenate(lists), return_inverse=True)
         totals = np.bincount(inverse, np.concatenate(counts), len(kinds)).astype(np.int64)[inverse]
         edge = np.r_[0, np.cumsum([len(x) for x in lists])]
         for i, block in enumerate(table.column("block").to_pylist()):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int32()), pa.array([key[0].as_py()], pa.int32()), pa.array([pack_counts(totals[edge[i] : edge[i + 1]])], pa.binary()), pa.array([xxhash.xxh3_64_intdigest(pack(lists[i])) >> 1], pa.int64())],
+                [pa.array([block], pa.int32()), pa.array([key[0].as_py()], pa.int32()), pa.array([pack_counts(totals[edge[i] : edge[i + 1]])], pa.binary()), pa.array([xxhash.xxh3_64_intdigest(pack(lists[i], sent)) >> 1], pa.int64())],
                 names=["block", "part", "totals", "digest"],
             )
 
@@ -169,7 +197,7 @@ def backoff_scores(df: DataFrame, id_col: str = "doc_id", text: str = "text") ->
         part = part_of(order, parts)
         for k, raw, digest in zip(answers.column("part").to_pylist(), answers.column("totals"), answers.column("digest").to_pylist(), strict=True):
             a, b = np.searchsorted(part, [k, k + 1])
-            if xxhash.xxh3_64_intdigest(pack(order[a:b])) >> 1 != digest:
+            if xxhash.xxh3_64_intdigest(pack(order[a:b], sent)) >> 1 != digest:
                 raise RuntimeError("the n-grams of a block changed between two reads of the input")
             totals[a:b] = unpack_counts(raw.as_buffer(), b - a)
         out = scores(doc, keys, at, totals, n_corpus, len(texts))

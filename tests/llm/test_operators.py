@@ -256,8 +256,11 @@ def test_batches(docs, none):
     assert packing.pack_buckets(none).count() == 0
 
 
-def test_backoff_scores(docs, none):
-    found = {(r["doc_id"], r["n_words"]): r for r in scoring.backoff_scores(docs).collect()}
+@pytest.mark.parametrize("scored", [scoring.backoff_scores, scoring.backoff_scores_by_rows, lambda df: scoring.backoff_scores(df, sent=8)])
+def test_backoff_scores(docs, none, scored, monkeypatch):
+    monkeypatch.setattr(scoring, "BLOCK_CHARS", 1000)
+    monkeypatch.setattr(scoring, "PART_CHARS", 700)
+    found = {(r["doc_id"], r["n_words"]): r for r in scored(docs).collect()}
     rows = [(r["doc_id"], WORD.findall((r["text"] or "").lower())) for r in docs.collect()]
     count = [Counter(tuple(w[i : i + k]) for _, w in rows for i in range(len(w) - k + 1)) for k in (1, 2, 3)]
     total = sum(len(w) for _, w in rows)
@@ -277,7 +280,7 @@ def test_backoff_scores(docs, none):
             assert found[d, len(w)]["score"] == pytest.approx(score / len(w))
         else:
             assert found[d, 0]["score"] is None
-    assert scoring.backoff_scores(none).count() == 0
+    assert scored(none).count() == 0
 
 
 def test_retrieval_is_brute_force():
