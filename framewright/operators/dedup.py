@@ -46,10 +46,25 @@ def similar_pairs(emb: DataFrame, threshold: float) -> DataFrame:
 def near_duplicates(emb: DataFrame, threshold: float = 0.95) -> DataFrame:
     """Adds ``status`` and ``has_duplicates``: in order of id, a row is kept if no kept row before it is similar.
 
-    Rounds decide every row whose earlier neighbours are decided; each cuts the lineage with
+    Of a group's rows with equal vectors (not all zero) only the first is compared; the others go with it, so many copies
+    make no pairs. Rounds decide every row whose earlier neighbours are decided; each cuts the lineage with
     ``checkpoint()`` in the folder that the session names.
     """
-    edges = similar_pairs(emb, threshold).select("a", "b").checkpoint()
+    if threshold >= 1:
+        return _greedy(emb, emb, threshold)
+    first = emb.filter(F.exists("vec", lambda x: x != 0)).groupBy("grp", "vec").agg(F.min("id").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    copies = emb.join(first, ["grp", "vec"]).select("id", "_first").checkpoint()
+    later = copies.filter("id <> _first").select("id")
+    out = _greedy(emb.join(later, "id", "left_anti"), emb, threshold)
+    led = copies.filter("id = _first").select("id", F.lit(True).alias("_leads"))
+    out = out.join(later.withColumn("_copy", F.lit(True)), "id", "left").join(led, "id", "left")
+    status = F.when(F.col("_copy"), "delete").otherwise(F.col("status"))
+    linked = (status == "keep") & (F.col("has_duplicates") | F.coalesce("_leads", F.lit(False)))
+    return out.select(*emb.columns, status.alias("status"), linked.alias("has_duplicates"))
+
+
+def _greedy(compared: DataFrame, emb: DataFrame, threshold: float) -> DataFrame:
+    edges = similar_pairs(compared, threshold).select("a", "b").checkpoint()
     open_ = edges.select(F.col("a").alias("id")).union(edges.select(F.col("b").alias("id"))).distinct()
     kept, deleted = open_.limit(0), open_.limit(0)
     while not open_.isEmpty():

@@ -29,6 +29,18 @@ def test_query(spark, sf_dir, con, name):
     assert plain(found) == plain(con.execute(registry.oracle_sql()[name]).df())
 
 
+def test_equal_vectors_go_with_the_first(spark):
+    from framewright.operators import dedup
+    from framewright.plans.session import with_checkpoints
+
+    with_checkpoints(spark)
+    vecs = {0: (1.0, 0.0), 1: (0.0, 0.0), 2: (1.0, 0.0), 3: (0.0, 1.0), 4: (0.0, 0.0), 5: (1.0, 0.1), 6: (0.0, 1.0), 7: (0.1, 1.0), 8: (1.0, 1.0)}
+    emb = spark.createDataFrame([(i, 1, list(v)) for i, v in vecs.items()] + [(9, 2, [1.0, 0.0])], "id long, grp int, vec array<float>")
+    got = {r["id"]: (r["status"], r["has_duplicates"]) for r in dedup.near_duplicates(emb, 0.9).collect()}
+    gone = {2, 5, 6, 7}
+    assert got == {i: ("delete", False) if i in gone else ("keep", i in (0, 3)) for i in range(10)}
+
+
 def test_greedy_keeps_no_similar_pair(spark, sf_dir):
     from framewright.operators import dedup
 
