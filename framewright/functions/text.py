@@ -49,11 +49,9 @@ def remove_brackets(c: Column) -> Column:
 
 def remove_substring_tags(c: Column) -> Column:
     """Drops every tag that is part of a different tag; exact repeats stay."""
-    def alone(s: Column) -> Column:
-        # a tag occurs once in the list of distinct tags, for itself; anywhere else it is part of another
-        return F.filter(s["tags"], lambda x: F.when(x == "", s["all"] == ",,").otherwise(F.length(s["all"]) - F.length(F.replace(s["all"], x, F.lit(""))) == F.length(x)))
-
-    listed = lambda tags: F.struct(tags.alias("tags"), F.concat(F.lit(","), F.array_join(F.array_distinct(tags), ","), F.lit(",")).alias("all"))
+    # the lists are bound once; named twice, they would be split anew for every tag
+    listed = lambda tags: F.struct(tags.alias("all"), F.array_distinct(tags).alias("each"))
+    alone = lambda s: F.filter(s["all"], lambda x: ~F.exists(s["each"], lambda y: y.contains(x) & (y != x)))
     return F.array_join(bound(pieces(c), lambda tags: bound(listed(tags), alone)), ", ")
 
 
