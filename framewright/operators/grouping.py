@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from framewright.functions.geometry import adjust_crop
 from framewright.functions.text import frame_name, merge_tag_lists, py_strip, uniform
+from framewright.plans.session import scratch
 
 
 def tag_frequency(tagged: DataFrame, column: str = "tags") -> DataFrame:
@@ -105,17 +106,22 @@ def sample_per_folder(captions: DataFrame, k: int = 2, seed: int = 0) -> DataFra
 
 
 def numbered(df: DataFrame, *order: str) -> DataFrame:
-    """Adds ``rn``, the row's place in the whole order from 1.
+    """Adds ``rn``, the row's place in the whole order from 1, nulls first.
 
-    Rows are ranked within the distinct values of ``order[0]``, so no task sorts everything.
+    The order is dealt to tasks in ranges, which are written once in the shared folder, so that they don't change; a row's place is
+    that in its range after the rows of the ranges before. So neither all rows nor a large folder is one task.
     """
-    first = order[0]
-    before = Window.orderBy(first).rowsBetween(Window.unboundedPreceding, -1)
-    runs = df.groupBy(first).agg(F.count(F.lit(1)).alias("n"))
-    runs = runs.select(F.col(first).alias("_of"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
-    rank = F.row_number().over(Window.partitionBy(first).orderBy(*order[1:]))
-    ranked = df.withColumn("_r", rank).join(runs, F.col(first).eqNullSafe(F.col("_of")))
-    return ranked.withColumn("rn", F.col("_before") + F.col("_r")).drop("_r", "_of", "_before")
+    spark = df.sparkSession
+    path = scratch(spark, "numbered")
+    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    ranged.write.parquet(path)
+    rows = spark.read.schema(ranged.schema).parquet(path)
+    sums = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
+    # a row for each range
+    before = sums.select("_range", F.coalesce(F.sum("n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    ranked = rows.withColumn("_r", rank).join(F.broadcast(before), "_range")
+    return ranked.select(*df.columns, (F.col("_before") + F.col("_r")).alias("rn"))
 
 
 def chunk_prompts(lines: DataFrame, max_lines: int, line: Column, prefix: str = "", suffix: str = "", negative: str = "", order: Sequence[str] = ("rel_dir", "stem", "id")) -> DataFrame:
@@ -127,13 +133,12 @@ def chunk_prompts(lines: DataFrame, max_lines: int, line: Column, prefix: str =
 
 def assign_shards(pairs: DataFrame, n: int = 5, seed: int = 0) -> DataFrame:
     """Even shards of a random order; the first (count mod n) have one row more."""
-    order = pairs.withColumn("_u", uniform(seed, F.col("id"))).withColumn("_run", F.floor(F.col("_u") * 4096))
-    ranked = numbered(order, "_run", "_u", "id")
+    ranked = numbered(pairs.withColumn("_u", uniform(seed, F.col("id"))), "_u", "id")
     total = pairs.agg(F.count(F.lit(1)).alias("_n"))
     small, more = F.floor(F.col("_n") / n), F.col("_n") % n
     i = F.col("rn") - 1
     shard = F.when(i < more * (small + 1), F.floor(i / (small + 1))).otherwise(more + F.floor(F.try_divide(i - more * (small + 1), small)))
-    return ranked.join(F.broadcast(total)).withColumn("shard", (shard + 1).cast("int")).drop("_u", "_run", "_n", "rn")
+    return ranked.join(F.broadcast(total)).withColumn("shard", (shard + 1).cast("int")).drop("_u", "_n", "rn")
 
 
 def cut_after_failures(log: DataFrame, batch: int = 500, limit: int = 100, source: str | None = None) -> DataFrame:
