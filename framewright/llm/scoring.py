@@ -40,9 +40,9 @@ from framewright.llm.common import WORD, WORD_SQL, ascii_lower, lower_ascii, mix
 ORDER = 3
 ALPHA = 0.4
 #: Characters of a block and of a part's n-grams, about.
-BLOCK_CHARS, PART_CHARS = 6_000_000, 10_000_000
-#: Bytes of a hash that are sent; its top bits give the part. Two of the about 2 million n-grams of a
-#: part are taken for one with a chance of about one in a million each, at any size of the corpus.
+BLOCK_CHARS, PART_CHARS = 6_000_000, 3_000_000
+#: Bytes of a hash that are sent; its top bits give the part. Two of the about half a million n-grams of a
+#: part are taken for one with a chance of about one in two million each, at any size of the corpus.
 #: With 8, whole 64-bit hashes are compared.
 SENT = 5
 
