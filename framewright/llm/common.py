@@ -38,7 +38,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
             raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(folder)
