@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,7 +12,7 @@ from pyspark.sql import SparkSession
 def with_checkpoints(spark: SparkSession) -> None:
     """Sets a checkpoint folder only where the session names none and all runs on one machine, as in local tests."""
     if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
             raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
 
