@@ -264,6 +264,8 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text: str = "text"
     keys = nodes.select("node", "rare", F.posexplode("hashes").alias("k", "h"))
     least = F.min(F.struct("rare", "node"))
     leaders = keys.groupBy("k", "h").agg(least.alias("u"), F.count(F.lit(1)).alias("m")).filter("m > 1").select("k", "h", F.col("u.node").alias("u"))
+    # written, so that the join shuffles both sides and Spark can split a value that many nodes share
+    leaders = staged(leaders, "leaders")
     starts = keys.join(leaders, ["k", "h"]).filter("node <> u").select("u", F.col("node").alias("v")).distinct()
     early = staged(_verified(starts, nodes, docs, n, num, den, names), "links")
     roots = components(early)
