@@ -306,7 +306,8 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text: str = "text"
     roots = components(early.unionByName(late))
 
     named = nodes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
+    # written, so that the join can be split where a component has very many nodes
+    least = staged(named.groupBy("root").agg(F.min("rep").alias("component_id")), "least")
     named = named.join(least, "root").select("node", "component_id")
     labelled = rows.select("id_at", "n", "node").join(named, "node", "left")
     component = F.when(F.col("n") == 0, F.col("id_at")).when(F.col("id_at").isNotNull(), F.col("component_id"))
