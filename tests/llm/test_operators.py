@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from framewright.llm import chat, decontamination, fixity, packing, quality, scoring, secrets, sharding, similarity, urls
+from framewright.llm import chat, components, decontamination, fixity, packing, quality, scoring, secrets, sharding, similarity, urls
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, source string, node string"
@@ -84,6 +84,26 @@ def test_large_sketch(docs, monkeypatch):
     assert Counter(map(tuple, similarity.similar_components(docs).collect())) == want
 
 
+def test_components_of_hubs_and_chains(spark):
+    hub_low = [(-1000, k) for k in range(3 * components.PARTS)]
+    hub_high = [(k, 9000) for k in range(2000, 2000 + 3 * components.PARTS)]
+    chain = [(5000 + 7 * k % 40, 5000 + 7 * (k + 1) % 40) for k in range(39)]
+    edges = hub_low + hub_high + chain + [(7000, 7000), (8001, 8000), (8000, 8001), (8001, 8000)]
+    parent = {x: x for e in edges for x in e}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    found = components.components(spark.createDataFrame(edges, "u long, v long").repartition(4)).collect()
+    assert sorted((r["node"], r["root"]) for r in found) == sorted((x, find(x)) for x in parent if find(x) != x)
+    assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
 def test_drop_near_duplicates(docs, none):
     kept = similarity.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
