@@ -318,13 +318,14 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "tex
     """``df`` with one row of each component: the one with the smallest id.
 
     Rows with a null id, and texts without a word, stay. Of rows that repeat both the id and
-    the text, one stays.
+    the text, one stays. Rows that share an id but not the text go only if all of them do, so that no
+    text is lost: a copy among them may stay.
 
     Up to ``BROADCAST_IDS`` ids to drop are broadcast, so texts stay where they are; for more,
     texts are shuffled once.
     """
     found = staged(similar_components(df, id_col, text, n, num, den), "components")
-    by_id = found.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id_at")).agg(F.max(F.col(id_col) != F.col("component_id")).alias("goes"), F.count(F.lit(1)).alias("times"))
+    by_id = found.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id_at")).agg(F.min(F.col(id_col) != F.col("component_id")).alias("goes"), F.count(F.lit(1)).alias("times"))
     marks = staged(by_id.filter("goes or times > 1").select("id_at", F.when(F.col("goes"), "drop").otherwise("again").alias("mark_at")), "marks")
     counts = {r["mark_at"]: r["count"] for r in marks.groupBy("mark_at").count().collect()}
     few = sum(counts.values()) <= BROADCAST_IDS

@@ -104,6 +104,13 @@ def test_components_of_hubs_and_chains(spark):
     assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_an_id_with_two_texts_loses_none(spark):
+    one, two = (" ".join(f"{x}{k}" for k in range(30)) for x in "ab")
+    rows = [(3, one), (5, one), (5, two), (9, two), (11, one), (11, one)]
+    kept = similarity.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept)) == [(3, one), (5, one), (5, two)]
+
+
 def test_drop_near_duplicates(docs, none):
     kept = similarity.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
