@@ -12,6 +12,7 @@ from framewright.llm.decontamination import contaminated
 from framewright.llm.fixity import audit, manifest, warc_record
 from framewright.llm.packing import pack_buckets
 from framewright.llm.quality import quality_rules
+from framewright.llm.ranking import ranked_search
 from framewright.llm.scoring import backoff_scores
 from framewright.llm.secrets import find_secrets
 from framewright.llm.sharding import pack_shards
@@ -82,6 +83,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "host", "path", "rule", "verdict", F.array_join("words", " ").alias("words"), "odds")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_ngram_jaccard,
@@ -94,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_bm25_decontamination,
         op9_secret_scan,
         op10_url_filter,
+        op11_ranked_search,
     )
     return {f.__name__: f for f in own}
 
@@ -256,6 +262,22 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 ).replace("ASSIGN", "|".join(_either_case(x) for x in ("password", "passwd", "secret", "token")) + "|" + _either_case("api") + "_?" + _either_case("key"))
 
 
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents
+), z AS (SELECT count(*) AS n_docs, sum(len(ws)) AS n_terms FROM d WHERE len(ws) > 0
+), m AS (SELECT rid, doc_id, 10 + (90 * len(ws) * n_docs) // n_terms AS m, ws FROM d, z
+), tf AS (SELECT rid, w, count(*) AS tf FROM (SELECT rid, unnest(ws) AS w FROM d) GROUP BY rid, w
+), wt AS (SELECT w, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS wt FROM (SELECT w, count(*) AS df FROM tf GROUP BY w), z
+), b AS (SELECT row_number() OVER () AS b, * FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), q AS (SELECT DISTINCT b, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM b
+), s AS (
+  SELECT b, rid, doc_id, CAST(sum(wt * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN wt USING (w) JOIN tf USING (w) JOIN m USING (rid) GROUP BY b, rid, doc_id
+), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY b ORDER BY score DESC, doc_id) AS INT) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r JOIN b USING (b) WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_ngram_jaccard": OP1_SQL,
@@ -264,4 +286,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_merkle_fixity": OP5_SQL,
         "op8_bm25_decontamination": OP8_SQL,
         "op9_secret_scan": OP9_SQL,
+        "op11_ranked_search": OP11_SQL,
     }
