@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from framewright.llm.chat import perspectives
 from framewright.llm.decontamination import contaminated
 from framewright.llm.fixity import audit, manifest, warc_record
+from framewright.llm.languages import identify
 from framewright.llm.packing import pack_buckets
 from framewright.llm.quality import quality_rules
 from framewright.llm.ranking import ranked_search
@@ -17,6 +18,7 @@ from framewright.llm.scoring import backoff_scores
 from framewright.llm.secrets import find_secrets
 from framewright.llm.sharding import pack_shards
 from framewright.llm.similarity import similar_components
+from framewright.llm.trie import shared_openings_trie
 from framewright.llm.urls import filter_urls
 
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -87,6 +89,15 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
 
+def op12_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = identify(table(spark, sf_dir, "documents"))
+    return rows.withColumn("spans", F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s.start, s.end, s.lang)), ","))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_openings_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_ngram_jaccard,
@@ -100,6 +111,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_secret_scan,
         op10_url_filter,
         op11_ranked_search,
+        op12_language_spans,
+        op13_prefix_trie,
     )
     return {f.__name__: f for f in own}
 
@@ -278,6 +291,33 @@ SELECT item_id, rank, doc_id, score FROM r JOIN b USING (b) WHERE rank <= 10
 """
 
 
+#: CRC-32 bit by bit. A node is the list of its turns; of a node's members the smallest has all nodes above it.
+OP13_SQL = r"""
+WITH t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), s AS (
+  SELECT c, max(k) AS own, c - c % 5 AS base, xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda y: CAST(ascii(y) AS BIGINT))),
+    lambda r, y: list_reduce([xor(r, y), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, 3988292384 * (a & 1))))) % 9 AS h FROM t GROUP BY c
+), z AS (SELECT s.*, least(s.h, coalesce(b.own, 0)) AS taken FROM s LEFT JOIN s b ON b.c = s.base
+), r AS (
+  SELECT z.c, k AS d, role, text FROM z JOIN t ON t.c = z.base WHERE k <= h UNION ALL SELECT z.c, taken + k - h, role, text FROM z JOIN t ON t.c = z.c WHERE k > h
+), p AS (
+  SELECT c, d, sha256(CAST(list({'r': role, 't': text}) OVER (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING) AS VARCHAR)) AS s, strlen(text) AS size FROM r
+  UNION ALL SELECT c, 0, '', 0 FROM z
+), x AS (SELECT *, d = max(d) OVER (PARTITION BY c) AS ends, lag(s) OVER (PARTITION BY c ORDER BY d) AS up FROM p
+), n AS (
+  SELECT d, s, min(c) AS c, min(up) AS up, count(*) AS n, (count(*) - 1) * max(size) AS saved, sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends FROM x GROUP BY d, s
+), f AS (SELECT d - 1 AS d, up AS s, count(*) AS n FROM n WHERE d > 0 GROUP BY ALL
+), u AS (
+  SELECT x.d, x.s, sum(v.saved) AS saved, count(*) FILTER (v.n_children = 0) AS leaves
+  FROM (SELECT n.*, coalesce(f.n, 0) AS n_children FROM n LEFT JOIN f USING (d, s)) v JOIN x ON x.c = v.c AND x.d <= v.d GROUP BY x.d, x.s
+)
+SELECT n.c AS conv_id, n.d AS depth, a.c AS parent_conv_id, n.n AS n_convs, coalesce(f.n, 0) AS n_children, u.leaves AS n_leaves, CAST(u.saved AS BIGINT) AS saved_tokens, n.ends AS ends_sha256
+FROM n JOIN u USING (d, s) LEFT JOIN f USING (d, s) LEFT JOIN n a ON a.d = n.d - 1 AND a.s = n.up
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_ngram_jaccard": OP1_SQL,
@@ -287,4 +327,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_bm25_decontamination": OP8_SQL,
         "op9_secret_scan": OP9_SQL,
         "op11_ranked_search": OP11_SQL,
+        "op13_prefix_trie": OP13_SQL,
     }

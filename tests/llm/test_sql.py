@@ -25,4 +25,4 @@ def test_query(spark, sf_dir, name):
 
 
 def test_every_query_has_sql_or_a_brute_force_test():
-    assert set(queries.queries()) - set(queries.oracle_sql()) == {"op4_vector_shards", "op6_length_buckets", "op7_stupid_backoff", "op10_url_filter"}
+    assert set(queries.queries()) - set(queries.oracle_sql()) == {"op4_vector_shards", "op6_length_buckets", "op7_stupid_backoff", "op10_url_filter", "op12_language_spans"}
