@@ -29,6 +29,15 @@ def _let(then: Callable[[Column], Column], **values: Column) -> Column:
     return F.get(F.transform(F.array(F.struct(*(v.alias(k) for k, v in values.items()))), then), 0)
 
 
+def _positive(side: Column) -> Column:
+    return F.when(side > 0, side)
+
+
+def _both(w: Column, h: Column, then: Column) -> Column:
+    """``then`` where there is a width and a height, else null."""
+    return F.when(w.isNotNull() & h.isNotNull(), then)
+
+
 def nearest_size(w: Column, h: Column, sizes: Sequence[tuple[int, int]] = SIZES_512) -> Column:
     """The size with the nearest aspect ratio, as a struct (w, h)."""
     ratio = F.try_divide(w.cast("double"), h)
@@ -98,8 +107,9 @@ def select_bucket(w: Column, h: Column, max_area: int = 1024 * 1024, step: int =
 
     Without ``resos`` images only shrink: to ``max_area``, with one side at a multiple of ``step``; the
     bucket is what multiples of ``step`` the resized image covers. With ``resos`` images shrink or grow to cover
-    the bucket among them that equals their size, else has the nearest ratio.
+    the bucket among them that equals their size, else has the nearest ratio. An image without width or height has none: null.
     """
+    w, h = _positive(w), _positive(h)
     ratio = F.try_divide(w.cast("double"), h)
     whole = lambda c: F.floor(c + 0.5).cast("long")
 
@@ -115,7 +125,7 @@ def select_bucket(w: Column, h: Column, max_area: int = 1024 * 1024, step: int =
             scale = F.when(ratio > s["size"]["w"] / s["size"]["h"], s["size"]["h"] / h).otherwise(s["size"]["w"] / w)
             return _let(lambda k: out(s["size"]["w"], s["size"]["h"], whole(w * k["scale"]), whole(h * k["scale"])), scale=scale)
 
-        return _let(covered, size=F.when(own, F.struct(w.cast("int").alias("w"), h.cast("int").alias("h"))).otherwise(nearest_size(w, h, resos)))
+        return _both(w, h, _let(covered, size=F.when(own, F.struct(w.cast("int").alias("w"), h.cast("int").alias("h"))).otherwise(nearest_size(w, h, resos))))
 
     to = lambda c: whole(c) - F.pmod(whole(c), F.lit(step))
 
@@ -128,23 +138,26 @@ def select_bucket(w: Column, h: Column, max_area: int = 1024 * 1024, step: int =
         return _let(lambda r: out(r["w"] - F.pmod(r["w"], F.lit(step)), r["h"] - F.pmod(r["h"], F.lit(step)), r["w"], r["h"]), w=sw, h=sh)
 
     rw = F.sqrt(F.lit(float(max_area)) * ratio)
-    return _let(rounded, rw=to(rw), rh=to(F.lit(float(max_area)) / rw))
+    return _both(w, h, _let(rounded, rw=to(rw), rh=to(F.lit(float(max_area)) / rw)))
 
 
 def crop_ltrb(bucket_w: Column, bucket_h: Column, w: Column, h: Column) -> Column:
-    """Where an image of ``w`` by ``h``, resized to fit inside its bucket, lies in it, as doubles."""
+    """Where an image of ``w`` by ``h``, resized to fit inside its bucket, lies in it, as doubles; null without a size."""
+    w, h = _positive(w), _positive(h)
     bw, bh = bucket_w.cast("double"), bucket_h.cast("double")
     ratio = F.try_divide(w.cast("double"), h)
     wide = F.try_divide(bw, bh) > ratio
     rw, rh = F.when(wide, bh * ratio).otherwise(bw), F.when(wide, bh).otherwise(bw / ratio)
     left, top = (F.floor((a - b) / 2).cast("double") for a, b in ((bw, rw), (bh, rh)))
-    return F.struct(left.alias("left"), top.alias("top"), (left + rw).alias("right"), (top + rh).alias("bottom"))
+    return _both(w, h, F.struct(left.alias("left"), top.alias("top"), (left + rw).alias("right"), (top + rh).alias("bottom")))
 
 
 def fit_letterbox(w: Column, h: Column, side: int = 1024) -> Column:
+    """The largest size of the image's ratio inside a square, and its offset there; null without a size."""
+    w, h = _positive(w), _positive(h)
     ratio = F.least(F.lit(float(side)) / w, F.lit(float(side)) / h)
     nw, nh = F.floor(w * ratio).cast("int"), F.floor(h * ratio).cast("int")
-    return F.struct(nw.alias("w"), nh.alias("h"), F.floor((side - nw) / 2).cast("int").alias("x"), F.floor((side - nh) / 2).cast("int").alias("y"))
+    return _both(w, h, F.struct(nw.alias("w"), nh.alias("h"), F.floor((side - nw) / 2).cast("int").alias("x"), F.floor((side - nh) / 2).cast("int").alias("y")))
 
 
 def center_paste(w: Column, h: Column, side: int = 96) -> Column:

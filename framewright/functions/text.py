@@ -114,7 +114,9 @@ def caption_from_meta(meta: Column, keys: Sequence[str]) -> Column:
 
 
 def upsert_meta(meta: Column, key: str, text: Column) -> Column:
-    return F.map_concat(F.map_filter(meta, lambda k, _: k != key), F.create_map(F.lit(key), py_strip(text)))
+    """``meta`` with the stripped text under the key; a null map becomes one with that entry only."""
+    new = F.create_map(F.lit(key), py_strip(text))
+    return F.when(meta.isNull(), new).otherwise(F.map_concat(F.map_filter(meta, lambda k, _: k != key), new))
 
 
 def strip_markup(c: Column) -> Column:

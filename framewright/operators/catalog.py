@@ -92,9 +92,12 @@ def pending_images(images: DataFrame, done: DataFrame, overwrite: bool = False)
 
 
 def unseen_urls(items: DataFrame, seen: DataFrame) -> DataFrame:
-    """Items whose url isn't logged, the first by page and position of each url."""
+    """Items whose url isn't logged, the first by page and position of each url.
+
+    A logged url counts without white space at its ends, such as the line's end that a log file keeps.
+    """
     first = F.row_number().over(Window.partitionBy("url").orderBy("page_no", "pos", "id"))
-    return items.join(seen.select(F.rtrim("url").alias("url")), "url", "left_anti").withColumn("_k", first).filter("_k = 1").drop("_k")
+    return items.join(seen.select(py_strip(F.col("url")).alias("url")), "url", "left_anti").withColumn("_k", first).filter("_k = 1").drop("_k")
 
 
 def common_files(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -14,9 +14,25 @@ from framewright.functions.geometry import adjust_crop
 from framewright.functions.text import frame_name, merge_tag_lists, py_strip, uniform
 from framewright.plans.session import scratch
 
+#: Parts of a random order that are numbered in one task each.
+RUNS = 4096
+
 
 def tag_frequency(tagged: DataFrame, column: str = "tags") -> DataFrame:
-    return tagged.select(F.explode(column).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
+    """``tag, n``, the most frequent first, equal ones by tag."""
+    return tagged.select(F.explode(column).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "tag")
+
+
+def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], k: int, rank: str = "rank", parts: int = 32) -> DataFrame:
+    """The first ``k`` rows of each key in ``order``, with their ``rank``.
+
+    Each task ranks what it reads and ships at most ``k`` rows a key to one of ``parts`` parts of the key; the parts' best are
+    ranked again. So a key with most of the rows is no long task, and its last ranking sees ``parts * k`` rows.
+    """
+    own = df.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(parts)))
+    first = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order))
+    best = own.withColumn(rank, first).filter(F.col(rank) <= k).drop("_part")
+    return best.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(rank) <= k)
 
 
 def folder_repeats(images: DataFrame, per_epoch: int = 160) -> DataFrame:
@@ -57,9 +73,10 @@ def merge_caption_results(results: DataFrame, existing: DataFrame | None = None)
     return both.select("image_id", merged.alias("meta"))
 
 
-def fetch_batch_summary(log: DataFrame, batch: int = 500, limit: int = 100) -> DataFrame:
-    log = log.withColumn("batch", F.floor(F.col("seq") / batch))
-    kept = cut_after_failures(log, batch, limit)
+def fetch_batch_summary(log: DataFrame, batch: int = 500, limit: int = 100, start: int | None = None) -> DataFrame:
+    """``batch, n_ok, n, stopped`` of each batch of the kept log; batches count from 0 at ``start``, else at the least number."""
+    log = _batched(log, batch, start, []).withColumnRenamed("_batch", "batch")
+    kept = cut_after_failures(log, batch, limit, start=start)
     done = kept.groupBy("batch").agg(F.count_if("ok").alias("n_ok"), F.count(F.lit(1)).alias("n"))
     sizes = log.groupBy("batch").agg(F.count(F.lit(1)).alias("of"))
     return done.join(sizes, "batch").select("batch", "n_ok", "n", (F.col("n") < F.col("of")).alias("stopped"))
@@ -79,49 +96,55 @@ def letterbox_bounds(sums: DataFrame, threshold: float = 20) -> DataFrame:
 
 
 def keep_largest(images: DataFrame, n: int) -> DataFrame:
+    """The ``n`` PNGs of each folder whose shorter sides are longest; of equal ones the last by name."""
     side = F.least("width", "height")
-    rank = F.row_number().over(Window.partitionBy("rel_dir").orderBy(side.desc(), F.col("filename").desc()))
-    return images.filter(F.col("filename").endswith(".png")).withColumn("_k", rank).filter(F.col("_k") <= n).drop("_k")
+    return top_k(images.filter(F.col("filename").endswith(".png")), ["rel_dir"], [side.desc(), F.col("filename").desc()], n, "_k").drop("_k")
 
 
 def select_sharpest(scores: DataFrame, n: int = 100) -> DataFrame:
     """Top n of each folder by scaled variance plus one minus scaled similarity; constant columns add nothing."""
-    own = Window.partitionBy("grp")
-    norm = lambda c: F.try_divide(F.col(c) - F.min(c).over(own), F.max(c).over(own) - F.min(c).over(own))
+    spans = scores.groupBy(F.col("grp").alias("_g")).agg(*(f(c).alias(f"_{c}_{n}") for c in ("vol", "ssim") for n, f in (("lo", F.min), ("hi", F.max))))
+    norm = lambda c: F.try_divide(F.col(c) - F.col(f"_{c}_lo"), F.col(f"_{c}_hi") - F.col(f"_{c}_lo"))
     score = F.coalesce(norm("vol"), F.lit(0.0)) + F.coalesce(1 - norm("ssim"), F.lit(0.0))
-    scored = scores.withColumn("score", score)
-    rank = F.row_number().over(own.orderBy(F.col("score").desc(), "path"))
-    return scored.withColumn("rank", rank).filter(F.col("rank") <= n)
+    scored = scores.join(spans, F.col("grp").eqNullSafe(F.col("_g"))).select(*scores.columns, score.alias("score"))
+    return top_k(scored, ["grp"], [F.col("score").desc(), F.col("path")], n)
 
 
 def sample_per_folder(captions: DataFrame, k: int = 2, seed: int = 0) -> DataFrame:
-    """k files of each folder, drawn from all below it; smaller folders are left out."""
+    """k files of each folder below the root, drawn from all below it; smaller folders are left out."""
     parts = F.split("rel_dir", "/")
-    above = captions.select("*", F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))).alias("dir"))
+    above = captions.select("*", F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))).alias("dir")).filter("dir <> ''")
     path = F.concat_ws("/", "rel_dir", "stem")
-    order = Window.partitionBy("dir").orderBy(uniform(seed, F.col("dir"), path), "rel_dir", "stem", "id")
-    ranked = above.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    ranked = top_k(above, ["dir"], [uniform(seed, F.col("dir"), path), F.col("rel_dir"), F.col("stem"), F.col("id")], k)
     enough = above.groupBy("dir").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") >= k).select("dir")
     return ranked.join(enough, "dir", "left_semi")
 
 
-def numbered(df: DataFrame, *order: str) -> DataFrame:
+def numbered(df: DataFrame, *order: str, weight: Column | None = None) -> DataFrame:
     """Adds ``rn``, the row's place in the whole order from 1, nulls first.
 
     The order is dealt to tasks in ranges, which are written once in the shared folder, so that they don't change; a row's place is
-    that in its range after the rows of the ranges before. So neither all rows nor a large folder is one task.
+    that in its range after the rows of the ranges before. So neither all rows nor a large folder is one task. With ``weight`` (a
+    whole number a row, at least 0) ``rn`` is the sum of the weights up to the row.
     """
-    spark = df.sparkSession
-    path = scratch(spark, "numbered")
-    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    path = scratch(df.sparkSession, "numbered")
+    own = df.withColumn("_w", F.lit(1) if weight is None else weight)
+    ranged = own.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
     ranged.write.parquet(path)
-    rows = spark.read.schema(ranged.schema).parquet(path)
-    sums = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
+    return _ranked(df.sparkSession.read.schema(ranged.schema).parquet(path), order).select(*df.columns, "rn")
+
+
+def numbered_by_run(df: DataFrame, run: Column, *order: str) -> DataFrame:
+    """As ``numbered``, by an order in which ``run`` never falls: each run is a task's work, and nothing is written."""
+    return _ranked(df.withColumn("_w", F.lit(1)).withColumn("_range", run), order).select(*df.columns, "rn")
+
+
+def _ranked(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     # a row for each range
+    sums = rows.groupBy("_range").agg(F.sum("_w").alias("n"))
     before = sums.select("_range", F.coalesce(F.sum("n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    rank = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    ranked = rows.withColumn("_r", rank).join(F.broadcast(before), "_range")
-    return ranked.select(*df.columns, (F.col("_before") + F.col("_r")).alias("rn"))
+    until = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("_r", F.sum("_w").over(until)).join(F.broadcast(before), "_range").withColumn("rn", F.col("_before") + F.col("_r"))
 
 
 def chunk_prompts(lines: DataFrame, max_lines: int, line: Column, prefix: str = "", suffix: str = "", negative: str = "", order: Sequence[str] = ("rel_dir", "stem", "id")) -> DataFrame:
@@ -133,7 +156,7 @@ def chunk_prompts(lines: DataFrame, max_lines: int, line: Column, prefix: str =
 
 def assign_shards(pairs: DataFrame, n: int = 5, seed: int = 0) -> DataFrame:
     """Even shards of a random order; the first (count mod n) have one row more."""
-    ranked = numbered(pairs.withColumn("_u", uniform(seed, F.col("id"))), "_u", "id")
+    ranked = numbered_by_run(pairs.withColumn("_u", uniform(seed, F.col("id"))), F.floor(F.col("_u") * RUNS), "_u", "id")
     total = pairs.agg(F.count(F.lit(1)).alias("_n"))
     small, more = F.floor(F.col("_n") / n), F.col("_n") % n
     i = F.col("rn") - 1
@@ -141,13 +164,22 @@ def assign_shards(pairs: DataFrame, n: int = 5, seed: int = 0) -> DataFrame:
     return ranked.join(F.broadcast(total)).withColumn("shard", (shard + 1).cast("int")).drop("_u", "_n", "rn")
 
 
-def cut_after_failures(log: DataFrame, batch: int = 500, limit: int = 100, source: str | None = None) -> DataFrame:
+def _batched(log: DataFrame, batch: int, start: int | None, keys: Sequence[str]) -> DataFrame:
+    """Adds ``_batch``, counted from 0 at ``start``, else at the least number of the log, or of its source."""
+    if start is not None:
+        return log.withColumn("_batch", F.floor((F.col("seq") - start) / batch))
+    least = log.groupBy(*(F.col(k).alias("_of") for k in keys)).agg(F.min("seq").alias("_start"))
+    own = log.join(least, F.col(keys[0]).eqNullSafe(F.col("_of"))) if keys else log.join(F.broadcast(least))
+    return own.select(*log.columns, F.floor((F.col("seq") - F.col("_start")) / batch).alias("_batch"))
+
+
+def cut_after_failures(log: DataFrame, batch: int = 500, limit: int = 100, source: str | None = None, start: int | None = None) -> DataFrame:
     """The log up to the row that makes a run of ``limit`` failures within ``batch`` numbers; all after it goes.
 
-    Runs start anew with each batch. With ``source`` each value of that column is a log of its own.
+    Batches count from ``start``, else from the least number, and runs start anew with each. With ``source`` each value of that column is a log of its own.
     """
     keys = [source] if source else []
-    numbers = log.withColumn("_batch", F.floor(F.col("seq") / batch))
+    numbers = _batched(log, batch, start, keys)
     own = Window.partitionBy(*keys, "_batch")
     until = own.orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     run = F.col("seq") - F.coalesce(F.max(F.when(F.col("ok"), F.col("seq"))).over(until), F.min("seq").over(own) - 1)
@@ -168,8 +200,7 @@ def take_until_empty_page(items: DataFrame, passing: Column, max_images: int) ->
 
 
 def cap_per_source(df: DataFrame, n: int = 250, order: Sequence[str] = ("page_no", "pos")) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy("source").orderBy(*order))
-    return df.withColumn("_k", rank).filter(F.col("_k") <= n).drop("_k")
+    return top_k(df, ["source"], order, n, "_k").drop("_k")
 
 
 def crop_plan(
@@ -347,24 +378,36 @@ def vocab_normalise(vocab: DataFrame, series_sep: str | None = None, underscores
     return out
 
 
+#: Frames that one task lists.
+FRAMES = 1000
+
+
+def _each_frame(videos: DataFrame) -> DataFrame:
+    """A row with ``i`` from 0 for each of a video's ``n`` frames. Runs of frames are dealt to tasks before they are listed, so a long video is many tasks."""
+    runs = videos.filter("n > 0").withColumn("_run", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / FRAMES)))).repartition("video_idx", "_run")
+    return runs.withColumn("i", F.explode(F.sequence(F.col("_run") * FRAMES, F.least(F.col("n"), (F.col("_run") + 1) * FRAMES) - 1))).drop("_run")
+
+
+def _frame_rows(rows: DataFrame, frame: Column) -> DataFrame:
+    return rows.select("video_idx", F.floor(frame).cast("long").alias("frame")).withColumn("name", frame_name(F.col("video_idx"), F.col("frame")))
+
+
 def frame_plan(videos: DataFrame, per_min: int = 40, start: float = 0.0, end: float | None = None) -> DataFrame:
-    """Frames spread evenly over each video; one frame asked for gives the first."""
-    length = F.col("frame_count") / F.col("fps")
+    """Frames spread evenly over each video; one frame asked for gives the first. A video without frames or rate has none."""
+    videos = videos.filter("fps > 0 and frame_count > 0")
+    length = F.try_divide(F.col("frame_count"), F.col("fps"))
     stop = F.least(length, F.lit(end)) if end is not None else length
-    first, last = F.floor(F.lit(start) * F.col("frame_count") / length), F.floor(stop * F.col("frame_count") / length)
+    first, last = F.floor(F.try_divide(F.lit(start) * F.col("frame_count"), length)), F.floor(F.try_divide(stop * F.col("frame_count"), length))
     n = F.floor((stop - start) * per_min / 60).cast("int")
-    rows = videos.withColumn("first", first).withColumn("last", last).withColumn("n", n).filter("n > 0")
-    rows = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    frame = F.floor(F.col("first") + F.coalesce(F.try_divide(F.col("i") * (F.col("last") - F.col("first")), F.col("n") - 1), F.lit(0))).cast("long")
-    return rows.withColumn("frame", frame).select("video_idx", "frame", frame_name(F.col("video_idx"), F.col("frame")).alias("name"))
+    rows = _each_frame(videos.withColumn("first", first).withColumn("last", last).withColumn("n", n))
+    return _frame_rows(rows, F.col("first") + F.coalesce(F.try_divide(F.col("i") * (F.col("last") - F.col("first")), F.col("n") - 1), F.lit(0)))
 
 
 def frame_plan_legacy(videos: DataFrame, per_min: int = 40) -> DataFrame:
-    """Frames spread evenly from the first to the last; one frame asked for gives the first."""
-    n = F.floor(F.col("frame_count") / F.col("fps") * per_min / 60).cast("int")
-    rows = videos.withColumn("n", n).filter("n > 0").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    frame = F.floor(F.coalesce(F.try_divide(F.col("i") * (F.col("frame_count") - 1), F.col("n") - 1), F.lit(0))).cast("long")
-    return rows.select("video_idx", frame.alias("frame"), frame_name(F.col("video_idx"), frame).alias("name"))
+    """Frames spread evenly from the first to the last; one frame asked for gives the first. A video without frames or rate has none."""
+    videos = videos.filter("fps > 0 and frame_count > 0")
+    rows = _each_frame(videos.withColumn("n", F.floor(F.try_divide(F.col("frame_count"), F.col("fps")) * per_min / 60).cast("int")))
+    return _frame_rows(rows, F.coalesce(F.try_divide(F.col("i") * (F.col("frame_count") - 1), F.col("n") - 1), F.lit(0)))
 
 
 def fetch_plan(feeds: DataFrame, template: str, batch: int = 500) -> DataFrame:
@@ -391,7 +434,7 @@ def sample_unique_pairs(ids: DataFrame, n: int = 1000, seed: int = 0) -> DataFra
     Pairs are drawn, not listed: twice as many numbered draws as needed, of which the first of
     each pair counts. Only where ``n`` is over a quarter of the pairs are all listed, at most 4 n.
     """
-    placed = numbered(ids.select("id").withColumn("_run", F.floor(uniform(seed, F.col("id")) * 4096)), "_run", "id").select("id", "rn")
+    placed = numbered_by_run(ids.select("id"), F.floor(uniform(seed, F.col("id")) * RUNS), "id").select("id", "rn")
     m = placed.count()
     spark = ids.sparkSession
     if m * m < 4 * n:

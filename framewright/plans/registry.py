@@ -26,14 +26,16 @@ VIEWS = {
     "detections_fx": """SELECT o_custkey AS image_id, o_orderkey AS det_idx, CAST(o_orderkey % 3 AS INT) AS class_id, CAST((o_orderkey * 37) % 100 AS DOUBLE) / 100 AS confidence,
         CAST((o_orderkey * 31) % 700 AS DOUBLE) AS x1, CAST((o_orderkey * 17) % 500 AS DOUBLE) AS y1, CAST((o_orderkey * 31) % 700 + 20 + (o_orderkey * 13) % 560 AS DOUBLE) AS x2,
         CAST((o_orderkey * 17) % 500 + 20 + (o_orderkey * 11) % 560 AS DOUBLE) AS y2, 1280 AS img_w, 1080 AS img_h FROM orders""",
-    "fetch_fx": "SELECT event_id AS seq, event_type <> 'error' AS ok, CAST((event_id - event_id % 500) / 500 AS BIGINT) AS batch FROM events",
+    "fetch_fx": "SELECT event_id + 2875469 AS seq, event_type <> 'error' AS ok, CAST(floor((event_id - least_id) / 37) AS BIGINT) AS batch FROM events CROSS JOIN (SELECT min(event_id) AS least_id FROM events) m",
     "api_fx": """SELECT p_partkey AS id, p_brand AS source, CAST((p_partkey - p_partkey % 8) / 8 AS BIGINT) AS page_no, p_partkey % 8 AS pos, concat('http://x/', CAST(p_partkey % 1500 AS STRING)) AS url,
         p_size % 15 AS heart, p_size % 11 AS likes, p_partkey % 5 AS laugh, p_partkey % 4 AS cry, 300 + (p_partkey * 37 + 600) % 1200 AS width, 300 + (p_partkey * 53 + 700) % 1200 AS height,
         CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE concat(p_name, ' <lora:', p_type, ':0.8>, ', p_brand) END AS prompt FROM part""",
     "scores_fx": "SELECT p_partkey AS path, p_brand AS grp, CAST(p_retailprice AS DOUBLE) AS vol, CAST(p_partkey * 31 % 997 AS DOUBLE) / 997 AS ssim FROM part",
     "rowsums_fx": "SELECT user_id AS image_id, event_id AS y, value AS gray_sum FROM events",
     "pixels_fx": "SELECT l_suppkey % 20 AS image_id, l_partkey % 8 AS x, l_orderkey % 8 AS y, concat(l_returnflag, l_linestatus) AS rgba, 8 AS w, 8 AS h FROM lineitem",
-    "videos_fx": "SELECT s_suppkey AS video_idx, CAST(10 + s_suppkey % 5 AS DOUBLE) AS fps, 40 + (s_suppkey * 97) % 900 AS frame_count FROM supplier",
+    "videos_fx": "SELECT s_suppkey AS video_idx, CASE WHEN s_suppkey % 23 = 1 THEN 0 ELSE CAST(10 + s_suppkey % 5 AS DOUBLE) END AS fps, CASE WHEN s_suppkey % 29 = 2 THEN 0 WHEN s_suppkey % 31 = 3 THEN 90000 ELSE 40 + (s_suppkey * 97) % 900 END AS frame_count FROM supplier",
+    "sized_fx": "SELECT doc_id AS id, CASE WHEN doc_id % 40 = 1 THEN 0 ELSE 200 + (doc_id * 7919) % 1400 END AS width, CASE WHEN doc_id % 50 = 1 THEN 0 ELSE 200 + (doc_id * 104729) % 1400 END AS height FROM documents",
+    "rooted_fx": f"""SELECT doc_id AS id, CASE WHEN doc_id % 20 = 3 THEN '' ELSE {DIR} END AS rel_dir, concat('img', CAST(doc_id AS STRING)) AS stem, text FROM documents""",
     "results_fx": "SELECT conv_id AS image_id, turn, role AS key, text FROM conversations",
     "ids_fx": "SELECT c_custkey AS id, concat(CAST(c_custkey % 30 AS STRING), '.', CAST(c_nationkey AS STRING), CASE WHEN c_custkey % 4 = 0 THEN 'a' ELSE '' END, '.png') AS filename FROM customer",
     "names_fx": "SELECT CAST(n_nationkey AS STRING) AS id, n_name AS name FROM nation",
@@ -88,6 +90,8 @@ def _strip(x: str) -> str:
     return rf"regexp_replace({x}, '^[\s\x1c-\x1f\x{{85}}\x{{a0}}]+|[\s\x1c-\x1f\x{{85}}\x{{a0}}]+$', '', 'g')"
 
 
+#: Sizes without width or height are null.
+Z = "z_fx AS (SELECT id, CASE WHEN width > 0 AND height > 0 THEN width END AS width, CASE WHEN width > 0 AND height > 0 THEN height END AS height FROM sized_fx)"
 TAGS = f"list_transform(string_split(text, ','), lambda x: {_strip('x')})"
 UNBRACKET = r"regexp_replace(regexp_replace(text, '\((.*?)\)', '\1', 'g'), '\[(.*?)\]', '\1', 'g')"
 
@@ -188,8 +192,8 @@ def n2_adjust_crop(d):
     return d.select("det_idx", G.adjust_crop(*(c(x) for x in ("x1", "y1", "x2", "y2", "img_w", "img_h"))).alias("b")).select("det_idx", "b.*")
 
 
-@query("images_fx", """SELECT id, nw AS w, nh AS h, floor((1024 - nw) / 2)::INT AS x, floor((1024 - nh) / 2)::INT AS y FROM (SELECT id, floor(width * least(1024.0::DOUBLE / width, 1024.0::DOUBLE / height))::INT AS nw,
-  floor(height * least(1024.0::DOUBLE / width, 1024.0::DOUBLE / height))::INT AS nh FROM images_fx)""")
+@query("sized_fx", f""", {Z} SELECT id, nw AS w, nh AS h, floor((1024 - nw) / 2)::INT AS x, floor((1024 - nh) / 2)::INT AS y FROM (SELECT id, floor(width * least(1024.0::DOUBLE / width, 1024.0::DOUBLE / height))::INT AS nw,
+  floor(height * least(1024.0::DOUBLE / width, 1024.0::DOUBLE / height))::INT AS nh FROM z_fx)""")
 def n8_fit_letterbox(d):
     return d.select("id", G.fit_letterbox(c("width"), c("height")).alias("b")).select("id", "b.*")
 
@@ -267,7 +271,8 @@ def j3_pending_images(imgs, caps):
 
 @query("api_fx", "SELECT * EXCLUDE k FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_no, pos, id) AS k FROM api_fx WHERE url NOT IN (SELECT url FROM api_fx WHERE id % 5 = 0)) WHERE k = 1")
 def j4_unseen_urls(d):
-    return C.unseen_urls(d, d.filter("id % 5 = 0").select(F.concat("url", F.lit(" ")).alias("url")))
+    # a log's lines keep their ends
+    return C.unseen_urls(d, d.filter("id % 5 = 0").select(F.concat("url", F.when(c("id") % 2 == 0, "\n").otherwise(" \r\n")).alias("url")))
 
 
 @query("images_fx", "SELECT DISTINCT lower(filename) AS filename FROM images_fx WHERE filename LIKE '%.png' AND width < 800 INTERSECT SELECT lower(filename) FROM images_fx WHERE filename LIKE '%.png' AND width >= 800")
@@ -326,12 +331,12 @@ CUT = """cut AS (SELECT min(seq) AS cut FROM (SELECT seq, seq - coalesce(max(CAS
 
 @query("fetch_fx", f", {CUT} SELECT seq, ok, batch FROM fetch_fx, cut WHERE cut IS NULL OR seq <= cut")
 def w6_cut_after_failures(d):
-    return A.cut_after_failures(d, limit=4)
+    return A.cut_after_failures(d, batch=37, limit=4)
 
 
 @query("fetch_fx", f", {CUT} SELECT k.batch, k.n_ok, k.n, k.n < a.n AS stopped FROM (SELECT batch, count(*) FILTER (ok) AS n_ok, count(*) AS n FROM fetch_fx, cut WHERE cut IS NULL OR seq <= cut GROUP BY 1) k JOIN (SELECT batch, count(*) AS n FROM fetch_fx GROUP BY 1) a ON a.batch = k.batch")
 def a7_fetch_batch_summary(d):
-    return A.fetch_batch_summary(d, limit=4)
+    return A.fetch_batch_summary(d.drop("batch"), batch=37, limit=4)
 
 
 @query("pixels_fx", """SELECT image_id, rgba FROM (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY n DESC, rgba) AS k FROM (SELECT image_id, rgba, sum((x = 0)::INT + (x = w - 1)::INT + (y = 0)::INT + (y = h - 1)::INT) AS n FROM pixels_fx GROUP BY 1, 2)) WHERE k = 1 AND n > 0""")
@@ -355,8 +360,8 @@ def w2_select_sharpest(d):
     return A.select_sharpest(d, 10).withColumn("score", F.round("score", 9))
 
 
-@query("captions_fx", f"""SELECT * EXCLUDE m FROM (SELECT *, row_number() OVER (PARTITION BY dir ORDER BY {_u("'3|' || dir || '|' || rel_dir || '/' || stem")}, rel_dir, stem, id) AS rank, count(*) OVER (PARTITION BY dir) AS m
-  FROM (SELECT *, unnest([string_split(rel_dir, '/')[1], rel_dir]) AS dir FROM captions_fx)) WHERE rank <= 2 AND m >= 2""")
+@query("rooted_fx", f"""SELECT * EXCLUDE m FROM (SELECT *, row_number() OVER (PARTITION BY dir ORDER BY {_u("'3|' || dir || '|' || CASE rel_dir WHEN '' THEN '' ELSE rel_dir END || '/' || stem")}, rel_dir, stem, id) AS rank, count(*) OVER (PARTITION BY dir) AS m
+  FROM (SELECT *, unnest([string_split(rel_dir, '/')[1], rel_dir]) AS dir FROM rooted_fx WHERE rel_dir <> '')) WHERE rank <= 2 AND m >= 2""")
 def w3_sample_per_folder(d):
     return A.sample_per_folder(d, 2, 3)
 
@@ -470,7 +475,7 @@ SQL["t4_invert_map"] = "SELECT p_name AS name, max(p_partkey) AS id FROM part GR
 
 
 @query("videos_fx", """SELECT video_idx, frame, printf('f_%08d.png', video_idx * 1000000 + frame) AS name FROM (SELECT video_idx, floor(i * last / (CASE WHEN n > 1 THEN n - 1 ELSE 1 END)::DOUBLE)::BIGINT AS frame
-  FROM (SELECT *, unnest(range(n)) AS i FROM (SELECT *, floor(frame_count / fps * 40 / 60)::INT AS n, floor(frame_count / fps * frame_count / (frame_count / fps)) AS last FROM videos_fx)))""")
+  FROM (SELECT *, unnest(range(n)) AS i FROM (SELECT *, floor(frame_count / fps * 40 / 60)::INT AS n, floor(frame_count / fps * frame_count / (frame_count / fps)) AS last FROM (SELECT * FROM videos_fx WHERE fps > 0 AND frame_count > 0))))""")
 def r1_frame_plan(d):
     return A.frame_plan(d)
 
@@ -556,28 +561,28 @@ def n5_nearest_aspect(d):
     return d.select("id", G.nearest_aspect(c("width"), c("height")).alias("s")).select("id", "s.*")
 
 
-BUCKETS = """r AS (SELECT id, width AS w, height AS h, width::DOUBLE / height AS ar, sqrt(1048576.0::DOUBLE * (width::DOUBLE / height)) AS rw FROM images_fx),
+BUCKETS = f"""{Z}, r AS (SELECT id, width AS w, height AS h, width::DOUBLE / height AS ar, sqrt(1048576.0::DOUBLE * (width::DOUBLE / height)) AS rw FROM z_fx),
   q AS (SELECT *, floor(rw + 0.5) - floor(rw + 0.5) % 64 AS aw, floor(1048576.0::DOUBLE / rw + 0.5) - floor(1048576.0::DOUBLE / rw + 0.5) % 64 AS bh FROM r),
   p AS (SELECT *, floor(aw / ar + 0.5) - floor(aw / ar + 0.5) % 64 AS ah, floor(bh * ar + 0.5) - floor(bh * ar + 0.5) % 64 AS bw FROM q),
   z AS (SELECT id, w AS iw, h AS ih, ar, CASE WHEN w * h <= 1048576 THEN w WHEN abs(aw / ah - ar) < abs(bw / bh - ar) THEN aw ELSE floor(bh * ar + 0.5) END::BIGINT AS sw,
     CASE WHEN w * h <= 1048576 THEN h WHEN abs(aw / ah - ar) < abs(bw / bh - ar) THEN floor(aw / ar + 0.5) ELSE bh END::BIGINT AS sh FROM p)"""
 
 
-@query("images_fx", f", {BUCKETS} SELECT id, sw - sw % 64 AS w, sh - sh % 64 AS h, sw AS resized_w, sh AS resized_h, round((sw - sw % 64)::DOUBLE / (sh - sh % 64) - ar, 9) AS ar_error FROM z")
+@query("sized_fx", f", {BUCKETS} SELECT id, sw - sw % 64 AS w, sh - sh % 64 AS h, sw AS resized_w, sh AS resized_h, round((sw - sw % 64)::DOUBLE / (sh - sh % 64) - ar, 9) AS ar_error FROM z")
 def n6_select_bucket(d):
     rows = d.select("id", G.select_bucket(c("width"), c("height")).alias("b")).select("id", "b.*")
     return rows.withColumn("ar_error", F.round("ar_error", 9))
 
 
-@query("images_fx", """, s AS (SELECT id, width, height, width::DOUBLE / height AS ar, list_sort([{'d': abs(1.0 - width::DOUBLE / height), 'i': 0, 'w': 1024, 'h': 1024}, {'d': abs(896 / 1152 - width::DOUBLE / height), 'i': 1, 'w': 896, 'h': 1152},
-  {'d': abs(1152 / 896 - width::DOUBLE / height), 'i': 2, 'w': 1152, 'h': 896}])[1] AS s FROM images_fx), k AS (SELECT *, CASE WHEN ar > s.w::DOUBLE / s.h THEN s.h::DOUBLE / height ELSE s.w::DOUBLE / width END AS scale FROM s)
-  SELECT id, s.w::BIGINT AS w, s.h::BIGINT AS h, floor(width * scale + 0.5)::BIGINT AS resized_w, floor(height * scale + 0.5)::BIGINT AS resized_h, round(s.w::DOUBLE / s.h - ar, 9) AS ar_error FROM k""")
+@query("sized_fx", f""", {Z}, s AS (SELECT id, width, height, width::DOUBLE / height AS ar, list_sort([{{'d': abs(1.0 - width::DOUBLE / height), 'i': 0, 'w': 1024, 'h': 1024}}, {{'d': abs(896 / 1152 - width::DOUBLE / height), 'i': 1, 'w': 896, 'h': 1152}},
+  {{'d': abs(1152 / 896 - width::DOUBLE / height), 'i': 2, 'w': 1152, 'h': 896}}])[1] AS s FROM z_fx), k AS (SELECT *, CASE WHEN ar > s.w::DOUBLE / s.h THEN s.h::DOUBLE / height ELSE s.w::DOUBLE / width END AS scale FROM s)
+  SELECT id, CASE WHEN ar IS NOT NULL THEN s.w END::BIGINT AS w, CASE WHEN ar IS NOT NULL THEN s.h END::BIGINT AS h, floor(width * scale + 0.5)::BIGINT AS resized_w, floor(height * scale + 0.5)::BIGINT AS resized_h, round(s.w::DOUBLE / s.h - ar, 9) AS ar_error FROM k""")
 def n6_select_bucket_upscale(d):
     rows = d.select("id", G.select_bucket(c("width"), c("height"), resos=G.SIZES_1024).alias("b")).select("id", "b.*")
     return rows.withColumn("ar_error", F.round("ar_error", 9))
 
 
-@query("images_fx", f""", {BUCKETS}, b AS (SELECT id, ar, (sw - sw % 64)::DOUBLE AS bw, (sh - sh % 64)::DOUBLE AS bh FROM z), f AS (SELECT *, CASE WHEN bw / bh > ar THEN bh * ar ELSE bw END AS fw, CASE WHEN bw / bh > ar THEN bh ELSE bw / ar END AS fh FROM b)
+@query("sized_fx", f""", {BUCKETS}, b AS (SELECT id, ar, (sw - sw % 64)::DOUBLE AS bw, (sh - sh % 64)::DOUBLE AS bh FROM z), f AS (SELECT *, CASE WHEN bw / bh > ar THEN bh * ar ELSE bw END AS fw, CASE WHEN bw / bh > ar THEN bh ELSE bw / ar END AS fh FROM b)
   SELECT id, floor((bw - fw) / 2) AS "left", floor((bh - fh) / 2) AS top, floor((bw - fw) / 2) + fw AS "right", floor((bh - fh) / 2) + fh AS bottom FROM f""")
 def n7_crop_ltrb(d):
     b = d.select("id", "width", "height", G.select_bucket(c("width"), c("height")).alias("b"))
@@ -617,9 +622,9 @@ def x9_caption_from_meta(d):
     return d.select("image_id", "turn", X.caption_from_meta(F.create_map("key", "text"), ["user", "assistant"]).alias("text"))
 
 
-@query("results_fx", f"SELECT image_id, turn, CASE WHEN key <> 'user' THEN text END AS other, {_strip('text')} AS \"user\" FROM results_fx")
+@query("results_fx", f"SELECT image_id, turn, CASE WHEN key <> 'user' AND turn % 3 > 0 THEN text END AS other, {_strip('text')} AS \"user\" FROM results_fx")
 def x10_upsert_meta(d):
-    meta = X.upsert_meta(F.create_map("key", "text"), "user", c("text"))
+    meta = X.upsert_meta(F.when(c("turn") % 3 > 0, F.create_map("key", "text")), "user", c("text"))
     other = F.when(c("key") != "user", F.try_element_at(meta, c("key")))
     return d.select("image_id", "turn", other.alias("other"), F.try_element_at(meta, F.lit("user")).alias("user"))
 
@@ -710,7 +715,7 @@ def d5_sample_unique_pairs(d):
 
 
 @query("videos_fx", """SELECT video_idx, frame, printf('f_%08d.png', video_idx * 1000000 + frame) AS name FROM (SELECT video_idx, floor(i * (frame_count - 1) / (CASE WHEN n > 1 THEN n - 1 ELSE 1 END)::DOUBLE)::BIGINT AS frame
-  FROM (SELECT *, unnest(range(n)) AS i FROM (SELECT *, floor(frame_count / fps * 40 / 60)::INT AS n FROM videos_fx)))""")
+  FROM (SELECT *, unnest(range(n)) AS i FROM (SELECT *, floor(frame_count / fps * 40 / 60)::INT AS n FROM (SELECT * FROM videos_fx WHERE fps > 0 AND frame_count > 0))))""")
 def r2_frame_plan_legacy(d):
     return A.frame_plan_legacy(d)
 

@@ -188,3 +188,80 @@ def test_vocab_places_and_prompt_order(spark, tmp_path):
     S.write_prompt_files(A.chunk_prompts(df, 10, F.col("text")), str(tmp_path / "out"))
     first = next((tmp_path / "out" / "file_no=1").glob("*.txt")).read_text().splitlines()
     assert [x.split('"')[1] for x in first] == [f"line {i}, " for i in range(0, 30, 3)]
+
+
+def test_batches_from_a_start(spark):
+    # numbers 3 to 14 in batches of 5: 3-7, 8-12, 13-14; failures from 5 on
+    log = spark.createDataFrame([(i, i < 5) for i in range(3, 15)], "seq long, ok boolean")
+    last = lambda **k: max(r["seq"] for r in A.cut_after_failures(log, batch=5, **k).collect())
+    assert last(limit=4) == 11 and last(limit=4, start=0) == 8 and last(limit=3) == 7 and last(limit=6) == 14
+    rows = {r["batch"]: (r["n_ok"], r["n"], r["stopped"]) for r in A.fetch_batch_summary(log, 5, 4).collect()}
+    assert rows == {0: (2, 5, False), 1: (0, 4, True)}
+    assert {r["batch"]: r["n"] for r in A.fetch_batch_summary(log, 5, 100, start=2).collect()} == {0: 4, 1: 5, 2: 3}
+
+
+def test_batches_by_source_start_at_its_least_number(spark):
+    rows = [(s, first + i, i < 2) for s, first in (("a", 7), ("b", 100), (None, 4)) for i in range(6)]
+    log = spark.createDataFrame(rows, "source string, seq long, ok boolean")
+    kept = A.cut_after_failures(log, batch=4, limit=2, source="source").collect()
+    assert {s: max(r["seq"] for r in kept if r["source"] == s) for s in ("a", "b", None)} == {"a": 10, "b": 103, None: 7}
+
+
+def test_sample_leaves_the_root_out(spark):
+    rows = [(i, x, f"s{i}") for i, x in enumerate(["", "", "", "a", "a/b", "a/b", "c"])]
+    df = spark.createDataFrame(rows, "id long, rel_dir string, stem string")
+    got = A.sample_per_folder(df, 2, 1).collect()
+    assert sorted({r["dir"] for r in got}) == ["a", "a/b"] and len(got) == 4
+    assert {r["id"] for r in got if r["dir"] == "a/b"} == {4, 5}
+
+
+def test_a_null_map_becomes_a_new_one(spark):
+    df = spark.createDataFrame([(None, " t "), ({"k": "old", "z": "1"}, "t"), ({}, None)], "m map<string,string>, t string")
+    assert [r["m"] for r in df.select(X.upsert_meta(F.col("m"), "k", F.col("t")).alias("m")).collect()] == [{"k": "t"}, {"z": "1", "k": "t"}, {"k": None}]
+
+
+@pytest.mark.parametrize(("w", "h"), [(0, 10), (10, 0), (0, 0), (-3, 10), (None, 10)])
+def test_images_without_a_size(spark, w, h):
+    df = spark.createDataFrame([(w, h)], "w int, h int")
+    w, h = F.col("w"), F.col("h")
+    made = (G.select_bucket(w, h), G.select_bucket(w, h, resos=G.SIZES_1024), G.crop_ltrb(F.lit(64), F.lit(64), w, h), G.fit_letterbox(w, h))
+    assert [tuple(df.select(x.alias("x")).collect()[0]) for x in made] == [(None,)] * 4
+
+
+def test_videos_without_frames_or_rate(spark):
+    df = spark.createDataFrame([(1, 0.0, 100), (2, 10.0, 0), (3, 10.0, 60), (4, 10.0, 45_000), (5, None, 9)], "video_idx long, fps double, frame_count long")
+    for rows in (A.frame_plan(df).collect(), A.frame_plan(df, end=4500.0).collect(), A.frame_plan_legacy(df).collect()):
+        assert {(r["video_idx"]) for r in rows} == {3, 4}
+        of = lambda v: sorted(r["frame"] for r in rows if r["video_idx"] == v)  # noqa: B023, E731
+        assert len(of(3)) == 4 and len(of(4)) == 3000 and of(4)[0] == 0 and of(4)[-1] >= 44_999
+    assert [r["frame"] for r in A.frame_plan(df, per_min=10).filter("video_idx = 3").collect()] == [0]
+
+
+def test_frequencies_are_ordered(spark):
+    df = spark.createDataFrame([(["b", "a"],), (["b", "c"],), (["a", "d"],)], "tags array<string>")
+    assert [tuple(r) for r in A.tag_frequency(df).collect()] == [("a", 2), ("b", 2), ("c", 1), ("d", 1)]
+
+
+def test_logged_urls_lose_their_line_ends(spark):
+    items = spark.createDataFrame([(1, 0, 0, "u"), (2, 0, 1, "v"), (3, 1, 0, "v"), (4, 1, 1, "w")], "id long, page_no int, pos int, url string")
+    seen = spark.createDataFrame([("u\n",), (" w\r\n",), (None,)], "url string")
+    assert [r["id"] for r in C.unseen_urls(items, seen).collect()] == [2]
+
+
+def test_a_hot_key_ships_k_rows_a_task(spark):
+    df = spark.range(40_000, numPartitions=20).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7)).alias("g"), "id", F.xxhash64("id").alias("v"))
+    rows = df.collect()
+    want = {g: sorted((r["v"], r["id"]) for r in rows if r["g"] == g)[:3] for g in {r["g"] for r in rows}}
+    got = A.top_k(df, ["g"], ["v", "id"], 3)
+    assert sorted((r["g"], r["rank"], r["v"], r["id"]) for r in got.collect()) == sorted((g, k, *x) for g, own in want.items() for k, x in enumerate(own, 1))
+    # ranked and cut before the first exchange, between the two, and after
+    assert got._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") >= 3
+
+
+def test_numbers_by_run_and_by_weight(spark):
+    df = spark.range(500).select("id", (F.xxhash64("id") % 50).alias("v"))
+    order = {r["id"]: k for k, r in enumerate(sorted(df.collect(), key=lambda r: (r["v"], r["id"])), 1)}
+    assert {r["id"]: r["rn"] for r in A.numbered_by_run(df, F.floor(F.col("v") / 10), "v", "id").collect()} == order
+    assert {r["id"]: r["rn"] for r in A.numbered(df, "v", "id").collect()} == order
+    sums = {r["id"]: r["rn"] for r in A.numbered(df, "v", "id", weight=(F.col("id") % 3)).collect()}
+    assert all(sums[i] == sum(j % 3 for j in order if order[j] <= order[i]) for i in order)
