@@ -15,6 +15,7 @@ from framewright.operators import grouping as A
 from framewright.operators import pixels as P
 from framewright.plans.session import scratch
 from framewright.sources import files as S
+from framewright.sources.chains import page_order
 from framewright.streaming import unseen as U
 
 DIR = "concat(CAST(doc_id % 4 AS STRING), '_', source, '/', lang)"
@@ -30,6 +31,10 @@ VIEWS = {
     "api_fx": """SELECT p_partkey AS id, p_brand AS source, CAST((p_partkey - p_partkey % 8) / 8 AS BIGINT) AS page_no, p_partkey % 8 AS pos, concat('http://x/', CAST(p_partkey % 1500 AS STRING)) AS url,
         p_size % 15 AS heart, p_size % 11 AS likes, p_partkey % 5 AS laugh, p_partkey % 4 AS cry, 300 + (p_partkey * 37 + 600) % 1200 AS width, 300 + (p_partkey * 53 + 700) % 1200 AS height,
         CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE concat(p_name, ' <lora:', p_type, ':0.8>, ', p_brand) END AS prompt FROM part""",
+    "chain_fx": """SELECT o_custkey, r, concat('http://x/', CAST(o_orderkey AS STRING)) AS url, concat('http://x/', CAST(following AS STRING)) AS next FROM (SELECT *, CASE WHEN lead_key IS NOT NULL THEN lead_key
+        WHEN o_custkey % 50 = 1 THEN first_key WHEN o_custkey % 50 = 2 THEN second_key END AS following FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r,
+        lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS lead_key, min(o_orderkey) OVER (PARTITION BY o_custkey) AS first_key,
+        nth_value(o_orderkey, 2) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS second_key FROM orders) a) b WHERE o_custkey % 50 IN (1, 2) OR o_orderkey % 17 <> 3""",
     "scores_fx": "SELECT p_partkey AS path, p_brand AS grp, CAST(p_retailprice AS DOUBLE) AS vol, CAST(p_partkey * 31 % 997 AS DOUBLE) / 997 AS ssim FROM part",
     "rowsums_fx": "SELECT user_id AS image_id, event_id AS y, value AS gray_sum FROM events",
     "pixels_fx": "SELECT l_suppkey % 20 AS image_id, l_partkey % 8 AS x, l_orderkey % 8 AS y, concat(l_returnflag, l_linestatus) AS rgba, 8 AS w, 8 AS h FROM lineitem",
@@ -777,6 +782,15 @@ def s7_write_prompt_files(d):
     return d.sparkSession.read.schema("value string, file_no long").text(out).select("file_no", c("value").alias("line"))
 
 
+@query("chain_fx", """, g AS (SELECT *, r - row_number() OVER (PARTITION BY o_custkey ORDER BY r) AS run FROM chain_fx), h AS (SELECT *, min(r) OVER (PARTITION BY o_custkey, run) AS low FROM g),
+  p AS (SELECT *, CASE WHEN o_custkey % 50 = 2 AND r > 1 THEN 2 ELSE low END AS head FROM h), z AS (SELECT o_custkey AS c, r AS hr, url AS source FROM chain_fx)
+  SELECT url, CASE WHEN o_custkey % 50 <> 1 THEN source END AS source, CASE WHEN o_custkey % 50 <> 1 THEN r - head END AS page_no,
+    CASE WHEN o_custkey % 50 = 1 THEN 'cyclic' WHEN head = 2 AND o_custkey % 50 = 2 THEN 'merged' WHEN head = 1 THEN 'ok' ELSE 'broken' END AS status FROM p JOIN z ON c = o_custkey AND hr = head""")
+def s5_page_order(pages):
+    """Customers' orders as chains of pages: some lack pages, some end at their first or second page."""
+    return page_order(pages, starts=pages.filter("r = 1").select("url"))
+
+
 def s8_json_values_to_lines(spark, sf_dir):
     return S.json_values_to_lines(spark.read.parquet(f"{sf_dir}/events.parquet"), "props")
 

@@ -1,4 +1,4 @@
-"""Settings that the jobs need of a session."""
+"""Settings that the jobs need of a session, and the files they leave in its shared folder."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def with_checkpoints(spark: SparkSession) -> None:
@@ -17,8 +17,28 @@ def with_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the session's shared folder."""
+def _scratches(spark: SparkSession) -> str:
     with_checkpoints(spark)
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{shared.rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path among this application's in the session's shared folder; ``drop_scratch`` removes them all."""
+    return f"{_scratches(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` to a scratch path and reads it again, so that its lineage ends there and a lost executor costs a new read."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Removes what this application has written to scratch paths and its ``checkpoint()`` files; for the end of a job, when its results are written."""
+    context = spark.sparkContext
+    for folder in (_scratches(spark), context.getCheckpointDir()):
+        if folder:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from framewright.functions.text import extension
+from framewright.sources.chains import page_order, placed
 
 #: Extensions of each kind of job.
 PRESETS = {
@@ -21,10 +22,11 @@ PRESETS = {
 }
 
 
-#: Items of a landed page, as far as jobs use them.
+#: A landed page, as far as jobs use it: the url it was asked for, the number if the job that fetched it knows it, and the answer.
 API_SCHEMA = (
-    "page_no int, items array<struct<id:bigint,url:string,width:int,height:int,"
-    "stats:struct<heartCount:int,likeCount:int,laughCount:int,cryCount:int>,meta:map<string,string>>>"
+    "url string, page_no int, items array<struct<id:bigint,url:string,width:int,height:int,"
+    "stats:struct<heartCount:int,likeCount:int,laughCount:int,cryCount:int>,meta:map<string,string>>>,"
+    "metadata struct<nextPage:string>"
 )
 
 
@@ -75,19 +77,33 @@ def read_tag_vocab(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("_at", F.monotonically_increasing_id()).withColumn("pos", F.row_number().over(Window.orderBy("_at")) - 1).drop("_at")
 
 
-def _pages(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(f"{schema}, _corrupt_record string").json(path, multiLine=True)
+def _pages(spark: SparkSession, path: str, schema: str, starts: DataFrame | None) -> DataFrame:
+    """Landed pages with their file, source and place; ``reason`` says why a page has no place or no items."""
+    pages = spark.read.schema(f"{schema}, _corrupt_record string").json(path, multiLine=True).withColumn("file", F.col("_metadata.file_path"))
+    if "url" not in pages.columns or "metadata" not in pages.columns:
+        return pages.withColumn("reason", F.when(F.col("items").isNull(), "no items"))
+    chain = page_order(pages.select("url", F.col("metadata.nextPage").alias("next")), starts=starts)
+    rows = placed(pages, chain, F.col("page_no"))
+    return rows.withColumn("reason", F.when(F.col("items").isNull(), "no items").when(F.col("status") != "ok", F.col("status"))).drop("status")
 
 
-def read_api_items(spark: SparkSession, path: str, schema: str = API_SCHEMA) -> DataFrame:
-    """A row for each item of the landed pages, with its page and place; ``read_api_errors`` has the other pages."""
-    return _pages(spark, path, schema).filter(F.col("items").isNotNull()).select("page_no", F.posexplode("items").alias("pos", "item")).select("page_no", "pos", "item.*")
+def read_api_items(spark: SparkSession, path: str, schema: str = API_SCHEMA, starts: DataFrame | None = None) -> DataFrame:
+    """``source, page_no, pos`` and the fields of each item of the landed pages, read once.
+
+    A page without ``page_no`` has the place that the chain of next pages gives it (``page_order``), and its items the chain's first url as ``source``.
+    ``starts`` (one column of urls) are the pages that chains may begin with. Pages without a place or items are in ``read_api_errors``.
+    """
+    pages = _pages(spark, path, schema, starts).filter("reason is null")
+    head = [c for c in ("source", "page_no") if c in pages.columns]
+    return pages.select(*head, F.posexplode("items").alias("pos", "item")).select(*head, "pos", "item.*")
 
 
-def read_api_errors(spark: SparkSession, path: str, schema: str = API_SCHEMA) -> DataFrame:
-    """``page_no, file, record`` of pages without items; ``record`` where the page could not be read."""
-    pages = _pages(spark, path, schema).select("page_no", "items", F.col("_metadata.file_path").alias("file"), F.col("_corrupt_record").alias("record"))
-    return pages.filter(F.col("items").isNull()).drop("items")
+def read_api_errors(spark: SparkSession, path: str, schema: str = API_SCHEMA, starts: DataFrame | None = None) -> DataFrame:
+    """``page_no, file, record, reason`` of the other pages; ``record`` where the page could not be read.
+
+    ``reason`` is ``no items``, or ``broken``, ``merged``, ``cyclic`` or ``unnamed`` for a page with neither number nor place.
+    """
+    return _pages(spark, path, schema, starts).filter("reason is not null").select("page_no", "file", F.col("_corrupt_record").alias("record"), "reason")
 
 
 def write_training_set(df: DataFrame, out: str) -> None:

@@ -123,3 +123,61 @@ def test_select_tags_options(spark):
     assert tags() == "r1, g1, c1, c2"
     assert tags(rating="last", characters_first=True, sep=",") == "c2,c1,g1,r1"
     assert tags(rating=None, always_first=["g1", "c2", "absent"], undesired=["c1 "]) == "c2, g1"
+
+
+def test_page_order(spark):
+    from framewright.sources.chains import page_order
+
+    chain = [(f"a{i}", f"a{i + 1}" if i < 700 else None) for i in range(701)]
+    lost = [("b0", "b1"), ("b2", "b3"), ("b3", "gone")]
+    cycle = [(f"c{i}", f"c{(i + 1) % 5}") for i in range(5)] + [("d", "d")]
+    merged = [("e0", "e1"), ("x", "e1"), ("e1", "e2"), ("e2", None)]
+    rows = [*chain, *lost, *cycle, *merged, (None, "a0"), ("a3", "a4"), ("a3", None)]
+    starts = spark.createDataFrame([("a0",), ("b0",), ("e0",), ("b0",)], "u string")
+    got = {r["url"]: tuple(r)[1:] for r in page_order(spark.createDataFrame(rows, "url string, next string"), starts=starts).collect()}
+    assert len(got) == len({u for u, _ in rows if u})
+    assert all(got[f"a{i}"] == ("a0", i, "ok") for i in range(701))
+    assert (got["b0"], got["b2"], got["b3"]) == (("b0", 0, "ok"), ("b2", 0, "broken"), ("b2", 1, "broken"))
+    assert {got[u] for u in ("c0", "c1", "c2", "c3", "c4", "d")} == {(None, None, "cyclic")}
+    assert (got["e0"], got["x"], got["e1"], got["e2"]) == (("e0", 0, "ok"), ("x", 0, "broken"), ("e1", 0, "merged"), ("e1", 1, "merged"))
+    free = page_order(spark.createDataFrame(lost, "url string, next string"))
+    assert {(r["url"], r["status"]) for r in free.collect()} == {("b0", "ok"), ("b2", "ok"), ("b3", "ok")}
+    assert page_order(spark.createDataFrame([], "url string, next string")).count() == 0
+
+
+def test_landed_pages_without_numbers(spark, tmp_path):
+    def land(name, url, then, ids, **more):
+        meta = {"metadata": {"nextPage": then}} if then else {}
+        put(tmp_path / name, json.dumps({"url": url, "items": [{"id": i, "url": f"i{i % 4}"} for i in ids], **meta, **more}))
+
+    # landed in no order; page 3 of the second source is lost
+    land("z.json", "s/1", "s/2", [1, 2])
+    land("b.json", "s/2", "s/3", [3])
+    land("a.json", "s/3", None, [4, 5])
+    land("q.json", "t/1", "t/2", [6])
+    land("p.json", "t/3", None, [7])
+    land("o.json", None, None, [8], page_no=4)
+    land("n.json", None, None, [9])
+    put(tmp_path / "m.json", json.dumps({"url": "u/1", "error": "none"}))
+    starts = spark.createDataFrame([("s/1",), ("t/1",), ("u/1",)], "url string")
+    items = files.read_api_items(spark, str(tmp_path), starts=starts)
+    got = sorted((r["source"] or "", r["page_no"], r["pos"], r["id"]) for r in items.collect())
+    assert got == [("", 4, 0, 8), ("s/1", 0, 0, 1), ("s/1", 0, 1, 2), ("s/1", 1, 0, 3), ("s/1", 2, 0, 4), ("s/1", 2, 1, 5), ("t/1", 0, 0, 6)]
+    errors = {r["file"][-6:]: r["reason"] for r in files.read_api_errors(spark, str(tmp_path), starts=starts).collect()}
+    assert errors == {"p.json": "broken", "n.json": "unnamed", "m.json": "no items"}
+    # the order is what the cap and the stop rule need
+    assert sorted(r["id"] for r in grouping.cap_per_source(items.filter("source is not null"), 3).collect()) == [1, 2, 3, 6]
+
+
+def test_scratch_files_go(spark):
+    from framewright.plans import session
+
+    kept = session.staged(spark.range(5), "here")
+    folder = session._scratches(spark)
+    assert kept.count() == 5
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files_of = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert files_of.exists(path)
+    session.drop_scratch(spark)
+    assert not files_of.exists(path)
+    assert session.staged(spark.range(5), "again").count() == 5 and spark.range(3).checkpoint().count() == 3
