@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from framewright.functions.geometry import adjust_crop
 from framewright.functions.text import frame_name, merge_tag_lists, py_strip, uniform
-from framewright.plans.session import scratch
+from framewright.plans.session import scratch, staged
 
 #: Parts of a random order that are numbered in one task each.
 RUNS = 4096
@@ -240,39 +240,100 @@ def crop_plan(
     return rows.select(*columns)
 
 
+def _running(df: DataFrame, keys: Sequence[str], at: str, sums: dict[str, Column], run: int = 65_536) -> DataFrame:
+    """Adds running sums before each row, by keys in the order of ``at`` (whole numbers), summed in runs of ``run`` so that no key is one task."""
+    own = df.withColumn("_run", F.floor(F.col(at) / run))
+    totals = own.groupBy(*keys, "_run").agg(*(F.sum(v).alias(f"_{n}") for n, v in sums.items()))
+    before = Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*keys, "_run", *(F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_{n}") for n in sums))
+    until = Window.partitionBy(*keys, "_run").orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    rows = own.join(totals, [*keys, "_run"])
+    return rows.select(*df.columns, *((F.coalesce(F.sum(v).over(until), F.lit(0)) + F.col(f"_{n}")).alias(n) for n, v in sums.items()))
+
+
+def _passed_over(taken: DataFrame) -> DataFrame:
+    """The numbers of ``taken`` (``g, k, before, need``) that their group passes over, with ``v``, the group's row that would have come to them.
+
+    Group ``g`` numbers ``need`` rows in order, each with its first free number. Number k is a name of its own, first used after ``before`` of
+    the group's rows. A row comes to k if k less the numbers passed over below it is that row's place; it passes over k if k was used
+    before. Whether it does depends on the smaller numbers of the group, so bounds on how many of those are passed over are narrowed in rounds,
+    until they decide every number. A round decides at least the first open number of each group, and nearly always all.
+    """
+    # k is passed over if fewer than ``limit`` below it are
+    now = taken.select("g", "k", "need", (F.col("k") - F.col("before")).alias("limit"), F.lit(None).cast("int").alias("over"))
+    open_ = True
+    while open_:
+        bounds = _running(now, ["g"], "k", {"least": F.coalesce("over", F.lit(0)), "most": F.coalesce("over", F.lit(1))})
+        over = F.when(F.col("most") < F.col("limit"), 1).when(F.col("least") >= F.col("limit"), 0)
+        now = staged(bounds.select("g", "k", "need", "limit", over.alias("over")), "passed-over")
+        open_ = not now.filter("over is null").isEmpty()
+    below = _running(now, ["g"], "k", {"below": F.col("over")})
+    return below.select("g", "k", "need", "over", (F.col("k") - F.col("below")).alias("v"))
+
+
 def _first_free(rows: DataFrame, name: str, order: Sequence[str], out: str) -> DataFrame:
     """Adds ``out``: for each row in order, the first of ``name``, ``name_1`` and on that no row before it in ``sub`` has taken.
 
-    Names of which none looks like another's numbered form are numbered by a window. Families of names that may run into each
-    other (``n``, ``n_1``) and have repeats are walked through one by one, a family in a task.
+    A group is the rows of one name in a ``sub``. Its i-th row that needs a number gets the i-th number that is free. Only rows named ``name_k``
+    themselves can take a number from it, and it can take the name from them; so groups are settled in the order of their nesting
+    (``n``, ``n_1``, ``n_1_1``), a level at a time, from a row for each such pair of names. Rows are numbered by ranges of the order and meet
+    the passed-over numbers as rows between them, so neither a folder, nor a name that many rows have, is one task.
     """
-    stem, ext = F.regexp_extract(name, r"^(.*?)(\.[^.]*)?$", 1), F.regexp_extract(name, r"(\.[^.]*)$", 1)
-    rows = rows.withColumn("_root", F.concat(F.regexp_replace(stem, r"(_\d+)+$", ""), F.lit("/"), ext))
-    kinds = rows.groupBy("sub", "_root").agg(F.min(name).alias("lo"), F.max(name).alias("hi"), F.count(name).alias("n"), F.count_distinct(name).alias("d"))
-    mixed = kinds.filter("lo <> hi and n > d").select("sub", "_root", F.lit(True).alias("_mixed"))
-    rows = rows.join(mixed, ["sub", "_root"], "left")
-    k = F.row_number().over(Window.partitionBy("sub", name).orderBy(*order)) - 1
-    plain = rows.filter(F.col("_mixed").isNull()).withColumn("_k", k)
-    plain = plain.withColumn(out, F.when(F.col("_k") == 0, F.col(name)).otherwise(F.concat(stem, F.lit("_"), F.col("_k").cast("string"), ext))).drop("_k", "_mixed", "_root")
-
-    columns = plain.columns
-
-    def walk(frame: pd.DataFrame) -> pd.DataFrame:
-        taken, following, dest = set(), {}, []
-        frame = frame.sort_values(list(order), ignore_index=True)
-        for own in frame[name]:
-            new, count = own, following.get(own, 1)
-            at = own.rfind(".")
-            head, tail = (own, "") if at < 0 else (own[:at], own[at:])
-            while new in taken:
-                new, count = f"{head}_{count}{tail}", count + 1
-            following[own] = count
-            taken.add(new)
-            dest.append(new)
-        return frame.assign(**{out: dest})[columns]
-
-    walked = rows.filter("_mixed").groupBy("sub", "_root").applyInPandas(walk, plain.schema)
-    return plain.unionByName(walked)
+    split = r"^(.*?)(\.[^.]*)?$"
+    stem, ext = F.regexp_extract("_n", split, 1), F.regexp_extract("_n", r"(\.[^.]*)$", 1)
+    rows = rows.withColumn("_n", F.col(name)).withColumn("g", F.struct("sub", "_n"))
+    columns = [c for c in rows.columns if c not in ("_n", "g")]
+    first = F.min(F.struct(*order)).alias("first")
+    groups = staged(rows.groupBy("g").agg(F.count(F.lit(1)).alias("c"), first), "names")
+    # names that are another name's numbered form, with that name's group and the number
+    numbered_form = r"^(.*)_([1-9][0-9]{0,17})$"
+    stem_of, ext_of = F.regexp_extract("g._n", split, 1), F.regexp_extract("g._n", r"(\.[^.]*)$", 1)
+    forms = groups.withColumn("_s", stem_of).filter(F.col("_s").rlike(numbered_form)).withColumn("k", F.regexp_extract("_s", numbered_form, 2).cast("long"))
+    forms = forms.withColumn("base", F.struct(F.col("g.sub").alias("sub"), F.concat(F.regexp_extract("_s", numbered_form, 1), ext_of).alias("_n")))
+    pairs = forms.join(groups.select(F.col("g").alias("base"), F.col("c").alias("base_c")), "base").select("base", "g", "k", "c", "base_c", "first")
+    pairs = staged(pairs, "numbered-names")
+    if pairs.isEmpty():
+        # no name can take another's number
+        at = numbered(rows, "sub", "_n", *order)
+        start = at.groupBy("g").agg(F.min("rn").alias("start"))
+        i = F.col("rn") - F.col("start")
+        return at.join(start, "g").withColumn(out, F.when(i == 0, F.col("_n")).otherwise(F.concat(stem, F.lit("_"), i.cast("string"), ext))).select(*columns, out)
+    # marks stand in a group's order where a name that is one of its numbered forms is first used; they weigh nothing
+    marks = pairs.select(F.col("base.sub").alias("sub"), F.col("base._n").alias("_n"), *(F.col(f"first.{c}").alias(c) for c in order), F.lit(0).alias("_real"), F.col("g").alias("_form"))
+    both = rows.withColumn("_real", F.lit(1)).drop("g").unionByName(marks, allowMissingColumns=True)
+    at = numbered(both, "sub", "_n", *order, "_real", weight=F.col("_real"))
+    at = at.withColumn("g", F.struct("sub", "_n"))
+    start = at.groupBy("g").agg((F.min("rn") - F.min_by("_real", F.struct("rn", -F.col("_real")))).alias("start"))
+    at = staged(at.join(start, "g").withColumn("i", F.col("rn") - F.col("start")).drop("start", "rn"), "places")
+    used = at.filter("_real = 0").select(F.col("_form").alias("g"), F.col("i").alias("seen"))
+    pairs = staged(pairs.drop("first").join(used, "g"), "numbered-names")
+    # a level at a time: groups whose name is nobody's numbered form keep their first row's name
+    free = pairs.select(F.col("base").alias("g")).distinct().join(pairs.select("g"), "g", "left_anti").withColumn("own", F.lit(1))
+    free, settled, over = staged(free, "settled"), None, None
+    while not free.isEmpty():
+        settled = free if settled is None else settled.unionByName(free)
+        # of the rows seen before a form's first use, the first may have kept its name
+        taken = pairs.join(free.withColumnRenamed("g", "base"), "base")
+        taken = taken.select(F.col("base").alias("g"), "k", F.greatest(F.col("seen") - F.col("own"), F.lit(0)).alias("before"), (F.col("base_c") - F.col("own")).alias("need"))
+        found = _passed_over(taken)
+        found_over = found.filter("over = 1 and v <= need").select("g", "v")
+        over = found_over if over is None else over.unionByName(found_over)
+        forms_now = pairs.select("g", "base", "k").join(found.select(F.col("g").alias("base"), "k", "over", "v", "need"), ["base", "k"])
+        free = staged(forms_now.select("g", F.when((F.col("over") == 0) & (F.col("v") <= F.col("need")), 0).otherwise(1).alias("own")), "settled")
+    # the row that comes to a passed-over number, and all after it, get one more
+    real = at.filter("_real = 1").join(settled, "g", "left").withColumn("v", F.col("i") - F.coalesce("own", F.lit(1)))
+    steps = over.groupBy("g", "v").agg(F.count(F.lit(1)).alias("_more"))
+    jump = _running_at(real.join(over.select("g").distinct(), "g", "left_semi").select("g", "v"), steps)
+    real = real.join(jump, ["g", "v"], "left").withColumn("_no", F.col("v") + F.coalesce("_jump", F.lit(0)))
+    return real.withColumn(out, F.when(F.col("v") == 0, F.col("_n")).otherwise(F.concat(stem, F.lit("_"), F.col("_no").cast("string"), ext))).select(*columns, out)
+
+
+def _running_at(places: DataFrame, steps: DataFrame) -> DataFrame:
+    """``g, v, _jump``: for each of ``places`` (``g, v``) the sum of ``_more`` over the group's ``steps`` at ``v`` or before."""
+    both = places.select("g", "v", F.lit(0).alias("_more"), F.lit(1).alias("_place")).unionByName(steps.select("g", "v", "_more", F.lit(0).alias("_place")))
+    # steps at a place come before it
+    rows = _running(both.withColumn("_at", F.col("v") * 2 + F.col("_place")), ["g"], "_at", {"_jump": F.col("_more")})
+    return rows.filter("_place = 1").select("g", "v", "_jump")
 
 
 def flatten_tree(images: DataFrame, captions: DataFrame | None = None) -> DataFrame:

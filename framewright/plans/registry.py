@@ -35,6 +35,8 @@ VIEWS = {
         WHEN o_custkey % 50 = 1 THEN first_key WHEN o_custkey % 50 = 2 THEN second_key END AS following FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r,
         lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS lead_key, min(o_orderkey) OVER (PARTITION BY o_custkey) AS first_key,
         nth_value(o_orderkey, 2) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS second_key FROM orders) a) b WHERE o_custkey % 50 IN (1, 2) OR o_orderkey % 17 <> 3""",
+    "nested_fx": """SELECT doc_id AS id, concat(CAST(doc_id % 4 AS STRING), '/', source) AS rel_dir, concat('n', CASE WHEN doc_id % 5 = 0 THEN '' ELSE concat('_', CAST(doc_id * 7919 % 23 AS STRING)) END,
+        CASE WHEN doc_id % 7 = 0 THEN concat('_', CAST(doc_id * 31 % 3 AS STRING)) ELSE '' END, CASE WHEN doc_id % 11 = 0 THEN '.jpg' ELSE '.png' END) AS filename FROM documents""",
     "scores_fx": "SELECT p_partkey AS path, p_brand AS grp, CAST(p_retailprice AS DOUBLE) AS vol, CAST(p_partkey * 31 % 997 AS DOUBLE) / 997 AS ssim FROM part",
     "rowsums_fx": "SELECT user_id AS image_id, event_id AS y, value AS gray_sum FROM events",
     "pixels_fx": "SELECT l_suppkey % 20 AS image_id, l_partkey % 8 AS x, l_orderkey % 8 AS y, concat(l_returnflag, l_linestatus) AS rgba, 8 AS w, 8 AS h FROM lineitem",
@@ -419,6 +421,15 @@ def w10_flatten_tree(imgs, caps):
     return A.flatten_tree(imgs, caps).select("id", "dest", "caption_dest")
 
 
+@query("nested_fx", """, s AS (SELECT id, string_split(rel_dir, '/')[1] AS sub, regexp_extract(filename, '^(.*)\\.', 1) AS stem, regexp_extract(filename, '\\.[^.]*$') AS ext, row_number() OVER (PARTITION BY string_split(rel_dir, '/')[1] ORDER BY rel_dir, filename, id) AS rn FROM nested_fx),
+  g AS (SELECT DISTINCT sub, 0::BIGINT AS rn, []::VARCHAR[] AS taken, NULL::BIGINT AS id, NULL::VARCHAR AS name FROM s UNION ALL SELECT sub, rn, list_append(taken, pick), id, pick
+    FROM (SELECT s.sub, s.rn, g.taken, s.id, list_filter(list_transform(range(0, len(g.taken) + 1), lambda k: stem || CASE WHEN k = 0 THEN '' ELSE '_' || k END || ext), lambda x: NOT list_contains(g.taken, x))[1] AS pick FROM g JOIN s ON s.sub = g.sub AND s.rn = g.rn + 1))
+  SELECT id, sub || '/' || name AS dest FROM g WHERE id IS NOT NULL""")
+def w10_numbers_taken_by_names(d):
+    """Files whose names look like others' numbered forms, down to a form of a form."""
+    return A.flatten_tree(d).select("id", "dest")
+
+
 @query("images_fx", "SELECT DISTINCT rel_dir AS path FROM images_fx")
 def w13_ordered_catalog(d):
     return A.ordered_catalog(d.select(c("rel_dir").alias("path")))

@@ -1,6 +1,7 @@
 """Hand-computed cases: geometry, tags, names and file plans."""
 
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,6 +101,28 @@ def test_flatten_tree(spark):
     assert got == want and len({d for d, _ in got.values()}) == len(rows)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_first_free_names_against_a_walk(spark, seed):
+    r = random.Random(seed)
+    stems = ["n", "n_1", "n_2", "n_3", "n_7", "n_1_1", "n_1_2", "n_1_1_1", "n_2_1", "n_01", "m", "m_2"]
+    rows = [(i, f"a/{r.randint(0, 3)}", f"{r.choices(stems, [9, 4, 2, 2, 1, 3, 1, 1, 2, 2, 3, 2])[0]}{r.choice(['.png', '.png', '.jpg', ''])}") for i in range(150)]
+    taken, want = set(), {}
+    for i, rel, name in sorted(rows, key=lambda x: (x[1], x[2], x[0])):
+        stem, dot, ext = name.partition(".")
+        want[i] = next(x for k in itertools.count() if (x := f"{stem}_{k}{dot}{ext}" if k else name) not in taken)
+        taken.add(want[i])
+    df = spark.createDataFrame(rows, "id long, rel_dir string, filename string").repartition(4)
+    assert {x["id"]: x["dest"][2:] for x in A.flatten_tree(df).collect()} == want
+
+
+def test_frames_of_a_folder_are_no_single_task(spark):
+    rows = spark.range(20_000).select("id", F.concat(F.lit("a/"), F.col("id") % 3).alias("rel_dir"), F.format_string("f_%08d.png", F.when(F.col("id") == 7, 8).otherwise(F.col("id"))).alias("filename"))
+    df = A.flatten_tree(rows)
+    assert "Pandas" not in df._jdf.queryExecution().toString()
+    names = df.select("dest", F.spark_partition_id().alias("p")).collect()
+    assert len({r["dest"] for r in names}) == 20_000 and "a/f_00000008_1.png" in {r["dest"] for r in names}
+
+
 def test_tags(spark):
     probs = F.array(*(F.lit(x) for x in (0.9, 0.2, 0.8, 0.6)))
     pick = lambda **k: one(spark, A.select_tags(probs, ["safe", "bad", "cat", "ann"], [9, 9, 0, 4], **k))
