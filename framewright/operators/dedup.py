@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from framewright.functions.geometry import cosine
+
 BLOCK = 1000
 
 
+def _unit(vectors: list) -> np.ndarray:
+    """Vectors of length 1, or 0 where all is zero."""
+    m = np.array(vectors, dtype=np.float64)
+    norm = np.linalg.norm(m, axis=1, keepdims=True)
+    return np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
+
+
 def similar_pairs(emb: DataFrame, threshold: float) -> DataFrame:
     """``grp, a, b, sim`` for all pairs of a group with a cosine over the threshold, a < b.
 
@@ -29,12 +40,7 @@ def similar_pairs(emb: DataFrame, threshold: float) -> DataFrame:
         one, two = frame[frame["block"] == i], frame[frame["block"] == j]
         if one.empty or two.empty:
             return pd.DataFrame({"grp": [], "a": [], "b": [], "sim": []})
-        unit = []
-        for side in (one, two):
-            m = np.array(side["vec"].tolist(), dtype=np.float64)
-            norm = np.linalg.norm(m, axis=1, keepdims=True)
-            unit.append(np.divide(m, norm, out=np.zeros_like(m), where=norm > 0))
-        sim = unit[0] @ unit[1].T
+        sim = _unit(one["vec"].tolist()) @ _unit(two["vec"].tolist()).T
         x, y = one["id"].to_numpy(), two["id"].to_numpy()
         at = np.argwhere((sim > threshold) & ((x[:, None] < y[None, :]) if i == j else (x[:, None] != y[None, :])))
         a, b = x[at[:, 0]], y[at[:, 1]]
@@ -43,19 +49,70 @@ def similar_pairs(emb: DataFrame, threshold: float) -> DataFrame:
     return tiles.groupBy("grp", "i", "j").applyInPandas(product, f"grp {dict(emb.dtypes)['grp']}, a long, b long, sim double")
 
 
-def near_duplicates(emb: DataFrame, threshold: float = 0.95) -> DataFrame:
+def hash_plan(threshold: float, n: int, recall: float) -> tuple[int, int]:
+    """Bits of a hash and number of hash tables for groups of up to ``n`` vectors.
+
+    Two vectors at an angle a differ in a bit with chance a / pi. The tables are as many as let a pair at the threshold meet in one
+    of them with a chance of ``recall``; the bits are those for which rows shipped and pairs compared by chance are fewest.
+    """
+    same = 1 - math.acos(threshold) / math.pi
+    tables = lambda bits: max(1, math.ceil(math.log(1 - recall) / math.log1p(-(same**bits)))) if same < 1 else 1
+    bits = min(range(1, 31), key=lambda b: (tables(b) * (n + n * n / 2 ** (b + 1)), b))
+    return bits, tables(bits)
+
+
+def similar_pairs_hashed(emb: DataFrame, threshold: float, recall: float = 0.95, seed: int = 0) -> DataFrame:
+    """``similar_pairs``, most of them: pairs that share a hash by random projections, then compared exactly.
+
+    No pair is wrong; a pair at the threshold is found with a chance of ``recall``, closer ones with more. Each row goes to a bucket in each
+    of ``hash_plan``'s tables, without its vector; pairs of a bucket are listed once and then joined to their vectors. So what is shuffled grows
+    with the rows and with the pairs found, not with the square of a group. Thresholds are at least 0; zero vectors have no pairs.
+    """
+    if not 0 <= threshold < 1:
+        raise ValueError("hashes by projections tell only cosines from 0 to 1")
+    kind, largest = dict(emb.dtypes)["grp"], emb.groupBy("grp").count().agg(F.max("count")).first()[0] or 1
+    bits, tables = hash_plan(threshold, largest, recall)
+
+    def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        planes = None
+        for batch in batches:
+            vectors = _unit(batch.column(2).to_pylist())
+            at = np.flatnonzero(vectors.any(axis=1)) if len(vectors) else np.zeros(0, dtype=np.int64)
+            if not len(at):
+                continue
+            if planes is None:
+                planes = np.random.default_rng(seed).standard_normal((vectors.shape[1], tables * bits))
+            signs = (vectors[at] @ planes > 0).reshape(len(at), tables, bits)
+            codes = signs @ (1 << np.arange(bits, dtype=np.int64))
+            rows = pa.array(np.repeat(at, tables))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(np.tile(np.arange(tables, dtype=np.int32), len(at))), pa.array(codes.ravel())], names=["grp", "id", "table", "code"]
+            )
+
+    rows = emb.select("grp", F.col("id").cast("long").alias("id"), "vec")
+    hashed = rows.filter("vec is not null").mapInArrow(buckets, f"grp {kind}, id long, table int, code long")
+    one, two = (hashed.select(F.col("grp").alias(f"g{k}"), F.col("id").alias(k), F.col("table").alias(f"t{k}"), F.col("code").alias(f"c{k}")) for k in ("a", "b"))
+    met = one.join(two, F.col("ga").eqNullSafe(F.col("gb")) & (F.col("ta") == F.col("tb")) & (F.col("ca") == F.col("cb")) & (F.col("a") < F.col("b")))
+    pairs = met.select(F.col("ga").alias("grp"), "a", "b").distinct()
+    vectors = rows.select("id", "vec")
+    both = pairs.join(vectors.toDF("a", "va"), "a").join(vectors.toDF("b", "vb"), "b")
+    return both.select("grp", "a", "b", cosine(F.col("va"), F.col("vb")).alias("sim")).filter(F.col("sim") > threshold)
+
+
+def near_duplicates(emb: DataFrame, threshold: float = 0.95, recall: float | None = None) -> DataFrame:
     """Adds ``status`` and ``has_duplicates``: in order of id, a row is kept if no kept row before it is similar.
 
     Of a group's rows with equal vectors (not all zero) only the first is compared; the others go with it, so many copies
     make no pairs. Rounds decide every row whose earlier neighbours are decided; each cuts the lineage with
-    ``checkpoint()`` in the folder that the session names.
+    ``checkpoint()`` in the folder that the session names. All pairs of a group are compared; with ``recall`` only those
+    that ``similar_pairs_hashed`` finds.
     """
     if threshold >= 1:
-        return _greedy(emb, emb, threshold)
+        return _greedy(emb, emb, threshold, None)
     first = emb.filter(F.exists("vec", lambda x: x != 0)).groupBy("grp", "vec").agg(F.min("id").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     copies = emb.join(first, ["grp", "vec"]).select("id", "_first").checkpoint()
     later = copies.filter("id <> _first").select("id")
-    out = _greedy(emb.join(later, "id", "left_anti"), emb, threshold)
+    out = _greedy(emb.join(later, "id", "left_anti"), emb, threshold, recall)
     led = copies.filter("id = _first").select("id", F.lit(True).alias("_leads"))
     out = out.join(later.withColumn("_copy", F.lit(True)), "id", "left").join(led, "id", "left")
     status = F.when(F.col("_copy"), "delete").otherwise(F.col("status"))
@@ -63,8 +120,9 @@ def near_duplicates(emb: DataFrame, threshold: float = 0.95) -> DataFrame:
     return out.select(*emb.columns, status.alias("status"), linked.alias("has_duplicates"))
 
 
-def _greedy(compared: DataFrame, emb: DataFrame, threshold: float) -> DataFrame:
-    edges = similar_pairs(compared, threshold).select("a", "b").checkpoint()
+def _greedy(compared: DataFrame, emb: DataFrame, threshold: float, recall: float | None) -> DataFrame:
+    pairs = similar_pairs(compared, threshold) if recall is None else similar_pairs_hashed(compared, threshold, recall)
+    edges = pairs.select("a", "b").checkpoint()
     open_ = edges.select(F.col("a").alias("id")).union(edges.select(F.col("b").alias("id"))).distinct()
     kept, deleted = open_.limit(0), open_.limit(0)
     while not open_.isEmpty():
@@ -91,9 +149,9 @@ def leaf_groups(images: DataFrame) -> DataFrame:
     return images.join(top, "rel_dir", "left")
 
 
-def near_duplicates_by_leaf(emb: DataFrame, threshold: float = 0.95) -> DataFrame:
+def near_duplicates_by_leaf(emb: DataFrame, threshold: float = 0.95, recall: float | None = None) -> DataFrame:
     """``near_duplicates`` within the groups of ``leaf_groups``; rows in the root are kept."""
-    return near_duplicates(leaf_groups(emb), threshold)
+    return near_duplicates(leaf_groups(emb), threshold, recall)
 
 
 def dedup_by_filename(images: DataFrame, keep: str = "last") -> DataFrame:

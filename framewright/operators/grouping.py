@@ -6,6 +6,7 @@ import json
 import re
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -414,6 +415,60 @@ def select_tags(
     return F.when(existing.isNull(), F.array_join(tags, sep)).otherwise(merge_tag_lists(before, tags, sep))
 
 
+def select_tag_arrays(
+    df: DataFrame,
+    probs: str,
+    names: Sequence[str],
+    categories: Sequence[int],
+    general: float = 0.35,
+    character: float = 0.35,
+    undesired: Sequence[str] = (),
+    rating: str | None = "first",
+    characters_first: bool = False,
+    always_first: Sequence[str] = (),
+    out: str = "tags",
+) -> DataFrame:
+    """Adds ``out``, the array of tags that ``select_tags`` joins; for vocabularies of thousands of slots, and for ``tag_frequency``.
+
+    The vocabulary is broadcast once (it is as long as a score vector). A batch of vectors is one matrix that is compared with the
+    slots' thresholds at once; only what passes becomes Python values.
+    """
+    kinds = np.array(categories)
+    skipped = {u.strip() for u in undesired}
+    known = np.array([n not in skipped for n in names], dtype=bool)
+    least = np.where(kinds == 0, general, np.where(kinds == 4, character, np.inf))
+    least[~known] = np.inf
+    shared = df.sparkSession.sparkContext.broadcast((np.array(names, dtype=object), kinds == 4, np.flatnonzero(kinds == 9), least, known))
+
+    def pick(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        names, person, ratings, least, known = shared.value
+        for vectors in batches:
+            tags: list = [None if v is None else [] for v in vectors]
+            at = [i for i, v in enumerate(vectors) if v is not None]
+            scores = np.full((len(at), len(names)), -np.inf)
+            for row, i in enumerate(at):
+                own = np.asarray(vectors.iloc[i], dtype=np.float64)[: len(names)]
+                scores[row, : len(own)] = np.where(np.isnan(own), -np.inf, own)
+            over = scores >= least
+            best = ratings[scores[:, ratings].argmax(axis=1)] if len(ratings) and len(at) else []
+            for row, i in enumerate(at):
+                slots = np.flatnonzero(over[row])
+                if characters_first:
+                    slots = np.concatenate([slots[person[slots]][::-1], slots[~person[slots]]])
+                found = names[slots].tolist()
+                if rating and len(ratings) and known[best[row]]:
+                    found = [names[best[row]], *found] if rating == "first" else [*found, names[best[row]]]
+                for tag in always_first:
+                    if tag in found:
+                        found.remove(tag)
+                        found.insert(0, tag)
+                tags[i] = found
+            yield pd.Series(tags)
+
+    pick.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return df.withColumn(out, F.pandas_udf(pick, "array<string>")(F.col(probs).cast("array<double>")))
+
+
 def vocab_normalise(vocab: DataFrame, series_sep: str | None = None, underscores: bool = True, replacements: str = "") -> DataFrame:
     """The names of a vocabulary (``pos, name, category``) as captions show them.
 

@@ -12,6 +12,7 @@ from framewright.functions import text as X
 from framewright.operators import catalog as C
 from framewright.operators import dedup as D
 from framewright.operators import grouping as A
+from framewright.operators import hooks as H
 from framewright.operators import pixels as P
 from framewright.plans.session import scratch
 from framewright.sources import files as S
@@ -440,6 +441,15 @@ def d2_similar_pairs(d):
     return D.similar_pairs(d, 0.25).withColumn("sim", F.round("sim", 6))
 
 
+@query("emb_fx", """SELECT count(*) AS pairs, true AS enough, 0 AS wrong FROM emb_fx a JOIN emb_fx b ON a.grp = b.grp AND a.id < b.id WHERE list_cosine_similarity(a.vec::DOUBLE[], b.vec::DOUBLE[]) > 0.25""")
+def d2_recall_of_hashes(d):
+    """Pairs found by hashes against all pairs: at least nine in ten, and none that isn't one."""
+    every, found = D.similar_pairs(d, 0.25).select("a", "b"), D.similar_pairs_hashed(d, 0.25).select("a", "b", F.lit(1).alias("found"))
+    both = every.withColumn("is", F.lit(1)).join(found, ["a", "b"], "full_outer")
+    hit = F.count_if(F.col("found").isNotNull() & F.col("is").isNotNull())
+    return both.agg(F.count("is").alias("pairs"), (hit >= 0.9 * F.count("is")).alias("enough"), F.count_if(F.col("is").isNull()).cast("int").alias("wrong"))
+
+
 def _greedy(rows: str) -> str:
     """In order of id, a row stays unless it is similar to one that stays; ``rows`` has id, grp and vec."""
     return f""", v AS ({rows}), p AS (SELECT a.id AS a, b.id AS b FROM v a JOIN v b ON a.grp = b.grp AND a.id < b.id WHERE list_cosine_similarity(a.vec::DOUBLE[], b.vec::DOUBLE[]) > 0.25),
@@ -710,6 +720,45 @@ def w12_select_tags(d):
     return d.select("id", tags.alias("tags"))
 
 
+TAGGED = """r AS (SELECT id, 't' || (list_position(vec[1:4], list_max(vec[1:4])) - 1) AS best, vec FROM emb_fx), n AS (SELECT id, list_concat(list_concat(list_reverse(list_transform(list_filter(range(4, 64), lambda i: i >= 50 AND vec[i + 1]::DOUBLE >= 0.1), lambda i: 't' || i)),
+  list_transform(list_filter(range(4, 64), lambda i: i < 50 AND i <> 9 AND vec[i + 1]::DOUBLE >= 0.05), lambda i: 't' || i)), CASE WHEN best = 't2' THEN [] ELSE [best] END) AS tags FROM r)"""
+
+
+def _tagged(d):
+    return A.select_tag_arrays(d, "vec", [f"t{i}" for i in range(64)], [9] * 4 + [0] * 46 + [4] * 14, 0.05, 0.1, undesired=["t9 ", "t2"], rating="last", characters_first=True)
+
+
+@query("emb_fx", f", {TAGGED} SELECT id, array_to_string(tags, '|') AS tags FROM n")
+def w12_select_tag_arrays(d):
+    return _tagged(d).select("id", F.array_join("tags", "|").alias("tags"))
+
+
+@query("emb_fx", f", {TAGGED} SELECT tag, count(*) AS n FROM (SELECT unnest(tags) AS tag FROM n) GROUP BY 1")
+def a1_frequency_of_selected_tags(d):
+    return A.tag_frequency(_tagged(d))
+
+
+PIXELS = "p AS (SELECT id, i % 4 AS x, i // 4 AS y, [CASE WHEN embedding[4 * i + c + 1] > 0 THEN 200 ELSE 10 END for c in range(4)] AS b FROM (SELECT id, embedding, unnest(range(16)) AS i FROM gray_fx))"
+
+
+def _raw(d):
+    """The vectors as images of four by four pixels with alpha."""
+    data = F.unhex(F.array_join(F.transform("embedding", lambda v: F.when(v > 0, "C8").otherwise("0A")), ""))
+    return d.select("id", F.lit(4).alias("width"), F.lit(4).alias("height"), F.lit(4).alias("channels"), data.alias("data"))
+
+
+@query("gray_fx", f""", {PIXELS}, k AS (SELECT id, lower(printf('%02x%02x%02x%02x', b[3], b[2], b[1], b[4])) AS rgba, sum((x = 0)::INT + (x = 3)::INT + (y = 0)::INT + (y = 3)::INT) AS n FROM p GROUP BY 1, 2)
+  SELECT id, rgba FROM (SELECT id, rgba, row_number() OVER (PARTITION BY id ORDER BY n DESC, rgba) AS r FROM k) WHERE r = 1""")
+def a8_edge_colors_of_images(d):
+    return P.edge_colors(_raw(d))
+
+
+@query("gray_fx", f""", {PIXELS}, g AS (SELECT id, y, sum(round_even(0.114::DOUBLE * b[1] + 0.587::DOUBLE * b[2] + 0.299::DOUBLE * b[3], 0)) AS s FROM p GROUP BY 1, 2)
+  SELECT id, coalesce(min(y) FILTER (s > 400), 0)::INT AS top, coalesce(max(y) FILTER (s > 400), 3)::INT AS bottom FROM g GROUP BY 1""")
+def a9_row_bounds_of_images(d):
+    return P.row_bounds(_raw(d), 400)
+
+
 @query("leaf_fx", """SELECT id, (SELECT min(r) FROM (SELECT DISTINCT rel_dir AS r FROM leaf_fx) WHERE l.rel_dir = r OR starts_with(l.rel_dir, r || '/')) AS grp FROM leaf_fx l""")
 def d3_leaf_groups(d):
     return D.leaf_groups(d).select("id", "grp")
@@ -746,6 +795,17 @@ def u1_score_batches(d):
     return A.score_batches(d.filter("text is not null"), lambda f: f[["id"]].assign(score=f["text"].str.len()), "id long, score long")
 
 
+@query("captions_fx", "SELECT id, CAST(length(text) AS BIGINT) AS score FROM captions_fx WHERE text IS NOT NULL")
+def u1_score_resumable(d):
+    """Scored in two runs; the second finds the first one's rows and scores the rest."""
+    def setup():
+        return lambda f: f[["id"]].assign(score=f["text"].str.len())
+
+    rows, out = d.filter("text is not null"), scratch(d.sparkSession, "u1")
+    H.score_resumable(rows.filter("id % 3 = 0"), setup, "id long, score long", out, chunks=4)
+    return H.score_resumable(rows, setup, "id long, score long", out, chunks=4)
+
+
 @query("captions_fx", "SELECT id, k AS key, contains(text, p) AS hit FROM captions_fx CROSS JOIN (VALUES ('the', 'en'), ('der', 'de')) v(p, k) WHERE text IS NOT NULL")
 def u2_score_prompts(d):
     def hit(f):
@@ -766,6 +826,21 @@ QUERIES["st1_stream_unseen"] = st1_stream_unseen
 SQL["st1_stream_unseen"] = "SELECT DISTINCT user_id FROM events"
 
 
+def st1_unseen_by_log(spark, sf_dir):
+    """Events in three batches, the second one twice as after a failure; each user's first event of its first batch, by a log of users."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.concat(c("user_id").cast("string"), F.when(c("event_id") % 2 == 0, "\n").otherwise("")).alias("who"))
+    out, log = scratch(spark, "st1-rows"), scratch(spark, "st1-log")
+    for number in (0, 1, 1, 2):
+        if number == 2:
+            U.compact_log(spark, log, 2)
+        U.take_unseen(events.filter(c("event_id") % 3 == number), number, "who", ["event_id"], log, out)
+    return spark.read.schema("event_id long, who string, batch int").parquet(out)
+
+
+QUERIES["st1_unseen_by_log"] = st1_unseen_by_log
+SQL["st1_unseen_by_log"] = "SELECT event_id, CAST(user_id AS VARCHAR) AS who, CAST(event_id % 3 AS INT) AS batch FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id % 3, event_id) AS k FROM events) WHERE k = 1"
+
+
 def st2_stream_pending(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     out = scratch(spark, "st2")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,14 +40,65 @@ def _parts(path: Column, root: str) -> tuple[Column, Column, Column]:
     return plain, F.regexp_replace(rel, "/?[^/]*$", ""), F.element_at(F.split(rel, "/"), -1)
 
 
+def _number(head: bytes, at: int, n: int, order: str) -> int:
+    return int.from_bytes(head[at : at + n], order)
+
+
+def header_size(data: bytes) -> tuple[int, int] | None:
+    """Width and height by the header of a PNG, GIF, BMP, JPEG or WebP file; null for other files and broken headers."""
+    if data[:8] == b"\x89PNG\r\n\x1a\n" and len(data) >= 24:
+        return _number(data, 16, 4, "big"), _number(data, 20, 4, "big")
+    if data[:6] in (b"GIF87a", b"GIF89a") and len(data) >= 10:
+        return _number(data, 6, 2, "little"), _number(data, 8, 2, "little")
+    if data[:2] == b"BM" and len(data) >= 26:
+        wide = 4 if _number(data, 14, 4, "little") >= 40 else 2
+        height = int.from_bytes(data[18 + wide : 18 + 2 * wide], "little", signed=wide == 4)
+        return _number(data, 18, wide, "little"), abs(height)  # rows from the top have a negative height
+    if data[:4] == b"RIFF" and data[8:12] == b"WEBP" and len(data) >= 30:
+        if data[12:16] == b"VP8X":
+            return 1 + _number(data, 24, 3, "little"), 1 + _number(data, 27, 3, "little")
+        if data[12:16] == b"VP8L":
+            bits = _number(data, 21, 4, "little")
+            return 1 + (bits & 0x3FFF), 1 + (bits >> 14 & 0x3FFF)
+        if data[12:16] == b"VP8 ":
+            return _number(data, 26, 2, "little") & 0x3FFF, _number(data, 28, 2, "little") & 0x3FFF
+    if data[:2] == b"\xff\xd8":
+        at = 2
+        while at + 9 <= len(data) and data[at] == 0xFF:
+            kind = data[at + 1]
+            if kind == 0xFF or kind == 0x01 or 0xD0 <= kind <= 0xD8:  # fill bytes and marks without a length
+                at += 1 if kind == 0xFF else 2
+            elif 0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC):
+                return _number(data, at + 7, 2, "big"), _number(data, at + 5, 2, "big")
+            else:
+                at += 2 + _number(data, at + 2, 2, "big")
+    return None
+
+
+def sized(files: DataFrame, content: str = "content") -> DataFrame:
+    """Adds ``width`` and ``height`` by the files' headers, without decoding; only a JPEG goes to Python with more than its first bytes."""
+
+    def sizes(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for heads in batches:
+            found = [header_size(x) or (None, None) if x is not None else (None, None) for x in heads]
+            yield pd.DataFrame({"width": pd.array([w for w, _ in found], dtype="Int32"), "height": pd.array([h for _, h in found], dtype="Int32")})
+
+    sizes.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    data = F.col(content)
+    head = F.when(F.hex(F.substring(data, 1, 2)) == "FFD8", data).otherwise(F.substring(data, 1, 32))
+    size = F.pandas_udf(sizes, "width int, height int")(head)
+    return files.withColumn("_size", size).withColumns({c: F.col(f"_size.{c}") for c in ("width", "height")}).drop("_size")
+
+
 def image_catalog(spark: SparkSession, root: str, preset: str = "caption") -> DataFrame:
-    """``path, rel_dir, folders, filename, stem, ext, size_bytes`` of the image files below the root.
+    """``path, rel_dir, folders, filename, stem, ext, width, height, size_bytes`` of the image files below the root.
 
-    Sizes in pixels come from ``read_gray`` or a table of the images.
+    Sizes in pixels are read from the headers only where they are asked for; they are null for files that aren't what their names say.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", F.col("length").alias("size_bytes"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", F.col("length").alias("size_bytes"), "content")
     path, rel, name = _parts(F.col("path"), root)
-    rows = files.select(path.alias("path"), rel.alias("rel_dir"), name.alias("filename"), "size_bytes").filter(F.col("filename").rlike(PRESETS[preset]))
+    rows = files.select(path.alias("path"), rel.alias("rel_dir"), name.alias("filename"), "size_bytes", "content").filter(F.col("filename").rlike(PRESETS[preset]))
+    rows = sized(rows).drop("content")
     rows = rows.withColumn("folders", F.filter(F.split("rel_dir", "/"), lambda x: x != ""))
     ext = extension(F.col("filename"))
     return rows.withColumn("ext", ext).withColumn("stem", F.expr("substr(filename, 1, length(filename) - length(ext))"))
