@@ -225,9 +225,10 @@ def test_shards(spark, docs, none, tmp_path, monkeypatch):
     hot = spark.createDataFrame([(i, "same text" if i % 3 == 0 else f"text {i} " * (i % 20)) for i in range(3000)], "doc_id long, text string")
     sizes = [r["s"] for r in sharding.pack_shards(hot).groupBy("shard").agg(F.sum("size").alias("s")).collect()]
     assert len(sizes) == 8 and max(sizes) < 1.02 * min(sizes)
-    monkeypatch.setattr(sharding, "RUN", 10)  # slots from several runs of a unit, and from bundles
+    monkeypatch.setattr(sharding, "RUN", 10)  # slots from several runs of a shard, and groups placed in cells
     monkeypatch.setattr(sharding, "LIMIT", 50)
-    plan = sharding.pack_shards(hot, bundles=16).collect()
+    monkeypatch.setattr(sharding, "CELL", 90)
+    plan = sharding.pack_shards(hot).collect()
     assert all(sorted(r["slot"] for r in plan if r["shard"] == k) == list(range(sum(r["shard"] == k for r in plan))) for k in range(8)) and len(plan) == 3000
     clash = docs.unionByName(docs).withColumnRenamed("node", "size")
     sharding.write_shards(clash, str(tmp_path / "out"), 4)
@@ -260,6 +261,25 @@ def test_shards_are_brute_force(docs):
     assert all(crc[r["text_crc32"]] == r["shard"] for r in plan)
 
 
+def test_groups_stay_whole(spark, monkeypatch):
+    """Pairs and larger groups of long texts, groups up to a shard's size, one beyond it; by the driver and in cells."""
+    r = random.Random(8)
+    texts = [f"pair {i} " + "x y " * 3000 for i in range(6)] * 2 + ["nearly a shard " * 40] * 90 + ["beyond one"] * 600
+    texts += [f"t{r.randrange(500)} " * r.randint(1, 30) for _ in range(1200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    for limit, cell in ((20_000, 20_000), (300, 70)):
+        monkeypatch.setattr(sharding, "LIMIT", limit)
+        monkeypatch.setattr(sharding, "CELL", cell)
+        plan = sharding.pack_shards(df, 4).collect()
+        of = {}
+        for x in plan:
+            of.setdefault(texts[x["doc_id"]], set()).add(x["shard"])
+        assert len(plan) == len(texts) and all(len(own) == 1 for t, own in of.items() if t != "beyond one") and len(of["beyond one"]) == 4
+        for c in ("size", "tokens"):
+            sums = [sum(x[c] for x in plan if x["shard"] == k) for k in range(4)]
+            assert max(sums) < 1.35 * min(sums)  # few large groups, of other tokens a byte than the rest
+
+
 def test_best_bounds():
     r = random.Random(4)
     for _ in range(40):
