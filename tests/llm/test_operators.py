@@ -550,6 +550,26 @@ def test_fixity_in_the_middle(spark):
     assert Counter(k for _, _, k in found.elements()) == {"missing": len(lost) + 1, "corrupt": len(bad), "extra": len([x for x in new if x[0] not in lost])}
 
 
+@pytest.mark.parametrize("small", [False, True])
+def test_moved_records(spark, monkeypatch, small):
+    if small:  # files of several runs, ranges that are cut
+        monkeypatch.setattr(fixity, "RUN", 16)
+        monkeypatch.setattr(fixity, "SPAN", 3)
+    schema = "page_id long, url string, html string, at long"
+    rows = [(i, f"http://x/{i}", "b" * (i % 7), i) for i in range(320)]
+    own = lambda x: fixity.manifest(spark.createDataFrame(x, schema).repartition(3), F.floor(F.col("page_id") / 64), [F.col("at")], fixity.warc_record(F.col("url"), F.col("html")), key=[F.col("page_id")])
+    # file 0 in reverse; in file 1 record 20 goes after 40; in file 2 records 10 to 29 go to the end; file 3 lacks one; file 4 is sound
+    at = {**{i: -i for i in range(64)}, 84: 10 * 104 + 5, **{i: 5000 + i for i in range(138, 158)}}
+    other = [(i, u, h, at.get(i, 10 * i if 64 <= i < 128 else i)) for i, u, h, _ in rows if i != 200]
+    found = {}
+    for r in fixity.audit(own(rows), own(other)).collect():
+        found.setdefault((r["file"], r["kind"]), set()).add(r["seq"])
+    assert found.pop((0, "moved")) == set(range(64)) and found.pop((3, "missing")) == {8}
+    # what follows in the new place comes after a record that it should come before
+    assert {20} <= found[1, "moved"] <= {20} and found.pop((1, "moved")) and found.pop((2, "moved")) <= {10, 30}
+    assert not found
+
+
 def test_perspectives(spark):
     rows = [(1, 0, "system", "rules"), (1, 1, "ann", "hi <|im_end|>"), (1, 2, "bob", None), (1, 3, None, "x"), (2, 0, "system", "alone")]
     rows += [(3, 10 * i, "ann" if i % 2 else "bob", f"t{i}") for i in range(200)] + [(3, 50, "ann", "t5")] + [(None, None, "ann", "n"), (None, 1, "bob", "m")]
