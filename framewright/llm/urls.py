@@ -13,7 +13,8 @@ keeps, and an example's word that mostly stands in harmless names loses its weig
 
 with b and g its count in bad and good names, s the share of all words in bad names and S ``SMOOTHING``, so a
 rare word leans to neither side by itself. Examples keep ``EXAMPLE_SHARE`` of all counts at any size of the table. Urls
-are scored relationally: their distinct word lists, exploded, join the words' odds and are summed.
+are scored relationally: their distinct word lists, exploded, join the words' odds and are summed. A host is judged as one: the mean of its urls' odds
+decides for all of them, so its pages agree, and a name that speaks in every url outweighs what stands in one path. Hosts are summed before they are joined.
 
 What is broadcast has a proven bound: entries that make up at least one in ``VOCABULARY`` of a
 total, so at most ``VOCABULARY`` of them, whatever the input's size, and the words of up to ``SHORT`` letters.
@@ -44,11 +45,11 @@ LONGEST_NAME = 2_000
 SMOOTHING, EXAMPLE_SHARE, PRIOR = 1.0, 0.02, 0.1
 #: Labelled names, as words; the label holds for all names behind it.
 EXAMPLES = (
-    ("block", "casino win", "online casino bonus", "casino slots", "live casino jackpot", "free bets", "sport bets odds", "bet win", "lottery win", "poker cash"),
-    ("block", "cheap pills", "pills online", "viagra cheap", "cheap loans", "payday cash loans", "weight loss pills", "replica watches cheap", "cheap tickets deals"),
-    ("block", "adult", "adult x", "adult video", "porn tube", "porn x video", "sex cams", "adult dating", "free porn", "xxx"),
-    ("block", "ads", "ads track", "click track", "ad server", "pop ads", "ads click", "track pixel", "banner ads", "affiliate clicks"),
-    ("block", "spam", "spam farm", "link farm", "seo links", "content farm", "buy links", "spam mail", "free download crack", "warez keys"),
+    ("block", "online casino bonus", "casino slots", "live casino jackpot", "casino bonus spins", "sport bets odds", "bets bonus", "lottery jackpot", "poker cash", "slots free spins"),
+    ("block", "pills online", "viagra online", "payday cash loans", "weight loss pills", "diet pills shop", "replica watches cheap", "cheap tickets deals"),
+    ("block", "adult", "adult movies", "adult video", "porn tube", "porn x video", "sex cams", "adult dating", "free porn", "xxx"),
+    ("block", "ads", "click tracker", "ad server", "pop ads", "ads click", "pixel counter", "banner ads", "affiliate clicks"),
+    ("block", "spam", "link spam", "seo links", "content mill", "buy links", "spam mail", "free download crack", "warez keys"),
     ("allow", "news", "daily news", "city library", "public library", "school", "university press", "science journal", "history museum", "art museum"),
     ("allow", "blog", "my blog", "garden blog", "cooking recipes", "travel guide", "book reviews", "music school", "film review", "poetry archive"),
     ("allow", "docs", "developer docs", "open source", "code forum", "user guide", "help center", "support forum", "wiki", "data archive"),
@@ -272,8 +273,8 @@ def filter_urls(
 ) -> DataFrame:
     """Adds ``host, path, rule, verdict, words, odds``; every row stays.
 
-    ``verdict`` is the rule's, else ``block`` if the model's log odds are above 0, else
-    ``allow``. ``examples`` are (label, name, ...) with names as words. Columns of the added names in ``df`` are replaced.
+    ``verdict`` is the rule's, else ``block`` if the mean of the model's log odds over the host's urls is above 0, else
+    ``allow``; ``odds`` are the url's own. ``examples`` are (label, name, ...) with names as words. Columns of the added names in ``df`` are replaced.
     """
     address = F.col(url).cast("string")
     counts = unigrams(df, html, F.concat(host(address), F.lower(path(address))))
@@ -283,7 +284,9 @@ def filter_urls(
     names = staged(_segmented(names, counts, known).withColumn("key", F.array_join(F.array_sort("words"), " ")), "url-sets")
     lists = names.groupBy("key").agg(F.first(F.array_sort("words")).alias("words"), F.sum("count").alias("n"))
     odds = staged(judged_lists(staged(lists, "url-lists"), examples, rounds), "url-odds")
-    judged = names.join(odds, "key").select(F.col("host").alias("__host_of"), F.col("path").alias("__path_of"), "words", "odds")
+    judged = staged(names.join(odds, "key").select("host", "path", "count", "words", "odds"), "url-judged")
+    hosts = judged.groupBy(F.col("host").alias("__of")).agg(F.try_divide(F.sum(F.col("count") * F.col("odds")), F.sum("count")).alias("__mean"))
+    judged = judged.join(hosts, F.col("host") == F.col("__of")).select("__mean", F.col("host").alias("__host_of"), F.col("path").alias("__path_of"), "words", "odds")
     rule, verdict = matched_rule(F.col("host"), F.col("path"), rules)
     split = split.drop("words", "odds", "rule", "verdict").join(judged, (F.col("host") == F.col("__host_of")) & (F.col("path") == F.col("__path_of")), "left").drop("__host_of", "__path_of")
-    return split.withColumn("rule", rule).withColumn("verdict", F.coalesce(verdict, F.when(F.col("odds") > 0, "block").otherwise("allow")))
+    return split.withColumn("rule", rule).withColumn("verdict", F.coalesce(verdict, F.when(F.col("__mean") > 0, "block").otherwise("allow"))).drop("__mean")

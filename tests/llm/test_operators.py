@@ -474,6 +474,18 @@ def test_bayes_generalises(spark):
     assert right() > 0.95 > right(rounds=0)
 
 
+def test_no_example_names_a_host_of_the_pages(spark, sf_dir):
+    """The verdicts of the given pages come from words, not from names that the examples repeat; and a host's pages agree."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    rows = urls.filter_urls(pages, ()).collect()
+    hosts = {r["host"] for r in rows}
+    assert not any(name.replace(" ", "-") in host for _, *own in urls.EXAMPLES for name in own if " " in name for host in hosts)
+    verdicts = {}
+    for r in rows:
+        verdicts.setdefault(r["host"], set()).add(r["verdict"])
+    assert all(len(v) == 1 for v in verdicts.values())
+
+
 def test_held_out_examples():
     """Each labelled name is judged by a model of all others that share no name with it."""
     rows = [(label, name) for label, *own in urls.EXAMPLES for name in own]
