@@ -5,9 +5,8 @@ and all others as named users. The spans of the assistant's turns, text and end
 the ones to train on. Roles in ``context`` are rendered under their own name and are no
 participants.
 
-A dialogue of up to ``part_bytes`` of text is rendered whole, and so is any other with ``part_bytes=None``. Longer
-ones go on in further parts, so that a conversation with a great share of all rows is no row of unbounded size: a part
-has the turns that begin within its ``part_bytes``. Later parts begin with what is carried into them and not
+Dialogues are rendered whole. On request, those of over ``part_bytes`` of text go on in further parts, for conversations that
+a row can't hold: a part has the turns that begin within its ``part_bytes``. Later parts begin with what is carried into them and not
 trained on: the context turns that open the dialogue, and the turns in the last ``carry_bytes`` before the cut.
 
 Turns are in order of number, role and text, null numbers first; numbers may have gaps and repeat. A null role is the
@@ -22,10 +21,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PART_BYTES, CARRY_BYTES = 1 << 20, 4096
+CARRY_BYTES = 4096
 #: Turn numbers that are ordered in one task.
 BIN = 1024
-BEGIN, END = "<|im_start|>", "<|im_end|>\n"
+BEGIN, END, ASSISTANT = "<|im_start|>", "<|im_end|>\n", "assistant\n"
 
 
 def guarded(c: Column) -> Column:
@@ -33,6 +32,12 @@ def guarded(c: Column) -> Column:
     return F.replace(c, F.lit("<|"), F.lit("< |"))
 
 
+def _label(role: Column, context: Sequence[str]) -> Column:
+    """What stands before the text of a turn that isn't the assistant's."""
+    name = F.translate(guarded(role), "\n\r", "  ")
+    return F.concat(F.when(role.isin(list(context)), "").otherwise("user name="), name, F.lit("\n"))
+
+
 def _ordered(df: DataFrame, conv: str, turn: str, role: str, text: str, context: Sequence[str]) -> DataFrame:
     """``null, key`` of the conversation, ``rank`` of each turn, bytes before it, and where the context at its start ends."""
     role = F.coalesce(F.col(role).cast("string"), F.lit("unknown"))
@@ -66,7 +71,7 @@ def perspectives(
     role: str = "role",
     text: str = "text",
     context: Sequence[str] = ("system",),
-    part_bytes: int | None = PART_BYTES,
+    part_bytes: int | None = None,
     carry_bytes: int = CARRY_BYTES,
 ) -> DataFrame:
     """Returns ``conv, participant, part, n_turns, n_carried, rendered, mask``.
@@ -86,30 +91,28 @@ def perspectives(
         tail = ~opening & (F.col("at") + F.col("bytes") > (part + 1) * part_bytes - carry_bytes) & (last > part)
         into = F.concat(F.array(own(part, True)), F.coalesce(later, F.when(tail, F.array(own(part + 1, False))), F.array().cast("array<struct<part:bigint,own:boolean>>")))
     turns = turns.withColumn("into", F.explode(into)).select("conv", "null", "key", "role", "text", "rank", "into.part", "into.own")
-    listed = F.array_sort(F.collect_list(F.struct("rank", "own", "role", "text"))).alias("turns")
+    # where a turn begins if all speakers are users; a participant's own turns differ from that by one length each
+    as_user = F.length("text") + F.length(_label(F.col("role"), context)) + len(BEGIN) + len(END)
+    before = Window.partitionBy("null", "key", "part").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    turns = turns.withColumn("at", F.coalesce(F.sum(as_user).over(before), F.lit(0)))
+    listed = F.array_sort(F.collect_list(F.struct("rank", "own", "role", "text", "at"))).alias("turns")
     n_own = F.count_if("own").alias("n_turns")
     parts = turns.groupBy("null", "key", "part").agg(F.first("conv").alias("conv"), n_own, listed).filter("n_turns > 0")
     speakers = turns.filter(~F.col("role").isin(list(context))).select("null", "key", F.col("role").alias("participant")).distinct()
     rows = parts.join(speakers, ["null", "key"])
 
-    name = lambda t: F.translate(guarded(t.role), "\n\r", "  ")
-
-    def label(t):
-        return F.when(t.role == F.col("participant"), F.lit("assistant\n")).when(t.role.isin(list(context)), F.concat(name(t), F.lit("\n"))).otherwise(F.concat(F.lit("user name="), name(t), F.lit("\n")))
-
-    rows = rows.withColumn("head", F.transform("turns", lambda t: F.concat(F.lit(BEGIN), label(t))))
-    rows = rows.withColumn("body", F.transform("turns", lambda t: F.concat(t.text, F.lit(END))))
-    # running ends, one pass: the last element of the list so far plus the next turn
-    sizes = F.transform(F.arrays_zip("head", "body"), lambda x: F.length(x.head) + F.length(x.body))
-    step = lambda done, n: F.concat(done, F.array(F.element_at(done, -1) + n))
-    rows = rows.withColumn("ends", F.aggregate(sizes, F.array(F.lit(0)), step))
-    spans = F.transform(
-        F.arrays_zip("turns", "head"),
-        lambda x, i: F.struct(
-            (F.get("ends", i) + F.length(x.head)).alias("start"), (F.get("ends", i + 1) - 1).alias("end"), ((x.turns.role == F.col("participant")) & x.turns.own).alias("own")
-        ),
-    )
+    def rendering(t: Column) -> Column:
+        label = F.when(t.role == F.col("participant"), F.lit(ASSISTANT)).otherwise(_label(t.role, context))
+        return F.concat(F.lit(BEGIN), label, t.text, F.lit(END))
+
+    more = F.lit(len(ASSISTANT)) - F.length(_label(F.col("participant"), context))
+
+    def span(t: Column, k: Column) -> Column:
+        start = t["at"] + k * more + len(BEGIN) + len(ASSISTANT)
+        return F.struct(start.cast("int").alias("start"), (start + F.length(t.text) + len(END) - 1).cast("int").alias("end"), t.own.alias("own"))
+
+    spans = F.transform(F.filter("turns", lambda t: t.role == F.col("participant")), span)
     mask = F.transform(F.filter(spans, lambda s: s.own), lambda s: F.struct(s.start.alias("start"), s.end.alias("end")))
-    rendered = F.array_join(F.transform(F.arrays_zip("head", "body"), lambda x: F.concat(x.head, x.body)), "")
+    rendered = F.array_join(F.transform("turns", rendering), "")
     carried = (F.size("turns") - F.col("n_turns")).cast("long").alias("n_carried")
     return rows.select(F.col("conv").alias(conv), "participant", "part", "n_turns", carried, rendered.alias("rendered"), mask.alias("mask"))
