@@ -192,8 +192,15 @@ def cut_after_failures(log: DataFrame, batch: int = 500, limit: int = 100, sourc
     return cut.filter(F.col("_cut").isNull() | (F.col("seq") <= F.col("_cut"))).select(*log.columns)
 
 
-def take_until_empty_page(items: DataFrame, passing: Column, max_images: int) -> DataFrame:
-    """Passing items in page order up to the first page that has none, at most ``max_images`` a source."""
+def take_until_empty_page(items: DataFrame, passing: Column, max_images: int, seen: DataFrame | None = None) -> DataFrame:
+    """Passing items in page order up to the first page that has none, at most ``max_images`` a source.
+
+    With ``seen`` (``url``, white space at its ends aside) logged urls don't pass, so a page of such alone ends its source.
+    """
+    if seen is not None:
+        logged = seen.select(py_strip(F.col("url")).alias("url")).distinct().withColumn("_logged", F.lit(True))
+        items = items.join(logged, "url", "left").select(*items.columns, (passing & F.col("_logged").isNull()).alias("_passes"))
+        return take_until_empty_page(items, F.col("_passes"), max_images).drop("_passes")
     pages = items.groupBy("source", "page_no").agg(F.bool_or(passing).alias("any"))
     stop = pages.filter(~F.col("any")).groupBy("source").agg(F.min("page_no").alias("stop"))
     rows = items.filter(passing).join(stop, "source", "left").filter(F.col("stop").isNull() | (F.col("page_no") < F.col("stop"))).drop("stop")

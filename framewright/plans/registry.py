@@ -395,6 +395,12 @@ def w7_take_until_empty_page(d):
     return A.take_until_empty_page(d, c("heart") > 5, 30)
 
 
+@query("api_fx", """, p AS (SELECT *, heart > 5 AND url NOT IN (SELECT url FROM api_fx WHERE id % 3 = 0) AS ok FROM api_fx), s AS (SELECT source, min(page_no) AS stop FROM (SELECT source, page_no, bool_or(ok) AS a FROM p GROUP BY 1, 2) WHERE NOT a GROUP BY 1)
+  SELECT * EXCLUDE (k, ok, stop) FROM (SELECT p.*, s.stop, row_number() OVER (PARTITION BY p.source ORDER BY page_no, pos) AS k FROM p LEFT JOIN s ON s.source = p.source WHERE ok AND (s.stop IS NULL OR page_no < s.stop)) WHERE k <= 30""")
+def w7_take_until_page_without_news(d):
+    return A.take_until_empty_page(d, c("heart") > 5, 30, d.filter("id % 3 = 0").select(F.concat("url", F.lit("\n")).alias("url")))
+
+
 def _crops(rule: str) -> str:
     return f""", a AS (SELECT image_id, det_idx, class_id, confidence, trunc(x1) AS x1, trunc(y1) AS y1, trunc(x2) AS x2, trunc(y2) AS y2, img_w AS w, img_h AS h FROM detections_fx
     UNION ALL SELECT DISTINCT image_id, NULL, NULL, NULL, 0.0::DOUBLE, 0.0::DOUBLE, img_w::DOUBLE, img_h::DOUBLE, img_w, img_h FROM detections_fx), {ADJUSTED},

@@ -288,3 +288,12 @@ def test_numbers_by_run_and_by_weight(spark):
     assert {r["id"]: r["rn"] for r in A.numbered(df, "v", "id").collect()} == order
     sums = {r["id"]: r["rn"] for r in A.numbered(df, "v", "id", weight=(F.col("id") % 3)).collect()}
     assert all(sums[i] == sum(j % 3 for j in order if order[j] <= order[i]) for i in order)
+
+
+def test_pages_of_logged_urls_end_a_source(spark):
+    rows = [("s", page, pos, f"u{page}{pos}", page < 4) for page in range(6) for pos in range(2)]
+    items = spark.createDataFrame(rows, "source string, page_no int, pos int, url string, ok boolean")
+    seen = spark.createDataFrame([("u10\n",), ("u20",), ("u21 ",)], "url string")
+    take = lambda *a: sorted((r["page_no"], r["pos"]) for r in A.take_until_empty_page(items, F.col("ok"), *a).collect())
+    assert take(100) == [(p, q) for p in range(4) for q in range(2)]
+    assert take(100, seen) == [(0, 0), (0, 1), (1, 1)] and take(2, seen) == [(0, 0), (0, 1)]
