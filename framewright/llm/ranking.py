@@ -42,6 +42,8 @@ from framewright.llm.common import chunks, staged
 ITEMS, CHARS = 5_000, 2_000_000
 #: Documents of a block, and bytes in them (or one text).
 DOCS, BLOCK_BYTES = 8_192, 12_000_000
+#: Blocks that one task searches, about.
+BLOCKS = 4
 #: Intervals that are split in one step.
 STEP = 64
 _KEPT = bytes(b for b in range(128) if chr(b).isalnum())
@@ -219,14 +221,16 @@ def ranked_search(
         own = [(r["item"], sorted(set(terms(r["t"].encode())))) for r in asked.filter(F.col("k") == shard).orderBy("item", "t").collect()]
         vocabulary = {w: c for c, w in enumerate(sorted({w for _, words in own for w in words}))}
         index = staged(_index(docs, spark.sparkContext.broadcast(vocabulary)), "postings")
-        total = index.agg(F.sum("n_docs").alias("docs"), F.sum("n_terms").alias("terms")).first()
+        total = index.agg(F.sum("n_docs").alias("docs"), F.sum("n_terms").alias("terms"), F.count(F.lit(1)).alias("blocks")).first()
         each = index.select(F.explode(F.arrays_zip("terms", "counts")).alias("x")).groupBy("x.terms").agg(F.sum("x.counts").alias("df"))
         n_docs, frequency = total["docs"] or 0, dict(each.collect())
         queries = []
         for _, words in own:
             codes = [c for w in words if (c := vocabulary[w]) in frequency]
             queries.append((np.array(codes, dtype=np.int64), np.array([weight(frequency[c], n_docs) for c in codes], dtype=np.int64)))
-        found = _search(index, spark.sparkContext.broadcast((queries, n_docs, total["terms"])), k)
+        # a block is small on disk and much work
+        spread = index.repartition(max(1, total["blocks"] // BLOCKS))
+        found = _search(spread, spark.sparkContext.broadcast((queries, n_docs, total["terms"])), k)
         last = Window.orderBy(F.desc("score"), F.col("i").asc_nulls_last())
         for keys in (["q", F.pmod(F.xxhash64("i"), F.lit(32))], ["q"]):
             found = found.withColumn("rank", F.row_number().over(last.partitionBy(*keys))).filter(F.col("rank") <= k)
