@@ -67,7 +67,7 @@ def op6_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return backoff_scores(table(spark, sf_dir, "documents"))
+    return backoff_scores(table(spark, sf_dir, "documents"), stable=True)
 
 
 def op8_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

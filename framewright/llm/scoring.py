@@ -9,7 +9,7 @@ the mean over its words; a word that no other document has counts as seen half a
 partitioned by hash, joins and sums. Its shuffles take over ten times the input's disk, so
 ``backoff_scores`` does the same join on packed rows, each a block of texts by a part of the hashes:
 
-1. Documents go to ``blocks`` by a hash of id and text. A block lists its distinct n-grams once
+1. Texts are packed into blocks of neighbouring rows. A block lists its distinct n-grams once
    each, as 64-bit hashes with counts, split by hash into ``parts``.
 2. Each part adds up its n-grams over all blocks: the count table, partitioned by hash. It
    sends every block the totals of the n-grams that it asked for, in the same order.
@@ -18,6 +18,8 @@ partitioned by hash, joins and sums. Its shuffles take over ten times the input'
 So a frequent n-gram has one entry a block, whatever its count, and no key is hot. Blocks and
 parts grow in number with the corpus, not in size; there are never more packed rows than distinct n-grams of
 blocks. Both sides list a block's n-grams in ascending order; a digest of each list is sent along and checked.
+A block is a run of rows, whatever they hold, so repeated rows and nulls fill as many blocks as others.
+Ascending hashes are sent whole: the low five bytes as they are, the rest as differences, deflated.
 
 Null and empty texts have no words and a null score. Repeated rows count as documents of their
 own. Other columns are not returned.
@@ -31,20 +33,22 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from framewright.llm.common import WORD, WORD_SQL, ascii_lower, lower_ascii, mix, staged, word_count
+from framewright.llm.common import WORD, WORD_SQL, ascii_lower, chunks, lower_ascii, mix, staged, word_count
 
 ORDER = 3
 ALPHA = 0.4
 #: Characters of a block and of a part's n-grams, about.
 BLOCK_CHARS, PART_CHARS = 6_000_000, 3_000_000
-#: Bytes of a hash that are sent; its top bits give the part. Two of the about half a million n-grams of a
-#: part are taken for one with a chance of about one in two million each, at any size of the corpus.
-#: With 8, whole 64-bit hashes are compared.
-SENT = 5
+#: What a row adds to a block's characters, so that empty texts fill blocks too.
+ROW_CHARS = 16
+#: Bytes of a hash that are sent as they are.
+LOW = 5
 
 
 def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -69,20 +73,40 @@ def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
 
 
-def pack(keys: np.ndarray, sent: int) -> bytes:
-    """The low ``sent`` bytes of each hash."""
-    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :sent].tobytes()
+def pack_numbers(numbers: np.ndarray, strategy: int = zlib.Z_DEFAULT_STRATEGY) -> bytes:
+    """A byte for each number, then four for each of those over 254, deflated; most are small."""
+    deflate = zlib.compressobj(1, strategy=strategy)
+    small, large = np.minimum(numbers, 255).astype(np.uint8), numbers[numbers >= 255].astype("<u4")
+    return deflate.compress(small.tobytes() + large.tobytes()) + deflate.flush()
 
 
-def unpack(raw, sent: int) -> np.ndarray:
-    rows = np.frombuffer(raw, dtype=np.uint8).reshape(-1, sent)
+def unpack_numbers(raw, n: int) -> np.ndarray:
+    raw = zlib.decompress(raw)
+    out = np.frombuffer(raw, dtype=np.uint8, count=n).astype(np.int64)
+    out[out == 255] = np.frombuffer(raw, dtype="<u4", offset=n)
+    return out
+
+
+def pack_keys(keys: np.ndarray) -> tuple[bytes, bytes]:
+    """Ascending hashes as their low bytes, and the differences of what is above those."""
+    low = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :LOW].tobytes()
+    # the differences are near one another and in no pattern, so only their frequencies help
+    return low, pack_numbers(np.diff((keys >> np.uint64(8 * LOW)).astype(np.int64), prepend=0), zlib.Z_HUFFMAN_ONLY)
+
+
+def unpack_keys(low, high) -> np.ndarray:
+    rows = np.frombuffer(low, dtype=np.uint8).reshape(-1, LOW)
     out = np.zeros((len(rows), 8), dtype=np.uint8)
-    out[:, :sent] = rows
-    return out.view("<u8").reshape(-1)
+    out[:, :LOW] = rows
+    return out.view("<u8").reshape(-1) | (np.cumsum(unpack_numbers(high, len(rows))).astype(np.uint64) << np.uint64(8 * LOW))
+
 
+def digest(keys: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(keys.astype("<u8").tobytes()) >> 1
 
-def listed(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A block's distinct n-grams by part, then hash; their counts; and the place of each n-gram in that list."""
+
+def listed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A block's distinct n-grams in ascending order, so by part; their counts; and the place of each n-gram in that list."""
     flat = keys.reshape(-1)
     order, inverse, counts = np.unique(flat[flat > 0], return_inverse=True, return_counts=True)
     at = np.full(len(flat), -1, dtype=np.int64)
@@ -90,16 +114,33 @@ def listed(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return order, counts, at.reshape(keys.shape)
 
 
-def pack_counts(counts: np.ndarray) -> bytes:
-    """A byte for each count, then four for each of those over 254; most are 1, so they are deflated."""
-    return zlib.compress(np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<u4").tobytes(), 1)
+def packed(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """``block, rows``: runs of the rows ``id_at, t`` of about ``limit`` characters, numbered within the partition."""
+    first = TaskContext.get().partitionId() << 33
+    held: list[pa.RecordBatch] = []
+    chars, block = 0, 0
 
+    def written() -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))) as out:
+            out.write_table(pa.Table.from_batches(held).combine_chunks())
+        return pa.RecordBatch.from_arrays([pa.array([first + block], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "rows"])
 
-def unpack_counts(raw, n: int) -> np.ndarray:
-    raw = zlib.decompress(raw)
-    out = np.frombuffer(raw, dtype=np.uint8, count=n).astype(np.int64)
-    out[out == 255] = np.frombuffer(raw, dtype="<u4", offset=n)
-    return out
+    for batch in batches:
+        sizes = (pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + ROW_CHARS).tolist()
+        for lo, hi in chunks(sizes, limit // 8):
+            own = sum(sizes[lo:hi])
+            if held and chars + own > limit:
+                yield written()
+                held, chars, block = [], 0, block + 1
+            held.append(batch.slice(lo, hi - lo))
+            chars += own
+    if held:
+        yield written()
+
+
+def unpacked(raw) -> pa.Table:
+    return pa.ipc.open_stream(raw.as_buffer()).read_all()
 
 
 def scores(doc: np.ndarray, keys: np.ndarray, at: np.ndarray, totals: np.ndarray, n_corpus: int, n_docs: int) -> pd.DataFrame:
@@ -150,64 +191,68 @@ def backoff_scores_by_rows(df: DataFrame, id_col: str = "doc_id", text: str = "t
     return docs.join(scored, "row", "left").select(F.col("id_at").alias(id_col), F.size("w").cast("long").alias("n_words"), *counts, "score")
 
 
-def backoff_scores(df: DataFrame, id_col: str = "doc_id", text: str = "text", sent: int = SENT) -> DataFrame:
+def backoff_scores(df: DataFrame, id_col: str = "doc_id", text: str = "text", stable: bool = False) -> DataFrame:
     """Returns ``id_col, n_words, n_order1, n_order2, n_order3, score`` for every row of ``df``.
 
-    ``n_orderK``: words scored by their n-gram of K words. ``score``: mean log score of a word. ``sent``: bytes of a hash
-    that are compared within a part, 8 for all.
+    ``n_orderK``: words scored by their n-gram of K words. ``score``: mean log score of a word. ``stable``: ``df`` gives
+    the same rows in the same partitions and order each time, as files do, so the packed texts are not written first;
+    where it doesn't, the job fails.
     """
     docs = df.select(F.col(id_col).alias("id_at"), F.col(text).cast("string").alias("t"))
     chars, n_corpus = (x or 0 for x in docs.agg(F.sum(F.length("t")), F.sum(word_count(F.col("t")))).first())
-    blocks, parts = chars // BLOCK_CHARS + 1, chars // PART_CHARS + 1
-    docs = docs.withColumn("block", F.pmod(F.xxhash64("id_at", "t"), F.lit(blocks)).cast("int"))
-
-    def ask(table: pa.Table) -> pa.Table:
-        _, keys = ngrams(table.column("t").to_pylist())
-        order, counts, _ = listed(keys, parts)
-        part = part_of(order, parts)
-        edge = np.searchsorted(part, np.arange(parts + 1))
-        rows = [(k, order[a:b], counts[a:b]) for k, (a, b) in enumerate(zip(edge, edge[1:])) if b > a]
-        return pa.table(
-            {
-                "block": pa.array([table.column("block")[0].as_py()] * len(rows), pa.int32()),
-                "part": pa.array([k for k, _, _ in rows], pa.int32()),
-                "keys": pa.array([pack(x, sent) for _, x, _ in rows], pa.binary()),
-                "counts": pa.array([pack_counts(x) for _, _, x in rows], pa.binary()),
-            }
-        )
+    limit, blocks, parts = BLOCK_CHARS, chars // BLOCK_CHARS + 1, chars // PART_CHARS + 1
+    # many small partitions would make many small blocks
+    texts = docs.coalesce(min(blocks, 1 << 30)).mapInArrow(lambda batches: packed(batches, limit), "block long, rows binary")
+    texts = texts if stable else staged(texts, "lm-texts")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                _, keys = ngrams(unpacked(raw).column("t").to_pylist())
+                order, counts, _ = listed(keys)
+                edge = np.searchsorted(part_of(order, parts), np.arange(parts + 1))
+                rows = [(k, *pack_keys(order[a:b]), pack_numbers(counts[a:b])) for k, (a, b) in enumerate(zip(edge, edge[1:])) if b > a]
+                columns = [pa.array([x[i] for x in rows], kind) for i, kind in enumerate((pa.int32(), pa.binary(), pa.binary(), pa.binary()))]
+                yield pa.RecordBatch.from_arrays([pa.array([block] * len(rows), pa.int64()), *columns], names=["block", "part", "low", "high", "counts"])
 
     def add(key, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))
-        lists = [unpack(x.as_buffer(), sent) for x in table.column("keys")]
-        counts = [unpack_counts(x.as_buffer(), len(y)) for x, y in zip(table.column("counts"), lists, strict=True)]
+        lists = [unpack_keys(x.as_buffer(), y.as_buffer()) for x, y in zip(table.column("low"), table.column("high"), strict=True)]
+        counts = [unpack_numbers(x.as_buffer(), len(y)) for x, y in zip(table.column("counts"), lists, strict=True)]
         kinds, inverse = np.unique(np.concatenate(lists), return_inverse=True)
         totals = np.bincount(inverse, np.concatenate(counts), len(kinds)).astype(np.int64)[inverse]
         edge = np.r_[0, np.cumsum([len(x) for x in lists])]
         for i, block in enumerate(table.column("block").to_pylist()):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int32()), pa.array([key[0].as_py()], pa.int32()), pa.array([pack_counts(totals[edge[i] : edge[i + 1]])], pa.binary()), pa.array([xxhash.xxh3_64_intdigest(pack(lists[i], sent)) >> 1], pa.int64())],
+                [pa.array([block], pa.int64()), pa.array([key[0].as_py()], pa.int32()), pa.array([pack_numbers(totals[edge[i] : edge[i + 1]])], pa.binary()), pa.array([digest(lists[i])], pa.int64())],
                 names=["block", "part", "totals", "digest"],
             )
 
     def judge(table: pa.Table, answers: pa.Table) -> pa.Table:
-        texts = table.column("t").to_pylist()
+        changed = RuntimeError("the input changed between two reads")
+        if table.num_rows != 1:
+            raise changed
+        rows = unpacked(table.column("rows")[0])
+        texts = rows.column("t").to_pylist()
         doc, keys = ngrams(texts)
-        order, _, at = listed(keys, parts)
+        order, _, at = listed(keys)
         totals = np.zeros(len(order), dtype=np.int64)
         part = part_of(order, parts)
-        for k, raw, digest in zip(answers.column("part").to_pylist(), answers.column("totals"), answers.column("digest").to_pylist(), strict=True):
+        for k, raw, own in zip(answers.column("part").to_pylist(), answers.column("totals"), answers.column("digest").to_pylist(), strict=True):
             a, b = np.searchsorted(part, [k, k + 1])
-            if xxhash.xxh3_64_intdigest(pack(order[a:b], sent)) >> 1 != digest:
-                raise RuntimeError("the n-grams of a block changed between two reads of the input")
-            totals[a:b] = unpack_counts(raw.as_buffer(), b - a)
+            if digest(order[a:b]) != own:
+                raise changed
+            totals[a:b] = unpack_numbers(raw.as_buffer(), b - a)
+        if not totals.all():
+            raise changed
         out = scores(doc, keys, at, totals, n_corpus, len(texts))
         mean = np.where(out["n_words"] > 0, out["score"] / np.maximum(out["n_words"], 1), np.nan)
         columns = [pa.array(out[c].to_numpy(), pa.int64()) for c in ("n_words", "n_order1", "n_order2", "n_order3")]
-        return pa.table([table.column("id_at"), *columns, pa.array(mean, pa.float64(), from_pandas=True)], names=["id_at", "n_words", "n_order1", "n_order2", "n_order3", "score"])
+        return pa.table([rows.column("id_at"), *columns, pa.array(mean, pa.float64(), from_pandas=True)], names=["id_at", "n_words", "n_order1", "n_order2", "n_order3", "score"])
 
     add.__annotations__ = {"key": tuple[pa.Scalar, ...], "batches": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}
-    asked = docs.groupBy("block").applyInArrow(ask, "block int, part int, keys binary, counts binary")
-    answers = asked.groupBy("part").applyInArrow(add, "block int, part int, totals binary, digest long")
+    asked = texts.mapInArrow(ask, "block long, part int, low binary, high binary, counts binary")
+    answers = asked.groupBy("part").applyInArrow(add, "block long, part int, totals binary, digest long")
     schema = f"id_at {dict(df.dtypes)[id_col]}, n_words long, n_order1 long, n_order2 long, n_order3 long, score double"
-    found = docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(judge, schema)
+    found = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(judge, schema)
     return found.withColumnRenamed("id_at", id_col)

@@ -303,7 +303,7 @@ def test_batches(docs, none):
     assert packing.pack_buckets(none).count() == 0
 
 
-@pytest.mark.parametrize("scored", [scoring.backoff_scores, scoring.backoff_scores_by_rows, lambda df: scoring.backoff_scores(df, sent=8)])
+@pytest.mark.parametrize("scored", [scoring.backoff_scores, scoring.backoff_scores_by_rows, lambda df: scoring.backoff_scores(df, stable=True)])
 def test_backoff_scores(docs, none, scored, monkeypatch):
     monkeypatch.setattr(scoring, "BLOCK_CHARS", 1000)
     monkeypatch.setattr(scoring, "PART_CHARS", 700)
@@ -330,6 +330,24 @@ def test_backoff_scores(docs, none, scored, monkeypatch):
     assert scored(none).count() == 0
 
 
+def test_packed_hashes():
+    r = np.random.default_rng(3)
+    for keys in (np.unique(r.integers(1, 1 << 63, 5000).astype(np.uint64) * np.uint64(2)), np.array([1, 2**64 - 1], dtype=np.uint64), np.zeros(0, dtype=np.uint64)):
+        low, high = scoring.pack_keys(keys)
+        assert (scoring.unpack_keys(low, high) == keys).all() and scoring.digest(scoring.unpack_keys(low, high)) == scoring.digest(keys)
+    counts = np.array([1, 254, 255, 256, 1, 70_000])
+    assert (scoring.unpack_numbers(scoring.pack_numbers(counts), len(counts)) == counts).all()
+
+
+def test_repeated_rows_are_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "BLOCK_CHARS", 2000)
+    df = spark.range(3000).select(F.lit(1).alias("doc_id"), F.when(F.col("id") % 3 > 0, "one two one two").alias("text"), F.lit(0).alias("t"), F.lit(0).alias("block"))
+    rows = df.select(F.col("doc_id").alias("id_at"), F.col("text").alias("t")).mapInArrow(lambda batches: scoring.packed(batches, 2000), "block long, rows binary")
+    assert rows.count() == rows.select("block").distinct().count() > 30
+    found = scoring.backoff_scores(df).groupBy("n_words").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("score").alias("kinds")).collect()
+    assert sorted(map(tuple, found)) == [(0, 1000, 0), (4, 2000, 1)]
+
+
 def test_retrieval_is_brute_force():
     r = random.Random(5)
     vocab = [f"t{i}" for i in range(60)]
