@@ -18,8 +18,8 @@ decides for all of them, so its pages agree, and a name that speaks in every url
 
 What is broadcast has a proven bound: entries that make up at least one in ``VOCABULARY`` of a
 total, so at most ``VOCABULARY`` of them, whatever the input's size, and the words of up to ``SHORT`` letters.
-The other words are joined by a shuffle: to the distinct names, as parts of up to ``LONGEST_WORD``
-letters, and to the exploded word lists.
+The other words are joined by a shuffle: to the distinct names, as their parts of the lengths that such words have,
+and to the exploded word lists. Neither words nor names have a greatest length.
 
 Null urls and urls without ``://`` have an empty host and path, match no rule and have no words;
 the model's prior judges them. Repeated rows are judged alike.
@@ -27,6 +27,7 @@ the model's prior judges them. Repeated rows are judged alike.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import ChainMap, Counter
@@ -39,9 +40,11 @@ from pyspark.sql import functions as F
 from framewright.llm.common import ascii_lower, staged
 
 VOCABULARY = 100_000
-LONGEST_WORD = 24
 SHORT = 3
-LONGEST_NAME = 2_000
+#: Cost of each letter of an unknown word, next to that of a word seen once.
+LETTER_COST = 2.3
+#: Parts of names that are written together.
+PARTS_AT_ONCE = 50_000
 SMOOTHING, EXAMPLE_SHARE, PRIOR = 1.0, 0.02, 0.1
 #: Labelled names, as words; the label holds for all names behind it.
 EXAMPLES = (
@@ -94,42 +97,46 @@ class Segmenter:
         total = total or sum(counts.values()) or 1
         self.total = total
         self.cost = {w: -math.log(n / total) for w, n in counts.items()}
-        self.longest = max(map(len, self.cost), default=1)
-        # an unknown word costs more with each letter
-        self.unknown = [0.0, *(math.log(total) + 2.3 * k for k in range(1, LONGEST_WORD + 1))]
+        self.lengths = sorted({len(w) for w in self.cost}, reverse=True)
+        self.unknown = math.log(total)
         self.known: dict[str, list[str]] = {}
 
     def split(self, name: str, more: dict[str, int] | None = None) -> list[str]:
         """``more`` are counts of words that the segmenter lacks."""
-        cost_of, longest = self.cost, self.longest
+        cost_of, lengths = self.cost, self.lengths
         if more:
             cost_of = ChainMap({w: -math.log(n / self.total) for w, n in more.items()}, self.cost)
-            longest = max(longest, *map(len, more))
-        best, back = [0.0], [0]
+            lengths = sorted({*lengths, *map(len, more)}, reverse=True)
+        # an unknown word costs more with each letter, so the best place for its start needs no search
+        best, back, least, start = [0.0], [0], 0.0, 0
         for end in range(1, len(name) + 1):
-            cost, at = math.inf, end - 1
-            for start in range(max(0, end - LONGEST_WORD), end):
-                own = cost_of.get(name[start:end]) if end - start <= longest else None
-                if (c := best[start] + (self.unknown[end - start] if own is None else own)) < cost:
-                    cost, at = c, start
+            cost, at = self.unknown + LETTER_COST * end + least, start
+            for k in lengths:
+                own = cost_of.get(name[end - k : end]) if k <= end else None
+                if own is not None and (c := best[end - k] + own) < cost:
+                    cost, at = c, end - k
             best.append(cost), back.append(at)
+            if cost - LETTER_COST * end < least:
+                least, start = cost - LETTER_COST * end, end
         words, end = [], len(name)
         while end:
             words.append(name[back[end] : end])
             end = back[end]
         return words[::-1]
 
-    def lacking(self, name: str) -> set[str]:
-        """Parts of the name that may be words that the segmenter lacks."""
-        parts = {name[i:j] for i in range(len(name)) for j in range(i + SHORT + 1, min(i + LONGEST_WORD, len(name)) + 1)}
-        return {x for x in parts if x not in self.cost}
+    def lacking(self, name: str, lengths: Sequence[int]) -> Iterator[str]:
+        """Parts of the name, of the given lengths, that may be words that the segmenter lacks."""
+        for k in lengths:
+            for i in range(len(name) - k + 1):
+                if (part := name[i : i + k]) not in self.cost:
+                    yield part
 
     def words(self, text: str, special: dict[str, list[str]] | None = None) -> list[str]:
-        """Words of the text's names; any number counts as ``0``. ``special`` has the words of some sections."""
+        """Words of the text's names; any number counts as ``0``. ``special`` has the words of some names."""
         special = special or {}
         if special or (found := self.known.get(text)) is None:
             found = []
-            for x in sections(text):
+            for x in LETTERS.findall(text):
                 found += ["0"] if x.isdigit() else special[x] if x in special else self.split(x)
             if special:
                 return found
@@ -139,21 +146,13 @@ class Segmenter:
         return found
 
 
-def sections(text: str) -> list[str]:
-    """Names and numbers in a text; a very long name is split in sections, so that no text is dropped."""
-    out = []
-    for piece in LETTERS.findall(text):
-        out += [piece] if piece.isdigit() else [piece[k : k + LONGEST_NAME] for k in range(0, len(piece), LONGEST_NAME)]
-    return out
-
-
 def unigrams(df: DataFrame, html: str, names: Column) -> DataFrame:
     """``w, n``: counts of the words of the pages, and of the parts of hyphenated and short names in their urls."""
     visible = F.lower(F.regexp_replace(F.coalesce(F.col(html), F.lit("")), MARKUP, " "))
     # a name without a hyphen may be several words run together, so it is no evidence of a word unless it's short
     own = F.transform(F.split(names, "[^a-z-]+"), lambda x: F.when(x.contains("-") | (F.length(x) <= 3), F.split(x, "-")).otherwise(F.array()))
     pieces = F.concat(F.split(visible, "[^a-z]+"), F.flatten(own))
-    words = df.select(F.explode(pieces).alias("w")).filter((F.length("w") > 0) & (F.length("w") <= LONGEST_WORD))
+    words = df.select(F.explode(pieces).alias("w")).filter("w <> ''")
     return staged(words.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "url-words")
 
 
@@ -173,17 +172,20 @@ def _segmented(names: DataFrame, counts: DataFrame, lexicon: Sequence[str]) -> D
     special = F.lit(None).cast("array<struct<piece:string,own:array<string>>>")
     names = names.withColumn("special", special)
     if least > 2:
+        rare = counts.filter(~common & (F.col("n") >= 2))
+        # as many as there are lengths of words, which only grow with the square root of all letters
+        lengths = sorted(r["k"] for r in rare.select(F.length("w").alias("k")).distinct().collect())
 
         def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
-                rows = [(h, p, x) for h, p in zip(b["host"], b["path"], strict=True) for x in {*sections(h.rpartition(".")[0]), *sections(p.lower())} if len(x) > SHORT and not x.isdigit()]
+                rows = [(h, p, x) for h, p in zip(b["host"], b["path"], strict=True) for x in {*LETTERS.findall(h.rpartition(".")[0]), *LETTERS.findall(p.lower())} if len(x) > SHORT and not x.isdigit()]
                 yield pd.DataFrame(rows, columns=["host", "path", "piece"])
 
         def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
-                for lo in range(0, len(b), 256):
-                    rows = [(x, w) for x in b["piece"][lo : lo + 256] for w in segmenter.value.lacking(x)]
-                    yield pd.DataFrame(rows, columns=["piece", "w"])
+                found = ((k, w) for k, x in zip(b["name"], b["piece"], strict=True) for w in segmenter.value.lacking(x, lengths))
+                while rows := list(itertools.islice(found, PARTS_AT_ONCE)):
+                    yield pd.DataFrame(rows, columns=["name", "w"])
 
         def respelt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
@@ -191,9 +193,12 @@ def _segmented(names: DataFrame, counts: DataFrame, lexicon: Sequence[str]) -> D
                 yield pd.DataFrame([x for x in found if x[1] != segmenter.value.split(x[0])], columns=["piece", "own"])
 
         of = names.select("host", "path").mapInPandas(pieces, "host string, path string, piece string")
-        rare = counts.filter(~common & (F.col("n") >= 2))
-        known = of.select("piece").distinct().mapInPandas(parts, "piece string, w string").join(rare, "w")
-        own_words = known.groupBy("piece").agg(F.collect_list(F.struct("w", "n")).alias("more")).mapInPandas(respelt, "piece string, own array<string>")
+        # a long name goes by its digest, as it has many parts
+        digest = F.concat(F.lit("#"), F.sha2("piece", 256))
+        each = of.select("piece").distinct().select(F.when(F.length("piece") <= 64, F.col("piece")).otherwise(digest).alias("name"), "piece")
+        known = each.mapInPandas(parts, "name string, w string").distinct().join(rare, "w")
+        more = known.groupBy("name").agg(F.collect_list(F.struct("w", "n")).alias("more"))
+        own_words = each.join(more, "name").select("piece", "more").mapInPandas(respelt, "piece string, own array<string>")
         by_name = of.join(own_words, "piece").groupBy("host", "path").agg(F.collect_list(F.struct("piece", "own")).alias("special"))
         names = names.drop("special").join(by_name, ["host", "path"], "left")
 

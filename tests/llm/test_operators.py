@@ -438,6 +438,30 @@ def test_every_item_is_found(spark, sf_dir):
     assert found >= {(d, i) for d, (i, t) in enumerate(items) if decontamination.terms(t)}
 
 
+def test_segments_are_the_cheapest():
+    r = random.Random(8)
+    for _ in range(60):
+        counts = {"".join(r.choices("ab", k=r.choice([1, 2, 3, 30]))): r.randint(2, 40) for _ in range(6)}
+        own = urls.Segmenter(counts)
+        name = "".join(r.choice([*counts, "c", "ca"]) for _ in range(5))
+        best = [0.0]
+        for end in range(1, len(name) + 1):
+            best.append(min(best[i] + own.cost.get(name[i:end], own.unknown + urls.LETTER_COST * (end - i)) for i in range(end)))
+        found = own.split(name)
+        assert "".join(found) == name and sum(own.cost.get(w, own.unknown + urls.LETTER_COST * len(w)) for w in found) == pytest.approx(best[-1])
+
+
+def test_long_words_and_names():
+    long = "pneumonoultramicroscopicsilicovolcanoconiosis"
+    own = urls.Segmenter({"free": 50, long: 5, "win": 30})
+    assert own.split(f"free{long}win") == ["free", long, "win"] and own.split("free" + "x" * 60) == ["free", "x" * 60]
+    assert own.split(f"free{long[:-1]}win", {long[:-1]: 3}) == ["free", long[:-1], "win"]
+    # a word that spans letter 2,000
+    name = "free" * 499 + "win" + long + "free" * 2000
+    assert own.words(name) == ["free"] * 499 + ["win", long] + ["free"] * 2000
+    assert set(own.lacking("freewins", [4])) == {"reew", "eewi", "ewin", "wins"}
+
+
 def test_segments_and_rules(spark):
     words = urls.Segmenter({"free": 50, "bets": 20, "casino": 20, "win": 30, "the": 90})
     assert words.words("freebetscasino-win12") == ["free", "bets", "casino", "win", "0"]
