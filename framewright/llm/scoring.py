@@ -105,13 +105,13 @@ def digest(keys: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(keys.astype("<u8").tobytes()) >> 1
 
 
-def listed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A block's distinct n-grams in ascending order, so by part; their counts; and the place of each n-gram in that list."""
+def listed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A block's distinct n-grams in ascending order, so by part; and the place of each n-gram in that list."""
     flat = keys.reshape(-1)
-    order, inverse, counts = np.unique(flat[flat > 0], return_inverse=True, return_counts=True)
+    order, inverse = np.unique(flat[flat > 0], return_inverse=True)
     at = np.full(len(flat), -1, dtype=np.int64)
     at[flat > 0] = inverse
-    return order, counts, at.reshape(keys.shape)
+    return order, at.reshape(keys.shape)
 
 
 def packed(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
@@ -209,7 +209,7 @@ def backoff_scores(df: DataFrame, id_col: str = "doc_id", text: str = "text", st
         for batch in batches:
             for block, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 _, keys = ngrams(unpacked(raw).column("t").to_pylist())
-                order, counts, _ = listed(keys)
+                order, counts = np.unique(keys[keys > 0], return_counts=True)
                 edge = np.searchsorted(part_of(order, parts), np.arange(parts + 1))
                 rows = [(k, *pack_keys(order[a:b]), pack_numbers(counts[a:b])) for k, (a, b) in enumerate(zip(edge, edge[1:])) if b > a]
                 columns = [pa.array([x[i] for x in rows], kind) for i, kind in enumerate((pa.int32(), pa.binary(), pa.binary(), pa.binary()))]
@@ -235,7 +235,7 @@ def backoff_scores(df: DataFrame, id_col: str = "doc_id", text: str = "text", st
         rows = unpacked(table.column("rows")[0])
         texts = rows.column("t").to_pylist()
         doc, keys = ngrams(texts)
-        order, _, at = listed(keys)
+        order, at = listed(keys)
         totals = np.zeros(len(order), dtype=np.int64)
         part = part_of(order, parts)
         for k, raw, own in zip(answers.column("part").to_pylist(), answers.column("totals"), answers.column("digest").to_pylist(), strict=True):
