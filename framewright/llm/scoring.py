@@ -44,7 +44,7 @@ from framewright.llm.common import WORD, WORD_SQL, ascii_lower, chunks, lower_as
 ORDER = 3
 ALPHA = 0.4
 #: Characters of a block and of a part's n-grams, about.
-BLOCK_CHARS, PART_CHARS = 6_000_000, 3_000_000
+BLOCK_CHARS, PART_CHARS = 5_000_000, 3_000_000
 #: What a row adds to a block's characters, so that empty texts fill blocks too.
 ROW_CHARS = 16
 #: Bytes of a hash that are sent as they are.
@@ -202,7 +202,8 @@ def backoff_scores(df: DataFrame, id_col: str = "doc_id", text: str = "text", st
     chars, n_corpus = (x or 0 for x in docs.agg(F.sum(F.length("t")), F.sum(word_count(F.col("t")))).first())
     limit, blocks, parts = BLOCK_CHARS, chars // BLOCK_CHARS + 1, chars // PART_CHARS + 1
     # many small partitions would make many small blocks
-    texts = docs.coalesce(min(blocks, 1 << 30)).mapInArrow(lambda batches: packed(batches, limit), "block long, rows binary")
+    docs = docs.coalesce(min(blocks, 1 << 30))
+    texts = docs.mapInArrow(lambda batches: packed(batches, limit), "block long, rows binary")
     texts = texts if stable else staged(texts, "lm-texts")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,7 +252,9 @@ def backoff_scores(df: DataFrame, id_col: str = "doc_id", text: str = "text", st
         return pa.table([rows.column("id_at"), *columns, pa.array(mean, pa.float64(), from_pandas=True)], names=["id_at", "n_words", "n_order1", "n_order2", "n_order3", "score"])
 
     add.__annotations__ = {"key": tuple[pa.Scalar, ...], "batches": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}
-    asked = texts.mapInArrow(ask, "block long, part int, low binary, high binary, counts binary")
+    # one function for both, as two would be two workers a task
+    grams = "block long, part int, low binary, high binary, counts binary"
+    asked = docs.mapInArrow(lambda batches: ask(packed(batches, limit)), grams) if stable else texts.mapInArrow(ask, grams)
     answers = asked.groupBy("part").applyInArrow(add, "block long, part int, totals binary, digest long")
     schema = f"id_at {dict(df.dtypes)[id_col]}, n_words long, n_order1 long, n_order2 long, n_order3 long, score double"
     found = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(judge, schema)
