@@ -303,6 +303,23 @@ def test_batches(docs, none):
     assert packing.pack_buckets(none).count() == 0
 
 
+def test_buckets_are_the_best_and_full(spark):
+    r = random.Random(4)
+    lengths = [r.choice([0, 1, 2, 2, 3, 5, 8, 8, 8, 13, 21, 40]) for _ in range(120)]
+    # repeated rows, an id for several, and names of the result's columns
+    df = spark.createDataFrame([(i % 50, " ".join(["w"] * n), 1, 1) for i, n in enumerate(lengths)] * 2, "doc_id long, text string, bucket long, run long")
+    rows = packing.pack_buckets(df, n_buckets=3, max_length=16, token_budget=48).collect()
+    pieces = [x for n in lengths * 2 for x in [16] * (n // 16) + [n % 16] if x]
+    assert sorted(x["length"] for x in rows if x["length"]) == sorted(pieces) and sum(x["length"] == 0 for x in rows) == 2 * lengths.count(0)
+    kinds = sorted(set(pieces))
+    ends = [(*c, kinds[-1]) for k in range(3) for c in itertools.combinations(kinds[:-1], k)]
+    assert sum(x["padding"] for x in rows if x["length"]) == min(sum(min(b for b in c if b >= x) - x for x in pieces) for c in ends)
+    batches = Counter((x["bucket"], x["bound"], x["batch_id"]) for x in rows if x["length"])
+    for bucket, bound in {k[:2] for k in batches}:
+        assert sum(n < 48 // bound for k, n in batches.items() if k[0] == bucket) <= 1
+    assert len({(x["batch_id"], x["place"]) for x in rows if x["length"]}) == len(pieces)
+
+
 @pytest.mark.parametrize("scored", [scoring.backoff_scores, scoring.backoff_scores_by_rows, lambda df: scoring.backoff_scores(df, stable=True)])
 def test_backoff_scores(docs, none, scored, monkeypatch):
     monkeypatch.setattr(scoring, "BLOCK_CHARS", 1000)
