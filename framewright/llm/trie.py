@@ -142,9 +142,9 @@ def _insert(nodes: DataFrame | None, paths: DataFrame, turns: DataFrame, longest
     groups = staged(groups, "prefix-groups")
     several = groups.groupBy((F.col("d") - 1).alias("d"), F.col("t1").alias("s1"), F.col("t2").alias("s2")).agg(F.count(F.lit(1)).alias("follow")).filter("follow > 1")
     new = groups.join(several, ["d", "s1", "s2"], "left").filter("stop or follow > 1").select("d", "s1", "s2", "r")
-    # a node's parent is the node before it on the way of the conversation that spells it
+    # a node's parent is the node before it on the way of the conversation that spells it; that may spell several edges, with others between, so none above its own edge
     way = fresh.select("c", "d", "s1", "s2", "low", "upto").join(new, ["d", "s1", "s2"])
-    way = way.withColumn("p", F.coalesce(F.lag("d").over(Window.partitionBy("c").orderBy("d")), F.col("low"))).filter("c = r")
+    way = way.withColumn("p", F.greatest(F.lag("d").over(Window.partitionBy("c").orderBy("d")), F.col("low"))).filter("c = r")
     way = way.withColumn("f", two_fattest(F.col("p"), F.col("d")))
     first = turns.select(F.col("c").alias("r"), (F.col("d") - 1).alias("p"), F.col("s1").alias("c1"), F.col("s2").alias("c2"), F.col("t1").alias("p1"), F.col("t2").alias("p2"), (F.col("upto") - F.col("size")).alias("above"))
     handle = turns.select(F.col("c").alias("r"), F.col("d").alias("f"), F.col("s1").alias("f1"), F.col("s2").alias("f2"))

@@ -77,6 +77,31 @@ def test_batches_of_any_size_give_one_trie(spark, rows, batches):
     assert Counter(map(tuple, trie.prefix_trie(turns, lengths, batches).collect())) == brute(rebuilt(rows))
 
 
+@pytest.mark.parametrize("run", [512, 4])
+def test_one_conversation_spells_edges_apart(spark, monkeypatch, run):
+    """A batch leaves through two edges that conversation 1 spells, and not through the edges between them."""
+    monkeypatch.setattr(trie, "RUN", run)
+    trunk = lambda c, n: [(c, d, "user", str(d)) for d in range(1, n + 1)]
+    lengths = {1: 20, 2: 4, 3: 8, 4: 12, 5: 3, 6: 15}
+    rows = [x for c, n in lengths.items() for x in (trunk(c, n) if c < 5 else [*trunk(c, n - 1), (c, n, "bot", "leaves")])]
+    turns = trie.staged(trie.prefixes(spark.createDataFrame(rows, "c long, d long, role string, text string")), "prefixes")
+    paths = lambda *cs: spark.createDataFrame([(c, lengths[c]) for c in cs], "c long, n long")
+    nodes = trie._insert(None, paths(1, 2, 3, 4), turns, 20)
+    assert sorted(map(tuple, nodes.select("p", "e").collect())) == [(0, 4), (4, 8), (8, 12), (12, 20)]
+    nodes = trie._insert(nodes, paths(5, 6), turns, 20)
+    assert sorted(map(tuple, nodes.select("p", "e", "r").collect())) == [(0, 2, 1), (2, 3, 5), (2, 4, 1), (4, 8, 1), (8, 12, 1), (12, 14, 1), (14, 15, 6), (14, 20, 1)]
+
+
+def test_many_leave_one_path(spark):
+    """Conversations that leave one long path at any depth."""
+    r, rows = random.Random(1), []
+    for c in range(150):
+        k = r.randint(0, 60)
+        turns = [("user", f"t{t}") for t in range(k)] + [("bot", str(r.randrange(3))) for _ in range(r.randint(0, 3))]
+        rows += [(c, t, *x) for t, x in enumerate(turns)]
+    assert Counter(map(tuple, trie.shared_openings_trie(frame(spark, rows)).collect())) == brute(rebuilt(rows))
+
+
 def test_turnless_and_empty(spark):
     alone = [c for c in range(1, 400) if c % 5 and zlib.crc32(str(c).encode()) % 9 > 1][:3]
     got = trie.shared_openings_trie(frame(spark, [(c, 0, "user", "x") for c in alone])).collect()
