@@ -450,10 +450,9 @@ def d2_similar_pairs(d):
 @query("emb_fx", """SELECT count(*) AS pairs, true AS enough, 0 AS wrong FROM emb_fx a JOIN emb_fx b ON a.grp = b.grp AND a.id < b.id WHERE list_cosine_similarity(a.vec::DOUBLE[], b.vec::DOUBLE[]) > 0.25""")
 def d2_recall_of_hashes(d):
     """Pairs found by hashes against all pairs: at least nine in ten, and none that isn't one."""
-    every, found = D.similar_pairs(d, 0.25).select("a", "b"), D.similar_pairs_hashed(d, 0.25).select("a", "b", F.lit(1).alias("found"))
-    both = every.withColumn("is", F.lit(1)).join(found, ["a", "b"], "full_outer")
-    hit = F.count_if(F.col("found").isNotNull() & F.col("is").isNotNull())
-    return both.agg(F.count("is").alias("pairs"), (hit >= 0.9 * F.count("is")).alias("enough"), F.count_if(F.col("is").isNull()).cast("int").alias("wrong"))
+    each = D.recall_of_hashes(d, 0.25)
+    total = lambda x: F.coalesce(F.sum(x), F.lit(0))
+    return each.agg(total("pairs").alias("pairs"), (total("found") >= 0.9 * total("pairs")).alias("enough"), total("wrong").cast("int").alias("wrong"))
 
 
 def _greedy(rows: str) -> str:

@@ -42,6 +42,39 @@ def test_hashes_compare_few_pairs(spark):
     assert dedup.hash_plan(0.95, 10, 0.95)[1] <= dedup.hash_plan(0.95, 10_000, 0.95)[1]
 
 
+def test_few_copies_are_shipped():
+    """At low thresholds too, where hashes tell little: a row goes to few tables, and its chance to meet holds."""
+    for threshold in (0.0, 0.25, 0.5, 0.8):
+        for n in (10, 12_000, 1_000_000):
+            bits, tables = dedup.hash_plan(threshold, n, 0.95)
+            assert tables <= 32 and 1 - (1 - (1 - np.arccos(threshold) / np.pi) ** bits) ** tables >= 0.95
+
+
+def test_strips_have_each_pair_once(monkeypatch):
+    r = np.random.default_rng(2)
+    one, two = r.standard_normal((57, 4)), r.standard_normal((31, 4))
+    monkeypatch.setattr(dedup, "STRIP", 200)
+    for other, want in ((two, one @ two.T > 0.5), (one, np.triu(one @ one.T > 0.5, 1))):
+        met = [(i, j, s) for x, y, sims in dedup._over(one, other, 0.5) for i, j, s in zip(x.tolist(), y.tolist(), sims, strict=True)]
+        assert sorted((i, j) for i, j, _ in met) == list(map(tuple, np.argwhere(want).tolist()))
+        assert all(abs(s - one[i] @ other[j]) < 1e-12 for i, j, s in met)
+
+
+def test_pairs_and_recall_in_blocks(spark, monkeypatch):
+    """Groups and buckets of many blocks, with rows that have no group: pairs as by brute force, found ones once, counted row by row."""
+    monkeypatch.setattr(dedup, "BLOCK", 48 * 20)
+    emb = near_vectors(spark, 300).withColumn("grp", F.expr("case when id % 10 = 7 then null else grp end")).cache()
+    rows = [(x["id"], x["grp"], np.array(x["vec"])) for x in emb.filter("vec is not null and grp is not null and id < 300").collect()]
+    cos = lambda v, w: v @ w / np.sqrt((v @ v) * (w @ w))
+    want = {(a, b) for a, g, v in rows for b, h, w in rows if a < b and g == h and cos(v, w) > 0.25}
+    exact = [(x["a"], x["b"]) for x in dedup.similar_pairs(emb, 0.25).collect()]
+    found = [(x["a"], x["b"]) for x in dedup.similar_pairs_hashed(emb, 0.25, 0.8).collect()]
+    assert len(want) > 500 and len(exact) == len(want) == len(set(exact)) and set(exact) == want
+    assert len(found) == len(set(found)) and 0.8 * len(want) < len(found) < len(want) and set(found) < want
+    each = dedup.recall_of_hashes(emb, 0.25, 0.8).agg(F.sum("pairs"), F.sum("found"), F.sum("wrong")).first()
+    assert tuple(each) == (len(want), len(found), 0)
+
+
 def test_near_duplicates_by_hashes(spark):
     from framewright.plans.session import with_checkpoints
 
