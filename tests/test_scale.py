@@ -1,6 +1,7 @@
 """Hashed pairs, logs of keys, models in workers, long vocabularies, images as bytes."""
 
 import json
+import math
 import os
 import random
 import struct
@@ -120,6 +121,22 @@ def test_near_duplicates_by_leaf_in_rounds(spark, monkeypatch):
         assert got == greedy(rows, threshold)
 
 
+def test_near_duplicates_in_rounds(spark, monkeypatch):
+    """Copies across blocks, kept rows whose only neighbours are deleted ones before them, rows without group or vector."""
+    from framewright.plans.session import with_checkpoints
+
+    with_checkpoints(spark)
+    monkeypatch.setattr(dedup, "BLOCK", 2 * 30)
+    monkeypatch.setattr(dedup, "similar_pairs", no_pairs)
+    r = random.Random(6)
+    turn = lambda d: [math.cos(math.radians(d)), math.sin(math.radians(d))]
+    rows = [(i, r.choice([0, 0, 0, 1, None]), turn(r.randrange(720) / 2) if i % 9 else [0.0, 0.0]) for i in r.sample(range(10_000), 300)]
+    rows += [(20_000 + i, 2, turn(x)) for i, x in enumerate([0, 20, 40] + [20] * 90 + [90, 70, 41])] + [(30_000, 2, None)]
+    emb = spark.createDataFrame(rows, "id long, grp int, vec array<double>").repartition(6).cache()
+    got = {x["id"]: (x["status"], x["has_duplicates"]) for x in dedup.near_duplicates(emb, math.cos(math.radians(25.25))).collect()}
+    assert got == greedy(rows, math.cos(math.radians(25.25))) and got[20_002] == ("keep", True) and got[20_001] == ("delete", False)
+
+
 def test_three_batches_of_a_stream(spark, tmp_path):
     log, out = str(tmp_path / "log"), str(tmp_path / "out")
 
